@@ -50,10 +50,14 @@ def clean_text(text) -> Column:
     return F.array_join(raw_tokens(text), " ")
 
 
-def split_fused(tokens: Column) -> Column:
-    """X2 refinement: split the fused forms the word tokenizer separates."""
+def split_fused(tokens: Column, text: Column | None = None) -> Column:
+    """X2 refinement: split the fused forms the word tokenizer separates.
+
+    When the source ``text`` is given, rows that cannot hold a fused form (a
+    cheap case-insensitive substring test) skip the per-token rewrite.
+    """
     fused = list(FUSED_FORMS)
-    return F.flatten(
+    rewritten = F.flatten(
         F.transform(
             tokens,
             lambda w: F.when(
@@ -61,6 +65,10 @@ def split_fused(tokens: Column) -> Column:
             ).otherwise(F.array(w)),
         )
     )
+    if text is None:
+        return rewritten
+    maybe = text.rlike("(?i)" + "|".join(FUSED_FORMS))
+    return F.when(maybe, rewritten).otherwise(tokens)
 
 
 def tokenize(cleaned) -> Column:
@@ -97,7 +105,7 @@ def analyze_column(text, stop_words: Sequence[str], fused: bool = True) -> Colum
     """X6 without lemmatisation: clean -> tokenize -> lower -> stop words -> alpha filter."""
     toks = raw_tokens(text)
     if fused:
-        toks = split_fused(toks)
+        toks = split_fused(toks, _text(text))
     toks = lower_tokens(toks)
     words = list(stop_words)
     return F.filter(

@@ -193,9 +193,13 @@ def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, D
     return p, n
 
 
-def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "row") -> Index:
-    """Lazy index over analysed documents ``(key, tokens, n_terms)``."""
-    counts = term_counts(processed, key) if counting == "row" else term_counts_grouped(processed, key)
+def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "grouped") -> Index:
+    """Lazy index over analysed documents ``(key, tokens, n_terms)``.
+
+    ``counting="grouped"`` (default) counts with explode + partial/final hash
+    aggregation; ``"row"`` counts inside each row without a shuffle (more CPU).
+    """
+    counts = term_counts_grouped(processed, key) if counting == "grouped" else term_counts(processed, key)
     champs = champions(term_frequencies(counts, key), top_n, key)
     postings, n = index_postings(champs, key)
     return Index(postings=postings, n_docs=n, key=key)

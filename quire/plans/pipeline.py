@@ -18,6 +18,7 @@ from ..operators import index as I
 from ..operators import retrieve as R
 from ..operators.analysis import DEFAULT, AnalyzerConfig, analyze
 from ..operators.containment import contained_pairs
+from ..operators.util import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)`` from ``documents``."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
