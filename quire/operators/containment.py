@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import broadcast_if_small
+from .util import BROADCAST_MAX_ROWS
 
 Q = 16  # q-gram length in code points
 W = 32  # window length in q-grams
@@ -37,6 +37,7 @@ _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 
 FP_SCHEMA = "scheme INT, h BIGINT, id BIGINT"
+PASSAGE_BROADCAST_BYTES = 256 << 20  # passages are broadcast for verification up to this size
 
 
 def scheme_for(length: int, q: int = Q, w: int = W) -> tuple[int, int]:
@@ -141,11 +142,16 @@ def contained_pairs(
     short_lengths = [r["L"] for r in lengths.limit(q + w).collect()]
     schemes = sorted({scheme_for(L, q, w) for L in short_lengths} | {(q, w)})
 
-    pfp = _passage_fps(p, q, w)
-    pfp_b = broadcast_if_small(pfp)
+    # Lineage cuts (reliable checkpoints in spark.checkpoint.dir): the
+    # fingerprinting runs once and the size checks below read small results.
+    pfp = _passage_fps(p, q, w).checkpoint()
+    stats = p.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("ptext")), F.lit(0)).alias("b")).first()
+    n_passages, passage_bytes = stats["n"], stats["b"]
+    pfp_small = pfp.count() <= BROADCAST_MAX_ROWS
+    used = pfp.select("scheme", "h").distinct()
     dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)
-    # Document fingerprints that some passage uses, with their document frequency.
-    dfp_used = dfp.join(pfp_b.select("scheme", "h").distinct(), ["scheme", "h"], "left_semi")
+    # Document fingerprints that some passage uses (semi join), written once.
+    dfp_used = dfp.join(F.broadcast(used) if pfp_small else used, ["scheme", "h"], "left_semi").checkpoint()
     df_counts = dfp_used.groupBy("scheme", "h").agg(F.count(F.lit(1)).alias("dfreq"))
     # Rarest fingerprint of each passage (a fingerprint no document has -> no candidates).
     ranked = pfp.join(df_counts, ["scheme", "h"], "left").withColumn("dfreq", F.coalesce("dfreq", F.lit(0)))
@@ -155,10 +161,10 @@ def contained_pairs(
         .where((F.col("_r") == 1) & (F.col("dfreq") > 0))
         .select("scheme", "h", F.col("id").alias("pid"))
     )
-    cands = dfp_used.join(broadcast_if_small(chosen), ["scheme", "h"]).select(F.col("id").alias("did"), "pid").distinct()
-    verified = (
-        broadcast_if_small(cands).join(d, "did")
-        .join(broadcast_if_small(p, 200_000), "pid")
-        .where(F.instr(F.col("dtext"), F.col("ptext")) > 0)
-    )
+    # At most one chosen fingerprint per passage: bounded by the passage count.
+    chosen_b = F.broadcast(chosen) if n_passages <= BROADCAST_MAX_ROWS else chosen
+    cands = dfp_used.join(chosen_b, ["scheme", "h"]).select(F.col("id").alias("did"), "pid").distinct().checkpoint()
+    cands_b = F.broadcast(cands) if cands.count() <= BROADCAST_MAX_ROWS else cands
+    p_b = F.broadcast(p) if n_passages <= 200_000 and passage_bytes <= PASSAGE_BROADCAST_BYTES else p
+    verified = cands_b.join(d, "did").join(p_b, "pid").where(F.instr(F.col("dtext"), F.col("ptext")) > 0)
     return verified.select(F.col("pid").alias(passage_key), F.col("did").alias(doc_key))

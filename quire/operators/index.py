@@ -161,9 +161,15 @@ class Index:
     """
 
     postings: DataFrame
-    n_docs: DataFrame
+    n_docs_df: DataFrame | None = None
     key: str = "doc_id"
 
+    @property
+    def n_docs(self) -> DataFrame:
+        if self.n_docs_df is not None:
+            return self.n_docs_df
+        return self.postings.agg(F.count_distinct(self.key).alias("n_docs"))
+
     @property
     def terms(self) -> DataFrame:
         return self.postings.where(F.col("rank") == 1).select("term", "df", "idf")
@@ -201,8 +207,8 @@ def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc
     """
     counts = term_counts_grouped(processed, key) if counting == "grouped" else term_counts(processed, key)
     champs = champions(term_frequencies(counts, key), top_n, key)
-    postings, n = index_postings(champs, key)
-    return Index(postings=postings, n_docs=n, key=key)
+    postings, _ = index_postings(champs, key)
+    return Index(postings=postings, key=key)
 
 
 def nested_view(champs: DataFrame, key: str = "doc_id") -> DataFrame:

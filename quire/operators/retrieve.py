@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .analysis import DEFAULT, AnalyzerConfig, analyze
 from .index import Index, counted_terms
-from .util import broadcast_if_small
+from .util import BROADCAST_MAX_ROWS
 from ..functions.scoring import cosine, round_score
 
 TOP_K = 10  # results kept per query
@@ -26,10 +26,23 @@ def query_terms(queries: DataFrame, key: str = "query_id", text: str = "query_te
     return counted_terms(analysed, [key, "qlen"], with_pos=True).select(key, "term", "cnt", "pos", "qlen")
 
 
-def query_vectors(qterms: DataFrame, index: Index, key: str = "query_id") -> DataFrame:
-    """``(query_id, term, cnt, pos, qlen, idf, weight)``; unknown terms weigh 0.0."""
-    q = broadcast_if_small(qterms)
-    known = q.join(index.terms, "term").select(key, "term", "idf")
+def query_side_small(qterms: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Size check of the query side, done once on the query terms (before any join)."""
+    return qterms.limit(max_rows + 1).count() <= max_rows
+
+
+def _side(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def query_vectors(qterms: DataFrame, index: Index, key: str = "query_id", small: bool | None = None) -> DataFrame:
+    """``(query_id, term, cnt, pos, qlen, idf, weight)``; unknown terms weigh 0.0.
+
+    With a small query side the term lookup is a broadcast hash join that
+    streams the index once; otherwise both sides are shuffled on ``term``.
+    """
+    small = query_side_small(qterms) if small is None else small
+    known = _side(qterms, small).join(index.terms, "term").select(key, "term", "idf")
     return (
         qterms.join(known, [key, "term"], "left")
         .withColumn("weight", (F.col("cnt") / F.col("qlen")) * F.coalesce(F.col("idf"), F.lit(0.0)))
@@ -42,7 +55,7 @@ def query_norms(qvec: DataFrame, key: str = "query_id") -> DataFrame:
     return qvec.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
 
 
-def dot_products(qvec: DataFrame, index: Index, key: str = "query_id") -> DataFrame:
+def dot_products(qvec: DataFrame, index: Index, key: str = "query_id", small: bool = False) -> DataFrame:
     """``(query_id, doc, dot, doc_norm, tie)`` for every document sharing a term.
 
     ``tie`` is the smallest ``(query position, posting rank)`` through which
@@ -50,7 +63,8 @@ def dot_products(qvec: DataFrame, index: Index, key: str = "query_id") -> DataFr
     meets it, used to order equal scores.
     """
     dkey = index.key
-    q = broadcast_if_small(qvec.where(F.col("idf").isNotNull()).select(key, "term", "pos", "weight"))
+    # Known query terms are a subset of the query terms whose size was checked.
+    q = _side(qvec.where(F.col("idf").isNotNull()).select(key, "term", "pos", "weight"), small)
     p = index.postings.select("term", "rank", dkey, F.col("weight").alias("dw"), "norm")
     return (
         q.join(p, "term")
@@ -63,9 +77,9 @@ def dot_products(qvec: DataFrame, index: Index, key: str = "query_id") -> DataFr
     )
 
 
-def cosine_scores(qvec: DataFrame, index: Index, key: str = "query_id") -> DataFrame:
+def cosine_scores(qvec: DataFrame, index: Index, key: str = "query_id", small: bool = False) -> DataFrame:
     """``(query_id, doc, score, tie)``."""
-    dots = dot_products(qvec, index, key)
+    dots = dot_products(qvec, index, key, small)
     qn = query_norms(qvec, key).withColumnRenamed("norm", "query_norm")
     return dots.join(qn, key).select(
         key, index.key, cosine("dot", "doc_norm", "query_norm").alias("score"), "tie"
@@ -86,5 +100,7 @@ def rank_top_k(scores: DataFrame, k: int = TOP_K, key: str = "query_id", doc: st
 def search(index: Index, queries: DataFrame, k: int = TOP_K, key: str = "query_id", text: str = "query_text",
            cfg: AnalyzerConfig = DEFAULT) -> DataFrame:
     """End to end: queries ``(key, text)`` -> ``(key, rank, doc, score)``."""
-    qv = query_vectors(query_terms(queries, key, text, cfg), index, key)
-    return rank_top_k(cosine_scores(qv, index, key), k, key, index.key)
+    qt = query_terms(queries, key, text, cfg)
+    small = query_side_small(qt)
+    qv = query_vectors(qt, index, key, small)
+    return rank_top_k(cosine_scores(qv, index, key, small), k, key, index.key)

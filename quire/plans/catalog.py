@@ -219,20 +219,26 @@ def q_doc_norms(spark, sf):
 
 
 # ---------------------------------------------------------------- retrieval --
+def _qv(spark, sf):
+    """Index, query vectors of the benchmark queries, and the query-side size check."""
+    idx = P.index(spark, sf)
+    qt = R.query_terms(P.benchmark_queries(spark, sf))
+    small = R.query_side_small(qt)
+    return idx, R.query_vectors(qt, idx, small=small), small
+
+
 _RET = S.with_(*S.RETRIEVAL_CTES[:-2])
 
 
 @register("query_vectors", _RET + "SELECT query_id, term, round(weight, 12) AS weight FROM qv")
 def q_query_vectors(spark, sf):
-    idx = P.index(spark, sf)
-    qv = R.query_vectors(R.query_terms(P.benchmark_queries(spark, sf)), idx)
+    idx, qv, small = _qv(spark, sf)
     return qv.select("query_id", "term", F.round("weight", 12).alias("weight"))
 
 
 @register("query_norms", _RET + "SELECT query_id, round(norm, 9) AS norm FROM qnorm")
 def q_query_norms(spark, sf):
-    idx = P.index(spark, sf)
-    qv = R.query_vectors(R.query_terms(P.benchmark_queries(spark, sf)), idx)
+    idx, qv, small = _qv(spark, sf)
     return R.query_norms(qv).select("query_id", round_score("norm").alias("norm"))
 
 
@@ -241,16 +247,14 @@ _SCORED = S.with_(*S.RETRIEVAL_CTES[:-1])
 
 @register("dot_products", _SCORED + "SELECT query_id, doc_id, round(dot, 9) AS dot FROM dots")
 def q_dot_products(spark, sf):
-    idx = P.index(spark, sf)
-    qv = R.query_vectors(R.query_terms(P.benchmark_queries(spark, sf)), idx)
-    return R.dot_products(qv, idx).select("query_id", "doc_id", round_score("dot").alias("dot"))
+    idx, qv, small = _qv(spark, sf)
+    return R.dot_products(qv, idx, small=small).select("query_id", "doc_id", round_score("dot").alias("dot"))
 
 
 @register("cosine_scores", _SCORED + "SELECT query_id, doc_id, round(score, 9) AS score FROM scores")
 def q_cosine_scores(spark, sf):
-    idx = P.index(spark, sf)
-    qv = R.query_vectors(R.query_terms(P.benchmark_queries(spark, sf)), idx)
-    return R.cosine_scores(qv, idx).select("query_id", "doc_id", round_score("score").alias("score"))
+    idx, qv, small = _qv(spark, sf)
+    return R.cosine_scores(qv, idx, small=small).select("query_id", "doc_id", round_score("score").alias("score"))
 
 
 _TOP = S.with_(*S.RETRIEVAL_CTES)
