@@ -20,7 +20,12 @@ from ..functions.scoring import round_score
 from ..functions.stopwords import resolve_stop_words
 from ..operators import evaluate as E
 from ..operators import index as I
+from ..operators import codec as C
 from ..operators import retrieve as R
+from ..session import scratch_path
+from ..sinks import writers as Wr
+from ..sinks.files import write_text_files
+from ..sources import readers as Rd
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -317,3 +322,77 @@ def q_recall_at_k(spark, sf):
 def q_map_mar(spark, sf):
     m = P.metrics(spark, sf)
     return m.select(F.col("k").cast("bigint").alias("k"), round_score("map_k").alias("map_k"), round_score("mar_k").alias("mar_k"))
+
+
+# ---------------------------------------------------------------- interchange --
+_CHAMPS_SQL = S.with_(S.DOC_TOKENS, S.COUNTS, S.POSTINGS, S.CHAMPS)
+_ENCODED = """encoded AS (
+  SELECT term AS word, string_agg(CAST(doc_id AS VARCHAR) || ':' || printf('%.6f', tf), ', ' ORDER BY rank) AS documents
+  FROM champs GROUP BY term)"""
+
+
+def _champions(spark, sf):
+    return I.champions(I.term_frequencies(I.term_counts_grouped(P.processed(spark, sf))))
+
+
+@register("index_csv", _CHAMPS_SQL + ", " + _ENCODED + "\nSELECT word, documents FROM encoded")
+def q_index_csv(spark, sf):
+    """A1/K2/K3: encode champion lists, write ``Word,Documents`` CSV, read it back."""
+    path = scratch_path(spark, "index-csv")
+    Wr.write_index_csv(C.encode_postings(_champions(spark, sf)), path)
+    return Rd.read_index_csv(spark, path)
+
+
+@register(
+    "index_csv_parse",
+    _CHAMPS_SQL
+    + ", "
+    + _ENCODED
+    + """, items AS (SELECT word AS term, unnest(string_split(documents, ', ')) AS item FROM encoded)
+SELECT term, regexp_extract(item, '^(.*):([^:]*)$', 1) AS doc_id, TRY_CAST(regexp_extract(item, '^(.*):([^:]*)$', 2) AS DOUBLE) AS tf
+FROM items WHERE regexp_matches(item, '^(.*):([^:]*)$')""",
+)
+def q_index_csv_parse(spark, sf):
+    """Read the index CSV back into long postings."""
+    path = scratch_path(spark, "index-csv")
+    Wr.write_index_csv(C.encode_postings(_champions(spark, sf)), path)
+    return C.decode_postings(Rd.read_index_csv(spark, path))
+
+
+@register(
+    "results_csv",
+    _TOP
+    + "SELECT CAST(query_id AS VARCHAR) AS query_number, CAST(rank AS BIGINT) AS rank, "
+    "'output_' || CAST(doc_id AS VARCHAR) || '.txt' AS doc_number FROM top",
+)
+def q_results_csv(spark, sf):
+    """Write ``Query_number,doc_number`` in rank order, read back, ranks recovered from order."""
+    path = scratch_path(spark, "results-csv")
+    Wr.write_results_csv(E.doc_names(P.results(spark, sf)), path)
+    back = Rd.read_results_csv(spark, path)
+    return back.select(
+        F.col("query_id").alias("query_number"), F.col("rank").cast("bigint").alias("rank"), F.col("doc_name").alias("doc_number")
+    )
+
+
+@register("query_tsv_scan", "SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query_text FROM benchmark")
+def q_query_tsv_scan(spark, sf):
+    """Benchmark passages written as a query TSV and read back."""
+    path = scratch_path(spark, "queries-tsv")
+    Wr.write_queries_tsv(P.benchmark_queries(spark, sf), path)
+    return Rd.read_queries_tsv(spark, path)
+
+
+@register(
+    "text_dir_scan",
+    "SELECT 'output_' || CAST(doc_id AS VARCHAR) || '.txt' AS doc_id, CAST(len(" + S.analyzed("text") + ") AS BIGINT) AS n_terms "
+    "FROM documents WHERE octet_length(text) > 0",
+)
+def q_text_dir_scan(spark, sf):
+    """Documents written one ``output_<id>.txt`` file each, scanned back as a corpus."""
+    path = scratch_path(spark, "text-dir")
+    docs = P.corpus(spark, sf).withColumn("name", F.concat(F.lit("output_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    write_text_files(docs, path, "name", "text").count()
+    corpus, _rejects = Rd.read_text_dir(spark, path)
+    p = P.analyze(P.spread(corpus), "doc_id", "text", keep_empty=True)
+    return p.select("doc_id", F.col("n_terms").cast("bigint").alias("n_terms"))

@@ -73,5 +73,7 @@ def write_queries_tsv(queries: DataFrame, path: str, key: str = "query_id", text
         .option("header", True)
         .option("sep", "\t")
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )

@@ -45,7 +45,16 @@ def read_text_dir(spark: SparkSession, path: str, glob: str = "*.txt", recursive
 
 def read_queries_tsv(spark: SparkSession, path: str) -> DataFrame:
     """``(query_id, query_text)`` from a TSV with header ``Query number``, ``Query``."""
-    df = spark.read.schema(QUERY_TSV).option("header", True).option("sep", "\t").option("escape", '"').csv(path)
+    df = (
+        spark.read.schema(QUERY_TSV)
+        .option("header", True)
+        .option("sep", "\t")
+        .option("escape", '"')
+        .option("multiLine", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return df.select(F.col("Query number").alias("query_id"), F.col("Query").alias("query_text"))
 
 
