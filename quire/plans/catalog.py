@@ -386,7 +386,7 @@ def q_query_tsv_scan(spark, sf):
 @register(
     "text_dir_scan",
     "SELECT 'output_' || CAST(doc_id AS VARCHAR) || '.txt' AS doc_id, CAST(len(" + S.analyzed("text") + ") AS BIGINT) AS n_terms "
-    "FROM documents WHERE octet_length(text) > 0",
+    "FROM documents WHERE strlen(text) > 0",
 )
 def q_text_dir_scan(spark, sf):
     """Documents written one ``output_<id>.txt`` file each, scanned back as a corpus."""
