@@ -199,13 +199,19 @@ def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, D
     return p, n
 
 
-def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "grouped") -> Index:
+def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "grouped",
+                lemma_map: DataFrame | None = None) -> Index:
     """Lazy index over analysed documents ``(key, tokens, n_terms)``.
 
     ``counting="grouped"`` (default) counts with explode + partial/final hash
     aggregation; ``"row"`` counts inside each row without a shuffle (more CPU).
+    ``lemma_map`` ``(term, lemma)`` lemmatises the counts before tf.
     """
     counts = term_counts_grouped(processed, key) if counting == "grouped" else term_counts(processed, key)
+    if lemma_map is not None:
+        from .lexicon import apply_lemmas
+
+        counts = apply_lemmas(counts, lemma_map, [key, "n_terms"])
     champs = champions(term_frequencies(counts, key), top_n, key)
     postings, _ = index_postings(champs, key)
     return Index(postings=postings, key=key)

@@ -98,9 +98,16 @@ def rank_top_k(scores: DataFrame, k: int = TOP_K, key: str = "query_id", doc: st
 
 
 def search(index: Index, queries: DataFrame, k: int = TOP_K, key: str = "query_id", text: str = "query_text",
-           cfg: AnalyzerConfig = DEFAULT) -> DataFrame:
-    """End to end: queries ``(key, text)`` -> ``(key, rank, doc, score)``."""
+           cfg: AnalyzerConfig = DEFAULT, lemma_map: DataFrame | None = None) -> DataFrame:
+    """End to end: queries ``(key, text)`` -> ``(key, rank, doc, score)``.
+
+    Pass the ``lemma_map`` the index was built with to lemmatise queries alike.
+    """
     qt = query_terms(queries, key, text, cfg)
+    if lemma_map is not None:
+        from .lexicon import apply_lemmas
+
+        qt = apply_lemmas(qt, lemma_map, [key, "qlen"])
     small = query_side_small(qt)
     qv = query_vectors(qt, index, key, small)
     return rank_top_k(cosine_scores(qv, index, key, small), k, key, index.key)

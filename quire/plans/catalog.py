@@ -21,6 +21,7 @@ from ..functions.stopwords import resolve_stop_words
 from ..operators import evaluate as E
 from ..operators import index as I
 from ..operators import codec as C
+from ..operators import lexicon as L
 from ..operators import retrieve as R
 from ..session import scratch_path
 from ..sinks import writers as Wr
@@ -396,3 +397,75 @@ def q_text_dir_scan(spark, sf):
     corpus, _rejects = Rd.read_text_dir(spark, path)
     p = P.analyze(P.spread(corpus), "doc_id", "text", keep_empty=True)
     return p.select("doc_id", F.col("n_terms").cast("bigint").alias("n_terms"))
+
+
+# ---------------------------------------------------------------- lexicon ----
+# --- fixed values (test fixture only): stand-in tagger output by suffix --------
+SUFFIX_TAGS = (("ly", "RB"), ("ing", "VBG"), ("ed", "VBD"), ("ous", "JJ"), ("ful", "JJ"),
+               ("ive", "JJ"), ("able", "JJ"), ("est", "JJS"), ("er", "JJR"))
+OTHER_TAG = "NN"
+# --- end of fixed values --------------------------------------------------------
+
+
+def _suffix_tag(col):
+    expr = F.when(F.lit(False), F.lit(None))
+    for suf, tag in SUFFIX_TAGS:
+        expr = expr.when(col.endswith(suf), F.lit(tag))
+    return expr.otherwise(F.lit(OTHER_TAG))
+
+
+_SUFFIX_TAG_SQL = "CASE " + " ".join(f"WHEN suffix(form, '{s}') THEN '{t}'" for s, t in SUFFIX_TAGS) + f" ELSE '{OTHER_TAG}' END"
+_RULES_SQL = "rules AS (SELECT * FROM (VALUES " + ", ".join(f"('{p}', '{s}', '{e}')" for p, s, e in L.rule_rows()) + ") AS t(pos, suffix, ending))"
+_CLASS_SQL = "CASE left(coalesce(tag, ''), 1) " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in L.TAG_CLASSES) + f" ELSE '{L.DEFAULT_CLASS}' END"
+_LEX_CTES = (
+    S.DOC_TOKENS,
+    "vocab AS (SELECT DISTINCT unnest(tokens) AS term FROM doc_tokens)",
+    f"obs AS (SELECT form, {_SUFFIX_TAG_SQL} AS tag FROM (SELECT unnest(tokens) AS form FROM doc_tokens))",
+    """learned AS (SELECT form, tag FROM (
+    SELECT form, tag, row_number() OVER (PARTITION BY form ORDER BY count(*) DESC, tag) AS r FROM obs GROUP BY form, tag)
+  WHERE r = 1)""",
+    f"pos_class AS (SELECT v.term AS form, {_CLASS_SQL} AS pos FROM vocab v LEFT JOIN learned l ON l.form = v.term)",
+    _RULES_SQL,
+    """cands AS (SELECT v.term AS form, r.pos, left(v.term, length(v.term) - length(r.suffix)) || r.ending AS lemma
+  FROM vocab v JOIN rules r ON suffix(v.term, r.suffix) AND length(v.term) > length(r.suffix))""",
+    """lexicon AS (SELECT form, pos, lemma FROM (
+    SELECT c.form, c.pos, c.lemma, row_number() OVER (PARTITION BY c.form, c.pos ORDER BY length(c.lemma), c.lemma) AS r
+    FROM cands c WHERE c.lemma <> c.form AND c.lemma IN (SELECT term FROM vocab)) WHERE r = 1)""",
+    """lemma_map AS (SELECT p.form AS term, coalesce(x.lemma, p.form) AS lemma
+  FROM pos_class p LEFT JOIN lexicon x ON x.form = p.form AND x.pos = p.pos)""",
+)
+
+
+def _vocab_and_tags(spark, sf):
+    p = P.processed(spark, sf)
+    occurrences = p.select(F.explode("tokens").alias("form"))
+    vocab = occurrences.select(F.col("form").alias("term")).distinct()
+    tags = L.learn_tags(occurrences.select("form", _suffix_tag(F.col("form")).alias("tag")))
+    return p, vocab, tags
+
+
+@register("pos_class", S.with_(*_LEX_CTES[:5]) + "SELECT form, pos FROM pos_class")
+def q_pos_class(spark, sf):
+    """Class of every vocabulary form from learned (most frequent) tags."""
+    _, vocab, tags = _vocab_and_tags(spark, sf)
+    return L.tag_vocabulary(vocab, tags)
+
+
+@register("lexicon_rules", S.with_(*_LEX_CTES[:1], _LEX_CTES[1], _RULES_SQL, _LEX_CTES[6], _LEX_CTES[7]) + "SELECT form, pos, lemma FROM lexicon")
+def q_lexicon_rules(spark, sf):
+    """L3: rule-generated lexicon restricted to lemmas present in the vocabulary."""
+    _, vocab, _ = _vocab_and_tags(spark, sf)
+    return L.build_lexicon(vocab)
+
+
+@register(
+    "lemmatize",
+    S.with_(*_LEX_CTES, S.COUNTS)
+    + "SELECT c.doc_id, CAST(count(DISTINCT m.lemma) AS BIGINT) AS n_distinct_lemmas FROM counts c JOIN lemma_map m USING (term) GROUP BY c.doc_id",
+)
+def q_lemmatize(spark, sf):
+    """Counts lemmatised through the vocabulary lemma map."""
+    p, vocab, tags = _vocab_and_tags(spark, sf)
+    lm = L.lemma_map_for(vocab, tags)
+    lc = L.apply_lemmas(I.term_counts_grouped(p), lm, ["doc_id", "n_terms"])
+    return lc.groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct_lemmas"))
