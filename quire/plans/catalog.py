@@ -469,3 +469,27 @@ def q_lemmatize(spark, sf):
     lm = L.lemma_map_for(vocab, tags)
     lc = L.apply_lemmas(I.term_counts_grouped(p), lm, ["doc_id", "n_terms"])
     return lc.groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct_lemmas"))
+
+
+# ---------------------------------------------------------------- streaming --
+_STREAM_SQL = (
+    S.with_(S.DOC_TOKENS, S.COUNTS)
+    + """, named AS (SELECT term, 'output_' || CAST(doc_id AS VARCHAR) || '.txt' AS doc_id, """
+    + S.tf6("cnt", "n_terms")
+    + """ AS tf FROM counts),
+"""
+    + S.champs_cte("named")
+    + "\nSELECT term, CAST(rank AS BIGINT) AS rank, doc_id, tf FROM champs"
+)
+
+
+@register("streaming_index", _STREAM_SQL)
+def q_streaming_index(spark, sf):
+    """G17/S1 as a stream: documents as text files, indexed in micro-batches of 250 files, merged."""
+    from ..streaming.incremental import build_from_directory
+
+    src = scratch_path(spark, "stream-src")
+    docs = P.corpus(spark, sf).withColumn("name", F.concat(F.lit("output_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    write_text_files(docs, src, "name", "text").count()
+    idx = build_from_directory(spark, src, scratch_path(spark, "stream-out"), files_per_trigger=250)
+    return idx.postings.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
