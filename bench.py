@@ -29,6 +29,13 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16)
     times: dict[str, float] = {}
 
+    # Untimed warm-up on the smallest supplied scale: JIT and code generation,
+    # so the timings below measure the steady state.
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if warm and os.path.isdir(warm):
+        R.search(P.index(spark, warm), P.benchmark_queries(spark, warm)).collect()
+        P.qrels(spark, warm).collect()
+
     def timed(name, fn):
         t = time.perf_counter()
         out = fn()
@@ -61,6 +68,7 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                 "map_mar": [[r["k"], round(r["map_k"], 6), round(r["mar_k"], 6)] for r in metrics],
+                "warmup": "one untimed run on sf0.001 before timing",
             }
         )
     )

@@ -103,14 +103,19 @@ def keep_words(tokens: Column, words: Sequence[str]) -> Column:
 
 def analyze_column(text, stop_words: Sequence[str], fused: bool = True) -> Column:
     """X6 without lemmatisation: clean -> tokenize -> lower -> stop words -> alpha filter."""
-    toks = raw_tokens(text)
+    # Two array passes: split -> (fused split) -> lower, then one filter for
+    # length, stop words and letters.  Dropping one-character tokens after
+    # lower-casing instead of before is equivalent: lower-casing never shortens
+    # a token, and the only character it lengthens (dotted capital I) yields a
+    # combining mark that fails the letters test anyway.
+    toks = F.split(_text(text), SEPARATOR)
     if fused:
         toks = split_fused(toks, _text(text))
     toks = lower_tokens(toks)
     words = list(stop_words)
     return F.filter(
         toks,
-        lambda w: (~w.isin(words) if words else F.lit(True)) & w.rlike(ALPHA) & (F.char_length(w) > 1),
+        lambda w: (F.char_length(w) > 1) & (~w.isin(words) if words else F.lit(True)) & w.rlike(ALPHA),
     )
 
 

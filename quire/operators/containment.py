@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import BROADCAST_MAX_ROWS
+from .util import BROADCAST_MAX_ROWS, ship_package
 
 Q = 16  # q-gram length in code points
 W = 32  # window length in q-grams
@@ -76,11 +76,22 @@ def fingerprints(text: str, q: int, w: int) -> np.ndarray:
     h = _qgram_hashes(codes, q)
     if h.shape[0] < w:
         return np.empty(0, dtype=np.uint64)
+    return np.unique(sliding_min(h, w))
+
+
+def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
+    """Minimum of every window of ``w`` consecutive values, in O(n) (block prefix/suffix minima)."""
     if w == 1:
-        mins = h
-    else:
-        mins = np.lib.stride_tricks.sliding_window_view(h, w).min(axis=1)
-    return np.unique(mins)
+        return h
+    n = h.shape[0]
+    m = n - w + 1
+    pad = (-n) % w
+    if pad:
+        h = np.concatenate([h, np.full(pad, np.iinfo(np.uint64).max, dtype=np.uint64)])
+    blocks = h.reshape(-1, w)
+    prefix = np.minimum.accumulate(blocks, axis=1).ravel()
+    suffix = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(suffix[:m], prefix[w - 1 : w - 1 + m])
 
 
 def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str):
@@ -132,21 +143,26 @@ def contained_pairs(
 
     Keys must be integral.  Empty or null passages match nothing.
     """
+    ship_package(docs.sparkSession)
     p = passages.select(F.col(passage_key).cast("bigint").alias("pid"), F.col(passage_text).alias("ptext")).where(
         F.length("ptext") > 0
     )
     d = docs.select(F.col(doc_key).cast("bigint").alias("did"), F.col(doc_text).alias("dtext"))
 
-    # Schemes in use: a handful of (q, w) pairs, one per short passage length at most.
-    lengths = p.select(F.length("ptext").alias("L")).where(F.col("L") < q + w - 1).distinct()
-    short_lengths = [r["L"] for r in lengths.limit(q + w).collect()]
-    schemes = sorted({scheme_for(L, q, w) for L in short_lengths} | {(q, w)})
+    # One small action on the passages: their count, bytes and the short lengths in use
+    # (at most q + w - 2 distinct values), which decide the fingerprint schemes.
+    short = F.when(F.length("ptext") < q + w - 1, F.length("ptext"))
+    stats = p.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length("ptext")), F.lit(0)).alias("b"),
+        F.collect_set(short).alias("short"),
+    ).first()
+    n_passages, passage_bytes = stats["n"], stats["b"]
+    schemes = sorted({scheme_for(L, q, w) for L in stats["short"]} | {(q, w)})
 
     # Lineage cuts (reliable checkpoints in spark.checkpoint.dir): the
     # fingerprinting runs once and the size checks below read small results.
     pfp = _passage_fps(p, q, w).checkpoint()
-    stats = p.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("ptext")), F.lit(0)).alias("b")).first()
-    n_passages, passage_bytes = stats["n"], stats["b"]
     pfp_small = pfp.count() <= BROADCAST_MAX_ROWS
     used = pfp.select("scheme", "h").distinct()
     dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)

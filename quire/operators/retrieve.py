@@ -43,8 +43,9 @@ def query_vectors(qterms: DataFrame, index: Index, key: str = "query_id", small:
     """
     small = query_side_small(qterms) if small is None else small
     known = _side(qterms, small).join(index.terms, "term").select(key, "term", "idf")
+    # ``known`` is a subset of the checked query terms.
     return (
-        qterms.join(known, [key, "term"], "left")
+        qterms.join(_side(known, small), [key, "term"], "left")
         .withColumn("weight", (F.col("cnt") / F.col("qlen")) * F.coalesce(F.col("idf"), F.lit(0.0)))
         .select(key, "term", "cnt", "pos", "qlen", "idf", "weight")
     )

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +36,32 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark) -> None:
+    """Make this package importable in Python workers (``addPyFile`` of a zip), once per context.
+
+    Operators that run Python in tasks (``mapInPandas``) pickle their helpers by
+    module reference, so executors must be able to import the package whatever
+    the driver's working directory or the cluster's Python path.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import quire
+
+    pkg = os.path.dirname(os.path.abspath(quire.__file__))
+    root = os.path.dirname(pkg)
+    target = os.path.join(tempfile.mkdtemp(prefix="quire-py-"), "quire.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)

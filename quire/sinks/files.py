@@ -16,6 +16,9 @@ def write_text_files(df: DataFrame, directory: str, name_col: str, text_col: str
     any URI pyarrow understands), so no text passes through the driver.  The
     returned frame is lazy: run an action on it to write.
     """
+    from ..operators.util import ship_package
+
+    ship_package(df.sparkSession)
     base = directory.rstrip("/")
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
