@@ -2,9 +2,10 @@
 
 Plan shape (what ``explain`` shows for ``build_index``):
 
-* analysis and term counting are narrow: a document's tokens live in one row,
-  so they are counted inside the row (sort + run lengths) and exploded to
-  ``(doc_id, term, cnt)`` without any shuffle;
+* analysis is narrow (one Project); term counting is explode + partial/final
+  hash aggregation on ``(doc, term)`` -- the hash spreads a hot term's pairs
+  over every reducer.  ``term_counts`` counts inside each row instead (sort +
+  run lengths, no shuffle) at a higher CPU cost;
 * the champion list is ``row_number`` over ``term`` with a limit; Catalyst puts
   a partial ``WindowGroupLimit`` before the exchange, so a term present in a
   third of all documents still ships at most ``top_n`` rows per map task;
