@@ -62,56 +62,56 @@ def _flagged(ranked: DataFrame, qrels: DataFrame) -> DataFrame:
     return ranked.join(rel, ["query_id", "doc_no"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
 
 
-def ap_at_k(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
-    """``(query_id, k, ap)`` for every judged query.
-
-    Precision is accumulated at each hit (a repeated relevant id counts each
-    time) and divided by ``min(|relevant|, k)``; a judged query without results
-    scores 0.
+def per_query(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
+    """G11/G13 together: ``(query_id, k, ap, recall)`` for every judged query and cut-off.
+
+    One pass: retrieved rows flagged against the judgements, a running hit
+    count (W3) and a first-occurrence flag per document, both windows on the
+    query partitioning; then one aggregation per (query, k).
+    AP accumulates precision at every hit (a repeated relevant id counts each
+    time) and divides by ``min(|relevant|, k)``; recall counts distinct
+    relevant ids in the top k over ``|relevant|``.  Judged queries without
+    results score 0.
     """
     spark = ranked.sparkSession
-    w = Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    contrib = (
+    by_rank = Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_doc = Window.partitionBy("query_id", "doc_no").orderBy("rank")
+    hits = (
         _flagged(ranked, qrels)
-        .withColumn("hits", F.sum("hit").over(w))
+        .withColumn("hits", F.sum("hit").over(by_rank))
         .where(F.col("hit") == 1)
-        .select("query_id", "rank", (F.col("hits") / F.col("rank")).alias("p"))
+        .withColumn("first", (F.row_number().over(by_doc) == 1).cast("int"))
+        .select("query_id", "rank", (F.col("hits") / F.col("rank")).alias("p"), "first")
     )
-    judged = _judged(qrels).crossJoin(_ks(spark, ks))
+    ks_df = _ks(spark, ks)
     per_k = (
-        contrib.join(_ks(spark, ks), F.col("rank") <= F.col("k"))
+        hits.join(ks_df, F.col("rank") <= F.col("k"))
         .groupBy("query_id", "k")
-        .agg(F.sum("p").alias("s"))
+        .agg(F.sum("p").alias("s"), F.sum("first").alias("found"))
     )
+    judged = _judged(qrels).crossJoin(ks_df)
     return judged.join(per_k, ["query_id", "k"], "left").select(
-        "query_id", "k", (F.coalesce("s", F.lit(0.0)) / F.least(F.col("n_rel"), F.col("k"))).alias("ap")
+        "query_id",
+        "k",
+        (F.coalesce("s", F.lit(0.0)) / F.least(F.col("n_rel"), F.col("k"))).alias("ap"),
+        (F.coalesce("found", F.lit(0)) / F.col("n_rel")).alias("recall"),
     )
 
 
+def ap_at_k(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
+    """``(query_id, k, ap)``."""
+    return per_query(ranked, qrels, ks).select("query_id", "k", "ap")
+
+
 def recall_at_k(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
-    """``(query_id, k, recall)`` = distinct relevant ids in the top k / |relevant|."""
-    spark = ranked.sparkSession
-    first_hit = (
-        _flagged(ranked, qrels).where(F.col("hit") == 1).groupBy("query_id", "doc_no").agg(F.min("rank").alias("rank"))
-    )
-    judged = _judged(qrels).crossJoin(_ks(spark, ks))
-    per_k = (
-        first_hit.join(_ks(spark, ks), F.col("rank") <= F.col("k"))
-        .groupBy("query_id", "k")
-        .agg(F.count(F.lit(1)).alias("found"))
-    )
-    return judged.join(per_k, ["query_id", "k"], "left").select(
-        "query_id", "k", (F.coalesce("found", F.lit(0)) / F.col("n_rel")).alias("recall")
-    )
+    """``(query_id, k, recall)``."""
+    return per_query(ranked, qrels, ks).select("query_id", "k", "recall")
 
 
 def map_mar(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
     """``(k, map_k, mar_k)`` averaged over judged queries (0.0 when none)."""
-    ap = ap_at_k(ranked, qrels, ks)
-    rc = recall_at_k(ranked, qrels, ks)
-    both = ap.join(rc, ["query_id", "k"], "full")
     spark = ranked.sparkSession
-    agg = both.groupBy("k").agg(F.avg("ap").alias("map_k"), F.avg("recall").alias("mar_k"))
+    agg = per_query(ranked, qrels, ks).groupBy("k").agg(F.avg("ap").alias("map_k"), F.avg("recall").alias("mar_k"))
     return (
         _ks(spark, ks)
         .join(agg, "k", "left")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .analysis import DEFAULT, AnalyzerConfig, analyze
-from .index import Index, counted_terms
+from .index import Index
 from .util import BROADCAST_MAX_ROWS
 from ..functions.scoring import cosine, round_score
 
@@ -23,7 +23,12 @@ def query_terms(queries: DataFrame, key: str = "query_id", text: str = "query_te
     """``(query_id, term, cnt, pos, qlen)``; ``pos`` is the first position of the term,
     ``qlen`` the number of analysed tokens (unknown terms included)."""
     analysed = analyze(queries, key, text, cfg, keep_empty=True).withColumnRenamed("n_terms", "qlen")
-    return counted_terms(analysed, [key, "qlen"], with_pos=True).select(key, "term", "cnt", "pos", "qlen")
+    return (
+        analysed.select(key, "qlen", F.posexplode("tokens").alias("p", "term"))
+        .groupBy(key, "qlen", "term")
+        .agg(F.count(F.lit(1)).cast("int").alias("cnt"), F.min("p").cast("int").alias("pos"))
+        .select(key, "term", "cnt", "pos", "qlen")
+    )
 
 
 def query_side_small(qterms: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

@@ -32,13 +32,15 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(query_id, query_text)`` from ``benchmark``."""
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
+    return spread(
+        table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
+    )
 
 
 def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second query set: user turns of ``conversations``; id = conv_id * 1000 + turn."""
     c = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query_text"))
+    return spread(c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query_text")))
 
 
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
