@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .util import BROADCAST_MAX_ROWS, ship_package
 
 Q = 16  # q-gram length in code points
@@ -144,6 +145,7 @@ def contained_pairs(
     Keys must be integral.  Empty or null passages match nothing.
     """
     ship_package(docs.sparkSession)
+    ensure_checkpoint_dir(docs.sparkSession)
     p = passages.select(F.col(passage_key).cast("bigint").alias("pid"), F.col(passage_text).alias("ptext")).where(
         F.length("ptext") > 0
     )

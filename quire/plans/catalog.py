@@ -493,3 +493,49 @@ def q_streaming_index(spark, sf):
     write_text_files(docs, src, "name", "text").count()
     idx = build_from_directory(spark, src, scratch_path(spark, "stream-out"), files_per_trigger=250)
     return idx.postings.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
+
+
+# ---------------------------------------------------------------- more -------
+_CONV_QUERY_TERMS = S.QUERY_TERMS.replace(
+    "SELECT item_id AS query_id, " + S.analyzed("text") + " AS tokens FROM benchmark",
+    "SELECT conv_id * 1000 + turn AS query_id, " + S.analyzed("text") + " AS tokens FROM conversations WHERE role = 'user'",
+)
+_CONV_CTES = tuple(_CONV_QUERY_TERMS if c == S.QUERY_TERMS else c for c in S.RETRIEVAL_CTES)
+
+
+@register(
+    "retrieve_conversations",
+    S.with_(*_CONV_CTES) + "SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, score FROM top",
+)
+def q_retrieve_conversations(spark, sf):
+    """Second query set: every user turn of ``conversations`` against the same index."""
+    res = R.search(P.index(spark, sf), P.conversation_queries(spark, sf))
+    return res.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
+
+
+@register(
+    "metric_report",
+    _EV
+    + """SELECT CAST(ks.k AS BIGINT) AS k,
+       round(coalesce((SELECT avg(ap) FROM ap WHERE ap.k = ks.k), 0.0), 4) AS map_k,
+       round(coalesce((SELECT avg(recall) FROM rc WHERE rc.k = ks.k), 0.0), 4) AS mar_k FROM ks""",
+)
+def q_metric_report(spark, sf):
+    """K5: MAP@k and MAR@k as printed (four decimals)."""
+    rep = E.metric_report(P.metrics(spark, sf))
+    return rep.select(F.col("k").cast("bigint").alias("k"), "map_k", "mar_k")
+
+
+@register("qrels_csv", "WITH " + S.QRELS + "\nSELECT query_id, doc_no FROM qrels")
+def q_qrels_csv(spark, sf):
+    """S5 for judgements: containment pairs written as ``Query_number,doc_number`` CSV and read back."""
+    path = scratch_path(spark, "qrels-csv")
+    (
+        P.qrels(spark, sf)
+        .select(F.col("query_id").alias("Query_number"), F.col("doc_no").alias("doc_number"))
+        .write.mode("overwrite")
+        .option("header", True)
+        .csv(path)
+    )
+    back = Rd.read_pairs_csv(spark, path)
+    return E.normalize_qrels(back, "query_id", "doc_number")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.index import Index
+from ..session import ensure_checkpoint_dir
 
 
 def write_index(index: Index, path: str, partitions: int | None = None) -> None:
@@ -19,6 +20,7 @@ def write_index(index: Index, path: str, partitions: int | None = None) -> None:
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Reliable checkpoint (spark.checkpoint.dir): the range exchange samples its
     # input before shuffling it; without the cut the sample re-runs the build.
+    ensure_checkpoint_dir(spark)
     postings = index.postings.checkpoint()
     (
         postings.repartitionByRange(n, "term")
