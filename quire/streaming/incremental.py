@@ -41,11 +41,16 @@ def text_file_stream(spark: SparkSession, source_dir: str, files_per_trigger: in
 
 def _write_partial(out_dir: str, cfg: AnalyzerConfig, key: str):
     def fn(batch: DataFrame, batch_id: int) -> None:
-        docs = batch.where("ok").select(key, "text")
-        processed = analyze(docs, key, "text", cfg)
-        partial = I.term_frequencies(I.term_counts_grouped(processed, key), key)
-        partial.write.mode("overwrite").parquet(f"{out_dir}/partials/batch={batch_id}")
-        batch.where(~F.col("ok")).select(key).write.mode("overwrite").parquet(f"{out_dir}/rejects/batch={batch_id}")
+        # Two writes per batch: keep the batch's rows instead of re-reading its files.
+        batch = batch.persist()
+        try:
+            docs = batch.where("ok").select(key, "text")
+            processed = analyze(docs, key, "text", cfg)
+            partial = I.term_frequencies(I.term_counts_grouped(processed, key), key)
+            partial.write.mode("overwrite").parquet(f"{out_dir}/partials/batch={batch_id}")
+            batch.where(~F.col("ok")).select(key).write.mode("overwrite").parquet(f"{out_dir}/rejects/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return fn
 
