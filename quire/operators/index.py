@@ -164,6 +164,7 @@ class Index:
     postings: DataFrame
     n_docs_df: DataFrame | None = None
     key: str = "doc_id"
+    buckets: int | None = None  # postings stored partitioned by ``term_bucket(term, buckets)``
 
     @property
     def n_docs(self) -> DataFrame:
@@ -173,13 +174,20 @@ class Index:
 
     @property
     def terms(self) -> DataFrame:
-        return self.postings.where(F.col("rank") == 1).select("term", "df", "idf")
+        cols = ["term", "df", "idf"] + (["tb"] if self.buckets else [])
+        return self.postings.where(F.col("rank") == 1).select(*cols)
 
     @property
     def docs(self) -> DataFrame:
         return self.postings.groupBy(self.key).agg(F.first("norm").alias("norm"))
 
 
+def term_bucket(term, buckets: int) -> Column:
+    """Storage bucket of a term: ``pmod(xxhash64(term), buckets)``."""
+    col = F.col(term) if isinstance(term, str) else term
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
 def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Attach df, idf, weight and norm to champion postings with window functions.
 

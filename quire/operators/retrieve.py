@@ -24,7 +24,8 @@ def query_terms(queries: DataFrame, key: str = "query_id", text: str = "query_te
     ``qlen`` the number of analysed tokens (unknown terms included)."""
     analysed = analyze(queries, key, text, cfg, keep_empty=True).withColumnRenamed("n_terms", "qlen")
     return (
-        analysed.select(key, "qlen", F.posexplode("tokens").alias("p", "term"))
+        analysed.where(F.col("qlen") > 0)
+        .select(key, "qlen", F.posexplode("tokens").alias("p", "term"))
         .groupBy(key, "qlen", "term")
         .agg(F.count(F.lit(1)).cast("int").alias("cnt"), F.min("p").cast("int").alias("pos"))
         .select(key, "term", "cnt", "pos", "qlen")
@@ -40,6 +41,21 @@ def _side(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def _bucketed(df: DataFrame, index: Index) -> DataFrame:
+    """Add the storage bucket of ``term`` when the index is stored bucketed."""
+    if not index.buckets:
+        return df
+    from .index import term_bucket
+
+    return df.withColumn("tb", term_bucket("term", index.buckets))
+
+
+def _lookup(q: DataFrame, postings: DataFrame, index: Index) -> DataFrame:
+    """Join query rows to index rows on ``term`` (and ``tb``: partition pruning at run time)."""
+    keys = ["term", "tb"] if index.buckets else ["term"]
+    return q.join(postings, keys)
+
+
 def query_vectors(qterms: DataFrame, index: Index, key: str = "query_id", small: bool | None = None) -> DataFrame:
     """``(query_id, term, cnt, pos, qlen, idf, weight)``; unknown terms weigh 0.0.
 
@@ -47,7 +63,7 @@ def query_vectors(qterms: DataFrame, index: Index, key: str = "query_id", small:
     streams the index once; otherwise both sides are shuffled on ``term``.
     """
     small = query_side_small(qterms) if small is None else small
-    known = _side(qterms, small).join(index.terms, "term").select(key, "term", "idf")
+    known = _lookup(_side(_bucketed(qterms, index), small), index.terms, index).select(key, "term", "idf")
     # ``known`` is a subset of the checked query terms.
     return (
         qterms.join(_side(known, small), [key, "term"], "left")
@@ -70,10 +86,11 @@ def dot_products(qvec: DataFrame, index: Index, key: str = "query_id", small: bo
     """
     dkey = index.key
     # Known query terms are a subset of the query terms whose size was checked.
-    q = _side(qvec.where(F.col("idf").isNotNull()).select(key, "term", "pos", "weight"), small)
-    p = index.postings.select("term", "rank", dkey, F.col("weight").alias("dw"), "norm")
+    q = _side(_bucketed(qvec.where(F.col("idf").isNotNull()).select(key, "term", "pos", "weight"), index), small)
+    cols = ["term", "rank", dkey, F.col("weight").alias("dw"), "norm"] + (["tb"] if index.buckets else [])
+    p = index.postings.select(*cols)
     return (
-        q.join(p, "term")
+        _lookup(q, p, index)
         .groupBy(key, dkey)
         .agg(
             F.sum(F.col("weight") * F.col("dw")).alias("dot"),

@@ -5,31 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.index import Index
+from ..operators.index import Index, term_bucket
 from ..session import ensure_checkpoint_dir
 
 
-def write_index(index: Index, path: str, partitions: int | None = None) -> None:
+ROWS_PER_BUCKET = 4_000_000  # about 100-200 MB of postings per bucket file
+
+
+def write_index(index: Index, path: str, buckets: int | str | None = "auto") -> None:
     """K3/K6: Parquet artefacts under ``path`` (replaced).
 
-    ``postings`` is range-partitioned and sorted by ``term`` so each file and
-    row group covers a narrow term range: a lookup by term reads few row
-    groups (Parquet min/max statistics).  ``n_docs`` is one row.
+    Postings go through a reliable checkpoint (``spark.checkpoint.dir``) so N,
+    the size decision and the files come from one run of the build.
+
+    Layout, chosen from the postings row count when ``buckets="auto"``:
+
+    * bucketed (two or more buckets): partitioned by
+      ``tb = term_bucket(term, buckets)``, one file per bucket, sorted by term.
+      A lookup joins on ``(term, tb)``, so dynamic partition pruning reads only
+      the buckets the query terms fall in;
+    * small index: range-partitioned by term and sorted, no partition column
+      (pruning would cost more than it saves).
+
+    Either way Parquet min/max statistics on the sorted terms skip row groups.
+    ``meta`` holds N and the bucket count (one row; 0 = not bucketed).
     """
     spark = index.postings.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Reliable checkpoint (spark.checkpoint.dir): the range exchange samples its
-    # input before shuffling it; without the cut the sample re-runs the build.
     ensure_checkpoint_dir(spark)
     postings = index.postings.checkpoint()
-    (
-        postings.repartitionByRange(n, "term")
-        .sortWithinPartitions("term", "rank")
-        .write.mode("overwrite")
-        .parquet(f"{path}/postings")
+    if buckets == "auto":
+        buckets = postings.count() // ROWS_PER_BUCKET
+    n = int(buckets or 0)
+    out = f"{path}/postings"
+    if n >= 2:
+        (
+            postings.withColumn("tb", term_bucket("term", n))
+            .repartition(n, "tb")
+            .sortWithinPartitions("term", "rank")
+            .write.mode("overwrite")
+            .partitionBy("tb")
+            .parquet(out)
+        )
+    else:
+        n = 0
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        postings.repartitionByRange(parts, "term").sortWithinPartitions("term", "rank").write.mode("overwrite").parquet(out)
+    postings.agg(F.count_distinct(index.key).alias("n_docs"), F.lit(n).alias("buckets")).write.mode("overwrite").parquet(
+        f"{path}/meta"
     )
-    # N from the written postings (one row), not from a second run of the build.
-    postings.agg(F.count_distinct(index.key).alias("n_docs")).write.mode("overwrite").parquet(f"{path}/n_docs")
 
 
 def write_processed(processed: DataFrame, path: str, key: str = "doc_id", fmt: str = "parquet") -> None:

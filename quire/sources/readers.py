@@ -17,8 +17,15 @@ INDEX_CSV = StructType([StructField("Word", StringType()), StructField("Document
 
 
 def read_index(spark: SparkSession, path: str, key: str = "doc_id") -> Index:
-    """S3: index artefacts written by ``write_index``."""
-    return Index(postings=spark.read.parquet(f"{path}/postings"), n_docs_df=spark.read.parquet(f"{path}/n_docs"), key=key)
+    """S3: index artefacts written by ``write_index`` (postings partitioned by term bucket)."""
+    meta = spark.read.parquet(f"{path}/meta")
+    buckets = meta.select("buckets").first()["buckets"]  # one row
+    return Index(
+        postings=spark.read.parquet(f"{path}/postings"),
+        n_docs_df=meta.select("n_docs"),
+        key=key,
+        buckets=int(buckets) or None,
+    )
 
 
 def read_text_dir(spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = False) -> tuple[DataFrame, DataFrame]:

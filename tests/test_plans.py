@@ -30,3 +30,20 @@ def test_scan_reads_only_needed_columns(spark):
     df = P.corpus(spark, SF001)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "lang" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_stored_index_lookup_prunes_term_buckets(spark):
+    from quire.session import scratch_path
+    from quire.sinks.writers import write_index
+    from quire.sources.readers import read_index
+
+    path = scratch_path(spark, "plan-idx")
+    write_index(P.index(spark, SF001), path, buckets=8)
+    idx = read_index(spark, path)
+    q = P.benchmark_queries(spark, SF001)
+    stored = R.search(idx, q)
+    stored.collect()
+    plan = _plan(stored)
+    assert "dynamicpruning" in plan
+    lazy = R.search(P.index(spark, SF001), q)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, lazy.collect()))
