@@ -2,10 +2,11 @@
 
 Plan shape (what ``explain`` shows for ``build_index``):
 
-* analysis is narrow (one Project); term counting is explode + partial/final
-  hash aggregation on ``(doc, term)`` -- the hash spreads a hot term's pairs
-  over every reducer.  ``term_counts`` counts inside each row instead (sort +
-  run lengths, no shuffle) at a higher CPU cost;
+* analysis and term counting are narrow: a document's tokens are one array in
+  one row, so they are counted in place (sort + run lengths) and exploded to
+  ``(doc_id, term, cnt)`` without any shuffle.  The hash-aggregation
+  alternative would ship every distinct (document, term) pair -- about as many
+  rows as tokens -- through an exchange that merges nothing;
 * the champion list is ``row_number`` over ``term`` with a limit; Catalyst puts
   a partial ``WindowGroupLimit`` before the exchange, so a term present in a
   third of all documents still ships at most ``top_n`` rows per map task;
@@ -29,65 +30,38 @@ from ..functions.scoring import rounded_ratio
 TOP_N = 10  # postings kept per term (champion list length)
 
 
-def _runs(df: DataFrame, keep: Sequence[str], arr: str, extra: Sequence[str] = ()) -> DataFrame:
-    """Run-length encode the sorted ``ARRAY<STRUCT<term, ...>>`` column ``arr``.
-
-    Returns ``keep`` columns plus ``runs ARRAY<STRUCT<term, cnt, extra...>>``
-    where each ``extra`` field is taken from the first element of its run.
-    Lambdas only touch their bound variables: an outer array referenced inside a
-    lambda would be re-evaluated per element.  Intermediate arrays are separate
-    projections so each is computed once per row.
+def term_counts(processed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, term, cnt, n_terms)`` counted inside each row -- no shuffle.
+
+    A document's tokens are one array in one row, so they are sorted and
+    run-length encoded in place: run starts where a token differs from its
+    predecessor, counts are the distances between starts.  Every lambda only
+    touches its bound variables or materialised columns (an expression used
+    inside a lambda would be re-evaluated per element), and each step is its
+    own projection so every array is computed once per row.
     """
-    prev = F.concat(F.array(F.lit(None)), F.col(arr))
-    marked = df.select(
-        *keep,
+    sorted_ = processed.select(key, "n_terms", F.array_sort("tokens").alias("_s"))
+    starts = sorted_.select(
+        key,
+        "n_terms",
+        "_s",
         F.filter(
             F.transform(
-                F.zip_with(
-                    F.col(arr), prev, lambda x, p: F.struct(x.alias("x"), (p.isNull() | (x["term"] != p["term"])).alias("s"))
-                ),
-                lambda m, i: F.struct(m["x"].alias("x"), m["s"].alias("s"), i.alias("i")),
+                F.zip_with("_s", F.concat(F.array(F.lit(None).cast("string")), "_s"), lambda x, p: p.isNull() | (x != p)),
+                lambda m, i: F.when(m, i).otherwise(F.lit(-1)),
             ),
-            lambda m: m["s"] & m["x"].isNotNull(),
+            lambda i: i >= 0,
         ).alias("_st"),
-        F.size(arr).alias("_n"),
     )
-    ends = F.concat(F.slice(F.transform("_st", lambda m: m["i"]), 2, F.lit(1 << 30)), F.array(F.col("_n")))
-    return marked.select(
-        *keep,
-        F.zip_with(
-            "_st",
-            ends,
-            lambda m, nx: F.struct(
-                m["x"]["term"].alias("term"),
-                (nx - m["i"]).cast("int").alias("cnt"),
-                *[m["x"][e].alias(e) for e in extra],
-            ),
-        ).alias("runs"),
+    runs = starts.select(
+        key,
+        "n_terms",
+        F.transform("_st", lambda i: F.element_at("_s", i + 1)).alias("_t"),
+        F.zip_with("_st", F.concat(F.slice("_st", 2, F.size("_st")), F.array(F.size("_s"))), lambda a, b: b - a).alias("_c"),
     )
-
-
-def counted_terms(df: DataFrame, keep: Sequence[str], tokens: str = "tokens", with_pos: bool = False) -> DataFrame:
-    """Distinct tokens of each row with their count (and first 0-based position).
-
-    ``keep`` columns plus ``term, cnt[, pos]`` -- one output row per distinct
-    token of each input row.  Sorting and counting happen inside the row, so
-    there is no shuffle.
-    """
-    if with_pos:
-        tagged = F.array_sort(F.transform(tokens, lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
-    else:
-        tagged = F.array_sort(F.transform(tokens, lambda t: F.struct(t.alias("term"))))
-    staged = df.select(*keep, tagged.alias("_sorted"))
-    extra = ["pos"] if with_pos else []
-    runs = _runs(staged, keep, "_sorted", extra)
-    out = runs.select(*keep, F.explode("runs").alias("r"))
-    return out.select(*keep, "r.term", "r.cnt", *[f"r.{e}" for e in extra])
-
-
-def term_counts(processed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, term, cnt, n_terms)`` counted inside each row -- no shuffle."""
-    return counted_terms(processed, [key, "n_terms"]).select(key, "term", "cnt", "n_terms")
+    return runs.select(
+        key, "n_terms", F.inline(F.arrays_zip(F.col("_t").alias("term"), F.col("_c").alias("cnt")))
+    ).select(key, "term", "cnt", "n_terms")
 
 
 def term_counts_grouped(processed: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -208,12 +182,13 @@ def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, D
     return p, n
 
 
-def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "grouped",
+def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "row",
                 lemma_map: DataFrame | None = None) -> Index:
     """Lazy index over analysed documents ``(key, tokens, n_terms)``.
 
-    ``counting="grouped"`` (default) counts with explode + partial/final hash
-    aggregation; ``"row"`` counts inside each row without a shuffle (more CPU).
+    ``counting="row"`` (default) counts inside each row without a shuffle;
+    ``"grouped"`` uses explode + partial/final hash aggregation, which ships
+    every distinct (document, term) pair through an exchange.
     ``lemma_map`` ``(term, lemma)`` lemmatises the counts before tf.
     """
     counts = term_counts_grouped(processed, key) if counting == "grouped" else term_counts(processed, key)

@@ -121,7 +121,7 @@ def q_dictionary_filter(spark, sf):
 
     p = P.processed(spark, sf)
     long = p.select("doc_id", F.explode("tokens").alias("term"))
-    dictionary = I.term_counts_grouped(p).groupBy("term").count().where(F.col("count") >= 3).select("term")
+    dictionary = I.term_counts(p).groupBy("term").count().where(F.col("count") >= 3).select("term")
     return dictionary_filter(long, dictionary).groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_kept"))
 
 
@@ -131,7 +131,7 @@ def q_dictionary_filter(spark, sf):
     S.with_(S.DOC_TOKENS, S.COUNTS) + "SELECT doc_id, term, cnt FROM counts",
 )
 def q_term_counts(spark, sf):
-    c = I.term_counts_grouped(P.processed(spark, sf))
+    c = I.term_counts(P.processed(spark, sf))
     return c.select("doc_id", "term", F.col("cnt").cast("bigint").alias("cnt"))
 
 
@@ -146,7 +146,7 @@ def q_corpus_counts(spark, sf):
 
 @register("postings_tf", S.with_(S.DOC_TOKENS, S.COUNTS, S.POSTINGS) + "SELECT term, doc_id, tf FROM postings")
 def q_postings_tf(spark, sf):
-    return I.term_frequencies(I.term_counts_grouped(P.processed(spark, sf)))
+    return I.term_frequencies(I.term_counts(P.processed(spark, sf)))
 
 
 @register(
@@ -154,7 +154,7 @@ def q_postings_tf(spark, sf):
     S.with_(S.DOC_TOKENS, S.COUNTS, S.POSTINGS, S.CHAMPS) + "SELECT term, CAST(rank AS BIGINT) AS rank, doc_id, tf FROM champs",
 )
 def q_champions(spark, sf):
-    ch = I.champions(I.term_frequencies(I.term_counts_grouped(P.processed(spark, sf))))
+    ch = I.champions(I.term_frequencies(I.term_counts(P.processed(spark, sf))))
     return ch.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
 
 
@@ -183,7 +183,7 @@ def q_merge_partials(spark, sf):
     for lang in sorted(langs, key=lambda x: (x is None, x)):
         part = docs.where(F.col("lang").eqNullSafe(F.lit(lang)))
         p = P.analyze(part, "doc_id", "text")
-        partials.append(I.term_frequencies(I.term_counts_grouped(p)))
+        partials.append(I.term_frequencies(I.term_counts(p)))
     m = I.merge_indexes(partials)
     return m.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
 
@@ -194,7 +194,7 @@ def q_merge_partials(spark, sf):
     + "SELECT term, CAST(count(*) AS BIGINT) AS n_postings, max(tf) AS max_tf FROM champs GROUP BY term",
 )
 def q_nested_index(spark, sf):
-    ch = I.champions(I.term_frequencies(I.term_counts_grouped(P.processed(spark, sf))))
+    ch = I.champions(I.term_frequencies(I.term_counts(P.processed(spark, sf))))
     nested = I.nested_view(ch)
     return nested.select(
         "term",
@@ -209,7 +209,7 @@ def q_nested_index(spark, sf):
     + "SELECT term, CAST(df AS BIGINT) AS df, round(idf, 12) AS idf FROM terms",
 )
 def q_idf(spark, sf):
-    ch = I.champions(I.term_frequencies(I.term_counts_grouped(P.processed(spark, sf))))
+    ch = I.champions(I.term_frequencies(I.term_counts(P.processed(spark, sf))))
     t = I.term_stats(ch)
     return t.select("term", F.col("df").cast("bigint").alias("df"), F.round("idf", 12).alias("idf"))
 
@@ -333,7 +333,7 @@ _ENCODED = """encoded AS (
 
 
 def _champions(spark, sf):
-    return I.champions(I.term_frequencies(I.term_counts_grouped(P.processed(spark, sf))))
+    return I.champions(I.term_frequencies(I.term_counts(P.processed(spark, sf))))
 
 
 @register("index_csv", _CHAMPS_SQL + ", " + _ENCODED + "\nSELECT word, documents FROM encoded")
@@ -467,7 +467,7 @@ def q_lemmatize(spark, sf):
     """Counts lemmatised through the vocabulary lemma map."""
     p, vocab, tags = _vocab_and_tags(spark, sf)
     lm = L.lemma_map_for(vocab, tags)
-    lc = L.apply_lemmas(I.term_counts_grouped(p), lm, ["doc_id", "n_terms"])
+    lc = L.apply_lemmas(I.term_counts(p), lm, ["doc_id", "n_terms"])
     return lc.groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct_lemmas"))
 
 

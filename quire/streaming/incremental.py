@@ -46,7 +46,7 @@ def _write_partial(out_dir: str, cfg: AnalyzerConfig, key: str):
         try:
             docs = batch.where("ok").select(key, "text")
             processed = analyze(docs, key, "text", cfg)
-            partial = I.term_frequencies(I.term_counts_grouped(processed, key), key)
+            partial = I.term_frequencies(I.term_counts(processed, key), key)
             partial.write.mode("overwrite").parquet(f"{out_dir}/partials/batch={batch_id}")
             batch.where(~F.col("ok")).select(key).write.mode("overwrite").parquet(f"{out_dir}/rejects/batch={batch_id}")
         finally:
