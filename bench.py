@@ -50,13 +50,17 @@ def main() -> None:
     idx = read_index(spark, path)
     # 3. all benchmark queries against the written index
     queries = P.benchmark_queries(spark, sf_dir)
-    res = timed("retrieve_top10", lambda: spark.createDataFrame(R.search(idx, queries).collect(), "query_id long, rank int, doc_id long, score double"))
+    # results and judgements are written to the checkpoint folder and read back (no driver round trip)
+    res_path, qrels_path = scratch_path(spark, "bench-results"), scratch_path(spark, "bench-qrels")
+    timed("retrieve_top10", lambda: R.search(idx, queries).write.mode("overwrite").parquet(res_path))
+    res = spark.read.parquet(res_path)
     # 4. relevance judgements (containment join) and MAP/MAR at 3 and 10
-    qrels = timed("relevance_pairs", lambda: spark.createDataFrame(P.qrels(spark, sf_dir).collect(), "query_id string, doc_no string"))
+    timed("relevance_pairs", lambda: P.qrels(spark, sf_dir).write.mode("overwrite").parquet(qrels_path))
+    qrels = spark.read.parquet(qrels_path)
     metrics = timed("map_mar", lambda: E.map_mar(E.ranked_ids(E.doc_names(res)), qrels).orderBy("k").collect())
     # 5. a second, larger query set: user turns of conversations
     conv = P.conversation_queries(spark, sf_dir)
-    timed("retrieve_conversations", lambda: R.search(idx, conv).count())
+    timed("retrieve_conversations", lambda: R.search(idx, conv).write.mode("overwrite").parquet(scratch_path(spark, "bench-conv")))
 
     total = round(sum(times.values()), 3)
     print(

@@ -51,17 +51,18 @@ def analyze(
     text_col: str = "text",
     cfg: AnalyzerConfig = DEFAULT,
     keep_empty: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``(key, tokens ARRAY<STRING>, n_terms INT)``; documents without tokens are dropped (F2)
     unless ``keep_empty`` (queries keep them: an empty query simply retrieves nothing)."""
     spark = df.sparkSession
-    out = df.select(F.col(key), analyze_expr(spark, F.col(text_col), cfg).alias("tokens"))
+    out = df.select(F.col(key), analyze_expr(spark, F.col(text_col), cfg).alias("tokens"), *carry)
     if keep_empty:
         return out.withColumn("n_terms", F.size("tokens"))
     # The emptiness test runs inside a generator: a Filter on the token array
     # would be pushed below the projection (and below a repartition) and the
     # whole analysis would be evaluated twice.
-    row = F.struct(F.col(key).alias(key), F.col("tokens"), F.size("tokens").alias("n_terms"))
+    row = F.struct(F.col(key).alias(key), F.col("tokens"), F.size("tokens").alias("n_terms"), *[F.col(c) for c in carry])
     return out.select(F.inline(F.filter(F.array(row), lambda r: r["n_terms"] > 0)))
 
 

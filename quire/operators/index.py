@@ -30,7 +30,7 @@ from ..functions.scoring import rounded_ratio
 TOP_N = 10  # postings kept per term (champion list length)
 
 
-def term_counts(processed: DataFrame, key: str = "doc_id") -> DataFrame:
+def term_counts(processed: DataFrame, key: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
     """``(key, term, cnt, n_terms)`` counted inside each row -- no shuffle.
 
     A document's tokens are one array in one row, so they are sorted and
@@ -40,10 +40,10 @@ def term_counts(processed: DataFrame, key: str = "doc_id") -> DataFrame:
     inside a lambda would be re-evaluated per element), and each step is its
     own projection so every array is computed once per row.
     """
-    sorted_ = processed.select(key, "n_terms", F.array_sort("tokens").alias("_s"))
+    keep = [key, "n_terms", *carry]
+    sorted_ = processed.select(*keep, F.array_sort("tokens").alias("_s"))
     starts = sorted_.select(
-        key,
-        "n_terms",
+        *keep,
         "_s",
         F.filter(
             F.transform(
@@ -54,14 +54,13 @@ def term_counts(processed: DataFrame, key: str = "doc_id") -> DataFrame:
         ).alias("_st"),
     )
     runs = starts.select(
-        key,
-        "n_terms",
+        *keep,
         F.transform("_st", lambda i: F.element_at("_s", i + 1)).alias("_t"),
         F.zip_with("_st", F.concat(F.slice("_st", 2, F.size("_st")), F.array(F.size("_s"))), lambda a, b: b - a).alias("_c"),
     )
-    return runs.select(
-        key, "n_terms", F.inline(F.arrays_zip(F.col("_t").alias("term"), F.col("_c").alias("cnt")))
-    ).select(key, "term", "cnt", "n_terms")
+    return runs.select(*keep, F.inline(F.arrays_zip(F.col("_t").alias("term"), F.col("_c").alias("cnt")))).select(
+        key, "term", "cnt", "n_terms", *carry
+    )
 
 
 def term_counts_grouped(processed: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -74,10 +73,10 @@ def term_counts_grouped(processed: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def term_frequencies(counts: DataFrame, key: str = "doc_id") -> DataFrame:
+def term_frequencies(counts: DataFrame, key: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
     """``(term, key, tf)`` with ``tf = cnt / n_terms`` kept to six decimals."""
     return counts.select(
-        F.col("term"), F.col(key), rounded_ratio(F.col("cnt"), F.col("n_terms")).alias("tf")
+        F.col("term"), F.col(key), rounded_ratio(F.col("cnt"), F.col("n_terms")).alias("tf"), *carry
     )
 
 
@@ -105,6 +104,16 @@ def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key:
     return champions(summed, top_n, key)
 
 
+def partial_indexes(processed: DataFrame, batch: str, key: str = "doc_id") -> DataFrame:
+    """Partial, unpruned indexes ``(batch, term, key, tf)``, one per value of ``batch``.
+
+    ``batch`` is a column of ``processed`` carried through counting (a
+    document belongs to one batch); nothing is joined or shuffled.
+    """
+    counts = term_counts(processed, key, carry=(batch,))
+    return term_frequencies(counts, key, carry=(batch,)).select(batch, "term", key, "tf")
+
+
 def corpus_size(champs: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row ``n_docs`` = distinct documents left in the (pruned) index."""
     return champs.agg(F.count_distinct(key).alias("n_docs"))

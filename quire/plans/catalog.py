@@ -176,15 +176,14 @@ summed AS (SELECT term, doc_id, sum(tf) AS tf FROM partials GROUP BY term, doc_i
 
 @register("merge_partials", _MERGE_SQL)
 def q_merge_partials(spark, sf):
-    """One partial index per language batch, merged (sum tf, re-prune)."""
+    """Partial (unpruned) indexes per language batch, merged: tf summed, re-pruned.
+
+    The partials are one DataFrame tagged by batch, so any number of batches
+    is merged in one plan (no driver loop over batch values).
+    """
     docs = P.spread(P.table(spark, sf, "documents").select("doc_id", "text", "lang"))
-    langs = [r["lang"] for r in docs.select("lang").distinct().limit(64).collect()]
-    partials = []
-    for lang in sorted(langs, key=lambda x: (x is None, x)):
-        part = docs.where(F.col("lang").eqNullSafe(F.lit(lang)))
-        p = P.analyze(part, "doc_id", "text")
-        partials.append(I.term_frequencies(I.term_counts(p)))
-    m = I.merge_indexes(partials)
+    partials = I.partial_indexes(P.analyze(docs, "doc_id", "text", carry=["lang"]), "lang")
+    m = I.merge_indexes([partials])
     return m.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
 
 
