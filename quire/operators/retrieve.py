@@ -95,7 +95,9 @@ def dot_products(qvec: DataFrame, index: Index, key: str = "query_id", small: bo
         .agg(
             F.sum(F.col("weight") * F.col("dw")).alias("dot"),
             F.max("norm").alias("doc_norm"),
-            F.min(F.struct("pos", "rank")).alias("tie"),
+            # (query position, posting rank) as one bigint: same order, and a
+            # numeric min keeps the aggregation hash-based.
+            F.min(F.col("pos").cast("bigint") * F.lit(1 << 32) + F.col("rank")).alias("tie"),
         )
     )
 
