@@ -24,18 +24,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster only when its scan yields too few tasks.
+SPREAD_MIN_BYTES = 2 << 20  # estimated scan size below which one task beats a shuffle
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin ``df`` over the cluster only when its scan yields too few tasks for its size.
 
     A large table is read as many splits and is returned untouched (no
-    shuffle); a small file holding a single row group would otherwise be
-    analysed by one task.
+    shuffle); so is a small one (Catalyst's size estimate, from file sizes, is
+    under ``min_bytes``).  Only a sizeable input stuck in fewer splits than
+    the cluster has cores -- a big file written as one row group -- is spread.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(target) if size >= min_bytes else df
 
 
 _SHIPPED: set[int] = set()
