@@ -71,6 +71,31 @@ def split_fused(tokens: Column, text: Column | None = None) -> Column:
     return F.when(maybe, rewritten).otherwise(tokens)
 
 
+def split_fused_lowered(lowered: Column) -> Column:
+    """``split_fused`` for an already lower-cased token array (pass a column, not an expression)."""
+    fused = list(FUSED_FORMS)
+    return F.when(
+        F.exists(lowered, lambda w: w.isin(fused)),
+        F.flatten(
+            F.transform(
+                lowered,
+                lambda w: F.when(w.isin(fused), F.array(F.substring(w, 1, 3), F.substring(w, 4, 1 << 30))).otherwise(
+                    F.array(w)
+                ),
+            )
+        ),
+    ).otherwise(lowered)
+
+
+def keep_terms(tokens: Column, stop_words: Sequence[str]) -> Column:
+    """F3 + F4 in one pass: longer than one character, not a stop word, letters only."""
+    words = list(stop_words)
+    return F.filter(
+        tokens,
+        lambda w: (F.char_length(w) > 1) & (~w.isin(words) if words else F.lit(True)) & w.rlike(ALPHA),
+    )
+
+
 def tokenize(cleaned) -> Column:
     """Tokens of an already cleaned string (blank separated)."""
     col = _text(cleaned)

@@ -56,7 +56,16 @@ def analyze(
     """``(key, tokens ARRAY<STRING>, n_terms INT)``; documents without tokens are dropped (F2)
     unless ``keep_empty`` (queries keep them: an empty query simply retrieves nothing)."""
     spark = df.sparkSession
-    out = df.select(F.col(key), analyze_expr(spark, F.col(text_col), cfg).alias("tokens"), *carry)
+    if cfg.dictionary is None:
+        # Two projections: the lower-cased token array is materialised once, so
+        # the fused-form test is a set lookup on it instead of a second scan of
+        # the text (lower-casing first is equivalent: fused forms are ASCII).
+        words = resolve_stop_words(spark, cfg.stop_words)
+        low = df.select(F.col(key), T.lower_tokens(F.split(T._text(F.col(text_col)), T.SEPARATOR)).alias("_low"), *carry)
+        toks = T.split_fused_lowered(F.col("_low")) if cfg.fused else F.col("_low")
+        out = low.select(F.col(key), T.keep_terms(toks, words).alias("tokens"), *carry)
+    else:
+        out = df.select(F.col(key), analyze_expr(spark, F.col(text_col), cfg).alias("tokens"), *carry)
     if keep_empty:
         return out.withColumn("n_terms", F.size("tokens"))
     # The emptiness test runs inside a generator: a Filter on the token array

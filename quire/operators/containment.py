@@ -165,7 +165,8 @@ def contained_pairs(
     # Lineage cuts (reliable checkpoints in spark.checkpoint.dir): the
     # fingerprinting runs once and the size checks below read small results.
     pfp = _passage_fps(p, q, w).checkpoint()
-    pfp_small = pfp.count() <= BROADCAST_MAX_ROWS
+    # A passage has at most one fingerprint per character: bounded by the bytes measured above.
+    pfp_small = passage_bytes <= BROADCAST_MAX_ROWS
     used = pfp.select("scheme", "h").distinct()
     dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)
     # Document fingerprints that some passage uses (semi join), written once.

@@ -74,3 +74,17 @@ def test_first_number(spark):
     df = spark.createDataFrame([("output_007.txt",), ("readme.txt",), ("a12b34",)], "n string")
     got = [r[0] for r in df.select(T.first_number("n")).collect()]
     assert got == ["007", None, "12"]
+
+
+def test_dataframe_analysis_matches_model_on_fused_and_unicode(spark):
+    from tests import pymodel
+
+    texts = [
+        "Cannot GONNA wanna go; gotta lemme gimme x1y2 a_b",
+        "İstanbul Straße ÉCOLE naïve café x²y 123abc",
+        "don't stop the music, they're here!",
+        "",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["tokens"] for r in analyze(df, "doc_id", keep_empty=True).collect()}
+    assert got == {i: pymodel.analyse(t) for i, t in enumerate(texts)}
