@@ -220,7 +220,3 @@ def nested_view(champs: DataFrame, key: str = "doc_id") -> DataFrame:
             )
         ).alias("postings")
     )
-
-
-def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)

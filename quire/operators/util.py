@@ -9,21 +9,10 @@ import zipfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count a side may have to be broadcast by ``broadcast_if_small``.
+# Largest row count of a side that is broadcast after a size check.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check is a bounded action (``limit(max_rows + 1).count()``).  Beyond the
-    bound the frame is returned unchanged and Spark plans a shuffle join (AQE
-    may still convert it at run time from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 SPREAD_MIN_BYTES = 2 << 20  # estimated scan size below which one task beats a shuffle
 
 

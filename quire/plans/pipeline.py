@@ -8,8 +8,6 @@ as a text-directory corpus would, and evaluation reads the number back.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,10 +70,3 @@ def ranked(spark: SparkSession, sf_dir: str, res: DataFrame | None = None) -> Da
 def metrics(spark: SparkSession, sf_dir: str, ks=E.KS, res: DataFrame | None = None) -> DataFrame:
     """``(k, map_k, mar_k)``."""
     return E.map_mar(ranked(spark, sf_dir, res), qrels(spark, sf_dir), ks)
-
-
-@dataclass
-class Run:
-    index: I.Index
-    results: DataFrame
-    metrics: DataFrame
