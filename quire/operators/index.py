@@ -58,8 +58,11 @@ def term_counts(processed: DataFrame, key: str = "doc_id", carry: Sequence[str]
         F.transform("_st", lambda i: F.element_at("_s", i + 1)).alias("_t"),
         F.zip_with("_st", F.concat(F.slice("_st", 2, F.size("_st")), F.array(F.size("_s"))), lambda a, b: b - a).alias("_c"),
     )
-    return runs.select(*keep, F.inline(F.arrays_zip(F.col("_t").alias("term"), F.col("_c").alias("cnt")))).select(
-        key, "term", "cnt", "n_terms", *carry
+    # An empty array yields one padded (null, null) pair from zip_with: dropped here.
+    return (
+        runs.select(*keep, F.inline(F.arrays_zip(F.col("_t").alias("term"), F.col("_c").alias("cnt"))))
+        .where(F.col("term").isNotNull())
+        .select(key, "term", "cnt", "n_terms", *carry)
     )
 
 

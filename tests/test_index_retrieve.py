@@ -99,3 +99,11 @@ def test_properties_on_supplied_corpus(spark):
     assert p.groupBy("term").count().agg(F.max("count")).first()[0] <= 10
     assert idx.n_docs.first()["n_docs"] == 200
     assert p.count() == 41915
+
+
+def test_in_row_counting_edge_rows(spark):
+    df = spark.createDataFrame(
+        [(1, [], 0), (2, ["b", "a", "b"], 3), (3, ["z"], 1)], "doc_id long, tokens array<string>, n_terms int"
+    )
+    got = sorted(map(tuple, I.term_counts(df).collect()))
+    assert got == [(2, "a", 1, 3), (2, "b", 2, 3), (3, "z", 1, 1)]
