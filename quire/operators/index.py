@@ -47,7 +47,7 @@ def term_counts(processed: DataFrame, key: str = "doc_id", carry: Sequence[str]
         "_s",
         F.filter(
             F.transform(
-                F.zip_with("_s", F.concat(F.array(F.lit(None).cast("string")), "_s"), lambda x, p: p.isNull() | (x != p)),
+                F.zip_with("_s", F.concat(F.array(F.lit(None).cast("string")), "_s"), lambda x, p: x.isNotNull() & (p.isNull() | (x != p))),
                 lambda m, i: F.when(m, i).otherwise(F.lit(-1)),
             ),
             lambda i: i >= 0,
