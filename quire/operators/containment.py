@@ -95,8 +95,12 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(suffix[:m], prefix[w - 1 : w - 1 + m])
 
 
-def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str):
+def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str, wanted=None):
+    """Document fingerprints per scheme; with ``wanted`` (a broadcast of
+    ``{scheme: sorted int64 array}``) only fingerprints some passage has are emitted."""
+
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep = wanted.value if wanted is not None else None
         for pdf in batches:
             out_s, out_h, out_id = [], [], []
             for ident, text in zip(pdf[id_col].to_numpy(), pdf[text_col].to_numpy()):
@@ -104,6 +108,11 @@ def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str):
                     continue
                 for q, w in schemes:
                     fp = fingerprints(text, q, w)
+                    if keep is not None and fp.shape[0]:
+                        ref = keep.get(scheme_id(q, w))
+                        if ref is None or ref.shape[0] == 0:
+                            continue
+                        fp = fp[np.isin(fp.view(np.int64), ref, assume_unique=True)]
                     if fp.shape[0]:
                         out_s.append(np.full(fp.shape[0], scheme_id(q, w), dtype=np.int32))
                         out_h.append(fp.view(np.int64))
@@ -168,9 +177,18 @@ def contained_pairs(
     # A passage has at most one fingerprint per character: bounded by the bytes measured above.
     pfp_small = passage_bytes <= BROADCAST_MAX_ROWS
     used = pfp.select("scheme", "h").distinct()
-    dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)
-    # Document fingerprints that some passage uses (semi join), written once.
-    dfp_used = dfp.join(F.broadcast(used) if pfp_small else used, ["scheme", "h"], "left_semi").checkpoint()
+    if pfp_small:
+        # Size-checked: passage fingerprints go to the Python tasks, which emit
+        # only document fingerprints some passage has (no bulk transfer to the JVM).
+        wanted: dict[int, list[int]] = {}
+        for r in used.collect():
+            wanted.setdefault(r["scheme"], []).append(r["h"])
+        bc = docs.sparkSession.sparkContext.broadcast({k: np.unique(np.array(v, dtype=np.int64)) for k, v in wanted.items()})
+        dfp_used = d.mapInPandas(_fp_batches(schemes, "did", "dtext", bc), FP_SCHEMA).checkpoint()
+    else:
+        # Document fingerprints that some passage uses (shuffled semi join), written once.
+        dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)
+        dfp_used = dfp.join(used, ["scheme", "h"], "left_semi").checkpoint()
     df_counts = dfp_used.groupBy("scheme", "h").agg(F.count(F.lit(1)).alias("dfreq"))
     # Rarest fingerprint of each passage (a fingerprint no document has -> no candidates).
     ranked = pfp.join(df_counts, ["scheme", "h"], "left").withColumn("dfreq", F.coalesce("dfreq", F.lit(0)))
