@@ -88,3 +88,15 @@ def test_dataframe_analysis_matches_model_on_fused_and_unicode(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["tokens"] for r in analyze(df, "doc_id", keep_empty=True).collect()}
     assert got == {i: pymodel.analyse(t) for i, t in enumerate(texts)}
+
+
+def test_stop_list_options(spark):
+    from quire.functions.stopwords import resolve_stop_words
+
+    spark_list = resolve_stop_words(spark, "spark")
+    assert "the" in spark_list and "ll" in spark_list  # "i'll" contributes its cleaned stem
+    custom = resolve_stop_words(spark, ["Can't", "FOO"])
+    assert custom == ["can", "can't", "foo"]
+    df = spark.createDataFrame([(1, "can't foo bar")], "doc_id long, text string")
+    out = analyze(df, "doc_id", cfg=AnalyzerConfig(stop_words=["Can't", "FOO"])).first()
+    assert out["tokens"] == ["bar"]
