@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .analysis import DEFAULT, AnalyzerConfig, analyze
 from .index import Index
+from ..session import ensure_checkpoint_dir
 from .util import BROADCAST_MAX_ROWS
 from ..functions.scoring import cosine, round_score
 
@@ -133,6 +134,10 @@ def search(index: Index, queries: DataFrame, k: int = TOP_K, key: str = "query_i
         from .lexicon import apply_lemmas
 
         qt = apply_lemmas(qt, lemma_map, [key, "qlen"])
+    # Lineage cut (reliable checkpoint in spark.checkpoint.dir): the query terms
+    # feed the size check, the term lookup and the weights; analyse them once.
+    ensure_checkpoint_dir(queries.sparkSession)
+    qt = qt.checkpoint()
     small = query_side_small(qt)
     qv = query_vectors(qt, index, key, small)
     return rank_top_k(cosine_scores(qv, index, key, small), k, key, index.key)
