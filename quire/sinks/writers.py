@@ -33,8 +33,10 @@ def write_index(index: Index, path: str, buckets: int | str | None = "auto") ->
     spark = index.postings.sparkSession
     ensure_checkpoint_dir(spark)
     postings = index.postings.checkpoint()
+    # One small job over the checkpoint: row count (layout decision) and N.
+    stats = postings.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(index.key).alias("n_docs")).first()
     if buckets == "auto":
-        buckets = postings.count() // ROWS_PER_BUCKET
+        buckets = stats["rows"] // ROWS_PER_BUCKET
     n = int(buckets or 0)
     out = f"{path}/postings"
     if n >= 2:
@@ -50,7 +52,7 @@ def write_index(index: Index, path: str, buckets: int | str | None = "auto") ->
         n = 0
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         postings.repartitionByRange(parts, "term").sortWithinPartitions("term", "rank").write.mode("overwrite").parquet(out)
-    postings.agg(F.count_distinct(index.key).alias("n_docs"), F.lit(n).alias("buckets")).write.mode("overwrite").parquet(
+    spark.createDataFrame([(int(stats["n_docs"]), n)], "n_docs BIGINT, buckets INT").write.mode("overwrite").parquet(
         f"{path}/meta"
     )
 
