@@ -12,7 +12,7 @@ document, re-prune to the champion lists) into a queryable ``Index``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -45,10 +45,20 @@ def _write_partial(out_dir: str, cfg: AnalyzerConfig, key: str):
         batch = batch.persist()
         try:
             docs = batch.where("ok").select(key, "text")
-            processed = analyze(docs, key, "text", cfg)
+            # Documents with tokens and their tokens, observed while the
+            # partial is written (no extra job).
+            seen = Observation(f"batch_{batch_id}")
+            processed = analyze(docs, key, "text", cfg).observe(
+                seen, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("n_terms"), F.lit(0)).alias("tokens")
+            )
             partial = I.term_frequencies(I.term_counts(processed, key), key)
             partial.write.mode("overwrite").parquet(f"{out_dir}/partials/batch={batch_id}")
             batch.where(~F.col("ok")).select(key).write.mode("overwrite").parquet(f"{out_dir}/rejects/batch={batch_id}")
+            m = seen.get
+            batch.sparkSession.createDataFrame(
+                [(int(batch_id), int(m.get("documents", 0)), int(m.get("tokens", 0)))],
+                "batch BIGINT, documents BIGINT, tokens BIGINT",
+            ).write.mode("overwrite").parquet(f"{out_dir}/progress/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -74,6 +84,13 @@ def stream_partial_indexes(
     return writer.start()
 
 
+def progress(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``(batch, documents, tokens, documents_so_far)``: what each micro-batch indexed."""
+    rows = spark.read.parquet(f"{out_dir}/progress").select("batch", "documents", "tokens")
+    running = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("documents_so_far", F.sum("documents").over(running))
+
+
 def merged_index(spark: SparkSession, out_dir: str, top_n: int | None = I.TOP_N) -> I.Index:
     """Merge every partial written so far into champion lists with statistics and norms."""
     partials = spark.read.parquet(f"{out_dir}/partials").select("term", "doc_id", "tf")

@@ -5,7 +5,7 @@ import tempfile
 
 from quire.operators import index as I
 from quire.operators.analysis import analyze
-from quire.streaming.incremental import merged_index, stream_partial_indexes
+from quire.streaming.incremental import merged_index, progress, stream_partial_indexes
 
 
 def _write(d, name, text):
@@ -31,3 +31,6 @@ def test_stream_then_merge_equals_batch(spark):
     df = spark.createDataFrame(sorted(texts.items()), "doc_id string, text string")
     exp = I.champions(I.term_frequencies(I.term_counts_grouped(analyze(df, "doc_id"))))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    prog = progress(spark, out).orderBy("batch").collect()
+    assert [r["documents"] for r in prog] == [3, 3, 2, 3, 1]
+    assert prog[-1]["documents_so_far"] == 12
