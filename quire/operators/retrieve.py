@@ -1,9 +1,11 @@
 """Vector-space retrieval over a champion-list index, all queries in one plan.
 
-Query side: analysed like documents, counted inside each row (no shuffle),
-looked up against the index with a broadcast of the (size-checked) query terms,
-so the postings table is scanned once and never shuffled.  The fan-out per
-query term is bounded by the champion list length.
+Query side: analysed like documents, counted with a hash aggregation over the
+query tokens (the small side), checkpointed once, then looked up against the
+index with a broadcast of the size-checked query terms, so the postings table
+is scanned once and never shuffled (and, for a bucketed stored index, only the
+buckets the query terms fall in are read).  The fan-out per query term is
+bounded by the champion list length.
 """
 
 from __future__ import annotations
@@ -11,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scoring import cosine, round_score
+from ..session import ensure_checkpoint_dir
 from .analysis import DEFAULT, AnalyzerConfig, analyze
 from .index import Index
-from ..session import ensure_checkpoint_dir
 from .util import BROADCAST_MAX_ROWS
-from ..functions.scoring import cosine, round_score
 
 TOP_K = 10  # results kept per query
 
