@@ -11,9 +11,11 @@ passage of length ``L`` uses its own scheme (``q' = min(q, L)``,
 ``w' = L - q' + 1``: the passage is exactly one window), so every passage is
 covered exactly; documents are fingerprinted once per scheme present.
 
-Each passage is joined through its *rarest* fingerprint only (document
-frequency counted after a semi-join), so a passage made of common text does
-not fan out through its commonest q-gram.  Every candidate is then verified
+Documents keep only fingerprints some passage has: filtered inside the tasks
+against the broadcast passage set when its size check passes, otherwise by a
+shuffled semi-join.  Each passage is then joined through its *rarest*
+fingerprint only (document frequency counted over the kept fingerprints), so
+a passage made of common text does not fan out through its commonest q-gram.  Every candidate is then verified
 with an exact ``contains``.  Hashing runs in ``mapInPandas`` with numpy over
 Arrow batches; the joins, counts and verification are Spark operators.
 """
