@@ -86,3 +86,16 @@ def test_contained_pairs_brute_force(spark):
     got = sorted(map(tuple, contained_pairs(ddf, pdf).collect()))
     exp = sorted((j, i) for j, p in passages if p for i, t in docs if p in t)
     assert got == exp
+
+
+def test_write_processed_parquet_and_text(spark):
+    from quire.operators.analysis import analyze
+
+    d = tempfile.mkdtemp(prefix="quire-test-")
+    df = spark.createDataFrame([(1, "Hello brave new world"), (2, "the of and")], "doc_id long, text string")
+    p = analyze(df, "doc_id")
+    Wr.write_processed(p, d + "/pq")
+    got = [tuple(r) for r in spark.read.parquet(d + "/pq").collect()]
+    assert got == [(1, "hello brave new world", 4)]
+    Wr.write_processed(p, d + "/txt", fmt="text")
+    assert [r[0] for r in spark.read.text(d + "/txt").collect()] == ["1\thello brave new world"]
