@@ -13,26 +13,37 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-SPREAD_MIN_BYTES = 2 << 20  # estimated scan size below which one task beats a shuffle
+SPREAD_MIN_BYTES = 4 << 20  # input size below which one task beats a shuffle
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files behind ``df`` (``inputFiles`` + file-system metadata, no job)."""
+    from pyarrow import fs as pafs
+
+    total = 0
+    for uri in df.inputFiles():
+        filesystem, path = pafs.FileSystem.from_uri(uri)
+        total += filesystem.get_file_info(path).size or 0
+    return total
 
 
 def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Round-robin ``df`` over the cluster only when its scan yields too few tasks for its size.
 
     A large table is read as many splits and is returned untouched (no
-    shuffle); so is a small one (Catalyst's size estimate, from file sizes, is
-    under ``min_bytes``).  Only a sizeable input stuck in fewer splits than
-    the cluster has cores -- a big file written as one row group -- is spread.
+    shuffle); so is a small one (input files under ``min_bytes``).  Only a
+    sizeable input stuck in fewer splits than the cluster has cores -- a big
+    file written as one row group -- is spread.  File sizes are looked up only
+    in that under-split case, so the listing stays short.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(target) if size >= min_bytes else df
+    return df.repartition(target) if input_bytes(df) >= min_bytes else df
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark) -> None:
@@ -43,7 +54,7 @@ def ship_package(spark) -> None:
     the driver's working directory or the cluster's Python path.
     """
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     import quire
