@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark itself would read it by (``fs.defaultFS`` when it has none)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
+
+
 def write_text_files(df: DataFrame, directory: str, name_col: str, text_col: str) -> DataFrame:
     """Write ``text_col`` of each row to ``directory/<name_col>`` (UTF-8); returns ``(name, bytes)``.
 
@@ -19,12 +26,12 @@ def write_text_files(df: DataFrame, directory: str, name_col: str, text_col: str
     from ..operators.util import ship_package
 
     ship_package(df.sparkSession)
-    base = directory.rstrip("/")
+    base = qualified(df.sparkSession, directory)
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
 
-        filesystem, root = pafs.FileSystem.from_uri(base if "://" in base else "file://" + base)
+        filesystem, root = pafs.FileSystem.from_uri(base)
         filesystem.create_dir(root, recursive=True)
         for pdf in batches:
             sizes = []
