@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from ..session import scratch_path
+from . import exact_dedup, mixing, packing, token_store
 from .common import documents
 
 QUERIES = {}
@@ -19,6 +20,16 @@ def _query(name, sql=None):
     return add
 
 
+@_query("op1_token_store")
+def op1(spark, sf_dir):
+    return token_store.stored_tokens(documents(spark, sf_dir), scratch_path(spark, "tokens"))
+
+
+@_query("op3_packing")
+def op3(spark, sf_dir):
+    return packing.packed(documents(spark, sf_dir))
+
+
 @_query("op5_mixing", mixing.mix_sql())
 def op5(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
