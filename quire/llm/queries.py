@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, packing, token_store
+from . import exact_dedup, mixing, ngram_join, packing, token_store
 from .common import documents
 
 QUERIES = {}
@@ -35,6 +35,11 @@ def op5(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+@_query("op6_ngram_join", ngram_join.components_sql())
+def op6(spark, sf_dir):
+    return ngram_join.jaccard_components(documents(spark, sf_dir))
+
+
 @_query(
     "op7_exact_dedup",
     """SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
