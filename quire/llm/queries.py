@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, ngram_join, packing, token_store
+from . import exact_dedup, imatch, mixing, ngram_join, packing, token_store
 from .common import documents
 
 QUERIES = {}
@@ -30,6 +30,11 @@ def op3(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir))
 
 
+@_query("op4_imatch")
+def op4(spark, sf_dir):
+    return imatch.fingerprints(documents(spark, sf_dir))
+
+
 @_query("op5_mixing", mixing.mix_sql())
 def op5(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
