@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import scratch_path
-from . import exact_dedup, imatch, mixing, ngram_join, packing, token_store
+from . import exact_dedup, imatch, mixing, ngram_join, packing, pii, secret_scan, token_store
 from .common import documents
 
 QUERIES = {}
@@ -25,6 +25,11 @@ def op1(spark, sf_dir):
     return token_store.stored_tokens(documents(spark, sf_dir), scratch_path(spark, "tokens"))
 
 
+@_query("op2_secret_scan")
+def op2(spark, sf_dir):
+    return secret_scan.secrets(documents(spark, sf_dir))
+
+
 @_query("op3_packing")
 def op3(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir))
@@ -53,3 +58,8 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
 )
 def op7(spark, sf_dir):
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+@_query("op10_pii")
+def op10(spark, sf_dir):
+    return pii.pseudonymise(documents(spark, sf_dir))
