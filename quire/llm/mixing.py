@@ -103,7 +103,7 @@ def mix(docs: DataFrame, rate: float = RATE, temperature: float = TEMPERATURE, r
 def mixed(docs: DataFrame, rate: float = RATE, temperature: float = TEMPERATURE, rounds: int = ROUNDS, seed: str = SEED) -> DataFrame:
     """Pipeline stage: the drawn documents, with all their columns as they are."""
     row = "row"
-    c = _celled(docs.select(F.col("doc_id"), F.col("text"), F.col("source"), F.col("lang"), F.struct(*[docs[k] for k in docs.columns]).alias(row)))
+    c = _celled(docs.select(F.col("doc_id"), F.col("text"), F.col("source"), F.col("lang"), F.struct(*[F.col(f"`{k}`") for k in docs.columns]).alias(row)))
     probs = rake(c.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), rate=rate, temperature=temperature, rounds=rounds)
     u = fresh(c.columns, "u")
     return (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import scratch_path
-from . import exact_dedup, imatch, langid, mixing, ngram_join, packing, pii, secret_scan, token_store
+from . import exact_dedup, imatch, langid, licenses, mixing, ngram_join, packing, pii, secret_scan, token_store
 from .common import documents
 
 QUERIES = {}
@@ -60,6 +60,11 @@ def op7(spark, sf_dir):
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+@_query("op8_licenses")
+def op8(spark, sf_dir):
+    return licenses.licenses(documents(spark, sf_dir))
+
+
 @_query("op9_langid")
 def op9(spark, sf_dir):
     return langid.identify(documents(spark, sf_dir))
