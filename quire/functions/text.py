@@ -50,29 +50,9 @@ def clean_text(text) -> Column:
     return F.array_join(raw_tokens(text), " ")
 
 
-def split_fused(tokens: Column, text: Column | None = None) -> Column:
-    """X2 refinement: split the fused forms the word tokenizer separates.
-
-    When the source ``text`` is given, rows that cannot hold a fused form (a
-    cheap case-insensitive substring test) skip the per-token rewrite.
-    """
-    fused = list(FUSED_FORMS)
-    rewritten = F.flatten(
-        F.transform(
-            tokens,
-            lambda w: F.when(
-                F.lower(w).isin(fused), F.array(F.substring(w, 1, 3), F.substring(w, 4, 1 << 30))
-            ).otherwise(F.array(w)),
-        )
-    )
-    if text is None:
-        return rewritten
-    maybe = text.rlike("(?i)" + "|".join(FUSED_FORMS))
-    return F.when(maybe, rewritten).otherwise(tokens)
-
-
 def split_fused_lowered(lowered: Column) -> Column:
-    """``split_fused`` for an already lower-cased token array (pass a column, not an expression)."""
+    """X2 refinement: split the fused forms the word tokenizer separates, in a lower-cased token
+    array (pass a column, not an expression)."""
     fused = list(FUSED_FORMS)
     return F.when(
         F.exists(lowered, lambda w: w.isin(fused)),
@@ -97,10 +77,8 @@ def keep_terms(tokens: Column, stop_words: Sequence[str]) -> Column:
 
 
 def tokenize(cleaned) -> Column:
-    """Tokens of an already cleaned string (blank separated)."""
-    col = _text(cleaned)
-    parts = F.filter(F.split(col, " "), lambda w: F.char_length(w) > 0)
-    return split_fused(parts)
+    """Tokens of an already cleaned string (blank separated), fused forms whole."""
+    return F.filter(F.split(_text(cleaned), " "), lambda w: F.char_length(w) > 0)
 
 
 def lower_tokens(tokens: Column) -> Column:
@@ -121,29 +99,6 @@ def alpha_filter(tokens: Column) -> Column:
     return F.filter(tokens, lambda w: w.rlike(ALPHA) & (F.char_length(w) > 1))
 
 
-def keep_words(tokens: Column, words: Sequence[str]) -> Column:
-    """F5 (small in-memory dictionary): keep tokens found in ``words``."""
-    return F.filter(tokens, lambda w: w.isin(list(words)))
-
-
-def analyze_column(text, stop_words: Sequence[str], fused: bool = True) -> Column:
-    """X6 without lemmatisation: clean -> tokenize -> lower -> stop words -> alpha filter."""
-    # Two array passes: split -> (fused split) -> lower, then one filter for
-    # length, stop words and letters.  Dropping one-character tokens after
-    # lower-casing instead of before is equivalent: lower-casing never shortens
-    # a token, and the only character it lengthens (dotted capital I) yields a
-    # combining mark that fails the letters test anyway.
-    toks = F.split(_text(text), SEPARATOR)
-    if fused:
-        toks = split_fused(toks, _text(text))
-    toks = lower_tokens(toks)
-    words = list(stop_words)
-    return F.filter(
-        toks,
-        lambda w: (F.char_length(w) > 1) & (~w.isin(words) if words else F.lit(True)) & w.rlike(ALPHA),
-    )
-
-
 def first_number(name) -> Column:
     """First run of decimal digits in a name, leading zeros kept; NULL when none."""
     col = F.col(name) if isinstance(name, str) else name

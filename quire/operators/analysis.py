@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -24,26 +24,15 @@ class AnalyzerConfig:
     stop_words: ``None``/"english" for the default list, "spark" for Spark ML's
         bundled list, or any sequence of words.
     fused: split forms such as ``cannot`` the way the word tokenizer does.
-    dictionary: optional word list; when given only listed words are kept (F5).
     """
 
     stop_words: object = None
     fused: bool = True
-    dictionary: Sequence[str] | None = None
 
 
 DEFAULT = AnalyzerConfig()
 
 
-def analyze_expr(spark: SparkSession, text_col, cfg: AnalyzerConfig = DEFAULT):
-    """Token-array column for ``text_col`` under ``cfg`` (no lemmatisation)."""
-    words = resolve_stop_words(spark, cfg.stop_words)
-    toks = T.analyze_column(text_col, words, fused=cfg.fused)
-    if cfg.dictionary is not None:
-        toks = T.keep_words(toks, sorted(set(cfg.dictionary)))
-    return toks
-
-
 def analyze(
     df: DataFrame,
     key: str,
@@ -55,16 +44,13 @@ def analyze(
     """``(key, tokens ARRAY<STRING>, n_terms INT)``; documents without tokens are dropped (F2)
     unless ``keep_empty`` (queries keep them: an empty query simply retrieves nothing)."""
     spark = df.sparkSession
-    if cfg.dictionary is None:
-        # Two projections: the lower-cased token array is materialised once, so
-        # the fused-form test is a set lookup on it instead of a second scan of
-        # the text (lower-casing first is equivalent: fused forms are ASCII).
-        words = resolve_stop_words(spark, cfg.stop_words)
-        low = df.select(F.col(key), T.lower_tokens(F.split(T._text(F.col(text_col)), T.SEPARATOR)).alias("_low"), *carry)
-        toks = T.split_fused_lowered(F.col("_low")) if cfg.fused else F.col("_low")
-        out = low.select(F.col(key), T.keep_terms(toks, words).alias("tokens"), *carry)
-    else:
-        out = df.select(F.col(key), analyze_expr(spark, F.col(text_col), cfg).alias("tokens"), *carry)
+    # Two projections: the lower-cased token array is materialised once, so the
+    # fused-form test is a set lookup on it instead of a second scan of the text
+    # (lower-casing first is equivalent: fused forms are ASCII).
+    words = resolve_stop_words(spark, cfg.stop_words)
+    low = df.select(F.col(key), T.lower_tokens(F.split(T._text(F.col(text_col)), T.SEPARATOR)).alias("_low"), *carry)
+    toks = T.split_fused_lowered(F.col("_low")) if cfg.fused else F.col("_low")
+    out = low.select(F.col(key), T.keep_terms(toks, words).alias("tokens"), *carry)
     if keep_empty:
         return out.withColumn("n_terms", F.size("tokens"))
     # The emptiness test runs inside a generator: a Filter on the token array
@@ -75,10 +61,21 @@ def analyze(
 
 
 def dictionary_filter(tokens_long: DataFrame, dictionary: DataFrame, term_col: str = "term") -> DataFrame:
-    """F5/J2 for a dictionary held as a table: semi join on the term column.
+    """Keep the rows of a long token or count table whose term is in ``dictionary``.
 
-    Works on long (exploded) token rows so the dictionary never has to be
-    collected; Spark broadcasts it only when its measured size allows.
+    A semi join: the dictionary stays a table of any size, and its measured
+    bytes decide whether it is broadcast.
     """
     d = dictionary.select(F.col(dictionary.columns[0]).alias(term_col)).distinct()
     return tokens_long.join(d, on=term_col, how="left_semi")
+
+
+def dictionary_counts(counts: DataFrame, dictionary: DataFrame, key: str = "doc_id") -> DataFrame:
+    """F5 inside the pipeline: counts ``(key, term, cnt, n_terms)`` restricted to ``dictionary``.
+
+    The filter is part of the analysis, so the length of a document is what is
+    left of it; documents without a listed word have no rows.
+    """
+    kept = dictionary_filter(counts, dictionary)
+    lengths = kept.groupBy(key).agg(F.sum("cnt").cast("int").alias("n_terms"))
+    return kept.select(key, "term", "cnt").join(lengths, key).select(key, "term", "cnt", "n_terms")

@@ -1,14 +1,16 @@
 """Text codec of the index: ``Documents`` strings ``doc:tf, doc:tf`` per word.
 
-Encoding aggregates at most ``top_n`` postings per term (champion lists), so
-the per-term list is bounded.  Decoding splits on the *last* colon, so names
-that contain colons survive; entries without a colon or whose tf is not a
-number are dropped.
+Two forms: a *merged* index has champion lists in rank order and prints the
+full value of tf; a *partial* index has no ranks yet, lists every posting of
+one batch of documents, and prints six decimals.  Both encoders collect bounded
+lists: at most ``top_n`` postings per term, or one batch of documents per term.
+Decoding splits on the *last* colon, so names that contain colons survive;
+entries without a colon or whose tf is not a number are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TF_FORMAT = "%.6f"  # fixed value: six decimals, as in the partial index files
@@ -16,26 +18,56 @@ ITEM_SEP = ", "
 POSTING = r"^(.*):([^:]*)$"
 
 
+def full_text(x) -> Column:
+    """A double as text the way it is printed in full: shortest digits, positional from 1e-4 on
+    (``0.0125``, ``0.0005``), below with a two-digit exponent (``1e-05``)."""
+    s = (F.col(x) if isinstance(x, str) else x).cast("string")
+    parts = r"^(-?)([0-9])\.([0-9]+)E-([0-9]+)$"
+    sign, lead, rest = (F.regexp_extract(s, parts, k) for k in (1, 2, 3))
+    exp = F.regexp_extract(s, parts, 4).cast("int")
+    frac = F.when(rest == "0", F.lit("")).otherwise(rest)
+    positional = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), exp - 1), lead, frac)
+    scientific = F.concat(sign, lead, F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)), F.lit("e-"), F.when(exp < 10, F.lit("0")).otherwise(F.lit("")), exp.cast("string"))
+    return F.when(s.rlike(parts), F.when(exp <= 4, positional).otherwise(scientific)).otherwise(s)
+
+
+def _joined(order: str, key: str, tf: Column, by: list[Column]) -> Column:
+    items = F.array_sort(F.collect_list(F.struct(*by, F.concat(F.col(key).cast("string"), F.lit(":"), tf).alias("item"))))
+    return F.array_join(F.transform(items, lambda s: s["item"]), ITEM_SEP).alias("documents")
+
+
 def encode_postings(champs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(word, documents)`` with postings in rank order."""
-    return champs.groupBy(F.col("term").alias("word")).agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("rank", F.col(key).cast("string").alias("d"), "tf"))),
-                lambda s: F.concat(s["d"], F.lit(":"), F.format_string(TF_FORMAT, s["tf"])),
-            ),
-            ITEM_SEP,
-        ).alias("documents")
+    """``(word, documents)`` of champion lists in rank order, full tf values."""
+    if "rank" not in champs.columns:
+        raise ValueError("champion lists have a rank; use encode_partials for partial indexes")
+    return champs.groupBy(F.col("term").alias("word")).agg(_joined("rank", key, full_text("tf"), [F.col("rank")]))
+
+
+def encode_partials(postings: DataFrame, batch: str, key: str = "doc_id") -> DataFrame:
+    """A1/G4 for partial indexes: ``(batch, word, documents)``, six-decimal tf.
+
+    ``batch`` is required: a list holds the documents of one batch, which the caller sizes.
+    """
+    tf = F.format_string(TF_FORMAT, F.col("tf"))
+    return postings.groupBy(F.col(batch), F.col("term").alias("word")).agg(
+        _joined("tf", key, tf, [(-F.col("tf")).alias("o"), F.col(key).alias("k")])
     )
 
 
 def decode_postings(encoded: DataFrame) -> DataFrame:
-    """``(term, doc_id STRING, tf DOUBLE)``; malformed entries dropped."""
-    items = encoded.select(F.col("word").alias("term"), F.explode(F.split("documents", ITEM_SEP)).alias("item"))
-    parsed = items.select(
-        "term",
-        F.regexp_extract("item", POSTING, 1).alias("doc_id"),
-        F.expr(f"try_cast(regexp_extract(item, '{POSTING}', 2) AS DOUBLE)").alias("tf"),
-        F.col("item").rlike(POSTING).alias("ok"),
+    """``(term, rank, doc_id STRING, tf DOUBLE)``; malformed entries dropped.
+
+    ``rank`` counts the well-formed entries of a row in order: the champion rank
+    of a merged index (of no meaning for a partial one).
+    """
+    parsed = F.transform(
+        F.split("documents", ITEM_SEP),
+        lambda item: F.struct(
+            F.regexp_extract(item, POSTING, 1).alias("doc_id"),
+            F.when(item.rlike(POSTING), F.regexp_extract(item, POSTING, 2)).try_cast("double").alias("tf"),
+        ),
+    )
+    good = F.filter(parsed, lambda p: p["tf"].isNotNull() & (F.length(p["doc_id"]) > 0))
+    return encoded.select(F.col("word").alias("term"), F.posexplode(good).alias("pos", "p")).select(
+        "term", (F.col("pos") + 1).alias("rank"), F.col("p.doc_id").alias("doc_id"), F.col("p.tf").alias("tf")
     )
-    return parsed.where(F.col("ok") & F.col("tf").isNotNull() & (F.length("doc_id") > 0)).select("term", "doc_id", "tf")

@@ -11,9 +11,8 @@ passage of length ``L`` uses its own scheme (``q' = min(q, L)``,
 ``w' = L - q' + 1``: the passage is exactly one window), so every passage is
 covered exactly; documents are fingerprinted once per scheme present.
 
-Documents keep only fingerprints some passage has: filtered inside the tasks
-against the broadcast passage set when its size check passes, otherwise by a
-shuffled semi-join.  Each passage is then joined through its *rarest*
+Documents keep only fingerprints some passage has: a semi join with the
+written passage fingerprints, whose bytes tell Spark whether to broadcast them.  Each passage is then joined through its *rarest*
 fingerprint only (document frequency counted over the kept fingerprints), so
 a passage made of common text does not fan out through its commonest q-gram.  Every candidate is then verified
 with an exact ``contains``.  Hashing runs in ``mapInPandas`` with numpy over
@@ -29,8 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .util import BROADCAST_MAX_ROWS, ship_package
+from .util import ship_package, stored
 
 Q = 16  # q-gram length in code points
 W = 32  # window length in q-grams
@@ -40,7 +38,6 @@ _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 
 FP_SCHEMA = "scheme INT, h BIGINT, id BIGINT"
-PASSAGE_BROADCAST_BYTES = 256 << 20  # passages are broadcast for verification up to this size
 
 
 def scheme_for(length: int, q: int = Q, w: int = W) -> tuple[int, int]:
@@ -97,12 +94,10 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(suffix[:m], prefix[w - 1 : w - 1 + m])
 
 
-def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str, wanted=None):
-    """Document fingerprints per scheme; with ``wanted`` (a broadcast of
-    ``{scheme: sorted int64 array}``) only fingerprints some passage has are emitted."""
+def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str):
+    """Document fingerprints per scheme."""
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keep = wanted.value if wanted is not None else None
         for pdf in batches:
             out_s, out_h, out_id = [], [], []
             for ident, text in zip(pdf[id_col].to_numpy(), pdf[text_col].to_numpy()):
@@ -110,11 +105,6 @@ def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str, want
                     continue
                 for q, w in schemes:
                     fp = fingerprints(text, q, w)
-                    if keep is not None and fp.shape[0]:
-                        ref = keep.get(scheme_id(q, w))
-                        if ref is None or ref.shape[0] == 0:
-                            continue
-                        fp = fp[np.isin(fp.view(np.int64), ref, assume_unique=True)]
                     if fp.shape[0]:
                         out_s.append(np.full(fp.shape[0], scheme_id(q, w), dtype=np.int32))
                         out_h.append(fp.view(np.int64))
@@ -156,54 +146,30 @@ def contained_pairs(
     Keys must be integral.  Empty or null passages match nothing.
     """
     ship_package(docs.sparkSession)
-    ensure_checkpoint_dir(docs.sparkSession)
     p = passages.select(F.col(passage_key).cast("bigint").alias("pid"), F.col(passage_text).alias("ptext")).where(
         F.length("ptext") > 0
     )
     d = docs.select(F.col(doc_key).cast("bigint").alias("did"), F.col(doc_text).alias("dtext"))
 
-    # One small action on the passages: their count, bytes and the short lengths in use
-    # (at most q + w - 2 distinct values), which decide the fingerprint schemes.
+    # One small action on the passages: the short lengths in use (at most
+    # q + w - 2 distinct values) decide the fingerprint schemes.
     short = F.when(F.length("ptext") < q + w - 1, F.length("ptext"))
-    stats = p.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length("ptext")), F.lit(0)).alias("b"),
-        F.collect_set(short).alias("short"),
-    ).first()
-    n_passages, passage_bytes = stats["n"], stats["b"]
-    schemes = sorted({scheme_for(L, q, w) for L in stats["short"]} | {(q, w)})
-
-    # Lineage cuts (reliable checkpoints in spark.checkpoint.dir): the
-    # fingerprinting runs once and the size checks below read small results.
-    pfp = _passage_fps(p, q, w).checkpoint()
-    # A passage has at most one fingerprint per character: bounded by the bytes measured above.
-    pfp_small = passage_bytes <= BROADCAST_MAX_ROWS
-    used = pfp.select("scheme", "h").distinct()
-    if pfp_small:
-        # Size-checked: passage fingerprints go to the Python tasks, which emit
-        # only document fingerprints some passage has (no bulk transfer to the JVM).
-        wanted: dict[int, list[int]] = {}
-        for r in used.collect():
-            wanted.setdefault(r["scheme"], []).append(r["h"])
-        bc = docs.sparkSession.sparkContext.broadcast({k: np.unique(np.array(v, dtype=np.int64)) for k, v in wanted.items()})
-        dfp_used = d.mapInPandas(_fp_batches(schemes, "did", "dtext", bc), FP_SCHEMA).checkpoint()
-    else:
-        # Document fingerprints that some passage uses (shuffled semi join), written once.
-        dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)
-        dfp_used = dfp.join(used, ["scheme", "h"], "left_semi").checkpoint()
+    lengths = p.agg(F.collect_set(short).alias("short")).first()["short"]
+    schemes = sorted({scheme_for(n, q, w) for n in lengths} | {(q, w)})
+
+    # What is written is read more than once, and its bytes decide the joins:
+    # the passages' few fingerprints are broadcast when they are few indeed.
+    pfp = stored(_passage_fps(p, q, w), "passage-prints")
+    dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)
+    dfp_used = stored(dfp.join(pfp.select("scheme", "h").distinct(), ["scheme", "h"], "left_semi"), "document-prints")
     df_counts = dfp_used.groupBy("scheme", "h").agg(F.count(F.lit(1)).alias("dfreq"))
     # Rarest fingerprint of each passage (a fingerprint no document has -> no candidates).
-    ranked = pfp.join(df_counts, ["scheme", "h"], "left").withColumn("dfreq", F.coalesce("dfreq", F.lit(0)))
-    pick = Window.partitionBy("id").orderBy(F.col("dfreq").asc(), F.col("h").asc())
     chosen = (
-        ranked.withColumn("_r", F.row_number().over(pick))
-        .where((F.col("_r") == 1) & (F.col("dfreq") > 0))
+        pfp.join(df_counts, ["scheme", "h"], "left")
+        .withColumn("_r", F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("dfreq", F.lit(0)).asc(), F.col("h").asc())))
+        .where("_r = 1 AND dfreq > 0")
         .select("scheme", "h", F.col("id").alias("pid"))
     )
-    # At most one chosen fingerprint per passage: bounded by the passage count.
-    chosen_b = F.broadcast(chosen) if n_passages <= BROADCAST_MAX_ROWS else chosen
-    cands = dfp_used.join(chosen_b, ["scheme", "h"]).select(F.col("id").alias("did"), "pid").distinct().checkpoint()
-    cands_b = F.broadcast(cands) if cands.count() <= BROADCAST_MAX_ROWS else cands
-    p_b = F.broadcast(p) if n_passages <= 200_000 and passage_bytes <= PASSAGE_BROADCAST_BYTES else p
-    verified = cands_b.join(d, "did").join(p_b, "pid").where(F.instr(F.col("dtext"), F.col("ptext")) > 0)
+    cands = stored(dfp_used.join(chosen, ["scheme", "h"]).select(F.col("id").alias("did"), "pid").distinct(), "candidates")
+    verified = cands.join(d, "did").join(p, "pid").where(F.instr(F.col("dtext"), F.col("ptext")) > 0)
     return verified.select(F.col("pid").alias(passage_key), F.col("did").alias(doc_key))

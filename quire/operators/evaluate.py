@@ -74,6 +74,9 @@ def per_query(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = KS) -> Da
     results score 0.
     """
     spark = ranked.sparkSession
+    # Judgements are sets of pairs compared as text, whatever the caller passes.
+    qrels = normalize_qrels(qrels)
+    ranked = ranked.withColumn("query_id", F.col("query_id").cast("string"))
     by_rank = Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_doc = Window.partitionBy("query_id", "doc_no").orderBy("rank")
     hits = (

@@ -39,6 +39,9 @@ def term_counts(processed: DataFrame, key: str = "doc_id", carry: Sequence[str]
     touches its bound variables or materialised columns (an expression used
     inside a lambda would be re-evaluated per element), and each step is its
     own projection so every array is computed once per row.
+
+    ``key`` has to be unique: a repeated key is two documents here.
+    ``term_counts_grouped`` adds such rows up instead.
     """
     keep = [key, "n_terms", *carry]
     sorted_ = processed.select(*keep, F.array_sort("tokens").alias("_s"))
@@ -67,13 +70,17 @@ def term_counts(processed: DataFrame, key: str = "doc_id", carry: Sequence[str]
 
 
 def term_counts_grouped(processed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """G1 as explode + hash aggregation (partial/final); same rows as ``term_counts``."""
-    return (
-        processed.select(F.col(key), F.col("n_terms"), F.explode("tokens").alias("term"))
-        .groupBy(key, "n_terms", "term")
+    """G1 as explode + hash aggregation (partial/final): rows that share a key are one document.
+
+    Same rows as ``term_counts`` where keys are unique.
+    """
+    lengths = processed.groupBy(key).agg(F.sum("n_terms").cast("int").alias("n_terms"))
+    counts = (
+        processed.select(F.col(key), F.explode("tokens").alias("term"))
+        .groupBy(key, "term")
         .agg(F.count(F.lit(1)).cast("int").alias("cnt"))
-        .select(key, "term", "cnt", "n_terms")
     )
+    return counts.join(lengths, key).select(key, "term", "cnt", "n_terms")
 
 
 def term_frequencies(counts: DataFrame, key: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
@@ -95,15 +102,19 @@ def champions(postings: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id
     return ranked.select("term", "rank", key, "tf")
 
 
-def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key: str = "doc_id") -> DataFrame:
-    """Union partial ``(term, key, tf)`` indexes, sum tf per (term, doc), re-prune."""
+def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key: str = "doc_id", decimals: int | None = None) -> DataFrame:
+    """Union partial ``(term, key, tf)`` indexes, sum tf per (term, doc), re-prune.
+
+    ``decimals`` rounds the sums, so that their order of addition leaves no trace in the ranks.
+    """
     parts = [p.select("term", key, "tf") for p in partials]
     if not parts:
         raise ValueError("merge_indexes needs at least one partial index")
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    summed = union.groupBy("term", key).agg(F.sum("tf").alias("tf"))
+    total = F.sum("tf") if decimals is None else F.round(F.sum("tf"), decimals)
+    summed = union.groupBy("term", key).agg(total.alias("tf"))
     return champions(summed, top_n, key)
 
 
@@ -130,12 +141,6 @@ def term_stats(champs: DataFrame, key: str = "doc_id") -> DataFrame:
     return df.crossJoin(F.broadcast(n)).select("term", "df", idf_expr("df", "n_docs").alias("idf"))
 
 
-def doc_norms(champs: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, norm)`` = sqrt of summed squared tf-idf over surviving postings."""
-    w = champs.join(terms.select("term", "idf"), "term").select(key, (F.col("tf") * F.col("idf")).alias("w"))
-    return w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-
-
 @dataclass
 class Index:
     """Index artefacts as DataFrames.
@@ -195,26 +200,43 @@ def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, D
 
 
 def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "row",
-                lemma_map: DataFrame | None = None) -> Index:
+                lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None) -> Index:
     """Lazy index over analysed documents ``(key, tokens, n_terms)``.
 
     ``counting="row"`` (default) counts inside each row without a shuffle;
     ``"grouped"`` uses explode + partial/final hash aggregation, which ships
-    every distinct (document, term) pair through an exchange.
-    ``lemma_map`` ``(term, lemma)`` lemmatises the counts before tf.
+    every distinct (document, term) pair through an exchange, and adds up rows
+    that share a key.  ``dictionary`` (a table of words) restricts the terms,
+    ``lemma_map`` ``(term, lemma)`` lemmatises them; both before tf, as tables.
     """
     counts = term_counts_grouped(processed, key) if counting == "grouped" else term_counts(processed, key)
     if lemma_map is not None:
         from .lexicon import apply_lemmas
 
         counts = apply_lemmas(counts, lemma_map, [key, "n_terms"])
+    if dictionary is not None:
+        from .analysis import dictionary_counts
+
+        counts = dictionary_counts(counts, dictionary, key)
     champs = champions(term_frequencies(counts, key), top_n, key)
     postings, _ = index_postings(champs, key)
     return Index(postings=postings, key=key)
 
 
-def nested_view(champs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """A5: ``(term, postings MAP<key, tf>)`` in rank order (nested form of the index)."""
+def index_from_postings(decoded: DataFrame, key: str = "doc_id") -> Index:
+    """An index over champion lists ``(term, rank, key, tf)`` that were read from somewhere."""
+    postings, _ = index_postings(decoded.select("term", "rank", key, "tf"), key)
+    return Index(postings=postings, key=key)
+
+
+def nested_view(champs: DataFrame, key: str = "doc_id", top_n: int | None = TOP_N) -> DataFrame:
+    """A5: ``(term, postings MAP<key, tf>)`` in rank order (nested form of the index).
+
+    For champion lists: ``top_n`` has to say how long they are, as a map is one row.
+    """
+    if not top_n:
+        raise ValueError("an unpruned index has lists of any length and no nested form")
+    champs = champs.where(F.col("rank") <= top_n)
     return champs.groupBy("term").agg(
         F.map_from_entries(
             F.transform(

@@ -10,11 +10,9 @@ gets one class whatever its neighbours.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import BROADCAST_MAX_ROWS
-
 # --- fixed values: WordNet morphological detachment rules (suffix -> ending) --
 NOUN_RULES = (("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
               ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"))
@@ -51,8 +49,9 @@ def vocabulary(counts: DataFrame, term: str = "term") -> DataFrame:
 
 
 def learn_tags(tagged: DataFrame) -> DataFrame:
-    """Most frequent tag per form from observations ``(form, tag)``; ties by tag."""
-    counted = tagged.groupBy("form", "tag").agg(F.count(F.lit(1)).alias("n"))
+    """Most frequent tag per form from observations ``(form, tag)``, or ``(form, tag, n)`` counted; ties by tag."""
+    n = F.sum("n") if "n" in tagged.columns else F.count(F.lit(1))
+    counted = tagged.groupBy("form", "tag").agg(n.alias("n"))
     w = Window.partitionBy("form").orderBy(F.col("n").desc(), F.col("tag").asc())
     return counted.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("form", "tag")
 
@@ -68,14 +67,17 @@ def tag_vocabulary(vocab: DataFrame, tags: DataFrame | None = None) -> DataFrame
 def build_lexicon(vocab: DataFrame) -> DataFrame:
     """L3: ``(form, pos, lemma)`` from the detachment rules, keeping lemmas that are themselves
     vocabulary terms; several candidates -> shortest, then alphabetical."""
-    spark: SparkSession = vocab.sparkSession
     v = vocab.select(F.col(vocab.columns[0]).alias("form"))
-    rules = F.broadcast(spark.createDataFrame(rule_rows(), "pos string, suffix string, ending string"))  # 21 rows
-    cands = (
-        v.join(rules, F.col("form").endswith(F.col("suffix")) & (F.length("form") > F.length("suffix")))
-        .select("form", "pos", F.concat(F.expr("left(form, length(form) - length(suffix))"), F.col("ending")).alias("lemma"))
-        .where(F.col("lemma") != F.col("form"))
-    )
+    form = F.col("form")
+    # One narrow pass: the candidates of a form are an array over the rules that fit it.
+    fitting = F.array_compact(F.array(*[
+        F.when(
+            form.endswith(suffix) & (F.length(form) > len(suffix)),
+            F.struct(F.lit(pos).alias("pos"), F.concat(F.left(form, F.length(form) - len(suffix)), F.lit(ending)).alias("lemma")),
+        )
+        for pos, suffix, ending in rule_rows()
+    ]))
+    cands = v.select("form", F.inline(fitting)).where(F.col("lemma") != form)
     known = cands.join(v.select(F.col("form").alias("lemma")), "lemma", "left_semi")
     w = Window.partitionBy("form", "pos").orderBy(F.length("lemma").asc(), F.col("lemma").asc())
     return known.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("form", "pos", "lemma")
@@ -90,24 +92,22 @@ def lemmatize_vocabulary(tagged_vocab: DataFrame, lexicon: DataFrame) -> DataFra
     )
 
 
-def apply_lemmas(counts: DataFrame, lemma_map: DataFrame, keys: list[str], small: bool | None = None) -> DataFrame:
+def apply_lemmas(counts: DataFrame, lemma_map: DataFrame, keys: list[str]) -> DataFrame:
     """Replace ``term`` by its lemma in a long count table and re-aggregate.
 
     ``counts`` holds ``keys + [term, cnt]`` and optionally ``pos`` (first
-    position, kept as the minimum).  The lemma map is broadcast when its size
-    check passes; otherwise both sides are shuffled on ``term``.
+    position, kept as the minimum).  A map as ``lemma_map_for`` makes it holds
+    changed forms only; kept as a table (``util.stored``), its measured size
+    decides whether it is broadcast.
     """
-    if small is None:
-        small = lemma_map.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
-    m = F.broadcast(lemma_map) if small else lemma_map
-    joined = counts.join(m, "term", "left").withColumn("term", F.coalesce("lemma", "term"))
+    joined = counts.join(lemma_map, "term", "left").withColumn("term", F.coalesce("lemma", "term"))
     aggs = [F.sum("cnt").cast("int").alias("cnt")]
     if "pos" in counts.columns:
-        aggs.append(F.min("pos").alias("pos"))
+        aggs.append(F.min("pos").cast("int").alias("pos"))
     return joined.groupBy(*keys, "term").agg(*aggs)
 
 
 def lemma_map_for(vocab: DataFrame, tags: DataFrame | None = None, lexicon: DataFrame | None = None) -> DataFrame:
-    """L1 + L3 + L2 in one: tag the vocabulary, build (or take) the lexicon, pick lemmas."""
+    """L1 + L3 + L2 in one: ``(term, lemma)`` for the terms whose lemma is another word."""
     lex = lexicon if lexicon is not None else build_lexicon(vocab)
-    return lemmatize_vocabulary(tag_vocabulary(vocab, tags), lex)
+    return lemmatize_vocabulary(tag_vocabulary(vocab, tags), lex).where(F.col("lemma") != F.col("term"))

@@ -1,11 +1,14 @@
 """Vector-space retrieval over a champion-list index, all queries in one plan.
 
 Query side: analysed like documents, counted with a hash aggregation over the
-query tokens (the small side), checkpointed once, then looked up against the
-index with a broadcast of the size-checked query terms, so the postings table
-is scanned once and never shuffled (and, for a bucketed stored index, only the
-buckets the query terms fall in are read).  The fan-out per query term is
-bounded by the champion list length.
+query tokens (the small side), and written once as a table.  One join of the
+query terms with the postings then gives everything else: postings carry idf,
+weight and norm, so the rows that match (at most ``top_n`` per query term) hold
+the query weights as well as the products.  They are written once too, and
+query norms and scores are worked out from them; the postings are scanned
+once.  Which side of the join is broadcast follows from the bytes of the
+written query terms.  With a stored index only the buckets the query terms
+fall in are read.
 """
 
 from __future__ import annotations
@@ -14,10 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import cosine, round_score
-from ..session import ensure_checkpoint_dir
 from .analysis import DEFAULT, AnalyzerConfig, analyze
-from .index import Index
-from .util import BROADCAST_MAX_ROWS
+from .index import Index, term_bucket
+from .util import stored
 
 TOP_K = 10  # results kept per query
 
@@ -35,83 +37,69 @@ def query_terms(queries: DataFrame, key: str = "query_id", text: str = "query_te
     )
 
 
-def query_side_small(qterms: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check of the query side, done once on the query terms (before any join)."""
-    return qterms.limit(max_rows + 1).count() <= max_rows
+def reject_repeated_ids(queries: DataFrame, key: str = "query_id") -> None:
+    """An id names one query: raises when two rows share one (or have none)."""
+    twice = queries.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(key).isNull()).select(key).take(3)
+    if twice:
+        raise ValueError(f"query ids have to be unique and not null: {[r[0] for r in twice]}")
 
 
-def _side(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+def matches(qterms: DataFrame, index: Index, key: str = "query_id") -> DataFrame:
+    """``(query_id, term, cnt, pos, qlen, rank, doc, idf, dw, norm)``: postings of the query terms.
 
-
-def _bucketed(df: DataFrame, index: Index) -> DataFrame:
-    """Add the storage bucket of ``term`` when the index is stored bucketed."""
+    A join on ``term``, and on the storage bucket of the index when it is
+    stored: bucket values of the query terms prune the files at run time.
+    """
+    cols = ["term", "rank", index.key, "idf", F.col("weight").alias("dw"), "norm"]
     if not index.buckets:
-        return df
-    from .index import term_bucket
-
-    return df.withColumn("tb", term_bucket("term", index.buckets))
-
-
-def _lookup(q: DataFrame, postings: DataFrame, index: Index) -> DataFrame:
-    """Join query rows to index rows on ``term`` (and ``tb``: partition pruning at run time)."""
-    keys = ["term", "tb"] if index.buckets else ["term"]
-    return q.join(postings, keys)
+        return qterms.join(index.postings.select(*cols), "term")
+    q = qterms.where("cnt > 0").withColumn("tb", term_bucket("term", index.buckets))
+    return q.join(index.postings.select(*cols, "tb"), ["term", "tb"]).drop("tb")
 
 
-def query_vectors(qterms: DataFrame, index: Index, key: str = "query_id", small: bool | None = None) -> DataFrame:
+def query_vectors(qterms: DataFrame, matched: DataFrame, key: str = "query_id") -> DataFrame:
     """``(query_id, term, cnt, pos, qlen, idf, weight)``; unknown terms weigh 0.0.
 
-    With a small query side the term lookup is a broadcast hash join that
-    streams the index once; otherwise both sides are shuffled on ``term``.
+    The first posting of every known term gives its idf.
     """
-    small = query_side_small(qterms) if small is None else small
-    known = _lookup(_side(_bucketed(qterms, index), small), index.terms, index).select(key, "term", "idf")
-    # ``known`` is a subset of the checked query terms.
+    known = matched.where("rank = 1").select(key, "term", "idf")
     return (
-        qterms.join(_side(known, small), [key, "term"], "left")
+        qterms.join(known, [key, "term"], "left")
         .withColumn("weight", (F.col("cnt") / F.col("qlen")) * F.coalesce(F.col("idf"), F.lit(0.0)))
         .select(key, "term", "cnt", "pos", "qlen", "idf", "weight")
     )
 
 
 def query_norms(qvec: DataFrame, key: str = "query_id") -> DataFrame:
-    """``(query_id, norm)``."""
+    """``(query_id, norm)`` of the query weights ``(query_id, weight)``."""
     return qvec.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
 
 
-def dot_products(qvec: DataFrame, index: Index, key: str = "query_id", small: bool = False) -> DataFrame:
-    """``(query_id, doc, dot, doc_norm, tie)`` for every document sharing a term.
+def _query_weight():
+    return ((F.col("cnt") / F.col("qlen")) * F.col("idf")).alias("weight")
+
+
+def dot_products(matched: DataFrame, key: str = "query_id", doc: str = "doc_id") -> DataFrame:
+    """``(query_id, doc, dot, doc_norm, tie)`` for every document sharing a term.
 
     ``tie`` is the smallest ``(query position, posting rank)`` through which
     the document is reached: the order in which a term-at-a-time scorer first
     meets it, used to order equal scores.
     """
-    dkey = index.key
-    # Known query terms are a subset of the query terms whose size was checked.
-    q = _side(_bucketed(qvec.where(F.col("idf").isNotNull()).select(key, "term", "pos", "weight"), index), small)
-    cols = ["term", "rank", dkey, F.col("weight").alias("dw"), "norm"] + (["tb"] if index.buckets else [])
-    p = index.postings.select(*cols)
-    return (
-        _lookup(q, p, index)
-        .groupBy(key, dkey)
-        .agg(
-            F.sum(F.col("weight") * F.col("dw")).alias("dot"),
-            F.max("norm").alias("doc_norm"),
-            # (query position, posting rank) as one bigint: same order, and a
-            # numeric min keeps the aggregation hash-based.
-            F.min(F.col("pos").cast("bigint") * F.lit(1 << 32) + F.col("rank")).alias("tie"),
-        )
+    return matched.groupBy(key, doc).agg(
+        F.sum(_query_weight() * F.col("dw")).alias("dot"),
+        F.max("norm").alias("doc_norm"),
+        # (query position, posting rank) as one bigint: same order, and a
+        # numeric min keeps the aggregation hash-based.
+        F.min(F.col("pos").cast("bigint") * F.lit(1 << 32) + F.col("rank")).alias("tie"),
     )
 
 
-def cosine_scores(qvec: DataFrame, index: Index, key: str = "query_id", small: bool = False) -> DataFrame:
+def cosine_scores(matched: DataFrame, key: str = "query_id", doc: str = "doc_id") -> DataFrame:
     """``(query_id, doc, score, tie)``."""
-    dots = dot_products(qvec, index, key, small)
-    qn = query_norms(qvec, key).withColumnRenamed("norm", "query_norm")
-    return dots.join(qn, key).select(
-        key, index.key, cosine("dot", "doc_norm", "query_norm").alias("score"), "tie"
-    )
+    # Unknown terms weigh nothing, so the matches hold every weight of the norm.
+    qn = query_norms(matched.where("rank = 1").select(key, _query_weight()), key).withColumnRenamed("norm", "query_norm")
+    return dot_products(matched, key, doc).join(qn, key).select(key, doc, cosine("dot", "doc_norm", "query_norm").alias("score"), "tie")
 
 
 def rank_top_k(scores: DataFrame, k: int = TOP_K, key: str = "query_id", doc: str = "doc_id") -> DataFrame:
@@ -125,21 +113,25 @@ def rank_top_k(scores: DataFrame, k: int = TOP_K, key: str = "query_id", doc: st
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(key, "rank", doc, "score")
 
 
+def lookup(index: Index, queries: DataFrame, key: str = "query_id", text: str = "query_text",
+           cfg: AnalyzerConfig = DEFAULT, lemma_map: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(query terms, matches)`` of a query set, both written and read back."""
+    reject_repeated_ids(queries, key)
+    qt = query_terms(queries, key, text, cfg)
+    if lemma_map is not None:
+        from .lexicon import apply_lemmas
+
+        qt = apply_lemmas(qt, lemma_map, [key, "qlen"]).select(key, "term", "cnt", "pos", "qlen")
+    qt = stored(qt, "query-terms")
+    return qt, stored(matches(qt, index, key), "matches")
+
+
 def search(index: Index, queries: DataFrame, k: int = TOP_K, key: str = "query_id", text: str = "query_text",
            cfg: AnalyzerConfig = DEFAULT, lemma_map: DataFrame | None = None) -> DataFrame:
     """End to end: queries ``(key, text)`` -> ``(key, rank, doc, score)``.
 
-    Pass the ``lemma_map`` the index was built with to lemmatise queries alike.
+    Query ids have to be unique.  Pass the ``lemma_map`` the index was built
+    with to lemmatise queries alike.
     """
-    qt = query_terms(queries, key, text, cfg)
-    if lemma_map is not None:
-        from .lexicon import apply_lemmas
-
-        qt = apply_lemmas(qt, lemma_map, [key, "qlen"])
-    # Lineage cut (reliable checkpoint in spark.checkpoint.dir): the query terms
-    # feed the size check, the term lookup and the weights; analyse them once.
-    ensure_checkpoint_dir(queries.sparkSession)
-    qt = qt.checkpoint()
-    small = query_side_small(qt)
-    qv = query_vectors(qt, index, key, small)
-    return rank_top_k(cosine_scores(qv, index, key, small), k, key, index.key)
+    _, matched = lookup(index, queries, key, text, cfg, lemma_map)
+    return rank_top_k(cosine_scores(matched, key, index.key), k, key, index.key)

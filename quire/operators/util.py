@@ -7,40 +7,30 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest row count of a side that is broadcast after a size check.
-BROADCAST_MAX_ROWS = 2_000_000
+from ..session import SCAN_PARTITIONS, scratch_path
 
 
-SPREAD_MIN_BYTES = 4 << 20  # input size below which one task beats a shuffle
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` to ``partitions`` tasks, by default as many as the session setting
+    ``spark.quire.scan.partitions`` says; without the setting ``df`` is returned as it is.
 
-
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind ``df`` (``inputFiles`` + file-system metadata, no job)."""
-    from pyarrow import fs as pafs
-
-    total = 0
-    for uri in df.inputFiles():
-        filesystem, path = pafs.FileSystem.from_uri(uri)
-        total += filesystem.get_file_info(path).size or 0
-    return total
+    For tables stored as one large row group.  A large table is read as many
+    splits and needs no dealing.
+    """
+    n = partitions or int(df.sparkSession.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(n) if n else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin ``df`` over the cluster only when its scan yields too few tasks for its size.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
-    A large table is read as many splits and is returned untouched (no
-    shuffle); so is a small one (input files under ``min_bytes``).  Only a
-    sizeable input stuck in fewer splits than the cluster has cores -- a big
-    file written as one row group -- is spread.  File sizes are looked up only
-    in that under-split case, so the listing stays short.
+    Cuts the lineage; and joins of what is read back are planned from the bytes
+    of its files, so a small side is broadcast by measured size.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target) if input_bytes(df) >= min_bytes else df
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()

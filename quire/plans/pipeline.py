@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
 from ..operators import index as I
+from ..operators import lexicon as L
 from ..operators import retrieve as R
 from ..operators.analysis import DEFAULT, AnalyzerConfig, analyze
 from ..operators.containment import contained_pairs
-from ..operators.util import spread
+from ..operators.util import spread, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,9 +37,9 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second query set: user turns of ``conversations``; id = conv_id * 1000 + turn."""
+    """A second query set: user turns of ``conversations``; id = ``conv_id:turn``."""
     c = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
-    return spread(c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query_text")))
+    return spread(c.select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), F.col("text").alias("query_text")))
 
 
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,15 +52,26 @@ def processed(spark: SparkSession, sf_dir: str, cfg: AnalyzerConfig = DEFAULT) -
     return analyze(corpus(spark, sf_dir), "doc_id", "text", cfg)
 
 
-def index(spark: SparkSession, sf_dir: str, top_n: int | None = I.TOP_N, cfg: AnalyzerConfig = DEFAULT) -> I.Index:
-    return I.build_index(processed(spark, sf_dir, cfg), top_n)
+def index(spark: SparkSession, sf_dir: str, top_n: int | None = I.TOP_N, cfg: AnalyzerConfig = DEFAULT,
+          lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None) -> I.Index:
+    return I.build_index(processed(spark, sf_dir, cfg), top_n, lemma_map=lemma_map, dictionary=dictionary)
+
+
+def lemma_map(counts: DataFrame, tags_of=None) -> DataFrame:
+    """``(term, lemma)`` of the changed forms in the vocabulary of ``counts`` ``(doc_id, term, cnt)``, as a table.
+
+    ``tags_of`` gives the tag of a form as a column; without it forms are nouns.
+    """
+    forms = stored(counts.groupBy("term").agg(F.sum("cnt").alias("n")), "vocabulary")
+    tags = None if tags_of is None else L.learn_tags(forms.select(F.col("term").alias("form"), tags_of(F.col("term")).alias("tag"), "n"))
+    return stored(L.lemma_map_for(forms.select("term"), tags), "lemmas")
 
 
 def results(spark: SparkSession, sf_dir: str, k: int = R.TOP_K, top_n: int | None = I.TOP_N,
-            idx: I.Index | None = None) -> DataFrame:
+            idx: I.Index | None = None, lemma_map: DataFrame | None = None) -> DataFrame:
     """``(query_id, rank, doc_id, score)`` for every benchmark query."""
-    idx = idx if idx is not None else index(spark, sf_dir, top_n)
-    return R.search(idx, benchmark_queries(spark, sf_dir), k)
+    idx = idx if idx is not None else index(spark, sf_dir, top_n, lemma_map=lemma_map)
+    return R.search(idx, benchmark_queries(spark, sf_dir), k, lemma_map=lemma_map)
 
 
 def ranked(spark: SparkSession, sf_dir: str, res: DataFrame | None = None) -> DataFrame:

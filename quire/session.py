@@ -9,12 +9,15 @@ scratch folder when the setting is absent (local runs).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Number of tasks a table scan is dealt to; unset (no shuffle) unless a session asks for it.
+SCAN_PARTITIONS = "spark.quire.scan.partitions"
+
 _LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,13 +29,15 @@ _LOCAL_CONF = {
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, driver_memory: str = "16g") -> SparkSession:
+def local_session(cores: str = "*", shuffle_partitions: int = 8, driver_memory: str = "8g") -> SparkSession:
     """A local-mode session for tests and benchmarks (UI off, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("quire")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", driver_memory)
+        # The supplied tables are single row groups: deal their rows to all cores.
+        .config(SCAN_PARTITIONS, str(shuffle_partitions))
     )
     for key, value in _LOCAL_CONF.items():
         builder = builder.config(key, value)
@@ -43,11 +48,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, driver_memory:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only when unset.
+    """Return the session's checkpoint folder, setting a scratch one only in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is left untouched.  Only a session without the setting (a local test)
-    gets a fresh folder under the system temp directory.
+    and is left untouched; without it this raises, as executors could not read
+    back what others wrote to a folder of their own.  A local session (tests,
+    benchmark) gets a fresh folder under the system temp directory.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -58,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current:
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="quire-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     sc.setCheckpointDir(scratch)
@@ -73,12 +81,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for one written table."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def makedirs_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)

@@ -17,7 +17,7 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def write_text_files(df: DataFrame, directory: str, name_col: str, text_col: str) -> DataFrame:
-    """Write ``text_col`` of each row to ``directory/<name_col>`` (UTF-8); returns ``(name, bytes)``.
+    """Write ``text_col`` of each row to ``directory/<name_col>`` (UTF-8, or bytes as they are); returns ``(name, bytes)``.
 
     Files are written inside the tasks through ``pyarrow.fs`` (local paths or
     any URI pyarrow understands), so no text passes through the driver.  The
@@ -36,7 +36,7 @@ def write_text_files(df: DataFrame, directory: str, name_col: str, text_col: str
         for pdf in batches:
             sizes = []
             for name, text in zip(pdf["name"], pdf["text"]):
-                data = (text or "").encode("utf-8")
+                data = bytes(text) if isinstance(text, (bytes, bytearray)) else (text or "").encode("utf-8")
                 with filesystem.open_output_stream(f"{root}/{name}") as out:
                     out.write(data)
                 sizes.append(len(data))

@@ -2,72 +2,60 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.index import Index, term_bucket
-from ..session import ensure_checkpoint_dir
-
-
-ROWS_PER_BUCKET = 4_000_000  # about 100-200 MB of postings per bucket file
-
+from .files import write_text_files
 
-def write_index(index: Index, path: str, buckets: int | str | None = "auto") -> None:
-    """K3/K6: Parquet artefacts under ``path`` (replaced).
+BUCKETS = 16  # default number of files of a stored index
 
-    Postings go through a reliable checkpoint (``spark.checkpoint.dir``) so N,
-    the size decision and the files come from one run of the build.
+# One way of quoting for all CSV and TSV files: a quote inside a field is doubled.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-    Layout, chosen from the postings row count when ``buckets="auto"``:
 
-    * bucketed (two or more buckets): partitioned by
-      ``tb = term_bucket(term, buckets)``, one file per bucket, sorted by term.
-      A lookup joins on ``(term, tb)``, so dynamic partition pruning reads only
-      the buckets the query terms fall in;
-    * small index: range-partitioned by term and sorted, no partition column
-      (pruning would cost more than it saves).
+def write_index(index: Index, path: str, buckets: int = BUCKETS) -> None:
+    """K3/K6: Parquet artefacts under ``path``, replacing those that are there.
 
-    Either way Parquet min/max statistics on the sorted terms skip row groups.
-    ``meta`` holds N and the bucket count (one row; 0 = not bucketed).
+    Postings are partitioned by ``tb = term_bucket(term, buckets)``, one file
+    per bucket, sorted by term: a lookup joins on ``(term, tb)``, so only the
+    buckets the query terms fall in are read, and Parquet statistics on the
+    sorted terms skip row groups.  Choose ``buckets`` so that one file holds
+    some hundred MB.  The postings are built and written once; N is counted on
+    the written file.  Every write goes to a version folder of its own with
+    its ``meta``; ``current`` names the version to read and is replaced last,
+    so a write that breaks off leaves the old index in place.
     """
+    if buckets < 1:
+        raise ValueError("an index has one bucket at least")
     spark = index.postings.sparkSession
-    ensure_checkpoint_dir(spark)
-    postings = index.postings.checkpoint()
-    # One small job over the checkpoint: row count (layout decision) and N.
-    stats = postings.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(index.key).alias("n_docs")).first()
-    if buckets == "auto":
-        buckets = stats["rows"] // ROWS_PER_BUCKET
-    n = int(buckets or 0)
-    out = f"{path}/postings"
-    if n >= 2:
-        (
-            postings.withColumn("tb", term_bucket("term", n))
-            .repartition(n, "tb")
-            .sortWithinPartitions("term", "rank")
-            .write.mode("overwrite")
-            .partitionBy("tb")
-            .parquet(out)
-        )
-    else:
-        n = 0
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        postings.repartitionByRange(parts, "term").sortWithinPartitions("term", "rank").write.mode("overwrite").parquet(out)
-    spark.createDataFrame([(int(stats["n_docs"]), n)], "n_docs BIGINT, buckets INT").write.mode("overwrite").parquet(
-        f"{path}/meta"
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    out = f"{path}/{version}"
+    (
+        index.postings.withColumn("tb", term_bucket("term", buckets))
+        .repartitionById(buckets, F.col("tb"))
+        .sortWithinPartitions("term", "rank")
+        .write.partitionBy("tb")
+        .parquet(f"{out}/postings")
     )
+    n_docs = spark.read.parquet(f"{out}/postings").agg(F.count_distinct(index.key).alias("n_docs"))
+    n_docs.select("n_docs", F.lit(buckets).alias("buckets")).write.parquet(f"{out}/meta")
+    spark.createDataFrame([(version,)], "version STRING").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+
 
+def write_processed(processed: DataFrame, path: str, key: str = "doc_id") -> None:
+    """K1/X15 as a table: ``(key, processed, n_terms)``, replacing what is there (K6)."""
+    processed.select(F.col(key), F.array_join("tokens", " ").alias("processed"), "n_terms").write.mode("overwrite").parquet(path)
 
-def write_processed(processed: DataFrame, path: str, key: str = "doc_id", fmt: str = "parquet") -> None:
-    """Processed documents; ``fmt="text"`` writes ``key<TAB>tokens joined by blanks`` lines."""
-    out = processed.select(F.col(key), F.array_join("tokens", " ").alias("processed"), "n_terms")
-    if fmt == "parquet":
-        out.write.mode("overwrite").parquet(path)
-    elif fmt == "text":
-        out.select(F.concat_ws("\t", F.col(key).cast("string"), "processed").alias("value")).write.mode(
-            "overwrite"
-        ).text(path)
-    else:
-        raise ValueError(f"unknown format {fmt!r}")
+
+def write_processed_files(processed: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
+    """K1 as files: one text file per document, named by its key, tokens joined by blanks.
+
+    Returns the lazy ``(name, bytes)`` of the files; an action on it writes them.
+    """
+    return write_text_files(processed.withColumn("processed", F.array_join("tokens", " ")), path, key, "processed")
 
 
 def write_results_csv(results: DataFrame, path: str, key: str = "query_id", doc: str = "doc_name") -> None:
@@ -76,18 +64,31 @@ def write_results_csv(results: DataFrame, path: str, key: str = "query_id", doc:
         results.orderBy(key, "rank")
         .select(F.col(key).cast("string").alias("Query_number"), F.col(doc).cast("string").alias("doc_number"))
         .write.mode("overwrite")
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
 
 
 def write_index_csv(encoded: DataFrame, path: str) -> None:
-    """K2/K3: CSV ``Word,Documents`` sorted by word (code-point order)."""
+    """K3: CSV ``Word,Documents`` sorted by word (code-point order)."""
     (
         encoded.orderBy("word")
         .select(F.col("word").alias("Word"), F.col("documents").alias("Documents"))
         .write.mode("overwrite")
-        .option("header", True)
+        .options(**CSV_OPTIONS)
+        .csv(path)
+    )
+
+
+def write_partials_csv(encoded: DataFrame, path: str, batch: str) -> None:
+    """K2: one folder ``<batch>=<value>`` of CSV ``Word,Documents`` per partial index."""
+    (
+        encoded.select(F.col(batch), F.col("word").alias("Word"), F.col("documents").alias("Documents"))
+        .repartitionByRange(batch, "Word")
+        .sortWithinPartitions(batch, "Word")
+        .write.mode("overwrite")
+        .options(**CSV_OPTIONS)
+        .partitionBy(batch)
         .csv(path)
     )
 
@@ -97,10 +98,7 @@ def write_queries_tsv(queries: DataFrame, path: str, key: str = "query_id", text
     (
         queries.select(F.col(key).cast("string").alias("Query number"), F.col(text).alias("Query"))
         .write.mode("overwrite")
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("sep", "\t")
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )

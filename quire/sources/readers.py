@@ -5,11 +5,14 @@ Every reader passes an explicit schema; nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.index import Index
+from ..operators import codec
+from ..operators.index import Index, index_from_postings
+from ..sinks.files import qualified
+from ..sinks.writers import CSV_OPTIONS
 
 QUERY_TSV = StructType([StructField("Query number", StringType()), StructField("Query", StringType())])
 PAIRS_CSV = StructType([StructField("Query_number", StringType()), StructField("doc_number", StringType())])
@@ -17,32 +20,38 @@ INDEX_CSV = StructType([StructField("Word", StringType()), StructField("Document
 
 
 def read_index(spark: SparkSession, path: str, key: str = "doc_id") -> Index:
-    """S3: index artefacts written by ``write_index`` (postings partitioned by term bucket)."""
-    meta = spark.read.parquet(f"{path}/meta")
-    buckets = meta.select("buckets").first()["buckets"]  # one row
+    """S3: the current version of the index artefacts written by ``write_index``."""
+    version = spark.read.schema("version STRING").parquet(f"{path}/current").first()["version"]  # one row
+    meta = spark.read.parquet(f"{path}/{version}/meta")
     return Index(
-        postings=spark.read.parquet(f"{path}/postings"),
+        postings=spark.read.parquet(f"{path}/{version}/postings"),
         n_docs_df=meta.select("n_docs"),
         key=key,
-        buckets=int(buckets) or None,
+        buckets=int(meta.select("buckets").first()["buckets"]),  # one row
     )
 
 
 def read_text_dir(spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = False) -> tuple[DataFrame, DataFrame]:
     """One document per file -> ``(doc_id, text)`` plus rejected files.
 
-    ``doc_id`` is the file's base name.  Files are matched by ``glob`` at
-    listing time (case-sensitive suffix); each is read whole.  Files that are
-    not valid UTF-8 are returned in the second frame ``(doc_id, path)`` instead
-    of being silently mangled.  Zero-byte files hold no tokens and are dropped
-    later by the empty-document filter like any other empty text.
+    ``doc_id`` is the file's base name, with ``recursive`` its path below
+    ``path`` (so equal names in two folders stay two documents).  Files are
+    matched by ``glob`` at listing time (case-sensitive suffix); each is read
+    whole.  Files that are not valid UTF-8 are returned in the second frame
+    ``(doc_id, path)`` instead of being silently mangled.  Zero-byte files hold
+    no tokens and are dropped later by the empty-document filter like any
+    other empty text.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    doc_id = F.element_at(F.split("path", "/"), -1)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+        # The listing says file:///a or file:/a, whichever the store prefers.
+        root = qualified(spark, path).split(":", 1)[-1].rstrip("/").lstrip("/")
+        doc_id = F.substring_index(F.col("path"), root + "/", -1)
     raw = reader.load(path).select("path", "content")
     named = raw.select(
-        F.element_at(F.split("path", "/"), -1).alias("doc_id"),
+        doc_id.alias("doc_id"),
         "path",
         F.is_valid_utf8(F.col("content").cast("string")).alias("ok"),
         F.col("content").cast("string").alias("text"),
@@ -50,49 +59,76 @@ def read_text_dir(spark: SparkSession, path: str, glob: str = "*.txt", recursive
     return named.where("ok").select("doc_id", "text"), named.where(~F.col("ok")).select("doc_id", "path")
 
 
-def read_queries_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """``(query_id, query_text)`` from a TSV with header ``Query number``, ``Query``."""
-    df = (
-        spark.read.schema(QUERY_TSV)
-        .option("header", True)
-        .option("sep", "\t")
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+def read_queries_tsv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """``(query_id, query_text)`` from a TSV with header ``Query number``, ``Query``.
+
+    Queries may hold line breaks, so by default a file is read by one task;
+    without any, ``multiline=False`` splits large files.
+    """
+    df = spark.read.schema(QUERY_TSV).options(**CSV_OPTIONS).option("sep", "\t").option("multiLine", multiline).csv(path)
     return df.select(F.col("Query number").alias("query_id"), F.col("Query").alias("query_text"))
 
 
 def read_pairs_csv(spark: SparkSession, path: str) -> DataFrame:
     """``(query_id, doc_number)`` from a results or judgements CSV (all text)."""
-    df = spark.read.schema(PAIRS_CSV).option("header", True).csv(path)
+    df = spark.read.schema(PAIRS_CSV).options(**CSV_OPTIONS).csv(path)
     return df.select(F.col("Query_number").alias("query_id"), F.col("doc_number").alias("doc_number"))
 
 
 def read_results_csv(spark: SparkSession, path: str) -> DataFrame:
     """S5 for results: the file order is the rank order; the rank is recovered from it.
 
-    Files are written in (query, rank) order by ``write_results_csv``; the
-    position inside each query is taken from the read order of that file
-    (file name, then line), which Spark keeps within a split.
+    For interchange: results kept as a table carry their rank.  Lines are
+    ordered by the number of their part file, the start of their split in it,
+    and their place in the split.
     """
-    df = spark.read.schema(PAIRS_CSV).option("header", True).csv(path)
+    df = spark.read.schema(PAIRS_CSV).options(**CSV_OPTIONS).csv(path)
     ordered = df.select(
         F.col("Query_number").alias("query_id"),
         F.col("doc_number").alias("doc_name"),
-        F.input_file_name().alias("_f"),
+        F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).try_cast("int").alias("_p"),
+        F.col("_metadata.file_name").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_i"),
     )
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("query_id").orderBy("_f", "_i")
+    w = Window.partitionBy("query_id").orderBy("_p", "_f", "_b", "_i")
     return ordered.select("query_id", F.row_number().over(w).alias("rank"), "doc_name")
 
 
 def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``(Word, Documents)`` rows of an index CSV (decode with ``codec.decode_postings``)."""
-    return spark.read.schema(INDEX_CSV).option("header", True).csv(path).select(
-        F.col("Word").alias("word"), F.col("Documents").alias("documents")
+    """``(word, documents)`` rows of an index CSV (decode with ``codec.decode_postings``).
+
+    Over a folder of partial indexes the folder column (``batch=...``) comes along.
+    """
+    df = spark.read.schema(INDEX_CSV).options(**CSV_OPTIONS).csv(path)
+    rest = [c for c in df.columns if c not in ("Word", "Documents")]
+    return df.select(F.col("Word").alias("word"), F.col("Documents").alias("documents"), *rest)
+
+
+def read_index_csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, word, documents)`` in the order of the files, lines numbered from 1.
+
+    Lines are numbered within their file; only the line counts of the files are added up in one place.
+    """
+    df = spark.read.schema(INDEX_CSV).options(**CSV_OPTIONS).csv(path).select(
+        F.col("Word").alias("word"),
+        F.col("Documents").alias("documents"),
+        F.col("_metadata.file_name").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"),
+        F.monotonically_increasing_id().alias("_i"),
     )
+    files = df.groupBy("_f").agg(F.count(F.lit(1)).alias("n"))
+    by_file = Window.orderBy(F.regexp_extract("_f", "part-([0-9]+)", 1).try_cast("int"), "_f").rowsBetween(Window.unboundedPreceding, -1)
+    before = files.select("_f", F.coalesce(F.sum("n").over(by_file), F.lit(0)).alias("before"))
+    line = F.row_number().over(Window.partitionBy("_f").orderBy("_b", "_i")) + F.col("before")
+    return df.join(before, "_f").select(line.cast("bigint").alias("line"), "word", "documents")
+
+
+def read_partials_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Long postings ``(term, doc_id, tf)`` of all partial indexes below ``path``."""
+    return codec.decode_postings(read_index_csv(spark, path)).select("term", "doc_id", "tf")
+
+
+def index_from_csv(spark: SparkSession, path: str) -> Index:
+    """S3: a queryable index from a merged index CSV; statistics are worked out from its lists."""
+    return index_from_postings(codec.decode_postings(read_index_csv(spark, path)))

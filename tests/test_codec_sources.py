@@ -18,7 +18,7 @@ def test_decode_edge_cases(spark):
         [("w", "a:b.txt:0.5, abc, d:x, e.txt:0.250000"), ("null", "n.txt:1.0")], "word string, documents string"
     )
     got = sorted(map(tuple, C.decode_postings(enc).collect()))
-    assert got == [("null", "n.txt", 1.0), ("w", "a:b.txt", 0.5), ("w", "e.txt", 0.25)]
+    assert got == [("null", 1, "n.txt", 1.0), ("w", 1, "a:b.txt", 0.5), ("w", 2, "e.txt", 0.25)]
 
 
 def test_encode_decode_round_trip(spark):
@@ -26,9 +26,68 @@ def test_encode_decode_round_trip(spark):
         [("t", 1, 5, 0.5), ("t", 2, 3, 0.25), ("u", 1, 3, 0.000001)], "term string, rank int, doc_id long, tf double"
     )
     enc = C.encode_postings(champs).orderBy("word").collect()
-    assert enc[0]["documents"] == "5:0.500000, 3:0.250000"
+    assert enc[0]["documents"] == "5:0.5, 3:0.25" and enc[1]["documents"] == "3:1e-06"
     back = sorted(map(tuple, C.decode_postings(C.encode_postings(champs)).collect()))
-    assert back == [("t", "3", 0.25), ("t", "5", 0.5), ("u", "3", 0.000001)]
+    assert back == [("t", 1, "5", 0.5), ("t", 2, "3", 0.25), ("u", 1, "3", 0.000001)]
+
+
+def test_full_text_of_doubles(spark):
+    values = [1.0, 0.5, 0.0125, 0.001, 0.00123, 0.0001, 0.000123, 0.00001, 0.000012, 1e-06, 0.30000000000000004, 12.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(C.full_text("x")).collect()] == [str(v) for v in values]
+
+
+NAMES = ['a"b.txt', "c,d.txt", "e\\f.txt", "g:h.txt", 'i"",j.txt', "k l.txt"]
+
+
+def test_index_csv_keeps_odd_names_and_searches_alike(spark):
+    from quire.operators import index as I
+    from quire.operators import retrieve as R
+    from quire.operators.analysis import analyze
+
+    docs = spark.createDataFrame([(n, "alpha beta " + "gamma " * k) for k, n in enumerate(NAMES)], "doc_id string, text string")
+    counts = I.term_counts(analyze(docs, "doc_id"))
+    champs = I.champions(I.term_frequencies(counts))
+    d = tempfile.mkdtemp(prefix="quire-test-")
+    Wr.write_index_csv(C.encode_postings(champs), d + "/index")
+    idx = Rd.index_from_csv(spark, d + "/index")
+    cols = ["term", "rank", "doc_id", "tf"]
+    assert sorted(map(tuple, idx.postings.select(*cols).collect())) == sorted(map(tuple, champs.select(*cols).collect()))
+    q = spark.createDataFrame([(1, "gamma"), (2, "alpha gamma")], "query_id long, query_text string")
+    assert sorted(map(tuple, R.search(idx, q).collect())) == sorted(map(tuple, R.search(I.build_index(analyze(docs, "doc_id")), q).collect()))
+
+
+def test_index_csv_written_by_a_standard_writer(spark):
+    import csv
+
+    d = tempfile.mkdtemp(prefix="quire-test-")
+    rows = [("w", ", ".join(f"{n}:0.25" for n in NAMES[:1] + NAMES[2:4])), ("x", "broken, y.txt:z, ok.txt:0.5")]
+    with open(d + "/i.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([("Word", "Documents"), *rows])
+    got = sorted(map(tuple, C.decode_postings(Rd.read_index_csv(spark, d + "/i.csv")).collect()))
+    assert got == [("w", 1, NAMES[0], 0.25), ("w", 2, NAMES[2], 0.25), ("w", 3, NAMES[3], 0.25), ("x", 1, "ok.txt", 0.5)]
+
+
+def test_partial_csvs_unite_and_add_up(spark):
+    from quire.operators import index as I
+
+    a = spark.createDataFrame([(0, "t", "d1", 0.25), (0, "t", "d2", 0.5), (1, "u", "d1", 0.125)], "batch int, term string, doc_id string, tf double")
+    b = spark.createDataFrame([(0, "t", "d1", 0.5)], "batch int, term string, doc_id string, tf double")
+    d = tempfile.mkdtemp(prefix="quire-test-")
+    for name, part in (("a", a), ("b", b)):
+        Wr.write_partials_csv(C.encode_partials(part, "batch"), f"{d}/{name}", "batch")
+    merged = I.merge_indexes([Rd.read_partials_csv(spark, f"{d}/{name}") for name in "ab"])
+    assert sorted(map(tuple, merged.collect())) == [("t", 1, "d1", 0.75), ("t", 2, "d2", 0.5), ("u", 1, "d1", 0.125)]
+
+
+def test_recursive_scan_keeps_equal_names_apart(spark):
+    d = tempfile.mkdtemp(prefix="quire-test-")
+    for folder in ("x", "y"):
+        os.makedirs(f"{d}/{folder}")
+        with open(f"{d}/{folder}/same.txt", "w") as f:
+            f.write(folder)
+    docs, _ = Rd.read_text_dir(spark, d, recursive=True)
+    assert sorted(map(tuple, docs.collect())) == [("x/same.txt", "x"), ("y/same.txt", "y")]
 
 
 def test_text_dir_with_bad_utf8_and_empty_file(spark):
@@ -97,5 +156,6 @@ def test_write_processed_parquet_and_text(spark):
     Wr.write_processed(p, d + "/pq")
     got = [tuple(r) for r in spark.read.parquet(d + "/pq").collect()]
     assert got == [(1, "hello brave new world", 4)]
-    Wr.write_processed(p, d + "/txt", fmt="text")
-    assert [r[0] for r in spark.read.text(d + "/txt").collect()] == ["1\thello brave new world"]
+    named = p.withColumn("name", F.concat(F.lit("p"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    assert Wr.write_processed_files(named, d + "/txt", "name").count() == 1
+    assert open(d + "/txt/p1.txt").read() == "hello brave new world"

@@ -31,6 +31,13 @@ def test_repeated_retrieved_id(spark):
     assert E.recall_at_k(ranked, qrels, [2]).first()["recall"] == 1.0
 
 
+def test_judgements_are_sets_whatever_is_passed(spark):
+    ranked = _ranked(spark, [("q", 1, "x1"), ("q", 2, "x5"), ("q", 3, "x2")])
+    raw = spark.createDataFrame([("q", 1), ("q", 1), ("q", 2), ("q", None), (None, 3)], "query_id string, doc_no int")
+    m = E.map_mar(ranked, raw, [3]).first()
+    assert math.isclose(m["map_k"], (1 + 2 / 3) / 2) and m["mar_k"] == 1.0
+
+
 def test_judged_query_without_results_and_unjudged_query(spark):
     ranked = _ranked(spark, [("other", 1, "d4")])
     qrels = _qrels(spark, [("q", "4")])

@@ -40,12 +40,44 @@ def test_one_document_corpus_negative_idf(spark):
 
 def test_unknown_query_term_counts_in_length(spark):
     idx = _index(spark, {1: "alpha beta", 2: "beta gamma", 3: "delta"})
-    qt = R.query_terms(spark.createDataFrame([(7, "zzzz alpha")], "query_id long, query_text string"))
-    qv = {r["term"]: r for r in R.query_vectors(qt, idx).collect()}
+    terms = R.lookup(idx, spark.createDataFrame([(7, "zzzz alpha")], "query_id long, query_text string"))
+    qv = {r["term"]: r for r in R.query_vectors(*terms).collect()}
     assert qv["zzzz"]["weight"] == 0.0 and qv["zzzz"]["qlen"] == 2
     assert math.isclose(qv["alpha"]["weight"], 0.5 * math.log(3 / 2))
 
 
+@pytest.mark.parametrize("ids", [(1, 1), (1, None)])
+def test_repeated_or_missing_query_ids_are_rejected(spark, ids):
+    idx = _index(spark, {1: "alpha beta", 2: "beta gamma"})
+    q = spark.createDataFrame([(ids[0], "alpha"), (ids[1], "beta")], "query_id long, query_text string")
+    with pytest.raises(ValueError, match="unique"):
+        R.search(idx, q)
+
+
+def test_no_score_above_one(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    res = R.search(I.build_index(analyze(docs, "doc_id")), df.select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text")))
+    assert res.agg(F.max("score")).first()[0] <= 1.0
+
+
+def test_rows_of_one_key_add_up_when_grouped(spark):
+    df = spark.createDataFrame([("a", "red blue"), ("a", "red"), ("b", "blue")], "doc_id string, text string")
+    idx = I.build_index(analyze(df, "doc_id"), counting="grouped")
+    got = sorted((r["term"], r["doc_id"], r["tf"]) for r in idx.postings.collect())
+    assert got == [("blue", "a", 0.333333), ("blue", "b", 1.0), ("red", "a", 0.666667)]
+
+
+def test_unpruned_index_has_no_collected_form(spark):
+    from quire.operators import codec as C
+
+    champs = I.champions(I.term_frequencies(I.term_counts(analyze(spark.createDataFrame([(1, "aa bb")], "doc_id long, text string"), "doc_id"))), None)
+    with pytest.raises(ValueError):
+        I.nested_view(champs, top_n=None)
+    with pytest.raises(ValueError):
+        C.encode_postings(champs.drop("rank"))
+
+
 def test_empty_query_returns_nothing(spark):
     idx = _index(spark, {1: "alpha beta"})
     assert _search(spark, idx, {1: "the of and"}).count() == 0
