@@ -31,7 +31,8 @@ MAX_SHARE = 0.1
 RATES = (1 / 16, 1 / 64, 1 / 256, 1 / 1024)  # share of the lexicon in a subset
 PER_RATE = 8
 SUBSETS = PER_RATE * len(RATES)
-BLOCK_DOCS = 4000
+BLOCK_DOCS = 1000
+MOST_BLOCKS = 20_000  # cuts are literals of the plan; beyond this, blocks grow instead of their number
 TOP_CELLS = 128  # cuts are searched in two steps of about this many
 
 
@@ -99,7 +100,7 @@ def with_next(docs: DataFrame, n_docs: int, block_docs: int = BLOCK_DOCS) -> Dat
     Partitioned by ``block``.  ``guest`` marks the first document of the next block, which is there
     only to be the last one's neighbour.
     """
-    n_blocks = max(1, -(-n_docs // block_docs))
+    n_blocks = min(MOST_BLOCKS, max(1, -(-n_docs // block_docs)))
     steps = [k / n_blocks for k in range(1, n_blocks)]
     got = docs.agg(F.max("doc_id").alias("top"), F.percentile_approx("doc_id", F.array(*[F.lit(s) for s in steps]) if steps else F.array(F.lit(0.5)), F.lit(max(100, 20 * n_blocks))).alias("cuts")).first()
     # Every cut is a doc_id that occurs, the last one the largest: block b ends with document cuts[b].
