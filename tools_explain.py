@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quire.operators import evaluate as E  # noqa: E402
 from quire.operators import retrieve as R  # noqa: E402
+from quire.operators.util import stored as stored_table  # noqa: E402
 from quire.plans import pipeline as P  # noqa: E402
 from quire.session import local_session, scratch_path  # noqa: E402
 from quire.sinks.writers import write_index  # noqa: E402
@@ -57,7 +58,9 @@ def main(argv):
     write_index(idx, path, buckets=16)
     stored = read_index(spark, path)
     q = P.benchmark_queries(spark, sf)
-    print("## Search on a stored, bucketed index (top 10 per query)\n\n```\n" + tree(R.search(stored, q)) + "\n```\n")
+    terms = stored_table(R.query_terms(q), "terms")
+    print("## Lookup of the query terms in a stored, bucketed index\n\n```\n" + tree(R.matches(terms, stored)) + "\n```\n")
+    print("## Scores and top 10 per query, from the matches\n\n```\n" + tree(R.search(stored, q)) + "\n```\n")
     res = R.search(stored, q)
     print("## MAP/MAR (judgements by fingerprint join)\n\n```\n" + tree(E.map_mar(E.ranked_ids(E.doc_names(res)), P.qrels(spark, sf))) + "\n```\n")
 
