@@ -176,7 +176,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, kind:
 
     some = d.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     dictionary = train_dictionary([bytes(r.ids) for r in some.select("text").mapInPandas(sample_ids, "ids binary").collect()])
-    _write(f"{root}/dictionary/{hashlib.sha256(dictionary).hexdigest()}", dictionary)
+    # The magic comes first, so that the file of an empty dictionary is not an empty file, which scans pass over.
+    _write(f"{root}/dictionary/{hashlib.sha256(dictionary).hexdigest()}", MAGIC + dictionary)
 
     def write_shards(batches):
         import pandas as pd
@@ -218,7 +219,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def read_dictionary(spark: SparkSession, path: str) -> bytes:
     """The store's one dictionary; its name has to be its hash."""
     row = spark.read.format("binaryFile").load(f"{qualified(spark, path)}/dictionary").select("path", "content").first()
-    data = bytes(row["content"])
+    data = bytes(row["content"]).removeprefix(MAGIC)
     if hashlib.sha256(data).hexdigest() != row["path"].rsplit("/", 1)[1]:
         raise ValueError("the dictionary file is damaged")
     return data
