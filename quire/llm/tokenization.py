@@ -10,7 +10,7 @@ no pre-token of the tokenizer crosses a cut.  Two ways of cutting are used:
   in a text with the opening of a special token, which is encoded whole.
 
 Words repeat, so most chunks come from the cache and the merges run only once
-per distinct chunk.  The cache is cleared when it holds ``CACHE_CHUNKS``
+per distinct word; new words are encoded many at a time.  The cache is cleared when it holds ``CACHE_CHUNKS``
 entries, so memory stays bounded on any vocabulary.
 """
 
@@ -18,10 +18,13 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from array import array
+from collections.abc import Iterable, Sequence
 
 CACHE_CHUNKS = 1_000_000  # entries (about 200 MB) a Python worker keeps
 
+_CLOSING = ".,!?;:"
+_MARK = "\x01"
 _IRREGULAR = re.compile(r"  |[^\S \n]| \n|\n |\n\n|<\||\x00")
 _LOADED: dict[tuple[str, str], "ChunkTokenizer"] = {}
 
@@ -47,6 +50,12 @@ class ChunkTokenizer:
         self._tok = Tokenizer.from_file(path)
         self._kind = kind
         self._cache: dict[str, bytes] = {"": b""}
+        if kind == "byte":
+            self._line_feed = self._tok.token_to_id("\u010a")
+            # Ids whose token begins with a space: inside joined chunks, the first of each.
+            self._spaced = {k for token, k in self._tok.get_vocab().items() if token.startswith("\u0120")}
+        else:
+            self._mark = self._tok.encode(_MARK, add_special_tokens=False).ids
 
     def _chunks(self, text: str) -> list[str] | None:
         """The chunks of ``text``, or None when it has to be encoded whole."""
@@ -56,13 +65,62 @@ class ChunkTokenizer:
             return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
         return None if "<|" in text else text.replace("\n", " ").split(" ")
 
-    def _encode_missing(self, missing: list[str]) -> None:
-        from array import array
-
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for chunk, enc in zip(part, self._tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self._cache[chunk] = array("I", enc.ids).tobytes()
+    def _learn(self, missing: Iterable[str]) -> None:
+        """Put chunks into the cache.  Closing marks are pre-tokens of their own after a letter or
+        digit, so a word with marks is put together from the two."""
+        composed, need = [], set()
+        for chunk in missing:
+            word = chunk.rstrip(_CLOSING)
+            if len(word) < len(chunk) and word and word[-1].isalnum():
+                composed.append((chunk, word))
+                need.update((word, chunk[len(word) :]))
+            else:
+                need.add(chunk)
+        new = [c for c in need if c not in self._cache]
+        for at in range(0, len(new), 4096):
+            self._encode_new(new[at : at + 4096])
+        for chunk, word in composed:
+            self._cache[chunk] = self._cache[word] + self._cache[chunk[len(word) :]]
+
+    def _encode_new(self, new: list[str]) -> None:
+        """Encode chunks, joined to few long texts that the tokenizer takes apart where they meet."""
+        if self._kind == "byte":
+            spaced = [c for c in new if len(c) > 1 and c[0] == " " and c[1] != " "]
+            plain = [c for c in new if c[0] not in " \n"]
+            rest = [c for c in new if c in (" ", "\n")]
+            found = {}
+            for group, glue in ((spaced, ""), (plain, "\n")):
+                found.update(zip(group, self._taken_apart(group, glue), strict=True))
+            found.update((c, self._tok.encode(c, add_special_tokens=False).ids) for c in rest)
+        else:
+            free = [c for c in new if _MARK not in c]
+            found = dict(zip(free, self._taken_apart(free, f" {_MARK} "), strict=True))
+            found.update((c, self._tok.encode(c, add_special_tokens=False).ids) for c in new if _MARK in c)
+        for chunk in new:
+            self._cache[chunk] = array("I", found[chunk]).tobytes()
+
+    def _taken_apart(self, group: list[str], glue: str) -> list[list[int]]:
+        if not group:
+            return []
+        ids = self._tok.encode_batch_fast([glue.join(group)], add_special_tokens=False)[0].ids
+        out: list[list[int]] = []
+        if self._kind == "byte" and not glue:
+            spaced = self._spaced
+            for k in ids:
+                if k in spaced:
+                    out.append([])
+                out[-1].append(k)
+        else:
+            end = self._line_feed if self._kind == "byte" else self._mark[0]
+            out.append([])
+            for k in ids:
+                if k == end:
+                    out.append([])
+                else:
+                    out[-1].append(k)
+        if len(out) != len(group) or self._kind == "word" and len(self._mark) != 1:
+            return [e.ids for e in self._tok.encode_batch_fast(group, add_special_tokens=False)]
+        return out
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of every text (None counts as empty), little-endian uint32."""
@@ -82,7 +140,7 @@ class ChunkTokenizer:
                 if len(cache) > CACHE_CHUNKS:
                     cache.clear()
                     cache[""] = b""
-                self._encode_missing([c for c in set(chunks) if c not in cache])
+                self._learn(c for c in set(chunks) if c not in cache)
                 out.append(b"".join(map(cache.__getitem__, chunks)))
         return out
 
