@@ -97,6 +97,7 @@ VARIANTS = 24  # per template
 WINDOW_WORDS = 60
 MIN_PROBABILITY = 0.5
 MIN_MATCH = 0.6
+MIN_SHARED = 3
 STEPS = 150
 SEED = 11
 
@@ -118,8 +119,10 @@ def windows(words: list[str], size: int = WINDOW_WORDS) -> list[list[str]]:
 
 
 def best_match(grams: set[str], templates: Sequence[set[str]]) -> float:
-    """Largest share of the smaller n-gram set that paragraph and a template have in common."""
-    return max((len(grams & t) / max(1, min(len(grams), len(t))) for t in templates), default=0.0)
+    """Largest share of the smaller n-gram set that paragraph and a template have in common;
+    fewer than ``MIN_SHARED`` n-grams are no evidence."""
+    shared = [(len(grams & t), min(len(grams), len(t))) for t in templates]
+    return max((n / least for n, least in shared if n >= MIN_SHARED), default=0.0)
 
 
 class Classifier:
