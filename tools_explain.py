@@ -35,7 +35,7 @@ def tree(df) -> str:
         cg = re.match(r"^\*\((\d+)\)\s*(.*)$", rest)
         if cg:
             rest = cg.group(2)
-        name = re.split(r"[\[(]", rest, 1)[0].strip()
+        name = re.split(r"[\[(]", rest, maxsplit=1)[0].strip()
         if cg:
             name = f"*({cg.group(1)}) {name}"
         detail = ""
