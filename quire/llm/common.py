@@ -1,4 +1,4 @@
-"""Helpers shared by the operators of this subpackage."""
+"""Helpers shared by the operators of this subpackage (and ``stored``, the library's own)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..operators.util import stored  # noqa: F401
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +27,8 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back: lineage ends there,
-    so a lost executor costs a re-read and not a re-run."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def among_smallest(hashed: Column, wanted: int, of: int | Column) -> Column:
+    """Whether a 64-bit hash is likely among the ``wanted`` smallest ``of`` so many: thins the rows out
+    before they are ordered for a sample, so that what is sent does not grow with their number."""
+    share = F.least(F.lit(1.0), F.lit(4.0 * wanted) / F.greatest(of if isinstance(of, Column) else F.lit(of), F.lit(1)).cast("double"))
+    return (hashed.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) <= share

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.util import ship_package
-from .common import text_or_empty
+from .common import among_smallest, text_or_empty
 from .tokenization import tokenizer_path
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -220,7 +220,11 @@ def train(docs: DataFrame, vocabulary: str | None = None, sample_docs: int = SAM
     sizes = rows.groupBy("lang").count().collect()  # one row per language
     # Which documents: by hash, on ids alone; then only their texts are read on.
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs).select("doc_id", "lang")
+    of = F.lit(0)
+    for r in sizes:
+        of = F.when(F.col("lang") == r["lang"], r["count"]).otherwise(of)
+    few = rows.select("doc_id", "lang").where(among_smallest(F.xxhash64("doc_id"), sample_docs, of))
+    chosen = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs).select("doc_id", "lang")
     some = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def count_words(batches: Iterator) -> Iterator:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.util import ship_package
-from .common import text_or_empty
+from .common import among_smallest, text_or_empty
 
 # --- fixed values: licence statements as published ---------------------------
 TEMPLATES = {
@@ -236,7 +236,8 @@ def _softmax(z):
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = SEED) -> Classifier:
     """A classifier; its unknown class comes from a bounded sample of ``docs``."""
     text = F.substring(text_or_empty(), 1, 20_000)
-    some = docs.select("doc_id", text.alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_docs).collect()
+    few = docs.where(among_smallest(F.xxhash64("doc_id"), sample_docs, docs.count()))
+    some = few.select("doc_id", text.alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_docs).collect()
     lines = sorted({" ".join(w) for r in some for line in r["text"].split("\n") for w in windows(words_of(line))} - {""})
     import numpy as np
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.util import ship_package
 from ..sinks.files import qualified
-from .common import text_or_empty
+from .common import among_smallest, text_or_empty
 from .tokenization import load, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -174,7 +174,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, kind:
         for pdf in batches:
             yield pdf.assign(ids=encode(pdf["text"].tolist()))[["ids"]]
 
-    some = d.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    few = d.where(among_smallest(F.xxhash64("doc_id"), SAMPLE_DOCS, d.count()))
+    some = few.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     dictionary = train_dictionary([bytes(r.ids) for r in some.select("text").mapInPandas(sample_ids, "ids binary").collect()])
     # The magic comes first, so that the file of an empty dictionary is not an empty file, which scans pass over.
     _write(f"{root}/dictionary/{hashlib.sha256(dictionary).hexdigest()}", MAGIC + dictionary)
