@@ -44,14 +44,16 @@ SHAPES = {
     "iban": "[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
     "date": f"(?:{_YEAR}-{_MONTH}-{_DAY}|{_DAY}/{_MONTH}/{_YEAR}|{_DAY}\\.{_MONTH}\\.{_YEAR})",
     "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "ip": "[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}",
+    # Like the other numbers it stands free of letters, and so does the dotted number it may begin.
+    "ip": "[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}(?!(?:\\.[0-9]+)+[A-Za-z])",
     "phone": "\\+?[0-9]{1,3}[ .-]?\\([0-9]{3}\\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\\+[0-9]{1,3}[ .-][0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}",
     "card": "[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19}",
 }
 KINDS = tuple(SHAPES)
 # An address may touch any mark; numbers stand free of letters and digits.
 ANY = f"{SHAPES['email']}|(?<![A-Za-z0-9])(?:" + "|".join(SHAPES[k] for k in KINDS if k != "email") + ")(?![A-Za-z0-9])"
-GATE = "[0-9]{2}|@"
+# In every match of ANY: two digits together, an address of single digits, or an e-mail address.
+GATE = "[0-9]{2}|[0-9]\\.[0-9]|@"
 
 _FIRST_DAY, _DAYS = "1900-01-01", 17 * 4297  # 1900-01-01 to 2099-12-31
 

@@ -82,6 +82,14 @@ def test_key_and_links(spark):
     assert a[0].startswith("call ") and a[0].endswith(" now")
 
 
+def test_single_digit_addresses_are_replaced_wherever_they_stand(spark):
+    for ip in ("8.8.8.8", "1.1.1.1", "0.0.0.0"):
+        alone, beside = names(spark, [f"see {ip} now", f"see {ip} now 42"])
+        assert alone != f"see {ip} now" and beside == alone + " 42"
+    df = spark.createDataFrame([(1, "8.8.8.8"), (2, "300.1.1.1"), (3, "1.2.3.4.5x"), (4, "10.2.3.4.5x")], "doc_id long, text string")
+    assert [(r["n_ip"], r["n_left"]) for r in P.pseudonymise(df).orderBy("doc_id").collect()] == [(1, 0), (0, 1), (0, 0), (0, 0)]
+
+
 def test_no_value_is_left_in_the_supplied_rows(spark):
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in df.collect()}
