@@ -11,11 +11,15 @@ card              13 to 19 digits, grouped    all but the first and last digit;
                   as cards are                distance from the Luhn digit, so valid numbers stay
                                               valid and others do not become so
 ssn               area, group, serial ranges  within the same ranges
-phone             country code, 10 digits     the 10 digits
+phone             10 digits, grouped or       the 10 digits
+                  after a country code
 ip                four octets up to 255       the 32 bits
-iban              mod 97 is 1                 letters and digits of the account part, each within
-                                              its class; check digits anew
-date              a day from 1900 to 2099     within these days, in the same notation
+iban              mod 97 is 1, in one piece   letters and digits of the account part, each within
+                  or in groups of four        its class; check digits anew
+date              a day from 1900 to 2099;    within the days up to the twelfth or the later ones,
+                  year first, day first, or   in the same notation
+                  month first if only that
+                  makes a date
 email             shape of an address         letters and digits of the name, each within its class
 ================  ==========================  =======================================
 
@@ -36,17 +40,28 @@ TEXT_ROUNDS = 4
 KEY_CONF = "quire.pii.key"
 DEFAULT_KEY = "quire-pseudonyms"
 
-_DAY = "(?:0[1-9]|[12][0-9]|3[01])"
-_MONTH = "(?:0[1-9]|1[0-2])"
+_DAY = "(?:3[01]|[12][0-9]|0?[1-9])"
+_MONTH = "(?:1[0-2]|0?[1-9])"
 _YEAR = "(?:19|20)[0-9]{2}"
+# Characters of an IBAN by country, as registered; groups of four end with it, and what follows is not taken for a group.
+_IBAN_CHARS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_GROUPED_IBAN = "|".join(
+    f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, countries in _IBAN_CHARS.items()
+)
 SHAPES = {
     "email": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}",
-    "iban": "[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
-    "date": f"(?:{_YEAR}-{_MONTH}-{_DAY}|{_DAY}/{_MONTH}/{_YEAR}|{_DAY}\\.{_MONTH}\\.{_YEAR})",
+    "iban": f"[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_GROUPED_IBAN}",
+    "date": "|".join(f"{_YEAR}{m}{_MONTH}{m}{_DAY}|{_DAY}{m}{_DAY}{m}{_YEAR}" for m in ("-", "/", "\\.")),
     "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
     # Like the other numbers it stands free of letters, and so does the dotted number it may begin.
     "ip": "[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}(?!(?:\\.[0-9]+)+[A-Za-z])",
-    "phone": "\\+?[0-9]{1,3}[ .-]?\\([0-9]{3}\\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\\+[0-9]{1,3}[ .-][0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}",
+    "phone": "(?:\\+?[0-9]{1,3}[ .-]?)?\\([0-9]{3}\\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\\+[0-9]{1,3}[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:[0-9]{1,3}[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}",
     "card": "[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19}",
 }
 KINDS = tuple(SHAPES)
@@ -55,7 +70,8 @@ ANY = f"{SHAPES['email']}|(?<![A-Za-z0-9])(?:" + "|".join(SHAPES[k] for k in KIN
 # In every match of ANY: two digits together, an address of single digits, or an e-mail address.
 GATE = "[0-9]{2}|[0-9]\\.[0-9]|@"
 
-_FIRST_DAY, _DAYS = "1900-01-01", 17 * 4297  # 1900-01-01 to 2099-12-31
+_FIRST_DAY = "1900-01-01"  # to 2099-12-31: 200 years of 12 * 12 days up to the twelfth, and 44,249 later ones
+_EARLY, _LATE = (200, 144), (150, 295)  # the pairs of _LATE are one more than the later days
 
 
 def _hash(key: str, kind: str, n: Column, i: Column, x: Column) -> Column:
@@ -205,29 +221,69 @@ def _mod97(string: Column) -> Column:
 
 
 def _iban(v: Column, key: str) -> Column:
-    rest = F.substring(v, F.lit(5), F.char_length(v))
-    country = F.left(v, F.lit(2))
-    valid = _mod97(F.concat(rest, F.left(v, F.lit(4)))) == 1
+    def told(c):
+        rest = F.substring(c, F.lit(5), F.char_length(c))
+        country = F.left(c, F.lit(2))
+        valid = _mod97(F.concat(rest, F.left(c, F.lit(4)))) == 1
 
-    def told(p):
-        check = 98 - _mod97(F.concat(p, country, F.lit("00")))
-        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), p)
+        def named(p):
+            check = 98 - _mod97(F.concat(p, country, F.lit("00")))
+            new = F.concat(country, F.lpad(check.cast("string"), 2, "0"), p)
+            return F.when(F.contains(v, F.lit(" ")), F.regexp_replace(new, "(.{4})(?!$)", "$1 ")).otherwise(new)
 
-    return F.when(valid, _let(_permute_text(rest, key, "iban"), told)).otherwise(v)
+        return F.when(valid, _let(_permute_text(rest, key, "iban"), named)).otherwise(v)
 
+    return _let(F.replace(v, F.lit(" ")), told)
 
-def _date(v: Column, key: str) -> Column:
-    iso = v.rlike("^[0-9]{4}")
-    y, m, d = (F.when(iso, F.substring(v, *i)).otherwise(F.substring(v, *o)) for i, o in (((1, 4), (7, 4)), ((6, 2), (4, 2)), ((9, 2), (1, 2))))
-    day = F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")
 
-    def told(n):
-        moved = _permute(F.floor(n / 4297), F.pmod(n, F.lit(4297)), F.lit(17), F.lit(4297), key, "date")
-        new = _let(moved, lambda p: F.date_add(F.lit(_FIRST_DAY).cast("date"), (p["l"] * 4297 + p["r"]).cast("int")))
-        mark = F.substring(v, 3, 1)
-        return _let(new, lambda t: F.when(iso, F.date_format(t, "yyyy-MM-dd")).otherwise(F.concat(F.date_format(t, "dd"), mark, F.date_format(t, "MM"), mark, F.date_format(t, "yyyy"))))
+def _permute_date(day: Column, key: str) -> Column:
+    """A day to another one; days up to the twelfth and later ones each stay among themselves,
+    so that in any notation the day stays as easy or hard to tell from the month."""
+    first = F.lit(_FIRST_DAY).cast("date")
+    months = (F.year(day) - 1900) * 12 + F.month(day) - 1
+    early = _let(
+        _permute(F.year(day) - 1900, (F.month(day) - 1) * 12 + F.dayofmonth(day) - 1, *map(F.lit, _EARLY), key, "date"),
+        lambda m: F.make_date((m["l"] + 1900).cast("int"), (F.floor(m["r"] / 12) + 1).cast("int"), (m["r"] % 12 + 1).cast("int")),
+    )
+
+    def once(n):
+        return _let(_permute(F.floor(n / _LATE[1]), n % _LATE[1], *map(F.lit, _LATE), key, "date-late"), lambda m: m["l"] * _LATE[1] + m["r"])
+
+    last = _LATE[0] * _LATE[1] - 1
 
-    return F.when(day.isNotNull(), _let(F.datediff(day, F.lit(_FIRST_DAY).cast("date")), told)).otherwise(v)
+    def later(n):
+        # The month: 16 to 19 later days each, so a month's place is its number times their mean, or next to it.
+        near = F.floor(n * 2400 / last).cast("int")
+        starts = F.transform(F.sequence(near - 2, near + 2), lambda k: F.struct(F.add_months(first, k).alias("day"), (F.datediff(F.add_months(first, k), first) - 12 * k).alias("n")))
+        return _let(F.element_at(F.filter(starts, lambda s: s["n"] <= n), -1), lambda s: F.date_add(s["day"], (n - s["n"] + 12).cast("int")))
+
+    # The one pair too many is passed over: what meets it goes one step on.
+    moved = _let(once((F.datediff(day, first) - 12 * (months + 1)).cast("bigint")), lambda n: F.when(n == last, once(n)).otherwise(n))
+    return F.when(F.dayofmonth(day) <= 12, early).otherwise(_let(moved, later))
+
+
+def _date(v: Column, key: str) -> Column:
+    mark = F.regexp_extract(v, "[-/.]", 0)
+    fields = F.split(v, "[-/.]")
+
+    def told(f):
+        a, b, c = (F.get(f, F.lit(k)) for k in range(3))
+        ymd = F.char_length(a) == 4
+        # Day before month, unless only month before day makes a date.
+        mdy = ~ymd & (b.cast("int") > 12)
+        y, m, d = F.when(ymd, a).otherwise(c), F.when(ymd | ~mdy, b).otherwise(a), F.when(ymd, c).when(mdy, b).otherwise(a)
+        day = F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
+        short = F.when(ymd, F.concat_ws(" ", b, c)).otherwise(F.concat_ws(" ", a, b))
+        full = (F.char_length(short) == 5) | short.rlike("^0| 0")
+
+        def shown(t):
+            yy, mm, dd = (F.date_format(t, p) for p in ("yyyy", "MM", "dd"))
+            mm, dd = (F.when(full, x).otherwise(x.cast("int").cast("string")) for x in (mm, dd))
+            return F.when(ymd, F.concat(yy, mark, mm, mark, dd)).when(mdy, F.concat(mm, mark, dd, mark, yy)).otherwise(F.concat(dd, mark, mm, mark, yy))
+
+        return F.when(day.isNotNull(), _let(_permute_date(day, key), shown)).otherwise(v)
+
+    return _let(fields, told)
 
 
 def _email(v: Column, key: str) -> Column:

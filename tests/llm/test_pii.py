@@ -90,6 +90,39 @@ def test_single_digit_addresses_are_replaced_wherever_they_stand(spark):
     assert [(r["n_ip"], r["n_left"]) for r in P.pseudonymise(df).orderBy("doc_id").collect()] == [(1, 0), (0, 1), (0, 0), (0, 0)]
 
 
+def test_one_value_in_several_notations_stays_one(spark):
+    phones = ["+1 (743) 555-3824", "(743) 555-3824", "743-555-3824", "743.555.3824", "+17435553824", "+1-743-555-3824", "1-743-555-3824"]
+    dates = ["2020-12-25", "2020/12/25", "25/12/2020", "12/25/2020", "25.12.2020", "25-12-2020", "12-25-2020"]
+    early = ["2021-07-03", "03/07/2021", "3/7/2021", "2021/7/3", "3.7.2021"]
+    ibans = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332 PAID IN FULL"]
+    values = phones + dates + early + ibans
+    out = names(spark, [f"on {v} then" for v in values])
+    for old, new in zip(values, out, strict=True):
+        assert old not in new, old
+    out = [v[3:-5] for v in out]
+    for old, new in zip(phones, out, strict=False):
+        assert re.sub("[0-9]", "9", old) == re.sub("[0-9]", "9", new)
+    assert len({re.sub("[^0-9]", "", v)[-10:] for v in out[:7]}) == 1
+    forms = ["%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%m/%d/%Y", "%d.%m.%Y", "%d-%m-%Y", "%m-%d-%Y"] + ["%Y-%m-%d", "%d/%m/%Y", "%d/%m/%Y", "%Y/%m/%d", "%d.%m.%Y"]
+    days = [datetime.datetime.strptime(v, f).date() for v, f in zip(out[7:19], forms, strict=True)]
+    assert len(set(days[:7])) == len(set(days[7:])) == 1 and days[0].day > 12 >= days[7].day
+    assert out[16] == f"{days[7].day}/{days[7].month}/{days[7].year}"
+    assert out[20].replace(" ", "") == out[19] and mod97(out[19]) == 1 and re.fullmatch("DE[0-9]{2}(?: [0-9]{4}){4} [0-9]{2}", out[20])
+    assert out[22].endswith(" PAID IN FULL") and out[22][:-13].replace(" ", "") == out[21] and mod97(out[21]) == 1
+
+
+def test_all_days_are_permuted_one_to_one(spark):
+    first = datetime.date(1900, 1, 1)
+    days = [first + datetime.timedelta(k) for k in range(73049)]
+    out = [datetime.date.fromisoformat(v) for v in names(spark, [d.isoformat() for d in days])]
+    assert set(out) == set(days) and all((a.day > 12) == (b.day > 12) for a, b in zip(days, out, strict=True))
+
+
+def test_the_gate_lets_every_shape_through():
+    values = ["a@x.org", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "1/2/2003", "2003-1-2", "123-45-6789", "1.2.3.4", "(743) 555-3824", "+17435553824", "1234567890123"]
+    assert all(re.search(P.ANY, v) and re.search(P.GATE, v) for v in values)
+
+
 def test_no_value_is_left_in_the_supplied_rows(spark):
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in df.collect()}
