@@ -12,7 +12,9 @@ Its character counts and its counts per class (digits, lower case, upper case,
 outside hexadecimal) change by one entering and one leaving character, and so
 does the sum of c*log2(c), so each step costs the same.  A window is hot when
 its Shannon entropy reaches the threshold of its class; the hot windows of a
-candidate make one span.  Candidates on the allow-list and spans within a base
+candidate make one span.  Candidates without a digit are spans of their own
+kind (``letters``): there a window is hot when, besides, few of its letter
+pairs are those of written words.  Candidates on the allow-list and spans within a base
 span add nothing.
 
 Offsets count code points; ends are exclusive.
@@ -32,22 +34,35 @@ ASSIGN_CHARS = 12
 # A run is taken whole, so the least length can stand in the pattern itself.
 ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
-KINDS = ("assign", "access", "hex", "entropy")
+KINDS = ("assign", "access", "hex", "entropy", "letters")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 MIN_RUN = WINDOW
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
-# Bits a window needs: hexadecimal characters only, both cases and digits, one case and digits.
-HEX_BITS, MIXED_BITS, PLAIN_BITS = 3.0, 3.6, 3.8
-HEX_DIGITS, MIXED_DIGITS, PLAIN_DIGITS = 4, 2, 4
-# Strings that look random but are no secrets: UUIDs, plain numbers, one short unit repeated, placeholders, words joined by marks.
+# Bits a window needs: hexadecimal characters only, both cases and digits, one case and digits, letters only.
+# Each is what all but about one in a hundred windows of random characters of the class reach (the least class:
+# lower-case hexadecimal, base62, base32, one case); a digit has to be among them, or the letters are judged as such.
+HEX_BITS, MIXED_BITS, PLAIN_BITS, LETTER_BITS = 2.85, 3.6, 3.35, 3.2
+HEX_DIGITS, MIXED_DIGITS, PLAIN_DIGITS = 1, 1, 1
+# Letter pairs that most pairs of written words are among, and few of random letters; a window of letters may have so many.
+PAIRS = (
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur "
+    "ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh "
+    "ir su id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke ui sc ei da do au qu ue ag ap bo ba ck ga gr ht lu mu nu od ov pi "
+    "rd rm ru rn sp sy tt uc ud um up va vo ze zu"
+).split()
+LETTER_PAIRS = 9
+# Strings that look random but are no secrets: UUIDs, plain numbers, one short unit repeated, placeholders, short words and
+# numbers joined by marks (written without a repeated group, which Java would recurse into on a long one).
 ALLOW = (
     "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     "^[0-9+/_=-]+$",
     "^(.{1,8}?)\\1+$",
     "(?i)example|placeholder|x{6,}|changeme",
-    "^[A-Za-z]+([/_=-]+[A-Za-z]+)*([/_=-]*[0-9]{1,4})?$",
+    "^(?!.*\\+)(?!.*[A-Za-z]{16})(?!.*[0-9]{9})(?!.*[0-9][A-Za-z])(?!.*[A-Za-z][0-9]+[^0-9])(?!.*[A-Za-z][0-9]{5}).*$",
+    # Words written together, with up to two numbers: no three pairs of letters in a row that words seldom have.
+    "(?i)^(?=.*[a-z]{5})(?!.*\\+)(?!.*[0-9]{9})(?!(?:.*?[0-9](?![0-9])){3})(?!.*(?:(?!%s)[a-z](?=[a-z])){3}).*$" % "|".join(PAIRS),
 )
 
 
@@ -79,14 +94,30 @@ def _c_log_c(c: Column) -> Column:
     return F.get(table, c)
 
 
-def _hot_range(string: Column) -> Column:
-    """``struct<first, last>``: start of the first and end of the last hot window of ``string``; first is null for none."""
+def _common_pairs(string: Column) -> Column:
+    """Per character 1 where it makes a pair of ``PAIRS`` with the one before it, else 0."""
+    chars = F.split(F.lower(string), "")
+    before = F.slice(F.concat(F.array(F.lit("")), chars), 1, F.size(chars))
+    return F.zip_with(before, chars, lambda a, b: F.concat(a, b).isin(PAIRS).cast("int"))
+
+
+def _hot_range(string: Column, letters: bool = False) -> Column:
+    """``struct<first, last>``: start of the first and end of the last hot window of ``string``; first is null for none.
+
+    ``letters``: the string has no digits, and its pairs are looked at too.
+    """
     codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    steps = F.arrays_zip(codes.alias("new"), F.slice(F.concat(F.array_repeat(F.lit(-1), WINDOW), codes), 1, F.size(codes)).alias("old"))
+    moves = [codes.alias("new"), F.slice(F.concat(F.array_repeat(F.lit(-1), WINDOW), codes), 1, F.size(codes)).alias("old")]
+    names = ["i", "counts", "sum", "digits", "lower", "upper", "other"]
+    if letters:
+        pairs = _common_pairs(string)
+        moves += [pairs.alias("pair"), F.slice(F.concat(F.array_repeat(F.lit(0), WINDOW - 1), pairs), 1, F.size(pairs)).alias("old_pair")]
+        names.append("pairs")
+    steps = F.arrays_zip(*moves)
     zero = F.lit(0)
     start = F.struct(
         zero.alias("i"), F.array_repeat(zero, len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"),
-        zero.alias("digits"), zero.alias("lower"), zero.alias("upper"), zero.alias("other"),
+        *[zero.alias(n) for n in names[3:]],
         F.lit(None).cast("int").alias("first"), zero.alias("last"),
     )
 
@@ -109,36 +140,44 @@ def _hot_range(string: Column) -> Column:
         for name, low, high in (("upper", 0, 26), ("lower", 26, 52), ("digits", 52, 62)):
             out[name] = s[name] + one(new, low, high) - one(old, low, high)
         out["other"] = s["other"] + not_hex(new) - not_hex(old)
+        if letters:
+            out["pairs"] = s["pairs"] + x["pair"] - x["old_pair"]
         return out
 
     def step(s, x):
         c = count(s, x)
         bits = F.lit(math.log2(WINDOW)) - c["sum"] / WINDOW
         d = c["digits"]
-        hot = (
-            ((c["other"] == 0) & (d >= HEX_DIGITS) & (c["lower"] + c["upper"] > 0) & (bits >= HEX_BITS))
-            | ((c["lower"] > 0) & (c["upper"] > 0) & (d >= MIXED_DIGITS) & (bits >= MIXED_BITS))
-            | ((c["lower"] + c["upper"] > 0) & (d >= PLAIN_DIGITS) & (bits >= PLAIN_BITS))
-        ) & (c["i"] >= WINDOW)
+        if letters:
+            hot = (bits >= LETTER_BITS) & (c["pairs"] <= LETTER_PAIRS)
+        else:
+            hot = (
+                ((c["other"] == 0) & (d >= HEX_DIGITS) & (c["lower"] + c["upper"] > 0) & (bits >= HEX_BITS))
+                | ((c["lower"] > 0) & (c["upper"] > 0) & (d >= MIXED_DIGITS) & (bits >= MIXED_BITS))
+                | ((c["lower"] + c["upper"] > 0) & (d >= PLAIN_DIGITS) & (bits >= PLAIN_BITS))
+            )
+        hot = hot & (c["i"] >= WINDOW)
         first = F.when(hot & s["first"].isNull(), c["i"] - WINDOW).otherwise(s["first"])
         last = F.when(hot, c["i"]).otherwise(s["last"])
-        names = ("i", "counts", "sum", "digits", "lower", "upper", "other")
         return F.struct(*[c[n].alias(n) for n in names], first.alias("first"), last.alias("last"))
 
     return F.aggregate(steps, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
-def _entropy_spans(candidates: Column, base: Column) -> Column:
-    def allowed(h):
-        out = ~h["hit"].rlike("[0-9]")
+def _entropy_spans(candidates: Column, base: Column, kind: str = "entropy") -> Column:
+    """Spans of the candidates with a digit, or for ``letters`` of those without."""
+    letters = kind == "letters"
+
+    def judged(h):
+        out = h["hit"].rlike("[0-9]") != F.lit(letters)
         for pattern in ALLOW:
-            out = out | h["hit"].rlike(pattern)
+            out = out & ~h["hit"].rlike(pattern)
         return out
 
-    ranges = F.transform(F.filter(candidates, lambda h: ~allowed(h)), lambda h: F.struct(h["start"].alias("start"), _hot_range(h["hit"]).alias("hot")))
+    ranges = F.transform(F.filter(candidates, judged), lambda h: F.struct(h["start"].alias("start"), _hot_range(h["hit"], letters).alias("hot")))
     spans = F.transform(
         F.filter(ranges, lambda r: r["hot"]["first"].isNotNull()),
-        lambda r: F.struct((r["start"] + r["hot"]["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), (r["start"] + r["hot"]["last"]).alias("end")),
+        lambda r: F.struct((r["start"] + r["hot"]["first"]).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (r["start"] + r["hot"]["last"]).alias("end")),
     )
     return F.filter(spans, lambda e: ~F.exists(base, lambda b: (b["start"] <= e["start"]) & (e["end"] <= b["end"])))
 
@@ -150,19 +189,21 @@ def _told(spans: str) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` columns ``doc_id`` and ``text`` plus ``base`` and ``spans``: arrays of ``struct<start, kind, end>``.
+    """``docs`` columns ``doc_id`` and ``text`` plus ``base``, ``spans`` and ``letters``: arrays of ``struct<start, kind, end>``.
 
-    ``kind`` is the number in ``KINDS``; both are in order of start and kind.
-    A null text counts as empty and gives none.
+    ``kind`` is the number in ``KINDS``; all are in order of start and kind.  ``letters`` are the
+    spans of candidates without a digit, which are less sure and told apart.  A null text counts as empty and gives none.
     """
     d = docs.select("doc_id", text_or_empty().alias("text"))
     assigned = F.filter(_hits("text", ASSIGN, 2), lambda h: F.char_length(h["value"]) >= ASSIGN_CHARS)
     base = F.sort_array(F.concat(_spans(assigned, "assign"), _spans(_hits("text", ACCESS), "access"), _spans(_hits("text", HEX), "hex")))
-    return d.withColumn("base", base).withColumn("spans", F.sort_array(F.concat("base", _entropy_spans(_hits("text", CANDIDATE), F.col("base")))))
+    d = d.withColumn("base", base).withColumn("candidates", _hits("text", CANDIDATE))
+    spans = F.sort_array(F.concat("base", _entropy_spans(F.col("candidates"), F.col("base"))))
+    return d.select("doc_id", "text", "base", spans.alias("spans"), _entropy_spans(F.col("candidates"), F.col("base"), "letters").alias("letters"))
 
 
 def secrets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy)``, one row per row of ``docs``.
+    """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy, letters, n_letters)``, one row per row of ``docs``.
 
     Repeated rows are scanned each; columns other than doc_id and text are not
     read; an empty table gives an empty result.
@@ -173,4 +214,5 @@ def secrets(docs: DataFrame) -> DataFrame:
     return scan(docs).select(
         "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
         F.sha2(_told("base"), 256).alias("base_sha256"), _told("spans").alias("spans"), n("entropy").alias("n_entropy"),
+        _told("letters").alias("letters"), F.size("letters").cast("bigint").alias("n_letters"),
     )

@@ -87,6 +87,25 @@ def test_made_up_rows(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_random_strings_of_every_class_are_found(spark):
+    rng = random.Random(9)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    classes = [lower + "0123456789", upper + "234567", lower + upper + "0123456789", lower + upper + "0123456789_-", "0123456789ABCDEF", lower, upper, lower + upper]
+    kinds = [(k, n) for k in range(len(classes)) for n in (20, 24, 32, 40)]
+    rows = [(k * 100 + n, "x " + "".join(rng.choices(classes[k], k=n)) + " y") for k, n in kinds for _ in range(150)]
+    found = {}
+    for r in S.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r["doc_id"]] = found.get(r["doc_id"], 0) + (r["n_assign"] + r["n_access"] + r["n_hex"] + r["n_entropy"] + r["n_letters"] > 0)
+    assert len(found) == len(kinds) and min(found.values()) >= 0.93 * 150, found
+
+
+def test_words_are_no_secrets(spark):
+    words = ["internationalization", "Donaudampfschifffahrtsgesellschaft", "getElementsByClassName", "anticonstitutionnellement", "internationalization2020", "someCamelCaseIdentifierName2", "a-longer-title-v2-and-more-of-it",
+             "some-article-title-with-words-2020", "/2020/03/12/some-article-title-of-the-day", "path/to/some/longer_file_name_here", "a-" * 30000 + "b"]
+    out = S.secrets(spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r["n_entropy"], r["n_letters"]) for r in out] == [(0, 0)] * len(words), out
+
+
 def test_edge_rows(spark):
     check(edge.table(spark))
     assert len(S.secrets(edge.table(spark)).collect()) == len(edge.ROWS)
