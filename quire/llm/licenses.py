@@ -8,14 +8,16 @@ the templates below (cut, with words dropped and foreign words around) against
 paragraphs of a bounded sample of the corpus, ``SAMPLE_DOCS`` documents chosen
 by hash.  A prediction counts when its probability is ``MIN_PROBABILITY`` or
 more and the paragraph shares ``MIN_MATCH`` of its n-grams, or of the
-template's, with a template of the family, a distinctive word among them.
+template's, with a template of the family.
 
-Every whole text is scanned.  As a distinctive word has to be there, an
-Aho-Corasick pass over the text passes by texts without any.
+Every window of every text is compared: an inverted index of all n-grams of the
+templates, frequent ones too, gives what it shares with each of them, and what
+no template can confirm is not classified.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 
@@ -137,14 +139,13 @@ class Classifier:
         all_templates = [t for ts in self.templates.values() for t in ts]
         others = [w for w in map(words_of, negatives) if w and best_match(ngrams(w), all_templates) < MIN_MATCH]
         others += [words_of(t) for t in NEAR_MISSES for _ in range(4)]
-        # Distinctive words: in templates, in few of the other paragraphs, of some length.
-        seen: dict[str, int] = {}
-        for ws in others:
-            for w in set(ws):
-                seen[w] = seen.get(w, 0) + 1
-        common = max(3, len(others) // 200)
-        template_words = {w for t in all_templates for w in t if " " not in w}
-        self.anchors = {w for w in template_words if len(w) >= 5 and seen.get(w, 0) <= common}
+        # Every n-gram of a template leads to it, however frequent it is elsewhere.
+        self.listed = [(f, t) for f, ts in self.templates.items() for t in ts]
+        self.leads: dict[str, list[int]] = {}
+        for k, (_, t) in enumerate(self.listed):
+            for g in t:
+                self.leads.setdefault(g, []).append(k)
+        self.template_words = {g for g in self.leads if " " not in g}
         rows, labels = [ngrams(w) for w in others], [0] * len(others)
         pool = [w for ws in others for w in ws] or ["text"]
         for label, family in enumerate(templates, 1):
@@ -195,36 +196,45 @@ class Classifier:
         self.temperature = grid[int(np.argmin(loss))]
         self.accuracy = float((scores.argmax(axis=1) == labels[test]).mean()) if len(test) else 1.0
 
+    def _matches(self, words: list[str]) -> dict[int, tuple[int, float]]:
+        """``template: (shared n-grams, match)`` of the templates that can confirm a family for these words."""
+        if len(self.template_words.intersection(words)) < 2:
+            return {}  # two words and their pair are the least MIN_SHARED n-grams
+        grams = ngrams(words)
+        shared: dict[int, int] = {}
+        for g in grams & self.leads.keys():
+            for k in self.leads[g]:
+                shared[k] = shared.get(k, 0) + 1
+        out = {}
+        for k, n in shared.items():
+            size = len(self.listed[k][1])
+            match = n / min(len(grams), size)
+            if n >= MIN_SHARED and match >= MIN_MATCH:
+                out[k] = (n, match)
+        return out
+
+    def _family(self, words: list[str]) -> tuple[str, float]:
+        grams = ngrams(words)
+        hit = [self.vocabulary[g] for g in grams if g in self.vocabulary]
+        if not hit:
+            return UNKNOWN, 0.0
+        p = _softmax((self.weights[hit].sum(axis=0) / math.sqrt(len(hit)) + self.bias)[None, :] / self.temperature)[0]
+        k = int(p.argmax())
+        return (self.families[k], float(p[k])) if p[k] >= MIN_PROBABILITY else (UNKNOWN, 0.0)
+
     def classify(self, words: list[str]) -> tuple[str, float, float]:
         """``(family, probability, match)`` of a paragraph; unknown unless confirmed."""
-        import numpy as np
-
-        if not self.anchors.intersection(words):
-            return UNKNOWN, 0.0, 0.0
         best = (UNKNOWN, 0.0, 0.0)
+        if len(self.template_words.intersection(words)) < 2:
+            return best
         for part in windows(words):
-            grams = ngrams(part)
-            hit = [self.vocabulary[g] for g in grams if g in self.vocabulary]
-            if not hit or not self.anchors.intersection(part):
-                continue
-            p = _softmax((self.weights[hit].sum(axis=0) / np.sqrt(len(hit)) + self.bias)[None, :] / self.temperature)[0]
-            k = int(p.argmax())
-            if k and p[k] >= MIN_PROBABILITY and p[k] > best[1]:
-                match = best_match(grams, self.templates[self.families[k]])
-                if match >= MIN_MATCH:
-                    best = (self.families[k], float(p[k]), match)
+            matches = self._matches(part)
+            family, p = self._family(part) if matches else best[:2]
+            match = max((m for k, (_, m) in matches.items() if self.listed[k][0] == family), default=0.0)
+            if match and p > best[1]:
+                best = (family, p, match)
         return best
 
-    def scanner(self):
-        """Aho-Corasick automaton of the distinctive words."""
-        import ahocorasick
-
-        a = ahocorasick.Automaton()
-        for w in self.anchors:
-            a.add_word(w, w)
-        a.make_automaton()
-        return a
-
 
 def _softmax(z):
     import numpy as np
@@ -258,17 +268,14 @@ def find(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
         import pandas as pd
 
         c = told.value
-        automaton = c.scanner() if c.anchors else None
         for pdf in batches:
             found = []
             for text in pdf["text"]:
                 low, out = text.lower(), []
-                if automaton is not None and next(automaton.iter(low), None) is not None:
-                    for k, line in enumerate(low.split("\n")):
-                        if line and next(automaton.iter(line), None) is not None:
-                            family, p, match = c.classify(words_of(line))
-                            if family != UNKNOWN:
-                                out.append({"paragraph": k, "family": family, "probability": round(p, 6), "match": round(match, 6)})
+                for k, line in enumerate(low.split("\n")):
+                    family, p, match = c.classify(words_of(line)) if line else (UNKNOWN, 0.0, 0.0)
+                    if family != UNKNOWN:
+                        out.append({"paragraph": k, "family": family, "probability": round(p, 6), "match": round(match, 6)})
                 found.append(out)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "found": found})
 

@@ -36,6 +36,19 @@ def test_near_misses_stay_unknown(classifier, text):
     assert classifier.classify(X.words_of(text))[0] == X.UNKNOWN
 
 
+def test_frequent_words_do_not_hide_a_statement():
+    prose = [f"The {w} was licensed under terms of the city and released for the public {w} version" for w in ("bar", "taxi", "film", "school", "bank", "port", "club", "shop", "farm", "mine")]
+    c = X.Classifier([f"{p} {k}" for k in range(8) for p in prose])
+    for family in ("cc-by", "cc-by-sa", "mit", "gpl-3.0"):
+        assert c.classify(X.words_of(X.TEMPLATES[family][0]))[0] == family
+    assert {c.classify(X.words_of(p))[0] for p in prose} == {X.UNKNOWN}
+
+
+@pytest.mark.parametrize("text", ["of the", "to the", "in the software", "under the terms of the agreement", "any person", "the terms of the", "without restriction of any kind", "the above conditions", "either version of the work"])
+def test_common_words_alone_are_no_licence(classifier, text):
+    assert classifier.classify(X.words_of(text))[0] == X.UNKNOWN
+
+
 def test_supplied_rows(spark, classifier):
     truth = {
         "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2.0",
