@@ -12,7 +12,8 @@ template's, with a template of the family.
 
 Every window of every text is compared: an inverted index of all n-grams of the
 templates, frequent ones too, gives what it shares with each of them, and what
-no template can confirm is not classified.
+no template can confirm is not classified.  A window can hold several
+statements; each is taken out before the rest is looked at.
 """
 
 from __future__ import annotations
@@ -141,6 +142,7 @@ class Classifier:
         others += [words_of(t) for t in NEAR_MISSES for _ in range(4)]
         # Every n-gram of a template leads to it, however frequent it is elsewhere.
         self.listed = [(f, t) for f, ts in self.templates.items() for t in ts]
+        self.lengths = [len(words_of(t)) for ts in templates.values() for t in ts]
         self.leads: dict[str, list[int]] = {}
         for k, (_, t) in enumerate(self.listed):
             for g in t:
@@ -196,8 +198,9 @@ class Classifier:
         self.temperature = grid[int(np.argmin(loss))]
         self.accuracy = float((scores.argmax(axis=1) == labels[test]).mean()) if len(test) else 1.0
 
-    def _matches(self, words: list[str]) -> dict[int, tuple[int, float]]:
-        """``template: (shared n-grams, match)`` of the templates that can confirm a family for these words."""
+    def _matches(self, words: list[str], whole: bool = True) -> dict[int, tuple[int, float]]:
+        """``template: (shared n-grams, match)`` of the templates that can confirm a family for these words
+        (``whole`` not set: by the share of the template alone)."""
         if len(self.template_words.intersection(words)) < 2:
             return {}  # two words and their pair are the least MIN_SHARED n-grams
         grams = ngrams(words)
@@ -208,7 +211,7 @@ class Classifier:
         out = {}
         for k, n in shared.items():
             size = len(self.listed[k][1])
-            match = n / min(len(grams), size)
+            match = n / (min(len(grams), size) if whole else size)
             if n >= MIN_SHARED and match >= MIN_MATCH:
                 out[k] = (n, match)
         return out
@@ -222,18 +225,61 @@ class Classifier:
         k = int(p.argmax())
         return (self.families[k], float(p[k])) if p[k] >= MIN_PROBABILITY else (UNKNOWN, 0.0)
 
-    def classify(self, words: list[str]) -> tuple[str, float, float]:
-        """``(family, probability, match)`` of a paragraph; unknown unless confirmed."""
-        best = (UNKNOWN, 0.0, 0.0)
+    def _place(self, words: list[str], k: int) -> tuple[int, int]:
+        """Where in ``words`` template ``k`` is: the stretch of its length that shares most with it,
+        from its first shared pair of words to its last."""
+        template, size = self.listed[k][1], self.lengths[k]
+        at = max(range(max(1, len(words) - size + 1)), key=lambda i: (len(template & ngrams(words[i : i + size])), -i))
+        end = min(len(words), at + size)
+        pairs = [i for i in range(at, end - 1) if f"{words[i]} {words[i + 1]}" in template]
+        return (pairs[0], pairs[-1] + 2) if pairs else (at, end)
+
+    def _statements(self, words: list[str], whole: bool = True) -> list[tuple[int, int, int, str, float, float]]:
+        """``(start, end, shared n-grams, family, probability, match)`` of every confirmed statement of one window:
+        what was found is taken out, and the words before and after it are looked at in turn."""
+        matches = self._matches(words, whole)
+        best = sorted(matches, key=lambda k: (-matches[k][0], -matches[k][1], k))
+        tries = [(words, best)] if best else []
+        # Several statements can blur each other in the window, so each place is also asked alone.
+        tries += [(words[slice(*self._place(words, k))], [k]) for k in best]
+        for part, among in tries:
+            family, p = self._family(part)
+            k = next((k for k in among if self.listed[k][0] == family), None)
+            if k is not None:
+                start, end = self._place(words, k)
+                match = max(matches[j][1] for j in among if self.listed[j][0] == family)
+                after = [(a + end, b + end, *rest) for a, b, *rest in self._statements(words[end:], False)]
+                return [*self._statements(words[:start], False), (start, end, matches[k][0], family, p, match), *after]
+        return []
+
+    def classify_all(self, words: list[str]) -> list[tuple[str, float, float]]:
+        """``(family, probability, match)`` of every licence statement of a paragraph, in order; those of one
+        family are one where less than half a window is between them."""
         if len(self.template_words.intersection(words)) < 2:
-            return best
-        for part in windows(words):
-            matches = self._matches(part)
-            family, p = self._family(part) if matches else best[:2]
-            match = max((m for k, (_, m) in matches.items() if self.listed[k][0] == family), default=0.0)
-            if match and p > best[1]:
-                best = (family, p, match)
-        return best
+            return []
+        found = []
+        for k, part in enumerate(windows(words)):
+            at = k * (WINDOW_WORDS // 2)
+            found += [(a + at, b + at, *rest) for a, b, *rest in self._statements(part)]
+        # Windows overlap: where two families claim the same words, the one that shares more n-grams has them.
+        kept: list = []
+        for x in sorted(found, key=lambda x: (-x[2], -x[4], x[0])):
+            if not any(x[0] < y[1] and y[0] < x[1] and x[3] != y[3] for y in kept):
+                kept.append(x)
+        out: list = []
+        for a, b, _, family, p, match in sorted(kept, key=lambda x: x[:2]):
+            last = next((y for y in reversed(out) if y[0] == family), None)
+            if last is not None and a - last[3] < WINDOW_WORDS // 2:
+                if p > last[1]:
+                    last[1:3] = p, match
+                last[3] = max(last[3], b)
+            else:
+                out.append([family, p, match, b])
+        return [(family, p, match) for family, p, match, _ in out]
+
+    def classify(self, words: list[str]) -> tuple[str, float, float]:
+        """``(family, probability, match)`` of the most probable statement of a paragraph; unknown unless confirmed."""
+        return max(self.classify_all(words), key=lambda x: x[1], default=(UNKNOWN, 0.0, 0.0))
 
 
 def _softmax(z):
@@ -259,7 +305,7 @@ FOUND = "array<struct<paragraph:bigint,family:string,probability:double,match:do
 
 
 def find(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
-    """``(doc_id, found)``: the licence paragraphs of every document, in order (line number from 0)."""
+    """``(doc_id, found)``: the licence statements of every document, in order (line number from 0); a line can have several."""
     spark = docs.sparkSession
     ship_package(spark)
     told = spark.sparkContext.broadcast(classifier or train(docs))
@@ -273,8 +319,7 @@ def find(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
             for text in pdf["text"]:
                 low, out = text.lower(), []
                 for k, line in enumerate(low.split("\n")):
-                    family, p, match = c.classify(words_of(line)) if line else (UNKNOWN, 0.0, 0.0)
-                    if family != UNKNOWN:
+                    for family, p, match in c.classify_all(words_of(line)) if line else ():
                         out.append({"paragraph": k, "family": family, "probability": round(p, 6), "match": round(match, 6)})
                 found.append(out)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "found": found})
@@ -286,6 +331,7 @@ def find(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
 def licenses(docs: DataFrame) -> DataFrame:
     """``(doc_id, license, probability, n_paragraphs, families, first_paragraph)``, one row per row of ``docs``.
 
+    ``n_paragraphs`` counts the statements found, of which a line can have several.
     ``license`` is the most probable family found, ``unknown`` for none; ties go
     to the earlier paragraph.  A null text counts as empty.  Repeated rows are
     scanned each; other columns are not read; an empty table gives an empty result.

@@ -44,6 +44,15 @@ def test_frequent_words_do_not_hide_a_statement():
     assert {c.classify(X.words_of(p))[0] for p in prose} == {X.UNKNOWN}
 
 
+def test_every_licence_of_a_line_is_found(spark, classifier):
+    filler = " filler words of no meaning" * 30 + " "
+    mit, apache, gpl = X.TEMPLATES["mit"][0], X.TEMPLATES["apache-2.0"][0], X.TEMPLATES["gpl-3.0"][0]
+    rows = [f"{mit} {apache}", mit + filler + gpl, " ".join(X.TEMPLATES["mit"]) + filler + mit, apache + "\n" + gpl + " All rights reserved."]
+    got = X.find(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), classifier).orderBy("doc_id").collect()
+    assert [[(f["paragraph"], f["family"]) for f in r["found"]] for r in got] == [
+        [(0, "mit"), (0, "apache-2.0")], [(0, "mit"), (0, "gpl-3.0")], [(0, "mit"), (0, "mit")], [(0, "apache-2.0"), (1, "gpl-3.0"), (1, "proprietary")]]
+
+
 @pytest.mark.parametrize("text", ["of the", "to the", "in the software", "under the terms of the agreement", "any person", "the terms of the", "without restriction of any kind", "the above conditions", "either version of the work"])
 def test_common_words_alone_are_no_licence(classifier, text):
     assert classifier.classify(X.words_of(text))[0] == X.UNKNOWN
