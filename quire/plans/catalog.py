@@ -465,6 +465,15 @@ _FIELD_SQL = """{name}_tokens AS (SELECT doc_id, tokens, len(tokens) AS n_terms
   SELECT doc_id, term, count(*) AS cnt, any_value(n_terms) AS n_terms FROM (SELECT doc_id, n_terms, unnest(tokens) AS term FROM {name}_tokens) GROUP BY doc_id, term))"""
 
 
+PARTIAL_DOCS = 50_000  # documents of one partial index, and so the most of one list
+
+
+def _in_batches(docs: DataFrame, size: int = PARTIAL_DOCS) -> DataFrame:
+    """``docs`` with a ``batch`` each, dealt by hash into as many as hold about ``size`` documents."""
+    n = -(-docs.count() // size)
+    return docs.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n))))
+
+
 @register(
     "partials_csv_merge",
     S.with_(
@@ -477,13 +486,13 @@ _FIELD_SQL = """{name}_tokens AS (SELECT doc_id, tokens, len(tokens) AS n_terms
 )
 def q_partials_csv_merge(spark, sf):
     """Two fields of the documents (whole text, first line) indexed in partial CSVs by
-    language, read back, united, and merged: a term of both has its tf added up."""
-    docs = P.spread(P.table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    batches of documents, read back, united, and merged: a term of both has its tf added up."""
+    docs = _in_batches(P.spread(P.table(spark, sf, "documents").select("doc_id", "text")))
     partials = []
     for name, text in (("body", F.col("text")), ("head", _first_line(F.col("text")))):
-        part = I.partial_indexes(P.analyze(docs.withColumn("text", text), "doc_id", "text", carry=["lang"]), "lang")
+        part = I.partial_indexes(P.analyze(docs.withColumn("text", text), "doc_id", "text", carry=["batch"]), "batch")
         path = scratch_path(spark, f"partials-{name}")
-        Wr.write_partials_csv(C.encode_partials(part, "lang"), path, "lang")
+        Wr.write_partials_csv(C.encode_partials(part, "batch"), path, "batch")
         back = Rd.read_partials_csv(spark, path)
         partials.append(back.withColumn("doc_id", F.col("doc_id").cast("bigint")))
     m = I.merge_indexes(partials, decimals=6)

@@ -159,3 +159,14 @@ def test_write_processed_parquet_and_text(spark):
     named = p.withColumn("name", F.concat(F.lit("p"), F.col("doc_id").cast("string"), F.lit(".txt")))
     assert Wr.write_processed_files(named, d + "/txt", "name").count() == 1
     assert open(d + "/txt/p1.txt").read() == "hello brave new world"
+
+
+def test_partial_lists_stay_bounded_however_many_documents_a_word_is_in(spark):
+    from quire.operators import codec, index
+    from quire.plans import catalog
+    from quire.plans import pipeline
+
+    docs = spark.range(1000).selectExpr("id AS doc_id", "'common words everywhere' AS text", "'en' AS lang")
+    part = index.partial_indexes(pipeline.analyze(catalog._in_batches(docs, 100), "doc_id", "text", carry=["batch"]), "batch")
+    lists = [r["documents"].count(":") for r in codec.encode_partials(part, "batch").where("word = 'common'").collect()]
+    assert len(lists) == 10 and sum(lists) == 1000 and max(lists) < 200
