@@ -20,12 +20,15 @@ import os
 import re
 from array import array
 from collections.abc import Iterable, Sequence
+from itertools import chain
 
 CACHE_CHUNKS = 1_000_000  # entries (about 200 MB) a Python worker keeps
 
-_CLOSING = ".,!?;:"
+_CLOSING = ".,!?;:*#%$&@+=~^_/|()[]{}\"-"  # neither letters nor digits, no apostrophe
+_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one pre-token of either kind, normalised by lower case alone
 _MARK = "\x01"
-_IRREGULAR = re.compile(r"  |[^\S \n]| \n|\n |\n\n|<\||\x00")
+_RUNS = ("  ", " \n", "\n ", "\n\n", "\x00")
+_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _LOADED: dict[tuple[str, str], "ChunkTokenizer"] = {}
 
 
@@ -38,6 +41,11 @@ def tokenizer_path(name: str, folder: str | None = None) -> str:
     return public_tokenizers.path(name)
 
 
+def irregular(text: str) -> bool:
+    """Whether ``text`` has blanks other than single spaces and line feeds between non-blank characters, or a NUL."""
+    return any(run in text for run in _RUNS) or _BLANKS.search(text) is not None
+
+
 class ChunkTokenizer:
     """Encodes texts to ids as little-endian unsigned 32-bit bytes."""
 
@@ -50,6 +58,8 @@ class ChunkTokenizer:
         self._tok = Tokenizer.from_file(path)
         self._kind = kind
         self._cache: dict[str, bytes] = {"": b""}
+        self._model = self._tok.model
+        self._shown = {k: token for k, token in enumerate(byte_tokens())}
         if kind == "byte":
             self._line_feed = self._tok.token_to_id("\u010a")
             # Ids whose token begins with a space: inside joined chunks, the first of each.
@@ -60,7 +70,7 @@ class ChunkTokenizer:
     def _chunks(self, text: str) -> list[str] | None:
         """The chunks of ``text``, or None when it has to be encoded whole."""
         if self._kind == "byte":
-            if _IRREGULAR.search(text):
+            if irregular(text) or "<|" in text:
                 return None
             return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
         return None if "<|" in text else text.replace("\n", " ").split(" ")
@@ -76,7 +86,16 @@ class ChunkTokenizer:
                 need.update((word, chunk[len(word) :]))
             else:
                 need.add(chunk)
-        new = [c for c in need if c not in self._cache]
+        new, letters, merged = [], _LETTERS.fullmatch, self._model.tokenize
+        for c in need:
+            if c in self._cache:
+                continue
+            if letters(c):
+                # A pre-token as it is: the merges alone, without normalizer and pre-tokenizer.
+                shown = (c if self._kind == "byte" else c.lower()).encode().decode("latin-1").translate(self._shown)
+                self._cache[c] = array("I", [t.id for t in merged(shown)]).tobytes()
+            else:
+                new.append(c)
         for at in range(0, len(new), 4096):
             self._encode_new(new[at : at + 4096])
         for chunk, word in composed:
@@ -127,24 +146,30 @@ class ChunkTokenizer:
         import numpy as np
 
         out: list[bytes] = []
-        for text in texts:
-            chunks = self._chunks(text or "")
-            if chunks is None:
-                ids = self._tok.encode(text, add_special_tokens=False).ids
-                out.append(np.asarray(ids, dtype="<u4").tobytes())
-                continue
+        for at in range(0, len(texts), 256):
+            cut = [self._chunks(t or "") for t in texts[at : at + 256]]
             cache = self._cache
-            try:
-                out.append(b"".join(map(cache.__getitem__, chunks)))
-            except KeyError:
-                if len(cache) > CACHE_CHUNKS:
-                    cache.clear()
-                    cache[""] = b""
-                self._learn(c for c in set(chunks) if c not in cache)
-                out.append(b"".join(map(cache.__getitem__, chunks)))
+            if len(cache) > CACHE_CHUNKS:
+                cache.clear()
+                cache[""] = b""
+            self._learn(set(chain.from_iterable(c for c in cut if c)).difference(cache))
+            for text, chunks in zip(texts[at : at + 256], cut, strict=True):
+                if chunks is None:
+                    ids = self._tok.encode(text, add_special_tokens=False).ids
+                    out.append(np.asarray(ids, dtype="<u4").tobytes())
+                else:
+                    out.append(b"".join(map(cache.__getitem__, chunks)))
         return out
 
 
+def byte_tokens() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: printable Latin-1 characters
+    for themselves, the others in order from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
+
+
 def load(path: str, kind: str) -> ChunkTokenizer:
     """The tokenizer of this worker process (loaded once, reused by later tasks)."""
     key = (path, kind)
