@@ -9,9 +9,12 @@ no pre-token of the tokenizer crosses a cut.  Two ways of cutting are used:
 * ``word`` (BPE that drops white space): at every space and line feed, except
   in a text with the opening of a special token, which is encoded whole.
 
+A third class does the same for a sentencepiece model (``piece``).
+
 Words repeat, so most chunks come from the cache and the merges run only once
-per distinct word; new words are encoded many at a time.  The cache is cleared when it holds ``CACHE_CHUNKS``
-entries, so memory stays bounded on any vocabulary.
+per distinct word; new words are encoded many at a time.  The cache holds two
+generations of ``CACHE_CHUNKS`` / 2 entries: when the younger is full it becomes the older, and
+what is met again moves over, so memory stays bounded on any vocabulary.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 CACHE_CHUNKS = 1_000_000  # entries (about 200 MB) a Python worker keeps
@@ -29,7 +32,7 @@ _LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one pre-token of either k
 _MARK = "\x01"
 _RUNS = ("  ", " \n", "\n ", "\n\n", "\x00")
 _BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_LOADED: dict[tuple[str, str], "ChunkTokenizer"] = {}
+_LOADED: dict[tuple[str, str, bool], "ChunkTokenizer | PieceTokenizer"] = {}
 
 
 def tokenizer_path(name: str, folder: str | None = None) -> str:
@@ -46,18 +49,68 @@ def irregular(text: str) -> bool:
     return any(run in text for run in _RUNS) or _BLANKS.search(text) is not None
 
 
-class ChunkTokenizer:
+def chunks_of(text: str) -> list[str]:
+    """The chunks of a text that is not irregular: words with the space before them, line feeds."""
+    return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+
+
+class _Chunked:
+    """Encoding by chunks and their cache; subclasses cut texts and learn new chunks."""
+
+    def __init__(self, fixed: dict[str, bytes], spelling: list[bytes] | None):
+        self._fixed, self._cache, self._older = fixed, dict(fixed), {}
+        self._spelling, self._lossy = spelling, set()
+
+    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Ids of every text (None counts as empty), little-endian uint32."""
+        return [ids for ids, _ in self._encoded(texts)]
+
+    def spelled(self, texts: Sequence[str]) -> list[bytes | None]:
+        """Like ``encode``, None where the tokens' bytes joined are not those of the text."""
+        return [ids if whole else None for ids, whole in self._encoded(texts)]
+
+    def _encoded(self, texts: Sequence[str | None]) -> Iterator[tuple[bytes, bool]]:
+        for at in range(0, len(texts), 256):
+            part = [t or "" for t in texts[at : at + 256]]
+            cut = [self._chunks_of(t) for t in part]
+            if len(self._cache) > CACHE_CHUNKS // 2:
+                self._older, self._cache = self._cache, dict(self._fixed)
+            cache, older = self._cache, self._older
+            missing = set(chain.from_iterable(c for c in cut if c)).difference(cache)
+            if older:
+                cache.update([(c, older[c]) for c in missing if c in older])
+                missing = [c for c in missing if c not in cache]
+            self._learn(missing)
+            if self._spelling is not None:
+                self._lossy.update(c for c in missing if not self._spells(cache[c], c))
+            for text, chunks in zip(part, cut, strict=True):
+                if chunks is None:
+                    ids = self._whole(text)
+                    yield ids, self._spelling is not None and self._spells(ids, self._covered(text))
+                else:
+                    yield b"".join(map(cache.__getitem__, chunks)), not self._lossy or self._lossy.isdisjoint(chunks)
+
+    def _covered(self, text: str) -> str:
+        return text
+
+    def _spells(self, ids: bytes, text: str) -> bool:
+        return b"".join(map(self._spelling.__getitem__, array("I", ids))) == text.encode("utf-8", "surrogatepass")
+
+
+class ChunkTokenizer(_Chunked):
     """Encodes texts to ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, plain: bool = False):
+        """``plain``: strings of special tokens inside a text are ordinary text."""
         if kind not in ("byte", "word"):
             raise ValueError(f"unknown kind of tokenizer: {kind}")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._kind = kind
-        self._cache: dict[str, bytes] = {"": b""}
+        self._tok.encode_special_tokens = plain
+        self._kind, self._plain = kind, plain
+        self._chunks_of = self._chunks
         self._model = self._tok.model
         self._shown = {k: token for k, token in enumerate(byte_tokens())}
         if kind == "byte":
@@ -66,14 +119,28 @@ class ChunkTokenizer:
             self._spaced = {k for token, k in self._tok.get_vocab().items() if token.startswith("\u0120")}
         else:
             self._mark = self._tok.encode(_MARK, add_special_tokens=False).ids
+        super().__init__({"": b""}, self.vocabulary() if plain and kind == "byte" else None)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self._tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _chunks(self, text: str) -> list[str] | None:
         """The chunks of ``text``, or None when it has to be encoded whole."""
         if self._kind == "byte":
-            if irregular(text) or "<|" in text:
-                return None
-            return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
-        return None if "<|" in text else text.replace("\n", " ").split(" ")
+            return None if irregular(text) or self._special(text) else chunks_of(text)
+        return None if self._special(text) else text.replace("\n", " ").split(" ")
+
+    def _special(self, text: str) -> bool:
+        return not self._plain and "<|" in text
+
+    def vocabulary(self) -> list[bytes]:
+        """The bytes of every token of a byte-level vocabulary, by id."""
+        back = {char: b for b, char in enumerate(byte_tokens())}
+        entries = self._tok.get_vocab(with_added_tokens=False)
+        out = [b""] * self._tok.get_vocab_size(with_added_tokens=True)
+        for token, k in entries.items():
+            out[k] = bytes(back[c] for c in token)
+        return out
 
     def _learn(self, missing: Iterable[str]) -> None:
         """Put chunks into the cache.  Closing marks are pre-tokens of their own after a letter or
@@ -141,26 +208,6 @@ class ChunkTokenizer:
             return [e.ids for e in self._tok.encode_batch_fast(group, add_special_tokens=False)]
         return out
 
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Ids of every text (None counts as empty), little-endian uint32."""
-        import numpy as np
-
-        out: list[bytes] = []
-        for at in range(0, len(texts), 256):
-            cut = [self._chunks(t or "") for t in texts[at : at + 256]]
-            cache = self._cache
-            if len(cache) > CACHE_CHUNKS:
-                cache.clear()
-                cache[""] = b""
-            self._learn(set(chain.from_iterable(c for c in cut if c)).difference(cache))
-            for text, chunks in zip(texts[at : at + 256], cut, strict=True):
-                if chunks is None:
-                    ids = self._tok.encode(text, add_special_tokens=False).ids
-                    out.append(np.asarray(ids, dtype="<u4").tobytes())
-                else:
-                    out.append(b"".join(map(cache.__getitem__, chunks)))
-        return out
-
 
 def byte_tokens() -> list[str]:
     """The character that stands for each byte in byte-level vocabularies: printable Latin-1 characters
@@ -170,9 +217,50 @@ def byte_tokens() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
-def load(path: str, kind: str) -> ChunkTokenizer:
-    """The tokenizer of this worker process (loaded once, reused by later tasks)."""
-    key = (path, kind)
+class PieceTokenizer(_Chunked):
+    """A sentencepiece model that puts a space before each text, over the same chunks.
+
+    No piece holds a space after another character, nor a line feed, so merges stay within chunks.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self._sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self._pieces = [self._sp.id_to_piece(k) for k in range(self._sp.get_piece_size())]
+        self._joined = any("\u2581" in p.lstrip("\u2581") or "\n" in p for p in self._pieces)
+        # Inside a line there is no space to add: the one added goes with a line feed that is cut off.
+        self._skip = len(self._sp.encode("\n"))
+        super().__init__({"": b"", " ": array("I", [self._sp.piece_to_id("\u2581")]).tobytes()}, self.vocabulary())
+
+    def vocabulary(self) -> list[bytes]:
+        """The bytes of every piece, by id."""
+        return [bytes([int(p[3:5], 16)]) if self._sp.is_byte(k) else p.replace("\u2581", " ").encode() for k, p in enumerate(self._pieces)]
+
+    def _covered(self, text: str) -> str:
+        return " " + text
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self._sp.encode(text, num_threads=1)).tobytes()
+
+    def _chunks_of(self, text: str) -> list[str] | None:
+        if not text or self._joined or "\u2581" in text or irregular(" " + text):
+            return None
+        return chunks_of(" " + text)
+
+    def _learn(self, missing: Iterable[str]) -> None:
+        spaced, inner = [], []
+        for c in missing:
+            (spaced if c[0] == " " else inner).append(c)
+        for chunk, ids in zip(spaced, self._sp.encode([c[1:] for c in spaced], num_threads=1), strict=True):
+            self._cache[chunk] = array("I", ids).tobytes()
+        for chunk, ids in zip(inner, self._sp.encode(["\n" + c for c in inner], num_threads=1), strict=True):
+            self._cache[chunk] = array("I", ids[self._skip :]).tobytes()
+
+
+def load(path: str, kind: str, plain: bool = False) -> "ChunkTokenizer | PieceTokenizer":
+    """The tokenizer of this worker process (loaded once, reused by later tasks); ``kind`` is byte, word or piece."""
+    key = (path, kind, plain)
     if key not in _LOADED:
-        _LOADED[key] = ChunkTokenizer(path, kind)
+        _LOADED[key] = PieceTokenizer(path) if kind == "piece" else ChunkTokenizer(path, kind, plain)
     return _LOADED[key]
