@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.util import ship_package
 from .common import stored, text_or_empty
-from .tokenization import load, tokenizer_path
+from .tokenization import CACHE_CHUNKS, load, tokenizer_path
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
@@ -89,15 +89,35 @@ def lockstep(ends_a, ends_b, lane_a, lane_b):
     return cut_a, cut_b
 
 
+def _spelled(ids, wanted: list[bytes], vocabulary: list[bytes], blob, lengths) -> list[bool]:
+    """Whether the bytes of each text's tokens, joined, are those wanted."""
+    import numpy as np
+
+    if not ids:
+        return []
+    every = np.concatenate(ids)
+    size = lengths[every]
+    ends = np.cumsum(size)
+    # Place of each byte in the vocabulary's bytes: that of its token and how far it is in it.
+    first = (np.cumsum(lengths) - lengths)[every] - (ends - size)
+    if blob[np.arange(ends[-1]) + np.repeat(first, size)].tobytes() == b"".join(wanted):
+        stops = np.concatenate(([0], ends))[np.cumsum([len(x) for x in ids])]
+        if (stops == np.cumsum([len(w) for w in wanted])).all():
+            return [True] * len(ids)
+    return [b"".join(map(vocabulary.__getitem__, x.tolist())) == w for x, w in zip(ids, wanted, strict=True)]
+
+
 class Aligner:
     """Encodes batches with both tokenizers and aligns them."""
 
     def __init__(self, path_a: str, path_b: str):
         import numpy as np
 
-        self.a, self.b = load(path_a, "byte", True), load(path_b, "piece")
+        # Two caches share the room of one.
+        self.a, self.b = load(path_a, "byte", True, CACHE_CHUNKS // 2), load(path_b, "piece", False, CACHE_CHUNKS // 2)
         self.bytes_a, self.bytes_b = self.a.vocabulary(), self.b.vocabulary()
         self._len_a, self._len_b = (np.array([len(t) for t in v], np.int64) for v in (self.bytes_a, self.bytes_b))
+        self._blob_a, self._blob_b = (np.frombuffer(b"".join(v), np.uint8) for v in (self.bytes_a, self.bytes_b))
         self._most = max(len(self.bytes_a), len(self.bytes_b))
         self._told = [f"{k}{mark}" for mark in ",|;" for k in range(self._most)]
 
@@ -106,14 +126,18 @@ class Aligner:
         import numpy as np
 
         known = [k for k, t in enumerate(texts) if t]
-        of_a, of_b = self.a.spelled([" " + texts[k] for k in known]), self.b.spelled([texts[k] for k in known])
-        good = [k for k in range(len(known)) if of_a[k] is not None and of_b[k] is not None]
+        wanted = [(" " + texts[k]).encode("utf-8", "surrogatepass") for k in known]
+        of_a = [np.frombuffer(x, "<u4") for x in self.a.encode([" " + texts[k] for k in known])]
+        of_b = [np.frombuffer(x, "<u4") for x in self.b.encode([texts[k] for k in known])]
+        same_a = _spelled(of_a, wanted, self.bytes_a, self._blob_a, self._len_a)
+        same_b = _spelled(of_b, wanted, self.bytes_b, self._blob_b, self._len_b)
+        good = [k for k in range(len(known)) if same_a[k] and same_b[k]]
         empty = np.empty(0, np.int64)
         out: list[tuple] = [(empty, empty, "", empty)] * len(texts)
         if not good:
             return out
-        ids_a, ids_b = (np.frombuffer(b"".join([of[k] for k in good]), "<u4").astype(np.int64) for of in (of_a, of_b))
-        docs_a, docs_b = (np.cumsum([len(of[k]) // 4 for k in good]) for of in (of_a, of_b))
+        ids_a, ids_b = (np.concatenate([of[k] for k in good]).astype(np.int64) for of in (of_a, of_b))
+        docs_a, docs_b = (np.cumsum([len(of[k]) for k in good]) for of in (of_a, of_b))
         ends_a, ends_b = np.cumsum(self._len_a[ids_a]), np.cumsum(self._len_b[ids_b])
         cut_a, cut_b = lockstep(ends_a, ends_b, *lanes(ends_a, ends_b, docs_a))
         at_a, at_b = np.flatnonzero(cut_a), np.flatnonzero(cut_b)

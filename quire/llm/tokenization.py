@@ -32,7 +32,7 @@ _LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one pre-token of either k
 _MARK = "\x01"
 _RUNS = ("  ", " \n", "\n ", "\n\n", "\x00")
 _BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_LOADED: dict[tuple[str, str, bool], "ChunkTokenizer | PieceTokenizer"] = {}
+_LOADED: dict[tuple, "ChunkTokenizer | PieceTokenizer"] = {}
 
 
 def tokenizer_path(name: str, folder: str | None = None) -> str:
@@ -57,23 +57,16 @@ def chunks_of(text: str) -> list[str]:
 class _Chunked:
     """Encoding by chunks and their cache; subclasses cut texts and learn new chunks."""
 
-    def __init__(self, fixed: dict[str, bytes], spelling: list[bytes] | None):
-        self._fixed, self._cache, self._older = fixed, dict(fixed), {}
-        self._spelling, self._lossy = spelling, set()
+    def __init__(self, fixed: dict[str, bytes], cached: int):
+        self._fixed, self._cache, self._older, self._cached = fixed, dict(fixed), {}, cached
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of every text (None counts as empty), little-endian uint32."""
-        return [ids for ids, _ in self._encoded(texts)]
-
-    def spelled(self, texts: Sequence[str]) -> list[bytes | None]:
-        """Like ``encode``, None where the tokens' bytes joined are not those of the text."""
-        return [ids if whole else None for ids, whole in self._encoded(texts)]
-
-    def _encoded(self, texts: Sequence[str | None]) -> Iterator[tuple[bytes, bool]]:
+        out: list[bytes] = []
         for at in range(0, len(texts), 256):
             part = [t or "" for t in texts[at : at + 256]]
             cut = [self._chunks_of(t) for t in part]
-            if len(self._cache) > CACHE_CHUNKS // 2:
+            if len(self._cache) > self._cached // 2:
                 self._older, self._cache = self._cache, dict(self._fixed)
             cache, older = self._cache, self._older
             missing = set(chain.from_iterable(c for c in cut if c)).difference(cache)
@@ -81,26 +74,15 @@ class _Chunked:
                 cache.update([(c, older[c]) for c in missing if c in older])
                 missing = [c for c in missing if c not in cache]
             self._learn(missing)
-            if self._spelling is not None:
-                self._lossy.update(c for c in missing if not self._spells(cache[c], c))
             for text, chunks in zip(part, cut, strict=True):
-                if chunks is None:
-                    ids = self._whole(text)
-                    yield ids, self._spelling is not None and self._spells(ids, self._covered(text))
-                else:
-                    yield b"".join(map(cache.__getitem__, chunks)), not self._lossy or self._lossy.isdisjoint(chunks)
-
-    def _covered(self, text: str) -> str:
-        return text
-
-    def _spells(self, ids: bytes, text: str) -> bool:
-        return b"".join(map(self._spelling.__getitem__, array("I", ids))) == text.encode("utf-8", "surrogatepass")
+                out.append(self._whole(text) if chunks is None else b"".join(map(cache.__getitem__, chunks)))
+        return out
 
 
 class ChunkTokenizer(_Chunked):
     """Encodes texts to ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, kind: str, plain: bool = False):
+    def __init__(self, path: str, kind: str, plain: bool = False, cached: int | None = None):
         """``plain``: strings of special tokens inside a text are ordinary text."""
         if kind not in ("byte", "word"):
             raise ValueError(f"unknown kind of tokenizer: {kind}")
@@ -119,7 +101,7 @@ class ChunkTokenizer(_Chunked):
             self._spaced = {k for token, k in self._tok.get_vocab().items() if token.startswith("\u0120")}
         else:
             self._mark = self._tok.encode(_MARK, add_special_tokens=False).ids
-        super().__init__({"": b""}, self.vocabulary() if plain and kind == "byte" else None)
+        super().__init__({"": b""}, cached or CACHE_CHUNKS)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self._tok.encode(text, add_special_tokens=False).ids).tobytes()
@@ -159,7 +141,8 @@ class ChunkTokenizer(_Chunked):
                 continue
             if letters(c):
                 # A pre-token as it is: the merges alone, without normalizer and pre-tokenizer.
-                shown = (c if self._kind == "byte" else c.lower()).encode().decode("latin-1").translate(self._shown)
+                shown = c if self._kind == "byte" else c.lower()
+                shown = shown.replace(" ", self._shown[32]) if shown.isascii() else shown.encode().decode("latin-1").translate(self._shown)
                 self._cache[c] = array("I", [t.id for t in merged(shown)]).tobytes()
             else:
                 new.append(c)
@@ -223,7 +206,7 @@ class PieceTokenizer(_Chunked):
     No piece holds a space after another character, nor a line feed, so merges stay within chunks.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int | None = None):
         import sentencepiece
 
         self._sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -231,15 +214,12 @@ class PieceTokenizer(_Chunked):
         self._joined = any("\u2581" in p.lstrip("\u2581") or "\n" in p for p in self._pieces)
         # Inside a line there is no space to add: the one added goes with a line feed that is cut off.
         self._skip = len(self._sp.encode("\n"))
-        super().__init__({"": b"", " ": array("I", [self._sp.piece_to_id("\u2581")]).tobytes()}, self.vocabulary())
+        super().__init__({"": b"", " ": array("I", [self._sp.piece_to_id("\u2581")]).tobytes()}, cached or CACHE_CHUNKS)
 
     def vocabulary(self) -> list[bytes]:
         """The bytes of every piece, by id."""
         return [bytes([int(p[3:5], 16)]) if self._sp.is_byte(k) else p.replace("\u2581", " ").encode() for k, p in enumerate(self._pieces)]
 
-    def _covered(self, text: str) -> str:
-        return " " + text
-
     def _whole(self, text: str) -> bytes:
         return array("I", self._sp.encode(text, num_threads=1)).tobytes()
 
@@ -258,9 +238,9 @@ class PieceTokenizer(_Chunked):
             self._cache[chunk] = array("I", ids[self._skip :]).tobytes()
 
 
-def load(path: str, kind: str, plain: bool = False) -> "ChunkTokenizer | PieceTokenizer":
+def load(path: str, kind: str, plain: bool = False, cached: int | None = None) -> "ChunkTokenizer | PieceTokenizer":
     """The tokenizer of this worker process (loaded once, reused by later tasks); ``kind`` is byte, word or piece."""
-    key = (path, kind, plain)
+    key = (path, kind, plain, cached)
     if key not in _LOADED:
-        _LOADED[key] = PieceTokenizer(path) if kind == "piece" else ChunkTokenizer(path, kind, plain)
+        _LOADED[key] = PieceTokenizer(path, cached) if kind == "piece" else ChunkTokenizer(path, kind, plain, cached)
     return _LOADED[key]
