@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import scratch_path
-from . import alignment, exact_dedup, imatch, langid, licenses, mixing, ngram_join, packing, pii, runs, secret_scan, token_store
+from . import alignment, exact_dedup, genetic_packing, imatch, langid, licenses, mixing, ngram_join, packing, pii, runs, secret_scan, token_store
 from .common import documents
 
 QUERIES = {}
@@ -80,6 +80,11 @@ def op11(spark, sf_dir):
     return alignment.alignment_digests(documents(spark, sf_dir))
 
 
+@_query("op12_best_fit_packing")
+def op12(spark, sf_dir):
+    return genetic_packing.packed_whole(documents(spark, sf_dir))
+
+
 @_query("op13_periodic_runs")
 def op13(spark, sf_dir):
     return runs.run_digests(runs.planted(documents(spark, sf_dir)))

@@ -112,6 +112,10 @@ class ChunkTokenizer(_Chunked):
             return None if irregular(text) or self._special(text) else chunks_of(text)
         return None if self._special(text) else text.replace("\n", " ").split(" ")
 
+    def size(self) -> int:
+        """Number of entries, special ones included."""
+        return self._tok.get_vocab_size(with_added_tokens=True)
+
     def _special(self, text: str) -> bool:
         return not self._plain and "<|" in text
 
