@@ -526,7 +526,7 @@ def q_query_tsv_scan(spark, sf):
 def _text_dir(spark, sf, text):
     path = scratch_path(spark, "text-dir")
     docs = P.spread(P.table(spark, sf, "documents")).withColumn("name", F.concat(F.lit("output_"), F.col("doc_id").cast("string"), F.lit(".txt")))
-    write_text_files(docs.withColumn("content", text), path, "name", "content").count()
+    write_text_files(docs.withColumn("content", text), path, "name", "content")
     return path
 
 
@@ -548,10 +548,12 @@ def q_text_dir_rejects(spark, sf):
     S.with_(S.DOC_TOKENS) + "SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS doc_id, array_to_string(tokens, ' ') AS text FROM doc_tokens",
 )
 def q_processed_files(spark, sf):
-    """K1: one processed text file per document."""
+    """K1/K6: one processed text file per document, in place of the files of an earlier write."""
     path = scratch_path(spark, "processed")
+    passages = P.benchmark_queries(spark, sf).select(F.concat(F.lit("old_"), F.col("query_id").cast("string"), F.lit(".txt")).alias("name"), "query_text")
+    write_text_files(passages, path, "name", "query_text")
     named = P.processed(spark, sf).withColumn("name", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
-    Wr.write_processed_files(named, path, "name").count()
+    Wr.write_processed_files(named, path, "name")
     return Rd.read_text_dir(spark, path)[0]
 
 
@@ -675,7 +677,7 @@ def q_streaming_index(spark, sf):
 
     src = scratch_path(spark, "stream-src")
     docs = P.corpus(spark, sf).withColumn("name", F.concat(F.lit("output_"), F.col("doc_id").cast("string"), F.lit(".txt")))
-    write_text_files(docs, src, "name", "text").count()
+    write_text_files(docs, src, "name", "text")
     idx = build_from_directory(spark, src, scratch_path(spark, "stream-out"), files_per_trigger=250)
     return idx.postings.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
 

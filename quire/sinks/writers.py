@@ -51,9 +51,9 @@ def write_processed(processed: DataFrame, path: str, key: str = "doc_id") -> Non
 
 
 def write_processed_files(processed: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """K1 as files: one text file per document, named by its key, tokens joined by blanks.
+    """K1/K6 as files: one text file per document, named by its key, tokens joined by blanks.
 
-    Returns the lazy ``(name, bytes)`` of the files; an action on it writes them.
+    They replace what is there once all are written.  Returns ``(name, bytes)`` of the files (lazy).
     """
     return write_text_files(processed.withColumn("processed", F.array_join("tokens", " ")), path, key, "processed")
 
