@@ -19,13 +19,15 @@ Plan shape (what ``explain`` shows for ``build_index``):
 from __future__ import annotations
 
 from dataclasses import dataclass
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import idf as idf_expr
 from ..functions.scoring import rounded_ratio
+from .util import ship_package, stored
 
 TOP_N = 10  # postings kept per term (champion list length)
 
@@ -93,13 +95,52 @@ def term_frequencies(counts: DataFrame, key: str = "doc_id", carry: Sequence[str
 def champions(postings: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id") -> DataFrame:
     """The ``top_n`` highest-tf postings per term, ties by ascending document key.
 
-    ``(term, rank, key, tf)``.  ``top_n=None`` keeps every posting (ranked).
+    ``(term, rank, key, tf)``.  ``top_n=None`` keeps every posting (``ranked_postings``).
     """
+    if top_n is None:
+        return ranked_postings(postings, key)
     w = Window.partitionBy("term").orderBy(F.col("tf").desc(), F.col(key).asc())
-    ranked = postings.withColumn("rank", F.row_number().over(w))
-    if top_n is not None:
-        ranked = ranked.where(F.col("rank") <= top_n)
-    return ranked.select("term", "rank", key, "tf")
+    return postings.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n).select("term", "rank", key, "tf")
+
+
+def ranked_postings(postings: DataFrame, key: str = "doc_id", partitions: int | None = None) -> DataFrame:
+    """R2: ``(term, rank, key, tf)`` of every posting, ranks as ``row_number`` would give them.
+
+    No task holds a whole term: postings are dealt into sorted ranges of
+    (term, tf, key), so that a frequent term spans as many ranges as it fills.
+    Each range is numbered along its order and written; a term that begins in
+    an earlier range adds its counts there.  Only terms that meet a border of a
+    range have such an offset, at most two a range, so that table is broadcast
+    whatever the postings.
+    """
+    spark = postings.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("term").asc(), F.col("tf").desc(), F.col(key).asc()]
+    ship_package(spark)
+
+    def along(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        term, last, ended = None, 0, True
+        for pdf in batches:
+            rank = pdf.groupby("term", sort=False).cumcount() + 1
+            if not ended and pdf["term"].iloc[0] == term:
+                rank = rank.where(pdf["term"] != term, rank + last)
+            term, last, ended = pdf["term"].iloc[-1], int(rank.iloc[-1]), False
+            yield pdf.assign(rank=rank.astype("int32"))
+
+    kind = postings.schema[key].dataType.simpleString()
+    # Keys travel as they are where they cannot be null; a null one would turn numbers into floats.
+    ranges = postings.select("term", key, "tf").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    local = ranges.select(F.spark_partition_id().alias("range"), "term", F.col(key).cast("string").alias(key), "tf").mapInPandas(
+        along, f"range int, term string, `{key}` string, tf double, rank int"
+    )
+    placed = stored(local.select("range", "term", "rank", F.col(key).cast(kind).alias(key), "tf"), "ranked-ranges")
+    borders = placed.groupBy("range").agg(F.min("term").alias("a"), F.max("term").alias("b"))
+    at_border = borders.select("range", F.explode(F.array_distinct(F.array("a", "b"))).alias("term"))
+    counts = placed.join(F.broadcast(at_border), ["range", "term"], "left_semi").groupBy("term", "range").agg(F.max("rank").alias("n"))
+    earlier = Window.partitionBy("term").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("before", F.sum("n").over(earlier)).where(F.col("before") > 0).select("range", "term", "before")
+    rank = (F.col("rank") + F.coalesce("before", F.lit(0))).cast("int")
+    return placed.join(F.broadcast(offsets), ["range", "term"], "left").select("term", rank.alias("rank"), key, "tf")
 
 
 def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key: str = "doc_id", decimals: int | None = None) -> DataFrame:

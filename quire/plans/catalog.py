@@ -170,6 +170,16 @@ def q_champions(spark, sf):
     return ch.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
 
 
+@register(
+    "postings_ranked_full",
+    S.with_(S.DOC_TOKENS, S.COUNTS, S.POSTINGS) + "SELECT term, row_number() OVER (PARTITION BY term ORDER BY tf DESC, doc_id) AS rank, doc_id, tf FROM postings",
+)
+def q_postings_ranked_full(spark, sf):
+    """R2/W1 without a limit: every posting ranked within its term."""
+    ranked = I.champions(I.term_frequencies(I.term_counts(P.processed(spark, sf))), None)
+    return ranked.select("term", F.col("rank").cast("bigint").alias("rank"), "doc_id", "tf")
+
+
 _MERGE_SQL = (
     "WITH doc_tokens AS (SELECT doc_id, lang, tokens, len(tokens) AS n_terms FROM (SELECT doc_id, lang, "
     + S.analyzed("text")

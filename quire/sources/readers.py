@@ -13,6 +13,7 @@ from ..operators import codec
 from ..operators.index import Index, index_from_postings
 from ..sinks.files import qualified
 from ..sinks.writers import CSV_OPTIONS
+from .records import read_records
 
 QUERY_TSV = StructType([StructField("Query number", StringType()), StructField("Query", StringType())])
 PAIRS_CSV = StructType([StructField("Query_number", StringType()), StructField("doc_number", StringType())])
@@ -62,10 +63,13 @@ def read_text_dir(spark: SparkSession, path: str, glob: str = "*.txt", recursive
 def read_queries_tsv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """``(query_id, query_text)`` from a TSV with header ``Query number``, ``Query``.
 
-    Queries may hold line breaks, so by default a file is read by one task;
-    without any, ``multiline=False`` splits large files.
+    Queries may hold line breaks; large files are read by many tasks all the
+    same.  ``multiline=False`` spares the search for record ends where there are none.
     """
-    df = spark.read.schema(QUERY_TSV).options(**CSV_OPTIONS).option("sep", "\t").option("multiLine", multiline).csv(path)
+    if multiline:
+        df = read_records(spark, path, QUERY_TSV, sep="\t")
+    else:
+        df = spark.read.schema(QUERY_TSV).options(**CSV_OPTIONS).option("sep", "\t").csv(path)
     return df.select(F.col("Query number").alias("query_id"), F.col("Query").alias("query_text"))
 
 

@@ -1,5 +1,6 @@
 """Index and retrieval: hand cases and comparison with the dict model on random corpora."""
 
+import collections
 import math
 import random
 
@@ -139,3 +140,26 @@ def test_in_row_counting_edge_rows(spark):
     )
     got = sorted(map(tuple, I.term_counts(df).collect()))
     assert got == [(2, "a", 1, 3), (2, "b", 2, 3), (3, "z", 1, 1)]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_ranks_of_all_postings_without_a_whole_term_in_a_task(spark, partitions):
+    rng = random.Random(partitions)
+    rows = [("hot", k, rng.choice([0.5, 0.25, 0.125])) for k in range(3000)]
+    rows += [(f"t{k % 40}", k, rng.random()) for k in range(500)] + [("é", 1, 0.5), ("", 2, 0.5)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "term string, doc_id long, tf double").repartition(5)
+    got = sorted(map(tuple, I.ranked_postings(df, partitions=partitions).collect()))
+    want, seen = [], collections.Counter()
+    for term, doc, tf in sorted(rows, key=lambda r: (r[0], -r[2], r[1])):
+        seen[term] += 1
+        want.append((term, seen[term], doc, tf))
+    assert got == sorted(want)
+    assert I.ranked_postings(df.limit(0)).count() == 0
+
+
+def test_a_hot_term_spans_many_tasks(spark):
+    df = spark.range(20000).selectExpr("'hot' AS term", "id AS doc_id", "1D / (1 + id % 7) AS tf")
+    ranges = df.repartitionByRange(8, "term", F.desc("tf"), "doc_id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(ranges) == 8 and max(r["count"] for r in ranges) < 5000
+    assert I.champions(df, None).agg(F.max("rank")).first()[0] == 20000
