@@ -47,5 +47,5 @@ def test_awkward_rows_and_empty_tables(spark):
 
 def test_registered():
     names = entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert names["pipeline"] is C.run and 4 <= len(C.STAGES) <= 5
