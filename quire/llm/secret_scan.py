@@ -4,7 +4,7 @@ All of it is column expressions on one row; nothing is shuffled.
 
 *Patterns* (``assign``, ``access``, ``hex``) give the base spans.  A regular
 expression is applied twice, as a splitter and as an extractor: pieces and hits
-alternate, so the sums of their lengths are the offsets.
+alternate, so the running sums of their lengths are the offsets.
 
 *Entropy*: candidates are runs of ``MIN_RUN`` or more characters of the usual
 token alphabet.  A window of ``WINDOW`` characters slides over each candidate.
@@ -39,6 +39,7 @@ KINDS = ("assign", "access", "hex", "entropy", "letters")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 MIN_RUN = WINDOW
+BLOCK = 128  # items of one block of a running sum
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
 # Bits a window needs: hexadecimal characters only, both cases and digits, one case and digits, letters only.
 # Each is what all but about one in a hundred windows of random characters of the class reach (the least class:
@@ -66,22 +67,46 @@ ALLOW = (
 )
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, also where the body uses it in lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(items: Column, value, join) -> Column:
+    """Running results of ``join`` over ``value(item)``, one per item; 0 has to be neutral.
+
+    An array grows by copying, so results are gathered in blocks of ``BLOCK`` items, each continued
+    from the blocks before: the work grows with the number of items, not with its square.
+    """
+
+    def grown(out, x):
+        return F.concat(out, F.array(join(F.element_at(out, -1), x)))
+
+    def joined(a):
+        numbers = F.sequence(F.lit(0), F.floor((F.greatest(F.size(a), F.lit(1)) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda b: F.aggregate(F.slice(a, b * BLOCK + 1, F.lit(BLOCK)), F.array(F.lit(0)), lambda out, x: grown(out, value(x))))
+        return _let(blocks, continued)
+
+    def continued(blocks):
+        before = F.aggregate(blocks, F.array(F.lit(0)), lambda out, block: grown(out, F.element_at(block, -1)))
+        each = F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda block, at: F.transform(F.slice(block, F.lit(2), F.lit(BLOCK)), lambda v: join(at, v)))
+        return F.flatten(each)
+
+    return _let(items, joined)
+
+
 def _hits(text: str, pattern: str, group: int | None = None) -> Column:
     """``array<struct<start, end, hit, value>>`` of the matches of ``pattern``, leftmost and non-overlapping."""
     col = F.col(text)
     hits = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
     value = hits if group is None else F.regexp_extract_all(col, F.lit(pattern), F.lit(group))
     steps = F.arrays_zip(F.slice(F.split(col, pattern, -1), 1, F.size(hits)).alias("before"), hits.alias("hit"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,end:int,hit:string,value:string>>)").alias("out"))
 
-    def step(s, x):
-        begin = s["at"] + F.char_length(x["before"])
-        end = begin + F.char_length(x["hit"])
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["hit"].alias("hit"), x["value"].alias("value")))).alias("out"))
+    def placed(steps):
+        ends = _running(steps, lambda x: F.char_length(x["before"]) + F.char_length(x["hit"]), lambda a, b: a + b)
+        return F.zip_with(steps, ends, lambda x, end: F.struct((end - F.char_length(x["hit"])).alias("start"), end.alias("end"), x["hit"].alias("hit"), x["value"].alias("value")))
 
-    return F.when(col.rlike(pattern), F.aggregate(steps, start, step, lambda s: s["out"])).otherwise(
-        F.expr("CAST(array() AS array<struct<start:int,end:int,hit:string,value:string>>)")
-    )
+    return F.when(col.rlike(pattern), _let(steps, placed)).otherwise(F.expr("CAST(array() AS array<struct<start:int,end:int,hit:string,value:string>>)"))
 
 
 def _spans(hits: Column, kind: str) -> Column:
@@ -164,7 +189,7 @@ def _hot_range(string: Column, letters: bool = False) -> Column:
     return F.aggregate(steps, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
-def _entropy_spans(candidates: Column, base: Column, kind: str = "entropy") -> Column:
+def _entropy_spans(candidates: Column, kind: str) -> Column:
     """Spans of the candidates with a digit, or for ``letters`` of those without."""
     letters = kind == "letters"
 
@@ -175,44 +200,62 @@ def _entropy_spans(candidates: Column, base: Column, kind: str = "entropy") -> C
         return out
 
     ranges = F.transform(F.filter(candidates, judged), lambda h: F.struct(h["start"].alias("start"), _hot_range(h["hit"], letters).alias("hot")))
-    spans = F.transform(
+    return F.transform(
         F.filter(ranges, lambda r: r["hot"]["first"].isNotNull()),
         lambda r: F.struct((r["start"] + r["hot"]["first"]).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (r["start"] + r["hot"]["last"]).alias("end")),
     )
-    return F.filter(spans, lambda e: ~F.exists(base, lambda b: (b["start"] <= e["start"]) & (e["end"] <= b["end"])))
 
 
-def _told(spans: str) -> Column:
+def _outside_base(spans: Column) -> Column:
+    """``spans`` (in order) without those of the entropy kinds that lie within a base span.
+
+    In order of start and kind, a span lies within a base span where the largest end of the base spans so far reaches its own.
+    """
+    found = KINDS.index("entropy")
+
+    def kept(spans):
+        reach = _running(spans, lambda s: F.when(s["kind"] < found, s["end"]).otherwise(0), F.greatest)
+        told = F.zip_with(spans, reach, lambda s, r: F.struct(s.alias("span"), ((s["kind"] < found) | (s["end"] > r)).alias("keep")))
+        return F.transform(F.filter(told, lambda t: t["keep"]), lambda t: t["span"])
+
+    return _let(spans, kept)
+
+
+def _told(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
-    each = F.transform(F.col(spans), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))
+    each = F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))
     return F.array_join(each, ",")
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` columns ``doc_id`` and ``text`` plus ``base``, ``spans`` and ``letters``: arrays of ``struct<start, kind, end>``.
+    """``docs`` columns ``doc_id`` and ``text`` plus ``base`` and ``spans``: arrays of ``struct<start, kind, end>``.
 
-    ``kind`` is the number in ``KINDS``; all are in order of start and kind.  ``letters`` are the
-    spans of candidates without a digit, which are less sure and told apart.  A null text counts as empty and gives none.
+    ``kind`` is the number in ``KINDS``; both are in order of start and kind.  A null text counts as
+    empty and gives none.  Texts of any length are read whole, in time that grows with their length.
     """
     d = docs.select("doc_id", text_or_empty().alias("text"))
     assigned = F.filter(_hits("text", ASSIGN, 2), lambda h: F.char_length(h["value"]) >= ASSIGN_CHARS)
     base = F.sort_array(F.concat(_spans(assigned, "assign"), _spans(_hits("text", ACCESS), "access"), _spans(_hits("text", HEX), "hex")))
     d = d.withColumn("base", base).withColumn("candidates", _hits("text", CANDIDATE))
-    spans = F.sort_array(F.concat("base", _entropy_spans(F.col("candidates"), F.col("base"))))
-    return d.select("doc_id", "text", "base", spans.alias("spans"), _entropy_spans(F.col("candidates"), F.col("base"), "letters").alias("letters"))
+    found = [_entropy_spans(F.col("candidates"), kind) for kind in ("entropy", "letters")]
+    return d.select("doc_id", "text", "base", _outside_base(F.sort_array(F.concat("base", *found))).alias("spans"))
 
 
 def secrets(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy, letters, n_letters)``, one row per row of ``docs``.
 
-    Repeated rows are scanned each; columns other than doc_id and text are not
+    ``spans`` are those of all kinds; ``letters`` tells those of candidates without a digit, which are
+    less sure, once more.  Repeated rows are scanned each; columns other than doc_id and text are not
     read; an empty table gives an empty result.
     """
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))
+
     def n(kind):
-        return F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint")
+        return F.size(of(kind)).cast("bigint")
 
     return scan(docs).select(
         "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
-        F.sha2(_told("base"), 256).alias("base_sha256"), _told("spans").alias("spans"), n("entropy").alias("n_entropy"),
-        _told("letters").alias("letters"), F.size("letters").cast("bigint").alias("n_letters"),
+        F.sha2(_told(F.col("base")), 256).alias("base_sha256"), _told(F.col("spans")).alias("spans"), n("entropy").alias("n_entropy"),
+        _told(of("letters")).alias("letters"), n("letters").alias("n_letters"),
     )

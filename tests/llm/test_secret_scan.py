@@ -36,15 +36,23 @@ def hot(window):
     )
 
 
+def hot_letters(window):
+    counts = [window.count(c) for c in set(window)]
+    bits = -sum(c / len(window) * math.log2(c / len(window)) for c in counts)
+    low = window.lower()
+    return bits >= S.LETTER_BITS - 1e-9 and sum(low[k : k + 2] in S.PAIRS for k in range(len(low) - 1)) <= S.LETTER_PAIRS
+
+
 def entropy(text):
     out, known = [], base(text)
     for m in re.finditer(S.CANDIDATE, text):
         c = m[0]
-        if not re.search("[0-9]", c) or any(re.search(p, c) for p in S.ALLOW):
+        if any(re.search(p, c) for p in S.ALLOW):
             continue
-        at = [k for k in range(len(c) - S.WINDOW + 1) if hot(c[k : k + S.WINDOW])]
+        kind, test = (3, hot) if re.search("[0-9]", c) else (4, hot_letters)
+        at = [k for k in range(len(c) - S.WINDOW + 1) if test(c[k : k + S.WINDOW])]
         if at:
-            span = (m.start() + at[0], 3, m.start() + at[-1] + S.WINDOW)
+            span = (m.start() + at[0], kind, m.start() + at[-1] + S.WINDOW)
             if not any(b[0] <= span[0] and span[2] <= b[2] for b in known):
                 out.append(span)
     return out
@@ -62,6 +70,8 @@ def check(df):
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(x[1] == k for x in b) for k in range(3))
         assert r["base_sha256"] == hashlib.sha256(told(b).encode()).hexdigest()
         assert r["spans"] == told(b + entropy(t)), t
+        assert (r["n_entropy"], r["n_letters"]) == tuple(f":{r['spans']}".replace(",", ":").split(":").count(k) for k in S.KINDS[3:])
+        assert r["letters"] == told(x for x in entropy(t) if x[1] == 4)
 
 
 def test_supplied_rows(spark):
@@ -87,6 +97,27 @@ def test_made_up_rows(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_letters_are_spans(spark):
+    df = spark.createDataFrame([(1, "letter qxzvkjwpbfgmdhyrqnwx .")], "doc_id long, text string")
+    r = S.secrets(df).first()
+    assert (r["spans"], r["letters"], r["n_letters"]) == ("letters:7:27", "letters:7:27", 1)
+    check(df)
+
+
+def test_many_hits_in_one_text(spark):
+    """Hits around the borders of blocks, and as many as 20,000 in one text."""
+    rng = random.Random(2)
+
+    def runs(n):
+        return " ".join("".join(rng.choices("0123456789abcdef", k=rng.randint(15, 24))) for _ in range(n))
+
+    check(spark.createDataFrame([(n, runs(n)) for n in (1, 127, 128, 129, 256, 257)], "doc_id long, text string"))
+    text = runs(20_000)
+    r = S.secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    b = base(text)
+    assert r["base_sha256"] == hashlib.sha256(told(b).encode()).hexdigest() and r["n_hex"] == len(b)
+
+
 def test_random_strings_of_every_class_are_found(spark):
     rng = random.Random(9)
     lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
