@@ -38,7 +38,6 @@ from .common import text_or_empty
 ROUNDS = 8
 TEXT_ROUNDS = 4
 KEY_CONF = "quire.pii.key"
-DEFAULT_KEY = "quire-pseudonyms"
 
 _DAY = "(?:3[01]|[12][0-9]|0?[1-9])"
 _MONTH = "(?:1[0-2]|0?[1-9])"
@@ -318,11 +317,15 @@ def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
 
     ``n_left`` counts values of a known shape that are not valid and were left
     (or that their pseudonym happens to equal).  The key is ``key``, or the
-    session setting ``quire.pii.key``.  A null text counts as empty.  Repeated
+    session setting ``quire.pii.key``; without either this raises, as whoever
+    knows the key can undo the pseudonyms.  It is a literal of the plan: plans
+    and event logs of the job have to be kept like the key.  A null text counts as empty.  Repeated
     rows are treated alike; other columns are not read; an empty table gives
     an empty result.
     """
-    key = key if key is not None else docs.sparkSession.conf.get(KEY_CONF, DEFAULT_KEY)
+    key = key if key is not None else docs.sparkSession.conf.get(KEY_CONF, None)
+    if not key:
+        raise ValueError(f"pseudonyms need a secret key: pass one or set {KEY_CONF}")
     d = docs.select("doc_id", text_or_empty().alias("text")).withColumn("parts", replace("text", key))
 
     def n(kind):

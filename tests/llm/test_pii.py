@@ -82,12 +82,24 @@ def test_key_and_links(spark):
     assert a[0].startswith("call ") and a[0].endswith(" now")
 
 
+def test_there_is_no_key_to_fall_back_to(spark):
+    df = spark.createDataFrame([(1, "8.8.8.8")], "doc_id long, text string")
+    for key in (None, ""):
+        with pytest.raises(ValueError, match="key"):
+            P.pseudonymise(df, key)
+    spark.conf.set(P.KEY_CONF, "k1")
+    try:
+        assert P.pseudonymise(df).first()["text"] == names(spark, ["8.8.8.8"])[0]
+    finally:
+        spark.conf.unset(P.KEY_CONF)
+
+
 def test_single_digit_addresses_are_replaced_wherever_they_stand(spark):
     for ip in ("8.8.8.8", "1.1.1.1", "0.0.0.0"):
         alone, beside = names(spark, [f"see {ip} now", f"see {ip} now 42"])
         assert alone != f"see {ip} now" and beside == alone + " 42"
     df = spark.createDataFrame([(1, "8.8.8.8"), (2, "300.1.1.1"), (3, "1.2.3.4.5x"), (4, "10.2.3.4.5x")], "doc_id long, text string")
-    assert [(r["n_ip"], r["n_left"]) for r in P.pseudonymise(df).orderBy("doc_id").collect()] == [(1, 0), (0, 1), (0, 0), (0, 0)]
+    assert [(r["n_ip"], r["n_left"]) for r in P.pseudonymise(df, "k1").orderBy("doc_id").collect()] == [(1, 0), (0, 1), (0, 0), (0, 0)]
 
 
 def test_one_value_in_several_notations_stays_one(spark):
@@ -128,7 +140,7 @@ def test_no_value_is_left_in_the_supplied_rows(spark):
     texts = {r["doc_id"]: r["text"] for r in df.collect()}
     shapes = re.compile(r"[a-z]+\.[0-9]{2}@mail[0-9]+\.example\.com|\+1 \([0-9]{3}\) 555-[0-9]{4}|(?<![0-9A-Za-z])[0-9]{16}(?![0-9A-Za-z])")
     changed = 0
-    for r in P.pseudonymise(df).collect():
+    for r in P.pseudonymise(df, "k1").collect():
         old = texts[r["doc_id"]]
         assert not [v for v in shapes.findall(old) if v in r["text"]]
         assert (r["text"] == old) == (r["n_replaced"] == 0) and len(r["text"]) >= len(old) - 12 * r["n_ip"]
@@ -137,11 +149,11 @@ def test_no_value_is_left_in_the_supplied_rows(spark):
 
 
 def test_edge_rows(spark):
-    out = P.pseudonymise(edge.table(spark)).collect()
+    out = P.pseudonymise(edge.table(spark), "k1").collect()
     assert len(out) == len(edge.ROWS)
     assert [r["text"] for r in out if r["doc_id"] == 2] == [""]
     assert [r["text"] for r in out if r["doc_id"] == 6] == [edge.LONG]
-    assert P.pseudonymise(edge.empty(spark)).count() == 0
+    assert P.pseudonymise(edge.empty(spark), "k1").count() == 0
 
 
 @pytest.mark.parametrize("digits", ["5", "1234567890", "0" * 18])
