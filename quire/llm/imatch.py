@@ -64,8 +64,8 @@ def lexicon(docs: DataFrame, n_docs: int, text: str = "text") -> DataFrame:
 
 
 def _hashed(terms_: Column) -> Column:
-    """Hash of a subset's terms in sorted order; 0 for none."""
-    return F.when(F.size(terms_) == 0, F.lit(0)).otherwise(F.hash(F.sort_array(terms_)))
+    """64-bit hash of a subset's terms in sorted order; 0 for none."""
+    return F.when(F.size(terms_) == 0, F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.sort_array(terms_)))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -77,7 +77,7 @@ def likeness(a: str, b: str) -> Column:
 
 
 def _string(fp: str) -> Column:
-    return F.array_join(F.transform(F.col(fp), lambda h: F.lpad(F.lower(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")))), 8, "0")), "")
+    return F.array_join(F.transform(F.col(fp), lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
 def _block(doc_id: Column, cuts: list[int]) -> Column:
@@ -125,7 +125,8 @@ def fingerprints(docs: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     by the beginning of the next document's text (descending doc_id, after the
     last one the first).  Null texts count as empty, null doc_ids come last,
     rows that repeat a doc_id follow each other by text.  A text without terms
-    of the lexicon has the hash of its lower-cased whole as its only hash.
+    of the lexicon has the hash of its lower-cased whole as its only hash.  All
+    hashes have 64 bits; a fingerprint is the hexadecimal of its ``SUBSETS`` hashes.
     Other columns are not read; an empty table gives an empty result.
     """
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
@@ -141,7 +142,7 @@ def fingerprints(docs: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     document = ["block", "rank", "guest", "doc_id", "n_chars", "edited_sha256", "whole", "whole2"]
     both = pairs.withColumns({
         "edited_sha256": F.sha2("edited", 256), "own": terms("text"), "new": terms("edited"),
-        "whole": F.hash(F.lower("text")), "whole2": F.hash(F.lower("edited")),
+        "whole": F.xxhash64(F.lower("text")), "whole2": F.xxhash64(F.lower("edited")),
     })
     # One explode for both texts; bit 0: in the text, bit 1: in the edited text.
     flagged = both.select(
@@ -162,11 +163,12 @@ def fingerprints(docs: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
         )
         .select(*document, "subset", _hashed(F.col("own")).alias("own"), _hashed(F.col("new")).alias("new"))
     )
+    zero = F.lit(0).cast("bigint")
     found = hashed.groupBy(*document).agg(
-        F.array(*[F.coalesce(F.max(F.when(F.col("subset") == k, F.col("own"))), F.lit(0)) for k in range(SUBSETS)]).alias("fp"),
-        F.array(*[F.coalesce(F.max(F.when(F.col("subset") == k, F.col("new"))), F.lit(0)) for k in range(SUBSETS)]).alias("fp2"),
+        F.array(*[F.coalesce(F.max(F.when(F.col("subset") == k, F.col("own"))), zero) for k in range(SUBSETS)]).alias("fp"),
+        F.array(*[F.coalesce(F.max(F.when(F.col("subset") == k, F.col("new"))), zero) for k in range(SUBSETS)]).alias("fp2"),
     )
-    none = F.array(*[F.lit(0)] * (SUBSETS - 1))
+    none = F.array(*[zero] * (SUBSETS - 1))
     found = found.withColumns({
         fp: F.when(F.exists(fp, lambda h: h != 0), F.col(fp)).otherwise(F.concat(F.array(whole), none)) for fp, whole in (("fp", "whole"), ("fp2", "whole2"))
     })

@@ -1,8 +1,11 @@
 """I-Match fingerprints: edited texts against brute force, and what fingerprints must keep."""
 
 import hashlib
+import re
+import struct
 
 import pytest
+import xxhash
 
 from quire.llm import imatch as I
 
@@ -21,6 +24,65 @@ def edited(rows):
     return sorted(out, key=str)
 
 
+def h64(data, seed=42):
+    return xxhash.xxh64_intdigest(data, seed=seed)
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute(rows):
+    """(doc_id, fingerprint, edited fingerprint, near_edited, near_next) in descending order of doc_id, from plain sets."""
+    texts = [t for _, t in rows]
+    edited = []
+    for k, t in enumerate(texts):
+        n = len(t) // 3
+        edited.append(t[: len(t) - n] + texts[(k + 1) % len(texts)][:n])
+
+    def words(t):
+        return {w for w in re.split(r"[\W_]+", t.lower()) if w}
+
+    df = {}
+    for t in texts:
+        for w in words(t):
+            df[w] = df.get(w, 0) + 1
+    low, high = max(2, -(-len(texts) * I.MIN_SHARE // 1)), max(2, len(texts) * I.MAX_SHARE)
+    lexicon = {}
+    for w, n in df.items():
+        if low <= n <= high:
+            term = signed(h64(w.encode()))
+            drawn = [h64(struct.pack("<q", term), h64(struct.pack("<i", k))) for k in range(I.SUBSETS)]
+            lexicon[w] = (term, {k for k in range(I.SUBSETS) if signed(drawn[k]) % (1 << 20) < int(I.RATES[k // I.PER_RATE] * (1 << 20))})
+
+    def fingerprint(t):
+        out = []
+        for k in range(I.SUBSETS):
+            h = 42
+            terms = sorted(lexicon[w][0] for w in words(t) if w in lexicon and k in lexicon[w][1])
+            for term in terms:
+                h = h64(struct.pack("<q", term), h)
+            out.append(h if terms else 0)
+        return out if any(out) else [h64(t.lower().encode())] + [0] * (I.SUBSETS - 1)
+
+    def near(a, b):
+        return 1.0 if a == b else sum(x == y != 0 for x, y in zip(a, b)) / sum(x != 0 or y != 0 for x, y in zip(a, b))
+
+    def told(f):
+        return "".join(f"{h:016x}" for h in f)
+
+    fp, fp2 = [fingerprint(t) for t in texts], [fingerprint(t) for t in edited]
+    return [(d, told(fp[k]), told(fp2[k]), near(fp[k], fp2[k]), near(fp[k], fp[(k + 1) % len(fp)])) for k, (d, _) in enumerate(rows)]
+
+
+def test_fingerprints_by_brute_force(spark):
+    df = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in df.collect()), reverse=True)
+    assert len({d for d, _ in rows}) == len(rows)
+    got = I.fingerprints(df, 60).select("doc_id", "fingerprint", "edited_fingerprint", "near_edited", "near_next").collect()
+    assert [tuple(r) for r in sorted(got, reverse=True)] == brute(rows)
+
+
 @pytest.mark.parametrize("block_docs", [7, 60, 1000])
 def test_edited_texts(spark, block_docs):
     df = spark.read.parquet(f"{SF001}/documents.parquet")
