@@ -7,57 +7,71 @@ the language's prior.  The language with the largest posterior is predicted and
 the posterior is the score.
 
 Training: the piece probabilities come from expectation maximisation (forward
-and backward over word counts) on a bounded sample, ``SAMPLE_DOCS`` labelled
-documents of each language, chosen by hash, and their ``SAMPLE_WORDS`` most
-frequent words.  Documents with crc32(doc_id) mod 4 equal to 2 are held out.
-Priors are counted over all training rows.
+and backward over all words of the sample, in tasks) on a bounded sample,
+``SAMPLE_DOCS`` labelled texts of each language, chosen by a hash of the text;
+copies of a text count once.  Documents with crc32(doc_id) mod 4 equal to 2 are
+held out.  Priors are counted over all training rows.
 
 Scoring covers every whole text.  Words repeat, so a Python worker keeps the
 log probabilities of up to ``CACHE_WORDS`` words; the forward recursion runs
 over batches of new words of one length at a time, all languages at once.
+Words of more than ``BATCHED`` letters (scripts without blanks) take one pass
+each, with rescaled sums, and are not kept.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.util import ship_package
-from .common import among_smallest, text_or_empty
+from .common import among_smallest, stored, text_or_empty
 from .tokenization import tokenizer_path
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_DOCS = 1500
-SAMPLE_WORDS = 6000
 EM_ROUNDS = 3
 SMOOTHING = 0.05  # pseudo count of every piece
 UNKNOWN = 1e-7  # probability of a letter that is no piece, in every language
-LONGEST_PIECE = 10
-LONGEST_WORD = 32  # letters; longer words are read in stretches of this length
+BATCHED = 32  # letters of the longest words that are worked on in batches; probabilities of such need no scaling
+RESCALED = 16  # letters between two rescalings of a longer word
 CACHE_WORDS = 800_000
 HELD_OUT = 2
 MIN_SCORE = 0.5  # the pipeline stage rejects texts below
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _ranges(codes: Iterable[int]) -> str:
+    """A regular expression's ranges of ascending code points."""
+    out: list[list[int]] = []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+# Letters, and the marks that combine with them; numerals that are no digits are word characters too, but no letters.
+_LETTER = "[^\\W\\d_%s]" % _ranges(c for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha())
+_MARK = "[%s]" % _ranges(c for c in range(0x110000) if unicodedata.category(chr(c))[0] == "M")
+_LETTERS = re.compile(f"{_LETTER}+(?:{_MARK}+{_LETTER}*)*")
+_BODY = re.compile(f"(?:{_LETTER}|{_MARK})*")
 _START = "▁"
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased letter runs, each with the word start mark, long ones in stretches."""
-    out = []
-    for w in _LETTERS.findall(text.lower()):
-        if len(w) <= LONGEST_WORD:
-            out.append(_START + w)
-        else:
-            out.extend((_START if at == 0 else "") + w[at : at + LONGEST_WORD] for at in range(0, len(w), LONGEST_WORD))
-    return out
+    """Lower-cased runs of letters and their marks, each with the word start mark."""
+    return [_START + w for w in _LETTERS.findall(text.lower())]
 
 
 def pieces_of(path: str) -> list[str]:
-    """Vocabulary pieces that can occur in a word: lower-case letters, with or without the start mark."""
+    """Vocabulary pieces that can occur in a word: lower-case letters and marks, with or without the start mark."""
     from sentencepiece import SentencePieceProcessor
 
     sp = SentencePieceProcessor(model_file=path)
@@ -65,18 +79,22 @@ def pieces_of(path: str) -> list[str]:
     for k in range(sp.get_piece_size()):
         p = sp.id_to_piece(k)
         body = p[1:] if p.startswith(_START) else p
-        if p and len(p) <= LONGEST_PIECE and body == body.lower() and (not body or _LETTERS.fullmatch(body)):
+        if p and body == body.lower() and _BODY.fullmatch(body):
             found.add(p)
     return sorted(found)
 
 
-def _cuts(words: list[str], ids: dict[str, int]):
+def _reach(ids: dict[str, int]) -> int:
+    return max(map(len, ids), default=1)
+
+
+def _cuts(words: list[str], ids: dict[str, int], reach: int):
     """For words of one length n: ``{(i, j): piece numbers}``, -1 where ``word[i:j]`` is no piece."""
     import numpy as np
 
     n, none, out = len(words[0]), len(ids), {}
     for j in range(1, n + 1):
-        for i in range(max(0, j - LONGEST_PIECE), j):
+        for i in range(max(0, j - reach), j):
             got = np.fromiter((ids.get(w[i:j], -1) for w in words), np.int64, len(words))
             if i + 1 == j:
                 got[got < 0] = none  # a single letter is always readable
@@ -85,6 +103,50 @@ def _cuts(words: list[str], ids: dict[str, int]):
     return out
 
 
+def _cuts_before(word: str, j: int, ids: dict[str, int], reach: int) -> list[tuple[int, int]]:
+    """``(i, piece number)`` of the pieces of a word that end at ``j``."""
+    none = len(ids)
+    found = ((i, ids.get(word[i:j], none if i + 1 == j else -1)) for i in range(max(0, j - reach), j))
+    return [(i, k) for i, k in found if k >= 0]
+
+
+def _long_forward(word: str, ids: dict[str, int], table, reach: int):
+    """``forward`` of one word of any length: only the last ``reach`` sums are kept, and rescaled on the way."""
+    import numpy as np
+
+    ring, scale = np.zeros((reach, table.shape[1])), np.zeros(table.shape[1])
+    ring[0] = 1.0
+    for j in range(1, len(word) + 1):
+        at, pieces = zip(*_cuts_before(word, j, ids, reach), strict=True)
+        ring[j % reach] = (ring[np.array(at) % reach] * table[list(pieces)]).sum(axis=0)
+        if j % RESCALED == 0:
+            most = ring.max(axis=0)
+            ring /= most
+            scale += np.log(most)
+    return np.log(ring[len(word) % reach]) + scale
+
+
+def _long_counts(word: str, weight: float, ids: dict[str, int], logs: list[float], reach: int, out) -> None:
+    """``expected_counts`` of one word of any length, by logarithms; added to ``out``."""
+
+    def added(values):
+        most = max(values)
+        return most + math.log(sum(math.exp(v - most) for v in values))
+
+    n = len(word)
+    cuts = [_cuts_before(word, j, ids, reach) for j in range(n + 1)]
+    alpha, beta = [0.0] * (n + 1), [-math.inf] * n + [0.0]
+    for j in range(1, n + 1):
+        alpha[j] = added([alpha[i] + logs[k] for i, k in cuts[j]])
+    for j in range(n, 0, -1):
+        if beta[j] == -math.inf:
+            continue
+        for i, k in cuts[j]:
+            beta[i] = added([beta[i], logs[k] + beta[j]])
+            if k < len(ids):
+                out[k] += weight * math.exp(alpha[i] + logs[k] + beta[j] - alpha[n])
+
+
 def _by_length(words: Iterable[str]) -> dict[int, list[str]]:
     out: dict[int, list[str]] = {}
     for w in words:
@@ -100,11 +162,15 @@ def forward(words: list[str], ids: dict[str, int], table):
     import numpy as np
 
     out = np.zeros((len(words), table.shape[1]))
-    place = {w: k for k, w in enumerate(words)}
+    place, reach = {w: k for k, w in enumerate(words)}, _reach(ids)
     padded = np.vstack([table, np.zeros((1, table.shape[1]))])  # index -1: no piece
     for n, group in _by_length(place).items():
+        if n > BATCHED + 1:
+            for w in group:
+                out[place[w]] = _long_forward(w, ids, table, reach)
+            continue
         alpha = [np.ones((len(group), table.shape[1]))] + [np.zeros((len(group), table.shape[1])) for _ in range(n)]
-        for (i, j), got in _cuts(group, ids).items():
+        for (i, j), got in _cuts(group, ids, reach).items():
             alpha[j] += alpha[i] * padded[got]
         out[[place[w] for w in group]] = np.log(alpha[n])
     return out
@@ -114,9 +180,15 @@ def expected_counts(counts: dict[str, int], ids: dict[str, int], probs):
     """Expected piece counts over all segmentations of all words, for one language."""
     import numpy as np
 
-    out, padded = np.zeros(len(ids) + 1), np.append(probs, 0.0)
+    out, padded, reach = np.zeros(len(ids) + 1), np.append(probs, 0.0), _reach(ids)
+    logs: list[float] = []
     for n, group in _by_length(counts).items():
-        cuts = _cuts(group, ids)
+        if n > BATCHED + 1:
+            logs = logs or np.log(probs).tolist()
+            for w in group:
+                _long_counts(w, counts[w], ids, logs, reach, out)
+            continue
+        cuts = _cuts(group, ids, reach)
         weight = np.array([counts[w] for w in group], float)
         alpha = [np.ones(len(group))] + [np.zeros(len(group)) for _ in range(n)]
         beta = [np.zeros(len(group)) for _ in range(n)] + [np.ones(len(group))]
@@ -130,19 +202,38 @@ def expected_counts(counts: dict[str, int], ids: dict[str, int], probs):
     return out[:-1]
 
 
-def fit(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int = EM_ROUNDS):
-    """``(languages, table)`` from word counts per language."""
+def fit(words: DataFrame, pieces: list[str], rounds: int = EM_ROUNDS):
+    """``(languages, table)`` from a written table ``(lang, word, n)``.
+
+    Each round's expected counts are summed in tasks; a row a piece and language comes back.
+    """
     import numpy as np
 
-    ids = {p: k for k, p in enumerate(pieces)}
-    langs = sorted(counts)
-    table = np.full((len(pieces) + 1, max(1, len(langs))), UNKNOWN)
-    for column, lang in enumerate(langs):
-        probs = np.append(np.full(len(pieces), 1.0 / max(1, len(pieces))), UNKNOWN)
-        for _ in range(rounds):
-            c = expected_counts(counts[lang], ids, probs) + SMOOTHING
-            probs[:-1] = c / c.sum()
-        table[:, column] = probs
+    spark = words.sparkSession
+    langs = sorted(r[0] for r in words.select("lang").distinct().collect())
+    table = np.full((len(pieces) + 1, max(1, len(langs))), 1.0 / max(1, len(pieces)))
+    table[-1] = UNKNOWN
+    for _ in range(rounds if langs else 0):
+        told = spark.sparkContext.broadcast(table)
+
+        def expect(batches: Iterator, told=told) -> Iterator:
+            import pandas as pd
+
+            ids, place = {p: k for k, p in enumerate(pieces)}, {x: k for k, x in enumerate(langs)}
+            sums = np.zeros((len(pieces), len(langs)))
+            for pdf in batches:
+                for lang, part in pdf.groupby("lang"):
+                    column = place[lang]
+                    sums[:, column] += expected_counts(dict(zip(part["word"], part["n"], strict=True)), ids, told.value[:, column])
+            piece, lang = np.nonzero(sums)
+            yield pd.DataFrame({"piece": piece, "lang": lang, "c": sums[piece, lang]})
+
+        # Rounded, so that the order of additions leaves no trace.
+        got = words.mapInPandas(expect, "piece int, lang int, c double").groupBy("piece", "lang").agg(F.round(F.sum("c"), 6).alias("c")).toPandas()
+        counted = np.full((len(pieces), len(langs)), SMOOTHING)
+        counted[got["piece"].to_numpy(), got["lang"].to_numpy()] += got["c"].to_numpy()
+        table[:-1] = counted / counted.sum(axis=0)
+        told.destroy()
     return langs, table
 
 
@@ -163,6 +254,7 @@ class Model:
 
         if self._ids is None:
             self._ids = {p: k for k, p in enumerate(self.pieces)}
+        self._reach = _reach(self._ids)
         self._rows: dict[str, int] = {}
         self._logs = np.empty((0, len(self.langs)))
         self._used = 0
@@ -196,55 +288,59 @@ class Model:
             self._ready()
         cut = [words_of(t) if t else [] for t in texts]
         if self.langs:
-            self._learn({w for ws in cut for w in ws})
+            self._learn({w for ws in cut for w in ws if len(w) <= BATCHED + 1})
         out = []
         for ws in cut:
             if not ws or not self.langs:
                 out.append(("und", 0.0))
                 continue
-            rows = np.fromiter(map(self._rows.__getitem__, ws), np.int64, len(ws))
+            long = [w for w in ws if len(w) > BATCHED + 1]
+            short = [w for w in ws if len(w) <= BATCHED + 1] if long else ws
+            rows = np.fromiter(map(self._rows.__getitem__, short), np.int64, len(short))
             logs = self._logs[rows].sum(axis=0) + self.priors
+            for w in long:
+                logs = logs + _long_forward(w, self._ids, self.table, self._reach)
             best = int(logs.argmax())
             out.append((self.langs[best], float(1.0 / np.exp(logs - logs[best]).sum())))
         return out
 
 
-def train(docs: DataFrame, vocabulary: str | None = None, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> Model:
-    """A model from the labelled rows of ``docs`` that are not held out (text and lang only)."""
+def train(docs: DataFrame, vocabulary: str | None = None, sample_docs: int = SAMPLE_DOCS) -> Model:
+    """A model from the labelled rows of ``docs`` that are not held out (text and lang only).
+
+    The sample is chosen by text, so null or repeated doc_ids make no difference to it.
+    """
     import numpy as np
 
-    spark = docs.sparkSession
-    ship_package(spark)
+    ship_package(docs.sparkSession)
     pieces = pieces_of(vocabulary or tokenizer_path(VOCABULARY))
-    rows = docs.where(F.col("lang").isNotNull() & ~held_out()).select("doc_id", F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"))
-    sizes = rows.groupBy("lang").count().collect()  # one row per language
-    # Which documents: by hash, on ids alone; then only their texts are read on.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    of = F.lit(0)
-    for r in sizes:
-        of = F.when(F.col("lang") == r["lang"], r["count"]).otherwise(of)
-    few = rows.select("doc_id", "lang").where(among_smallest(F.xxhash64("doc_id"), sample_docs, of))
-    chosen = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs).select("doc_id", "lang")
-    some = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
+    rows = docs.where(F.col("lang").isNotNull() & ~held_out()).select(F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"))
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"), "text")
+    sizes = stored(hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("h").alias("texts")), "languages")
+    # Which texts: by hash, thinned out first; then only those are read on.
+    few = hashed.select("lang", "h").join(sizes, "lang").where(among_smallest(F.col("h"), sample_docs, F.col("texts"))).select("lang", "h").distinct()
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = stored(few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs).select("lang", "h"), "sampled-texts")
+    some = hashed.join(F.broadcast(chosen), ["lang", "h"], "left_semi")
 
     def count_words(batches: Iterator) -> Iterator:
         from collections import Counter
 
         import pandas as pd
 
-        seen: Counter = Counter()
+        seen: set = set()  # a task reads a text once, however many copies it meets; no more than were chosen
         for pdf in batches:
-            for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                seen.update((lang, w) for w in words_of(text))
-        yield pd.DataFrame([(lang, w, n) for (lang, w), n in seen.items()], columns=["lang", "word", "n"])
-
-    by_word = some.mapInPandas(count_words, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
-    counts: dict[str, dict[str, int]] = {}
-    for r in by_word.withColumn("k", F.row_number().over(top)).where(F.col("k") <= sample_words).collect():
-        counts.setdefault(r["lang"], {})[r["word"]] = r["n"]
-    langs, table = fit(counts, pieces)
-    total = {r["lang"]: r["count"] for r in sizes}
+            for lang, h, text in zip(pdf["lang"], pdf["h"], pdf["text"], strict=True):
+                if (lang, h) not in seen:
+                    seen.add((lang, h))
+                    found = Counter(words_of(text))
+                    yield pd.DataFrame({"lang": lang, "h": h, "word": list(found), "n": list(found.values())}).astype({"lang": object, "word": object, "n": "int64"})
+
+    counted = some.mapInPandas(count_words, "lang string, h bigint, word string, n bigint")
+    once = counted.groupBy("lang", "h", "word").agg(F.max("n").alias("n"))  # copies met by several tasks
+    words = stored(once.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    langs, table = fit(words, pieces)
+    total = {r["lang"]: r["rows"] for r in sizes.collect()}  # one row a language
     priors = np.log(np.array([float(total[x]) for x in langs]) / max(1, sum(total.values()))) if langs else np.zeros(0)
     return Model(pieces, langs, table, priors)
 

@@ -53,8 +53,69 @@ def test_expected_counts_by_enumeration():
     assert np.allclose(L.expected_counts({"▁abc": 2, "▁ab": 1}, ids, probs), want)
 
 
-def test_long_words_are_read_in_stretches():
-    assert [len(w) for w in L.words_of("x" * 70 + " Ab-c1d")] == [33, 32, 6, 3, 2, 2]
+def test_words_are_letters_with_their_marks():
+    assert [len(w) for w in L.words_of("x" * 70 + " Ab-c1d")] == [71, 3, 2, 2]
+    assert L.words_of("हिन्दी, e\u0301te\u0301 Ⅷ x²y \u0301") == ["▁हिन्दी", "▁e\u0301te\u0301", "▁x", "▁y"]
+
+
+def test_all_lower_case_pieces_are_kept():
+    from sentencepiece import SentencePieceProcessor
+
+    path = L.tokenizer_path(L.VOCABULARY)
+    sp, pieces = SentencePieceProcessor(model_file=path), set(L.pieces_of(path))
+    for k in range(sp.get_piece_size()):
+        p = sp.id_to_piece(k)
+        if p.removeprefix("▁").isalpha():
+            assert (p in pieces) == (p == p.lower())
+    assert max(map(len, pieces)) > 12
+
+
+def marginal(word, table, ids):
+    """Sum over all segmentations with exact fractions, per language."""
+    from fractions import Fraction
+
+    out = []
+    for column in table.T:
+        a = [Fraction(1)] + [Fraction(0)] * len(word)
+        for j in range(1, len(word) + 1):
+            for i in range(j):
+                k = ids.get(word[i:j], len(ids) if i + 1 == j else None)
+                if k is not None:
+                    a[j] += a[i] * Fraction(column[k])
+        out.append(a[-1])
+    return out
+
+
+def exact_log(x):
+    return (math.log(x.numerator) - math.log(x.denominator))
+
+
+@pytest.mark.parametrize("n", [31, 32, 33, 34, 47, 48, 200])
+def test_words_of_any_length_are_marginalised(n):
+    ids = {p: k for k, p in enumerate(PIECES)}
+    table = np.random.default_rng(n).random((len(PIECES) + 1, 2)) * 0.1
+    table[-1] = L.UNKNOWN
+    word = "▁" + "".join(np.random.default_rng(n + 1).choice(list("abcz"), n))
+    want = [exact_log(x) for x in marginal(word, table, ids)]
+    assert np.allclose(L.forward([word, "▁ab"], ids, table)[0], want)
+    m = L.Model(PIECES, ["x", "y"], table, np.zeros(2))
+    best = max(want)
+    got = m.predict([word[1:] + " ab"])[0]
+    logs = [w + exact_log(x) for w, x in zip(want, marginal("▁ab", table, ids))]
+    assert got[0] == "xy"[logs.index(max(logs))] and best < 0
+    assert math.isclose(got[1], 1 / sum(math.exp(x - max(logs)) for x in logs), rel_tol=1e-6)
+
+
+def test_expected_counts_of_long_words(monkeypatch):
+    """By logarithms as in batches, and a word of 5,000 letters without underflow."""
+    ids = {p: k for k, p in enumerate(PIECES)}
+    probs = np.append(np.full(len(PIECES), 0.1), L.UNKNOWN)
+    counts = {"▁abcabz": 3, "▁ab": 1, "abcbcab": 2}
+    want = L.expected_counts(counts, ids, probs)
+    monkeypatch.setattr(L, "BATCHED", 0)
+    assert np.allclose(L.expected_counts(counts, ids, probs), want)
+    got = L.expected_counts({"▁" + "abc" * 2000: 1}, ids, probs)
+    assert np.isfinite(got).all() and math.isclose((got * [len(p) for p in PIECES]).sum(), 6001, rel_tol=1e-9)
 
 
 def test_cache_is_bounded(monkeypatch):
@@ -97,6 +158,15 @@ def test_edge_rows(spark):
     assert L.identify(edge.empty(spark)).count() == 0 and L.keep_known(edge.empty(spark)).count() == 0
 
 
+def test_null_ids_and_copies_leave_a_sample(spark):
+    rows = [(None, f"the house number {k} is old", "en") for k in range(300)] + [(None, f"das haus nummer {k} ist alt", "de") for k in range(300)]
+    rows += [(None, "the very same words", "en")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(df, sample_docs=20)
+    assert model.langs == ["de", "en"]
+    assert [x[0] for x in model.predict(["the old house", "das alte haus", "12"])] == ["en", "de", "und"]
+
+
 @pytest.mark.parametrize("lang", [None])
 def test_without_labels_nothing_is_predicted(spark, lang):
     df = spark.createDataFrame([(1, "some words", lang)], "doc_id long, text string, lang string")
