@@ -18,6 +18,7 @@ from . import sql as S
 from ..functions import text as T
 from ..functions.scoring import round_score
 from ..functions.stopwords import resolve_stop_words
+from ..operators import blocks as B
 from ..operators import evaluate as E
 from ..operators import index as I
 from ..operators import codec as C
@@ -287,6 +288,15 @@ def q_retrieve_top10(spark, sf):
     return _top_rows(P.results(spark, sf))
 
 
+@register(
+    "retrieve_unpruned",
+    S.with_(*(S.POSTINGS + ",\n" + S.champs_cte(top_n=2**31) if c == S.POSTINGS else c for c in S.RETRIEVAL_CTES if c != S.CHAMPS)) + _TOP_ROWS,
+)
+def q_retrieve_unpruned(spark, sf):
+    """J4/G8/W4 over all postings: blocks that cannot reach the tenth score are skipped."""
+    return _top_rows(B.search_blocks(B.build_blocks(P.processed(spark, sf)), P.benchmark_queries(spark, sf)).results)
+
+
 def _stored_index(spark, sf, buckets):
     path = scratch_path(spark, "index")
     Wr.write_index(P.index(spark, sf), path, buckets)

@@ -1,0 +1,71 @@
+"""Block-bounded search over unpruned postings against the full scorer and the dict model."""
+
+import random
+
+import pytest
+
+from quire.operators import blocks as B
+from quire.operators import index as I
+from quire.operators import retrieve as R
+from quire.operators.analysis import analyze
+from quire.plans import pipeline as P
+
+from . import pymodel
+from .conftest import SF001
+
+
+def _tables(spark, docs, queries):
+    d = spark.createDataFrame(sorted(docs.items()), "doc_id long, text string")
+    q = spark.createDataFrame(sorted(queries.items()), "query_id long, query_text string")
+    return analyze(d, "doc_id"), q
+
+
+def _ranked(res):
+    got = {}
+    for r in res.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+    return got
+
+
+@pytest.mark.parametrize("seed, docs_per_range, k, first", [(1, 1, 3, 1), (2, 4, 10, None), (3, 100, 2, 1)])
+def test_same_results_as_the_dict_model(spark, seed, docs_per_range, k, first):
+    rng = random.Random(seed)
+    vocab = ["hot"] * 12 + ["w%s" % c for c in "abcdefghijklmnopqrstuvwxyz"]
+    docs = {d: " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 15))) for d in range(1, 81)}
+    docs |= {d: "hot wa wb" for d in range(81, 101)}  # many equal scores
+    queries = {q: " ".join(rng.choice(vocab) for _ in range(rng.randint(1, 5))) for q in range(1, 7)} | {7: "the of", 8: "zzz hot"}
+    processed, q = _tables(spark, docs, queries)
+    out = B.search_blocks(B.build_blocks(processed, docs_per_range=docs_per_range), q, k, first_ranges=first)
+    got, model = _ranked(out.results), pymodel.build(docs, None)
+    for query, text in queries.items():
+        assert got.get(query, []) == pymodel.search(model, text, k), text
+    for r in out.read.collect():
+        assert 0 < r["blocks_read"] <= r["blocks"] and 0 < r["postings_read"] <= r["postings"]
+
+
+def test_same_rows_as_the_full_scorer_and_blocks_are_skipped(spark):
+    processed, queries = P.processed(spark, SF001), P.benchmark_queries(spark, SF001)
+    out = B.search_blocks(B.build_blocks(processed, docs_per_range=2), queries, 3)
+    full = R.search(I.build_index(processed, None), queries, 3)
+    assert sorted(map(tuple, out.results.collect())) == sorted(map(tuple, full.collect()))
+    read = out.read.selectExpr("sum(blocks_read) / sum(blocks) AS s").first()["s"]
+    assert read < 0.9
+
+
+def test_blocks_hold_every_posting_and_its_bound(spark):
+    docs = {d: "hot " * (d % 3 + 1) + f"t{chr(97 + d % 20)} other" for d in range(300)}
+    index = B.build_blocks(_tables(spark, docs, {1: "hot"})[0], docs_per_range=16)
+    want = I.build_index(analyze(spark.createDataFrame(sorted(docs.items()), "doc_id long, text string"), "doc_id"), None).postings
+    cols = ["term", "rank", "doc_id", "round(weight, 9) w", "round(norm, 9) n"]
+    assert index.postings.selectExpr(*cols).exceptAll(want.selectExpr(*cols)).count() == 0
+    assert index.postings.count() == want.count() == index.blocks.agg({"n": "sum"}).first()[0]
+    assert index.blocks.where("term = 'hot'").count() > 10  # a frequent term is in many blocks
+    above = index.postings.join(index.blocks, ["term", "range"]).where("norm <> 0 AND abs(weight) / norm > share")
+    assert above.count() == 0
+
+
+def test_empty_corpus_and_repeated_ids(spark):
+    processed, q = _tables(spark, {1: "alpha", 2: None}, {1: "alpha"})
+    assert B.search_blocks(B.build_blocks(processed.limit(0)), q).results.count() == 0
+    with pytest.raises(ValueError, match="unique"):
+        B.search_blocks(B.build_blocks(processed), q.unionAll(q))

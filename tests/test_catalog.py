@@ -13,7 +13,7 @@ TABLES = "documents benchmark conversations".split()
 FAST = [
     "clean_text", "stopword_filter", "processed_docs", "term_counts", "postings_tf", "champions", "idf",
     "doc_norms", "query_vectors", "retrieve_top10", "relevance_pairs", "map_mar", "index_csv_parse", "results_csv",
-    "partials_csv_merge", "retrieve_from_index_csv", "retrieve_lemmatized", "dictionary_index", "map_mar_repeated", "text_dir_rejects",
+    "partials_csv_merge", "retrieve_from_index_csv", "retrieve_lemmatized", "dictionary_index", "map_mar_repeated", "text_dir_rejects", "retrieve_unpruned",
 ]
 
 
