@@ -32,7 +32,7 @@ from .index import corpus_size, ranked_postings, term_counts, term_frequencies
 from .retrieve import TOP_K, dot_products, query_norms, query_terms, rank_top_k, reject_repeated_ids
 from .util import stored
 
-DOCS_PER_RANGE = 32  # documents of a range, on average
+DOCS_PER_RANGE = 8  # documents of a range, on average: smaller ranges have tighter bounds and more blocks
 SLACK = 1e-9  # scores are compared at nine decimals; a bound may fall short of the floor by this much
 
 
