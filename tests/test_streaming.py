@@ -34,3 +34,21 @@ def test_stream_then_merge_equals_batch(spark):
     prog = progress(spark, out).orderBy("batch").collect()
     assert [r["documents"] for r in prog] == [3, 3, 2, 3, 1]
     assert prog[-1]["documents_so_far"] == 12
+
+
+def test_a_batch_is_read_by_one_job_and_rejects_are_kept(spark):
+    root = tempfile.mkdtemp(prefix="quire-stream-")
+    src, out = f"{root}/src", f"{root}/out"
+    os.makedirs(src)
+    for i in range(9):
+        _write(src, f"d{i}.txt", "alpha beta" if i % 4 else "")
+    with open(f"{src}/d9.txt", "wb") as f:
+        f.write(b"gamma \xff")
+    q = stream_partial_indexes(spark, src, out, files_per_trigger=2)
+    q.awaitTermination()
+    # The partial and its counts; rejects in the first batch (none there) and where there are some.
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(str(q.runId))
+    assert len(jobs) <= 5 * 2 + 2
+    assert [r["doc_id"] for r in spark.read.parquet(f"{out}/rejects").collect()] == ["d9.txt"]
+    prog = progress(spark, out).collect()
+    assert sum(r["documents"] for r in prog) == 6 and sum(r["tokens"] for r in prog) == 12
