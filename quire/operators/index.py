@@ -21,7 +21,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ def term_counts(processed: DataFrame, key: str = "doc_id", carry: Sequence[str]
     ``term_counts_grouped`` adds such rows up instead.
     """
     keep = [key, "n_terms", *carry]
-    sorted_ = processed.select(*keep, F.array_sort("tokens").alias("_s"))
+    sorted_ = processed.select(*keep, F.sort_array("tokens").alias("_s"))
     starts = sorted_.select(
         *keep,
         "_s",
@@ -109,40 +111,50 @@ def ranked_postings(postings: DataFrame, key: str = "doc_id", partitions: int |
     No task holds a whole term: postings are dealt into sorted ranges of
     (term, tf, key), so that a frequent term spans as many ranges as it fills.
     Each range is numbered along its order and written; a term that begins in
-    an earlier range adds its counts there.  Only terms that meet a border of a
-    range have such an offset, at most two a range, so that table is broadcast
-    whatever the postings.
+    an earlier range adds its counts there.  Only the first term of a range can
+    have such an offset, so that table is broadcast whatever the postings.
     """
     spark = postings.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("term").asc(), F.col("tf").desc(), F.col(key).asc()]
     ship_package(spark)
-
-    def along(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        term, last, ended = None, 0, True
-        for pdf in batches:
-            rank = pdf.groupby("term", sort=False).cumcount() + 1
-            if not ended and pdf["term"].iloc[0] == term:
-                rank = rank.where(pdf["term"] != term, rank + last)
-            term, last, ended = pdf["term"].iloc[-1], int(rank.iloc[-1]), False
-            yield pdf.assign(rank=rank.astype("int32"))
-
-    kind = postings.schema[key].dataType.simpleString()
-    # Keys travel as they are where they cannot be null; a null one would turn numbers into floats.
-    ranges = postings.select("term", key, "tf").repartitionByRange(n, *order).sortWithinPartitions(*order)
-    local = ranges.select(F.spark_partition_id().alias("range"), "term", F.col(key).cast("string").alias(key), "tf").mapInPandas(
-        along, f"range int, term string, `{key}` string, tf double, rank int"
+    # Ranges are cut by a sample, a pass of its own: over what is written, not over the analysis again.
+    postings = stored(postings.select("term", key, "tf"), "unranked")
+    ranges = postings.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    local = ranges.select(F.spark_partition_id().alias("range"), "term", key, "tf").mapInArrow(
+        _numbered, f"range int, term string, `{key}` {postings.schema[key].dataType.simpleString()}, tf double, rank int, head boolean"
     )
-    placed = stored(local.select("range", "term", "rank", F.col(key).cast(kind).alias(key), "tf"), "ranked-ranges")
-    borders = placed.groupBy("range").agg(F.min("term").alias("a"), F.max("term").alias("b"))
-    at_border = borders.select("range", F.explode(F.array_distinct(F.array("a", "b"))).alias("term"))
-    counts = placed.join(F.broadcast(at_border), ["range", "term"], "left_semi").groupBy("term", "range").agg(F.max("rank").alias("n"))
+    placed = stored(local.select("range", "term", "rank", key, "tf", "head"), "ranked-ranges")
+    # A term that goes on from an earlier range is the first one of the range.
+    at_border = placed.where("head").select("term").distinct()
+    counts = placed.join(F.broadcast(at_border), "term", "left_semi").groupBy("term", "range").agg(F.max("rank").alias("n"))
     earlier = Window.partitionBy("term").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("before", F.sum("n").over(earlier)).where(F.col("before") > 0).select("range", "term", "before")
     rank = (F.col("rank") + F.coalesce("before", F.lit(0))).cast("int")
     return placed.join(F.broadcast(offsets), ["range", "term"], "left").select("term", rank.alias("rank"), key, "tf")
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch of rows sorted by ``term`` with a ``rank`` from 1 within the term, across batches too, and a ``head``
+    that marks the very first row; the other columns pass as they are."""
+    term, last, ended = None, 0, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        terms = batch.column("term")
+        at = np.arange(batch.num_rows, dtype=np.int64)
+        # The first row and those whose term differs from the one before (nulls are one term).
+        codes = pc.fill_null(terms.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[True], codes[1:] != codes[:-1]])
+        rank = at - np.maximum.accumulate(np.where(starts, at, 0)) + 1
+        if not ended and terms[0].as_py() == term:
+            rank[codes == codes[0]] += last
+        head = pa.array((at == 0) & ended)
+        term, last, ended = terms[-1].as_py(), int(rank[-1]), False
+        fields = [*batch.schema, pa.field("rank", pa.int32()), pa.field("head", pa.bool_())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank.astype(np.int32)), head], schema=pa.schema(fields))
+
+
 def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key: str = "doc_id", decimals: int | None = None) -> DataFrame:
     """Union partial ``(term, key, tf)`` indexes, sum tf per (term, doc), re-prune.
 
@@ -251,6 +263,13 @@ def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc
     ``lemma_map`` ``(term, lemma)`` lemmatises them; both before tf, as tables.
     """
     counts = term_counts_grouped(processed, key) if counting == "grouped" else term_counts(processed, key)
+    return index_from_counts(counts, top_n, key, lemma_map, dictionary)
+
+
+def index_from_counts(counts: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id",
+                      lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None) -> Index:
+    """``build_index`` over counts ``(key, term, cnt, n_terms)``: kept as a table (``util.stored``) where a
+    dictionary or lemma map was made of them, so that the documents are analysed once."""
     if lemma_map is not None:
         from .lexicon import apply_lemmas
 
