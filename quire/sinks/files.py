@@ -7,9 +7,9 @@ A write has two steps:
    list beside it.  Only attempts that Spark commits are told to the driver, by
    one message a task; ``commit`` puts them into the marker ``_committed``.
    ``abort`` removes the folder, so a job that fails leaves what was there.
-2. *Publication*, after the marker only: tasks rename the staged files to their
-   final names, and in place of an older output remove the files that are not
-   in the lists.  Every move can be repeated, so lost executors cost nothing;
+2. *Publication*, after the marker only: in place of an older output tasks
+   remove the files that are not in the lists, then they rename the staged files
+   to their final names.  Every move can be repeated, so lost executors cost nothing;
    where the driver itself is lost, the next write or ``finish_writes`` goes on
    from the marker, and clears what has none.
 
@@ -19,9 +19,12 @@ Names never pass through the driver.  Readers of Spark leave out ``_writing-*``.
 from __future__ import annotations
 
 import json
+import os
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -107,8 +110,7 @@ class _StagingWriter(DataSourceWriter):
             out.write(json.dumps([m.task for m in messages if m is not None and m.files]).encode())
 
     def abort(self, messages: list) -> None:
-        store, root = _store(self._staging)
-        _remove(store, root)
+        _clear(self._staging)
 
 
 class _StagedFiles(DataSource):
@@ -122,11 +124,27 @@ class _StagedFiles(DataSource):
         return _StagingWriter(self.options["staging"])
 
 
-def _remove(store, root: str) -> None:
+def _remove(store, root: str) -> bool:
     from pyarrow import fs
 
-    if store.get_file_info(root).type == fs.FileType.Directory:
+    there = store.get_file_info(root).type == fs.FileType.Directory
+    if there:
         store.delete_dir(root)
+    return there
+
+
+def _clear(staging: str, quiet: float = 1.0, most: float = 30.0) -> None:
+    """Remove the folder of a failed write until nothing has come back for ``quiet`` seconds: tasks of the job that
+    still run while it is aborted go on writing until they are ended."""
+    store, root = _store(staging)
+    begun = last = time.monotonic()
+    while time.monotonic() - last < quiet and time.monotonic() - begun < most:
+        try:
+            if _remove(store, root):
+                last = time.monotonic()
+        except OSError:  # a file came in meanwhile
+            last = time.monotonic()
+        time.sleep(0.1)
 
 
 def _move(store, source: str, target: str) -> None:
@@ -137,7 +155,6 @@ def _move(store, source: str, target: str) -> None:
         if store.get_file_info(target).type == fs.FileType.NotFound:
             raise FileNotFoundError(source)
         return
-    store.create_dir(target.rsplit("/", 1)[0], recursive=True)
     try:
         store.move(source, target)
     except OSError:
@@ -164,12 +181,16 @@ def _publish(spark: SparkSession, base: str, staging: str, replace: bool) -> Non
     def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _store(staging)
         _, final = _store(base)
+        made = set()
         for pdf in batches:
             for name, task in zip(pdf["name"], pdf["task"]):
+                folder = f"{final}/{name}".rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 _move(store, f"{root}/files/{task}/{name}", f"{final}/{name}")
             yield pd.DataFrame({"moved": [len(pdf)]})
 
-    names.mapInPandas(move, "moved BIGINT").agg(F.sum("moved")).collect()  # one row
     if replace:
 
         def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,8 +203,10 @@ def _publish(spark: SparkSession, base: str, staging: str, replace: bool) -> Non
                         pass
                 yield pd.DataFrame({"removed": [len(pdf)]})
 
+        # Before the moves: what is listed is the older output, not the new files too.
         stale = written_files(spark, base).select("name").join(names, "name", "left_anti")
         stale.mapInPandas(remove, "removed BIGINT").agg(F.sum("removed")).collect()  # one row
+    names.mapInPandas(move, "moved BIGINT").agg(F.sum("moved")).collect()  # one row
     _remove(store, root)
 
 
@@ -201,6 +224,35 @@ def finish_writes(spark: SparkSession, directory: str, replace: bool = True) ->
                 _remove(store, info.path)
 
 
+def _listed(store, root: str) -> Iterator[tuple[str, int]]:
+    """``(name, bytes)`` of the files below ``root``, folder by folder; a local folder is read entry by entry, never
+    held as a list.  Hidden names are not ours (staging, success marks, checksums) and not gone into."""
+    from pyarrow import fs
+
+    folders = [root]
+    while folders:
+        folder = folders.pop()
+        if isinstance(store, fs.LocalFileSystem):
+            if not os.path.isdir(folder):
+                continue
+            with os.scandir(folder) as entries:
+                for e in entries:
+                    if e.name[0] in "_.":
+                        continue
+                    if e.is_dir():
+                        folders.append(e.path)
+                    elif e.is_file():
+                        yield e.path[len(root) :].strip("/"), e.stat().st_size
+        else:
+            for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+                if info.base_name[0] in "_.":
+                    continue
+                if info.type == fs.FileType.Directory:
+                    folders.append(info.path)
+                elif info.type == fs.FileType.File:
+                    yield info.path[len(root) :].strip("/"), info.size
+
+
 def written_files(spark: SparkSession, directory: str) -> DataFrame:
     """``(name, bytes)`` of the files below ``directory``, empty ones too, names relative to it.
 
@@ -209,16 +261,11 @@ def written_files(spark: SparkSession, directory: str) -> DataFrame:
     base = resolved(spark, directory)
 
     def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         store, root = _store(base)
         for _ in batches:
-            infos = store.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True))
-            names = [(i.path[len(root) :].strip("/"), i.size) for i in infos if i.type == fs.FileType.File]
-            # Hidden names are not ours: staging, success marks, checksums.
-            names = [(n, size) for n, size in names if not any(p[0] in "_." for p in n.split("/"))]
-            for at in range(0, len(names), 10_000):
-                yield pd.DataFrame(names[at : at + 10_000], columns=["name", "bytes"])
+            names = _listed(store, root)
+            while some := list(islice(names, 10_000)):
+                yield pd.DataFrame(some, columns=["name", "bytes"])
 
     return spark.range(1).mapInPandas(listing, "name STRING, bytes BIGINT")
 
@@ -245,7 +292,11 @@ def write_text_files(df: DataFrame, directory: str, name_col: str, text_col: str
     content = F.col(text_col) if binary else F.encode(F.col(text_col).cast("string"), "UTF-8")
     spark.dataSource.register(_StagedFiles)
     rows = df.select(F.col(name_col).cast("string").alias("name"), content.alias("content"))
-    rows.write.format(_StagedFiles.name()).option("staging", staging).mode("append").save()
+    try:
+        rows.write.format(_StagedFiles.name()).option("staging", staging).mode("append").save()
+    except Exception:
+        _clear(staging)
+        raise
     _, inner = _store(staging)
     with store.open_input_stream(f"{inner}/{MARKER}") as f:
         tasks = json.loads(f.read())

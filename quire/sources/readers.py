@@ -20,6 +20,9 @@ PAIRS_CSV = StructType([StructField("Query_number", StringType()), StructField("
 INDEX_CSV = StructType([StructField("Word", StringType()), StructField("Documents", StringType())])
 
 
+READ_TASKS = 32  # tasks a core, at most, to read a folder of text files
+
+
 def read_index(spark: SparkSession, path: str, key: str = "doc_id") -> Index:
     """S3: the current version of the index artefacts written by ``write_index``."""
     version = spark.read.schema("version STRING").parquet(f"{path}/current").first()["version"]  # one row
@@ -50,7 +53,8 @@ def read_text_dir(spark: SparkSession, path: str, glob: str = "*.txt", recursive
         # The listing says file:///a or file:/a, whichever the store prefers.
         root = qualified(spark, path).split(":", 1)[-1].rstrip("/").lstrip("/")
         doc_id = F.substring_index(F.col("path"), root + "/", -1)
-    raw = reader.load(path).select("path", "content")
+    # A split holds some thirty small files, as each counts for the cost of opening it: a task takes many splits.
+    raw = reader.load(path).select("path", "content").coalesce(READ_TASKS * spark.sparkContext.defaultParallelism)
     named = raw.select(
         doc_id.alias("doc_id"),
         "path",

@@ -87,3 +87,20 @@ def test_paths_are_those_of_hadoop(spark, tmp_path):
     assert found(tmp_path / "real") == {"deep/out/a.txt"}
     with pytest.raises(ValueError, match="cannot be written"):
         files._store("nosuch://x/y")
+
+
+def test_publication_lists_the_older_output_alone(spark, tmp_path, monkeypatch):
+    out, seen, real = str(tmp_path / "out"), [], files.written_files
+    files.write_text_files(rows(spark, ["a.txt", "sub/b.txt"]), out, "name", "text")
+    with monkeypatch.context() as m:
+        m.setattr(files, "written_files", lambda *a: (lambda df: (seen.append(df.count()), df)[1])(real(*a)))
+        files.write_text_files(rows(spark, ["a.txt", "c.txt", "d.txt"]), out, "name", "text")
+    assert seen[0] == 2 and found(out) == {"a.txt", "c.txt", "d.txt"}
+
+
+def test_a_folder_of_many_files_is_read_by_tasks_that_take_many(spark, tmp_path, monkeypatch):
+    for k in range(700):
+        (tmp_path / f"n{k}.txt").write_text(str(k))
+    monkeypatch.setattr(Rd, "READ_TASKS", 1)
+    texts = Rd.read_text_dir(spark, str(tmp_path))[0]
+    assert texts.count() == 700 and texts.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
