@@ -15,8 +15,8 @@ Documents keep only fingerprints some passage has: a semi join with the
 written passage fingerprints, whose bytes tell Spark whether to broadcast them.  Each passage is then joined through its *rarest*
 fingerprint only (document frequency counted over the kept fingerprints), so
 a passage made of common text does not fan out through its commonest q-gram.  Every candidate is then verified
-with an exact ``contains``.  Hashing runs in ``mapInPandas`` with numpy over
-Arrow batches; the joins, counts and verification are Spark operators.
+with an exact ``contains``.  Hashing runs in ``mapInArrow`` with numpy over
+slices of Arrow batches; the joins, counts and verification are Spark operators.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +37,8 @@ _BASE = np.uint64(0x100000001B3)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 
+ROWS_AT_ONCE = 128  # texts a task turns into Python objects at a time
+
 FP_SCHEMA = "scheme INT, h BIGINT, id BIGINT"
 
 
@@ -94,41 +96,38 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(suffix[:m], prefix[w - 1 : w - 1 + m])
 
 
-def _fp_batches(schemes: list[tuple[int, int]], id_col: str, text_col: str):
-    """Document fingerprints per scheme."""
+def _prints(schemes_of):
+    """Arrow batches ``(id, text)`` -> fingerprints, ``ROWS_AT_ONCE`` texts at a time: what a task holds as Python
+    objects is some texts and their prints, whatever the size of its batches."""
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows = batch.slice(at, ROWS_AT_ONCE)
+                out_s, out_h, out_id = [], [], []
+                for ident, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+                    if not text:
+                        continue
+                    for qq, ww in schemes_of(text):
+                        fp = fingerprints(text, qq, ww)
+                        if fp.shape[0]:
+                            out_s.append(np.full(fp.shape[0], scheme_id(qq, ww), dtype=np.int32))
+                            out_h.append(fp.view(np.int64))
+                            out_id.append(np.full(fp.shape[0], ident, dtype=np.int64))
+                if out_h:
+                    columns = [np.concatenate(c) for c in (out_s, out_h, out_id)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["scheme", "h", "id"])
 
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out_s, out_h, out_id = [], [], []
-            for ident, text in zip(pdf[id_col].to_numpy(), pdf[text_col].to_numpy()):
-                if text is None:
-                    continue
-                for q, w in schemes:
-                    fp = fingerprints(text, q, w)
-                    if fp.shape[0]:
-                        out_s.append(np.full(fp.shape[0], scheme_id(q, w), dtype=np.int32))
-                        out_h.append(fp.view(np.int64))
-                        out_id.append(np.full(fp.shape[0], ident, dtype=np.int64))
-            if out_h:
-                yield pd.DataFrame({"scheme": np.concatenate(out_s), "h": np.concatenate(out_h), "id": np.concatenate(out_id)})
     return fn
 
 
 def _passage_fps(passages: DataFrame, q: int, w: int) -> DataFrame:
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out_s, out_h, out_id = [], [], []
-            for ident, text in zip(pdf["pid"].to_numpy(), pdf["ptext"].to_numpy()):
-                if not text:
-                    continue
-                qq, ww = scheme_for(len(text), q, w)
-                fp = fingerprints(text, qq, ww)
-                out_s.append(np.full(fp.shape[0], scheme_id(qq, ww), dtype=np.int32))
-                out_h.append(fp.view(np.int64))
-                out_id.append(np.full(fp.shape[0], ident, dtype=np.int64))
-            if out_h:
-                yield pd.DataFrame({"scheme": np.concatenate(out_s), "h": np.concatenate(out_h), "id": np.concatenate(out_id)})
-    return passages.mapInPandas(fn, FP_SCHEMA)
+    return passages.select("pid", "ptext").mapInArrow(_prints(lambda text: [scheme_for(len(text), q, w)]), FP_SCHEMA)
+
+
+def _document_fps(docs: DataFrame, schemes: list[tuple[int, int]]) -> DataFrame:
+    """Document fingerprints per scheme."""
+    return docs.select("did", "dtext").mapInArrow(_prints(lambda text: schemes), FP_SCHEMA)
 
 
 def contained_pairs(
@@ -160,7 +159,7 @@ def contained_pairs(
     # What is written is read more than once, and its bytes decide the joins:
     # the passages' few fingerprints are broadcast when they are few indeed.
     pfp = stored(_passage_fps(p, q, w), "passage-prints")
-    dfp = d.mapInPandas(_fp_batches(schemes, "did", "dtext"), FP_SCHEMA)
+    dfp = _document_fps(d, schemes)
     dfp_used = stored(dfp.join(pfp.select("scheme", "h").distinct(), ["scheme", "h"], "left_semi"), "document-prints")
     df_counts = dfp_used.groupBy("scheme", "h").agg(F.count(F.lit(1)).alias("dfreq"))
     # Rarest fingerprint of each passage (a fingerprint no document has -> no candidates).
