@@ -674,8 +674,9 @@ qv AS (""")
 )
 def q_retrieve_lemmatized(spark, sf):
     """X5/X6 end to end: documents and queries lemmatised alike."""
-    lemmas = P.lemma_map(I.term_counts(P.processed(spark, sf)), _suffix_tag)
-    return _top_rows(P.results(spark, sf, lemma_map=lemmas))
+    counts = stored(I.term_counts(P.processed(spark, sf)), "counts")
+    lemmas = P.lemma_map(counts, _suffix_tag)
+    return _top_rows(P.results(spark, sf, idx=I.index_from_counts(counts, lemma_map=lemmas), lemma_map=lemmas))
 
 
 # ---------------------------------------------------------------- streaming --
