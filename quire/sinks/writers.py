@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.index import Index, term_bucket
 from .files import write_text_files
 
-BUCKETS = 16  # default number of files of a stored index
+BUCKETS = 16  # default number of buckets of a stored index
 
 # One way of quoting for all CSV and TSV files: a quote inside a field is doubled.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -19,11 +19,11 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteS
 def write_index(index: Index, path: str, buckets: int = BUCKETS) -> None:
     """K3/K6: Parquet artefacts under ``path``, replacing those that are there.
 
-    Postings are partitioned by ``tb = term_bucket(term, buckets)``, one file
-    per bucket, sorted by term: a lookup joins on ``(term, tb)``, so only the
-    buckets the query terms fall in are read, and Parquet statistics on the
-    sorted terms skip row groups.  Choose ``buckets`` so that one file holds
-    some hundred MB.  The postings are built and written once; N is counted on
+    Postings are partitioned by ``tb = term_bucket(term, buckets)``, sorted by
+    term: a lookup joins on ``(term, tb)``, so only the buckets the query terms
+    fall in are read, and Parquet statistics on the sorted terms skip row
+    groups.  Ranges of (bucket, term) are dealt to the tasks, so a bucket has as
+    many files as it fills and no task sorts a whole one.  The postings are built and written once; N is counted on
     the written file.  Every write goes to a version folder of its own with
     its ``meta``; ``current`` names the version to read and is replaced last,
     so a write that breaks off leaves the old index in place.
@@ -35,8 +35,8 @@ def write_index(index: Index, path: str, buckets: int = BUCKETS) -> None:
     out = f"{path}/{version}"
     (
         index.postings.withColumn("tb", term_bucket("term", buckets))
-        .repartitionById(buckets, F.col("tb"))
-        .sortWithinPartitions("term", "rank")
+        .repartitionByRange("tb", "term")
+        .sortWithinPartitions("tb", "term", "rank")
         .write.partitionBy("tb")
         .parquet(f"{out}/postings")
     )
