@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 TF_FORMAT = "%.6f"  # fixed value: six decimals, as in the partial index files
 ITEM_SEP = ", "
 POSTING = r"^(.*):([^:]*)$"
+LINE_BREAKS = r"[\n\r\x{85}\x{2028}\x{2029}]"
 
 
 def full_text(x) -> Column:
@@ -31,6 +32,13 @@ def full_text(x) -> Column:
     return F.when(s.rlike(parts), F.when(exp <= 4, positional).otherwise(scientific)).otherwise(s)
 
 
+def six_decimals(x) -> Column:
+    """A double as ``TF_FORMAT`` prints it; by way of a decimal, which is cheaper than a formatter, where that is the same."""
+    col = F.col(x) if isinstance(x, str) else x
+    plain = (col > 0) & (col < 1e12)
+    return F.when(plain, col.cast("decimal(20,6)").cast("string")).otherwise(F.format_string(TF_FORMAT, col))
+
+
 def _joined(order: str, key: str, tf: Column, by: list[Column]) -> Column:
     items = F.array_sort(F.collect_list(F.struct(*by, F.concat(F.col(key).cast("string"), F.lit(":"), tf).alias("item"))))
     return F.array_join(F.transform(items, lambda s: s["item"]), ITEM_SEP).alias("documents")
@@ -48,9 +56,8 @@ def encode_partials(postings: DataFrame, batch: str, key: str = "doc_id") -> Dat
 
     ``batch`` is required: a list holds the documents of one batch, which the caller sizes.
     """
-    tf = F.format_string(TF_FORMAT, F.col("tf"))
     return postings.groupBy(F.col(batch), F.col("term").alias("word")).agg(
-        _joined("tf", key, tf, [(-F.col("tf")).alias("o"), F.col(key).alias("k")])
+        _joined("tf", key, six_decimals("tf"), [(-F.col("tf")).alias("o"), F.col(key).alias("k")])
     )
 
 
@@ -60,13 +67,22 @@ def decode_postings(encoded: DataFrame) -> DataFrame:
     ``rank`` counts the well-formed entries of a row in order: the champion rank
     of a merged index (of no meaning for a partial one).
     """
-    parsed = F.transform(
-        F.split("documents", ITEM_SEP),
-        lambda item: F.struct(
+
+    def plainly(item: Column) -> Column:
+        tf = F.substring_index(item, ":", -1)
+        # Without a colon the whole item is left of it: no tf.
+        name = F.left(item, F.char_length(item) - F.char_length(tf) - 1)
+        return F.struct(name.alias("doc_id"), F.when(item.contains(":"), tf).try_cast("double").alias("tf"))
+
+    def by_pattern(item: Column) -> Column:
+        return F.struct(
             F.regexp_extract(item, POSTING, 1).alias("doc_id"),
             F.when(item.rlike(POSTING), F.regexp_extract(item, POSTING, 2)).try_cast("double").alias("tf"),
-        ),
-    )
+        )
+
+    # The pattern ends at line breaks; lists without any are taken apart without it.
+    items = F.split("documents", ITEM_SEP)
+    parsed = F.when(F.col("documents").rlike(LINE_BREAKS), F.transform(items, by_pattern)).otherwise(F.transform(items, plainly))
     good = F.filter(parsed, lambda p: p["tf"].isNotNull() & (F.length(p["doc_id"]) > 0))
     return encoded.select(F.col("word").alias("term"), F.posexplode(good).alias("pos", "p")).select(
         "term", (F.col("pos") + 1).alias("rank"), F.col("p.doc_id").alias("doc_id"), F.col("p.tf").alias("tf")
