@@ -111,48 +111,76 @@ def ranked_postings(postings: DataFrame, key: str = "doc_id", partitions: int |
     No task holds a whole term: postings are dealt into sorted ranges of
     (term, tf, key), so that a frequent term spans as many ranges as it fills.
     Each range is numbered along its order and written; a term that begins in
-    an earlier range adds its counts there.  Only the first term of a range can
-    have such an offset, so that table is broadcast whatever the postings.
+    an earlier range adds its counts there.  Only the first and the last term of
+    a range can go on in another, so that table is broadcast whatever the postings.
+    """
+    # Ranges are cut by a sample, a pass of its own: over what is written, not over the analysis again.
+    return ranked_with_df(stored(postings.select("term", key, "tf"), "unranked"), key, partitions).select("term", "rank", key, "tf")
+
+
+def ranked_with_df(postings: DataFrame, key: str = "doc_id", partitions: int | None = None) -> DataFrame:
+    """``ranked_postings`` of a written table, each row with the number ``df`` of its term's postings.
+
+    Whoever numbers a range counts its terms too, so df needs no join by term.
     """
     spark = postings.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("term").asc(), F.col("tf").desc(), F.col(key).asc()]
     ship_package(spark)
-    # Ranges are cut by a sample, a pass of its own: over what is written, not over the analysis again.
-    postings = stored(postings.select("term", key, "tf"), "unranked")
-    ranges = postings.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranges = postings.select("term", key, "tf").repartitionByRange(n, *order).sortWithinPartitions(*order)
     local = ranges.select(F.spark_partition_id().alias("range"), "term", key, "tf").mapInArrow(
-        _numbered, f"range int, term string, `{key}` {postings.schema[key].dataType.simpleString()}, tf double, rank int, head boolean"
+        _numbered, f"range int, term string, `{key}` {postings.schema[key].dataType.simpleString()}, tf double, rank int, n int, head boolean"
     )
-    placed = stored(local.select("range", "term", "rank", key, "tf", "head"), "ranked-ranges")
+    placed = stored(local.select("range", "term", "rank", key, "tf", "n", "head"), "ranked-ranges", compression="zstd")
     # A term that goes on from an earlier range is the first one of the range.
     at_border = placed.where("head").select("term").distinct()
-    counts = placed.join(F.broadcast(at_border), "term", "left_semi").groupBy("term", "range").agg(F.max("rank").alias("n"))
+    counts = placed.join(F.broadcast(at_border), "term", "left_semi").where("rank = 1").select("term", "range", F.col("n").cast("bigint").alias("n"))
     earlier = Window.partitionBy("term").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("before", F.sum("n").over(earlier)).where(F.col("before") > 0).select("range", "term", "before")
+    whole = Window.partitionBy("term")
+    sums = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumn("all", F.sum("n").over(whole))
+    offsets = sums.where(F.col("all") > F.col("n")).select("range", "term", "before", "all")
     rank = (F.col("rank") + F.coalesce("before", F.lit(0))).cast("int")
-    return placed.join(F.broadcast(offsets), ["range", "term"], "left").select("term", rank.alias("rank"), key, "tf")
+    return placed.join(F.broadcast(offsets), ["range", "term"], "left").select(
+        "term", rank.alias("rank"), key, "tf", F.coalesce("all", F.col("n").cast("bigint")).alias("df")
+    )
+
+
+def _term_starts(terms: pa.Array) -> np.ndarray:
+    """True at the first row and at those whose term differs from the one before (nulls are one term)."""
+    codes = pc.fill_null(terms.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+    return np.concatenate([[True], codes[1:] != codes[:-1]])
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each batch of rows sorted by ``term`` with a ``rank`` from 1 within the term, across batches too, and a ``head``
-    that marks the very first row; the other columns pass as they are."""
-    term, last, ended = None, 0, True
+    """Each batch of rows sorted by ``term`` with a ``rank`` from 1 within the term, the term's number of rows ``n``, and a
+    ``head`` that marks the very first row; the other columns pass as they are.  The rows of the last term wait for its end."""
+    held, head = [], True
     for batch in batches:
         if not batch.num_rows:
             continue
         terms = batch.column("term")
-        at = np.arange(batch.num_rows, dtype=np.int64)
-        # The first row and those whose term differs from the one before (nulls are one term).
-        codes = pc.fill_null(terms.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
-        starts = np.concatenate([[True], codes[1:] != codes[:-1]])
-        rank = at - np.maximum.accumulate(np.where(starts, at, 0)) + 1
-        if not ended and terms[0].as_py() == term:
-            rank[codes == codes[0]] += last
-        head = pa.array((at == 0) & ended)
-        term, last, ended = terms[-1].as_py(), int(rank[-1]), False
-        fields = [*batch.schema, pa.field("rank", pa.int32()), pa.field("head", pa.bool_())]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank.astype(np.int32)), head], schema=pa.schema(fields))
+        if held and held[-1].column("term")[-1].as_py() != terms[0].as_py():
+            yield from _with_ranks(held, head)
+            held, head = [], False
+        last = int(np.flatnonzero(_term_starts(terms))[-1])
+        if last:
+            yield from _with_ranks([*held, batch.slice(0, last)], head)
+            held, head = [], False
+        held.append(batch.slice(last))
+    if held:
+        yield from _with_ranks(held, head)
+
+
+def _with_ranks(parts: list[pa.RecordBatch], head: bool) -> Iterator[pa.RecordBatch]:
+    """``_numbered`` for all rows of some terms; ``head``: they begin with the very first row."""
+    rows = pa.Table.from_batches(parts)
+    starts = _term_starts(rows.column("term").combine_chunks())
+    at = np.arange(rows.num_rows, dtype=np.int64)
+    rank = at - np.maximum.accumulate(np.where(starts, at, 0)) + 1
+    run = np.cumsum(starts) - 1
+    rows = rows.append_column("rank", pa.array(rank.astype(np.int32)))
+    rows = rows.append_column("n", pa.array(np.bincount(run)[run].astype(np.int32)))
+    yield from rows.append_column("head", pa.array((at == 0) & head)).to_batches()
 
 
 def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key: str = "doc_id", decimals: int | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ fall in are read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,14 +81,17 @@ def _query_weight():
     return ((F.col("cnt") / F.col("qlen")) * F.col("idf")).alias("weight")
 
 
-def dot_products(matched: DataFrame, key: str = "query_id", doc: str = "doc_id") -> DataFrame:
+def dot_products(matched: DataFrame, key: str = "query_id", doc: str = "doc_id", dealt: Sequence[str] = ()) -> DataFrame:
     """``(query_id, doc, dot, doc_norm, tie)`` for every document sharing a term.
 
+    ``dealt``: columns that follow from the document and by which the rows are
+    already dealt to tasks, so that the sums need no shuffle.
+
     ``tie`` is the smallest ``(query position, posting rank)`` through which
     the document is reached: the order in which a term-at-a-time scorer first
     meets it, used to order equal scores.
     """
-    return matched.groupBy(key, doc).agg(
+    return matched.groupBy(key, *dealt, doc).agg(
         F.sum(_query_weight() * F.col("dw")).alias("dot"),
         F.max("norm").alias("doc_norm"),
         # (query position, posting rank) as one bigint: same order, and a

@@ -69,3 +69,29 @@ def test_empty_corpus_and_repeated_ids(spark):
     assert B.search_blocks(B.build_blocks(processed.limit(0)), q).results.count() == 0
     with pytest.raises(ValueError, match="unique"):
         B.search_blocks(B.build_blocks(processed), q.unionAll(q))
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange " in line and "Broadcast" not in line]
+
+
+def test_postings_stay_dealt_by_range(spark):
+    docs = {d: "hot " * (d % 3 + 1) + f"t{chr(97 + d % 20)} other" for d in range(300)}
+    processed, q = _tables(spark, docs, {1: "hot ta", 2: "other tb tc"})
+    index = B.build_blocks(processed, docs_per_range=16)
+    assert _exchanges(index.postings.groupBy("range", "doc_id").count()) == []
+    assert _exchanges(index.blocks) == []
+    found = _exchanges(B.search_blocks(index, q, 3).results)
+    # Ranks are by query; no shuffle is by term, document or range.
+    assert found and all("hashpartitioning(query_id" in x and "range" not in x and "doc_id" not in x for x in found)
+
+
+def test_rows_without_a_key_count_in_ranks_but_are_not_found(spark):
+    rows = [(None, ["hot", "wa"], 2), (1, ["hot", "hot"], 2), (2, ["hot", "wb", "wc"], 3), (3, ["wd"], 1), (4, ["we"], 1)]
+    processed = spark.createDataFrame(rows, "doc_id long, tokens array<string>, n_terms int")
+    index = B.build_blocks(processed, docs_per_range=2)
+    want = I.ranked_postings(I.term_frequencies(I.term_counts(processed))).where("doc_id IS NOT NULL")
+    got = sorted(map(tuple, index.postings.select("term", "rank", "doc_id").collect()))
+    assert got == sorted(map(tuple, want.select("term", "rank", "doc_id").collect()))
+    assert index.terms.where("term = 'hot'").first()["df"] == 3

@@ -5,6 +5,7 @@ import os
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.operators import codec as C
@@ -75,3 +76,22 @@ def test_ranks_read_their_rows_once(spark):
     ranked = I.ranked_postings(df.mapInArrow(look, df.schema), partitions=4)
     assert ranked.count() == 400 and seen.value == 400
     assert ranked.groupBy("term").agg(F.max("rank"), F.count_distinct("rank"), F.count("*")).where("NOT (`max(rank)` = `count(1)` AND `count(DISTINCT rank)` = `count(1)`)").count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_df_comes_with_the_ranks(spark, partitions):
+    rows = [("hot", d, 0.5 if d % 2 else 0.25) for d in range(200)] + [(f"t{d % 7}", d, 0.1) for d in range(30)] + [(None, 1, 0.1), (None, 2, 0.1), ("once", 5, 0.2)]
+    df = spark.createDataFrame(rows, "term string, doc_id long, tf double")
+    got = I.ranked_with_df(df, partitions=partitions).where("term IS NOT NULL")
+    by_term = Window.partitionBy("term")
+    rank = F.row_number().over(by_term.orderBy(F.col("tf").desc(), "doc_id"))
+    want = df.where("term IS NOT NULL").select("term", rank.alias("rank"), "doc_id", "tf", F.count("*").over(by_term).alias("df"))
+    assert sorted(map(tuple, got.select("term", "rank", "doc_id", "tf", "df").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_term_over_many_batches_is_numbered_as_one():
+    batches = [pa.RecordBatch.from_pydict({"term": t, "x": list(range(len(t)))}) for t in (["a", "b"], ["b", "b"], [], ["b", "c"], ["c"], ["d"])]
+    out = pa.Table.from_batches(I._numbered(iter(batches))).to_pydict()
+    assert out["term"] == ["a", "b", "b", "b", "b", "c", "c", "d"]
+    assert out["rank"] == [1, 1, 2, 3, 4, 1, 2, 1] and out["n"] == [1, 4, 4, 4, 4, 2, 2, 1]
+    assert out["head"] == [True] + [False] * 7
