@@ -55,13 +55,16 @@ def scheme_id(q: int, w: int) -> int:
 
 
 def _qgram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
+    """Polynomial hashes of all q-grams, mixed; those of 2a code points come from two of a."""
     n = codes.shape[0] - q + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    h = np.zeros(n, dtype=np.uint64)
+    h, a = codes.copy(), 1
     with np.errstate(over="ignore"):
-        for j in range(q):
-            h = h * _BASE + codes[j : j + n]
+        for bit in bin(q)[3:]:
+            h, a = h[:-a] * np.uint64(pow(int(_BASE), a, 1 << 64)) + h[a:], 2 * a
+            if bit == "1":
+                h, a = h[:-1] * _BASE + codes[a:], a + 1
         h ^= h >> np.uint64(30)
         h *= _M1
         h ^= h >> np.uint64(27)
@@ -78,7 +81,9 @@ def fingerprints(text: str, q: int, w: int) -> np.ndarray:
     h = _qgram_hashes(codes, q)
     if h.shape[0] < w:
         return np.empty(0, dtype=np.uint64)
-    return np.unique(sliding_min(h, w))
+    least = sliding_min(h, w)
+    # Neighbouring windows mostly share theirs: what is sorted is one of each run.
+    return np.unique(least[np.concatenate([[True], least[1:] != least[:-1]])])
 
 
 def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -170,5 +175,5 @@ def contained_pairs(
         .select("scheme", "h", F.col("id").alias("pid"))
     )
     cands = stored(dfp_used.join(chosen, ["scheme", "h"]).select(F.col("id").alias("did"), "pid").distinct(), "candidates")
-    verified = cands.join(d, "did").join(p, "pid").where(F.instr(F.col("dtext"), F.col("ptext")) > 0)
+    verified = cands.join(d, "did").join(p, "pid").where(F.contains(F.col("dtext"), F.col("ptext")))
     return verified.select(F.col("pid").alias(passage_key), F.col("did").alias(doc_key))

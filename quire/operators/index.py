@@ -53,10 +53,8 @@ def term_counts(processed: DataFrame, key: str = "doc_id", carry: Sequence[str]
         *keep,
         "_s",
         F.filter(
-            F.transform(
-                F.zip_with("_s", F.concat(F.array(F.lit(None).cast("string")), "_s"), lambda x, p: x.isNotNull() & (p.isNull() | (x != p))),
-                lambda m, i: F.when(m, i).otherwise(F.lit(-1)),
-            ),
+            # Nulls sort first, and there is one before the first element.
+            F.transform("_s", lambda x, i: F.when(x.isNotNull() & ~x.eqNullSafe(F.get("_s", i - 1)), i).otherwise(F.lit(-1))),
             lambda i: i >= 0,
         ).alias("_st"),
     )
@@ -260,6 +258,10 @@ def term_bucket(term, buckets: int) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
 
 
+def _with_df(champs: DataFrame) -> DataFrame:
+    return champs.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("term")))
+
+
 def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Attach df, idf, weight and norm to champion postings with window functions.
 
@@ -267,10 +269,9 @@ def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, D
     window needs one exchange on the document key.
     """
     n = corpus_size(champs, key)
-    by_term = Window.partitionBy("term")
     by_doc = Window.partitionBy(key)
     p = (
-        champs.withColumn("df", F.count(F.lit(1)).over(by_term))
+        (champs if "df" in champs.columns else _with_df(champs))
         .crossJoin(F.broadcast(n))
         .withColumn("idf", idf_expr("df", "n_docs"))
         .withColumn("weight", F.col("tf") * F.col("idf"))
@@ -281,7 +282,7 @@ def index_postings(champs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, D
 
 
 def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id", counting: str = "row",
-                lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None) -> Index:
+                lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None, kept: bool = False) -> Index:
     """Lazy index over analysed documents ``(key, tokens, n_terms)``.
 
     ``counting="row"`` (default) counts inside each row without a shuffle;
@@ -289,13 +290,15 @@ def build_index(processed: DataFrame, top_n: int | None = TOP_N, key: str = "doc
     every distinct (document, term) pair through an exchange, and adds up rows
     that share a key.  ``dictionary`` (a table of words) restricts the terms,
     ``lemma_map`` ``(term, lemma)`` lemmatises them; both before tf, as tables.
+    ``kept`` writes the champion lists at once, so that N and the norms are
+    taken from what is written instead of pruning the postings twice.
     """
     counts = term_counts_grouped(processed, key) if counting == "grouped" else term_counts(processed, key)
-    return index_from_counts(counts, top_n, key, lemma_map, dictionary)
+    return index_from_counts(counts, top_n, key, lemma_map, dictionary, kept)
 
 
 def index_from_counts(counts: DataFrame, top_n: int | None = TOP_N, key: str = "doc_id",
-                      lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None) -> Index:
+                      lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None, kept: bool = False) -> Index:
     """``build_index`` over counts ``(key, term, cnt, n_terms)``: kept as a table (``util.stored``) where a
     dictionary or lemma map was made of them, so that the documents are analysed once."""
     if lemma_map is not None:
@@ -307,6 +310,8 @@ def index_from_counts(counts: DataFrame, top_n: int | None = TOP_N, key: str = "
 
         counts = dictionary_counts(counts, dictionary, key)
     champs = champions(term_frequencies(counts, key), top_n, key)
+    if kept:
+        champs = stored(_with_df(champs), "champions")
     postings, _ = index_postings(champs, key)
     return Index(postings=postings, key=key)
 

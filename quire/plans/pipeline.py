@@ -53,8 +53,8 @@ def processed(spark: SparkSession, sf_dir: str, cfg: AnalyzerConfig = DEFAULT) -
 
 
 def index(spark: SparkSession, sf_dir: str, top_n: int | None = I.TOP_N, cfg: AnalyzerConfig = DEFAULT,
-          lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None) -> I.Index:
-    return I.build_index(processed(spark, sf_dir, cfg), top_n, lemma_map=lemma_map, dictionary=dictionary)
+          lemma_map: DataFrame | None = None, dictionary: DataFrame | None = None, kept: bool = False) -> I.Index:
+    return I.build_index(processed(spark, sf_dir, cfg), top_n, lemma_map=lemma_map, dictionary=dictionary, kept=kept)
 
 
 def lemma_map(counts: DataFrame, tags_of=None) -> DataFrame:
@@ -70,7 +70,7 @@ def lemma_map(counts: DataFrame, tags_of=None) -> DataFrame:
 def results(spark: SparkSession, sf_dir: str, k: int = R.TOP_K, top_n: int | None = I.TOP_N,
             idx: I.Index | None = None, lemma_map: DataFrame | None = None) -> DataFrame:
     """``(query_id, rank, doc_id, score)`` for every benchmark query."""
-    idx = idx if idx is not None else index(spark, sf_dir, top_n, lemma_map=lemma_map)
+    idx = idx if idx is not None else index(spark, sf_dir, top_n, lemma_map=lemma_map, kept=True)
     return R.search(idx, benchmark_queries(spark, sf_dir), k, lemma_map=lemma_map)
 
 
