@@ -40,7 +40,8 @@ SMOOTHING = 0.05  # pseudo count of every piece
 UNKNOWN = 1e-7  # probability of a letter that is no piece, in every language
 BATCHED = 32  # letters of the longest words that are worked on in batches; probabilities of such need no scaling
 RESCALED = 16  # letters between two rescalings of a longer word
-CACHE_WORDS = 800_000
+CACHE_WORDS = 250_000
+SLICE_ROWS = 256  # texts scored together
 HELD_OUT = 2
 MIN_SCORE = 0.5  # the pipeline stage rejects texts below
 
@@ -345,6 +346,13 @@ def train(docs: DataFrame, vocabulary: str | None = None, sample_docs: int = SAM
     return Model(pieces, langs, table, priors)
 
 
+def _parts(batches: Iterator) -> Iterator:
+    """Arrow batches in slices, which share their memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _scored(docs: DataFrame, carry: list[Column], model: Model) -> DataFrame:
     """``carry`` plus ``lang_pred`` and ``score``."""
     spark = docs.sparkSession
@@ -352,16 +360,17 @@ def _scored(docs: DataFrame, carry: list[Column], model: Model) -> DataFrame:
     told = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         m = told.value
-        for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at : at + 256]
-                got = m.predict([None if t is None else t for t in part["text"]])
-                yield part.drop(columns="text").assign(lang_pred=[g[0] for g in got], score=[g[1] for g in got])
+        for part in _parts(batches):
+            got = m.predict(part.column(0).to_pylist())
+            columns = [*part.columns[1:], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[1:], "lang_pred", "score"])
 
-    asked = docs.select(*carry, text_or_empty().alias("text"))
+    asked = docs.select(text_or_empty().alias("text"), *carry)
     kept = asked.drop("text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)})
-    return asked.mapInPandas(predict, kept.schema)
+    return asked.mapInArrow(predict, kept.schema)
 
 
 def identify(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -386,15 +395,14 @@ def keep_known(docs: DataFrame, vocabulary: str | None = None, min_score: float
     spark = docs.sparkSession
     ship_package(spark)
     told = spark.sparkContext.broadcast(model)
-    columns = docs.columns
-    text = next(c for c in columns if c.lower() == "text")
+    text = [c.lower() for c in docs.columns].index("text")
 
     def choose(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         m = told.value
-        for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at : at + 256]
-                got = m.predict(part[text].tolist())
-                yield part[[g[0] != "und" and g[1] >= min_score for g in got]]
+        for part in _parts(batches):
+            got = m.predict(part.column(text).to_pylist())
+            yield part.filter(pa.array([g[0] != "und" and g[1] >= min_score for g in got], pa.bool_()))
 
-    return docs.mapInPandas(choose, docs.schema)
+    return docs.mapInArrow(choose, docs.schema)

@@ -171,3 +171,11 @@ def test_null_ids_and_copies_leave_a_sample(spark):
 def test_without_labels_nothing_is_predicted(spark, lang):
     df = spark.createDataFrame([(1, "some words", lang)], "doc_id long, text string, lang string")
     assert L.identify(df).first()["lang_pred"] == "und"
+
+
+def test_texts_are_passed_on_in_arrow(spark, capsys):
+    df = spark.createDataFrame([(k, "the old house", "en", "x" * 10) for k in range(8)], "doc_id long, TEXT string, lang string, source string")
+    kept = L.keep_known(df)
+    kept.explain()
+    assert "MapInArrow" in capsys.readouterr().out
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect())) and kept.columns == df.columns
