@@ -13,6 +13,13 @@ lanes that are done.  A document is a lane; a long one is several, parted at
 cuts that are verified first, so that the number of steps does not follow the
 longest document.
 
+Both tokenizers encode a text chunk by chunk (``tokenization``), mostly the
+same chunks, so every chunk ends in a cut and a text's groups are those of its
+chunks in order.  Chunks repeat: a Python worker brings each new one into
+lockstep with the others of its batch and keeps its tokens in the order of
+their groups, in two generations of ``ALIGNED_CHUNKS`` / 2.  Texts that one tokenizer encodes
+whole, or with a chunk that its tokens do not spell, are aligned whole.
+
 Links are counted over the corpus by a grouped sum.  Two linked tokens end
 together, so the bytes of one end in those of the other: a vocabulary entry has
 at most as many partners as bytes, and the table of pairs is bounded by the two
@@ -21,20 +28,22 @@ vocabularies (``most_pairs``) whatever the corpus.  That table is broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.util import ship_package
 from .common import stored, text_or_empty
-from .tokenization import CACHE_CHUNKS, load, tokenizer_path
+from .tokenization import Chunked, load, tokenizer_path
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 BATCH_BYTES = 1 << 20
 LANE_BYTES = 1024  # a longer document is parted into lanes of about this size
 TRIES = 32  # tokens looked at for a cut where a lane should end
+ALIGNED_CHUNKS = 400_000  # chunks whose aligned tokens a Python worker keeps (about 80 MB)
+ENCODED_CHUNKS = 100_000, 1_000  # and those its tokenizers keep; A's put words with marks together
 
 _LOADED: dict[tuple[str, str], "Aligner"] = {}
 
@@ -89,68 +98,137 @@ def lockstep(ends_a, ends_b, lane_a, lane_b):
     return cut_a, cut_b
 
 
-def _spelled(ids, wanted: list[bytes], vocabulary: list[bytes], blob, lengths) -> list[bool]:
-    """Whether the bytes of each text's tokens, joined, are those wanted."""
+def _spelled(ids, counts, wanted: list[bytes], vocabulary: list[bytes], blob, lengths):
+    """Whether the bytes of each text's tokens, joined, are those wanted; ``counts``: tokens of each text."""
     import numpy as np
 
-    if not ids:
-        return []
-    every = np.concatenate(ids)
-    size = lengths[every]
+    if not len(ids):
+        return np.array([not w for w in wanted], bool)
+    size = lengths[ids]
     ends = np.cumsum(size)
     # Place of each byte in the vocabulary's bytes: that of its token and how far it is in it.
-    first = (np.cumsum(lengths) - lengths)[every] - (ends - size)
+    first = (np.cumsum(lengths) - lengths)[ids] - (ends - size)
+    stops = np.cumsum(counts)
     if blob[np.arange(ends[-1]) + np.repeat(first, size)].tobytes() == b"".join(wanted):
-        stops = np.concatenate(([0], ends))[np.cumsum([len(x) for x in ids])]
-        if (stops == np.cumsum([len(w) for w in wanted])).all():
-            return [True] * len(ids)
-    return [b"".join(map(vocabulary.__getitem__, x.tolist())) == w for x, w in zip(ids, wanted, strict=True)]
+        if (np.concatenate(([0], ends))[stops] == np.cumsum(np.fromiter(map(len, wanted), np.int64, len(wanted)))).all():
+            return np.ones(len(wanted), bool)
+    parts = np.split(ids, stops[:-1])
+    return np.array([b"".join(map(vocabulary.__getitem__, x.tolist())) == w for x, w in zip(parts, wanted, strict=True)], bool)
 
 
-class Aligner:
-    """Encodes batches with both tokenizers and aligns them."""
+class Aligner(Chunked):
+    """Encodes batches with both tokenizers and aligns them; keeps the aligned tokens of chunks."""
 
     def __init__(self, path_a: str, path_b: str):
         import numpy as np
+        import pyarrow as pa
 
-        # Two caches share the room of one.
-        self.a, self.b = load(path_a, "byte", True, CACHE_CHUNKS // 2), load(path_b, "piece", False, CACHE_CHUNKS // 2)
+        super().__init__({}, ALIGNED_CHUNKS)
+        self.a, self.b = load(path_a, "byte", True, ENCODED_CHUNKS[0]), load(path_b, "piece", False, ENCODED_CHUNKS[1])
         self.bytes_a, self.bytes_b = self.a.vocabulary(), self.b.vocabulary()
         self._len_a, self._len_b = (np.array([len(t) for t in v], np.int64) for v in (self.bytes_a, self.bytes_b))
         self._blob_a, self._blob_b = (np.frombuffer(b"".join(v), np.uint8) for v in (self.bytes_a, self.bytes_b))
         self._most = max(len(self.bytes_a), len(self.bytes_b))
-        self._told = [f"{k}{mark}" for mark in ",|;" for k in range(self._most)]
+        self._told = pa.array([f"{k}{mark}" for mark in (",", "|", ";", "") for k in range(self._most)], pa.string())
 
     def align(self, texts: Sequence[str]) -> list[tuple]:
         """``(ids of A, ids of B, groups, links)`` per text; links are ``a * |B| + b``."""
         import numpy as np
 
+        shown = self._whole_texts(texts)
+        _, _, groups, links, ends = self._told_of(shown)
+        return [(*self._ids(s), *row) for s, *row in zip(shown, groups.to_pylist(), np.split(links, ends[:-1]) if texts else [], strict=True)]
+
+    def rows(self, texts: Sequence[str]) -> tuple:
+        """Numbers of tokens of A and of B, groups, links and their ends of all texts, as arrays; mostly by way of the texts' chunks."""
+        cut = [self.b.chunks(t) for t in texts]  # A cuts these texts at the same places
+        met = [None if chunks is None else list(map(self._cache.get, chunks)) for chunks in cut]
+        missing = {c for chunks, parts in zip(cut, met, strict=True) if parts and None in parts for c, p in zip(chunks, parts, strict=True) if p is None}
+        cache = self._met([missing])
+        out, whole = [b""] * len(texts), []
+        for k, parts in enumerate(met):
+            if parts and None in parts:
+                parts = [cache[c] if p is None else p for c, p in zip(cut[k], parts, strict=True)]
+            if parts is None or False in parts:
+                whole.append(k)
+            else:
+                out[k] = b"".join(parts)
+        for k, shown in zip(whole, self._whole_texts([texts[k] for k in whole]), strict=True):
+            out[k] = shown
+        return self._told_of(out)
+
+    def _learn(self, missing: Iterable[str]) -> None:
+        """Put the aligned tokens of chunks into the cache, False for one that its tokens do not spell."""
+        new = list(missing)
+        self._cache.update(zip(new, self._aligned(new, self.a.encode_chunks(new), self.b.encode_chunks(new)), strict=True))
+
+    def _whole_texts(self, texts: Sequence[str]) -> list[bytes]:
+        """``_aligned`` of whole texts and a space before each; nothing where there are no tokens."""
         known = [k for k, t in enumerate(texts) if t]
-        wanted = [(" " + texts[k]).encode("utf-8", "surrogatepass") for k in known]
-        of_a = [np.frombuffer(x, "<u4") for x in self.a.encode([" " + texts[k] for k in known])]
-        of_b = [np.frombuffer(x, "<u4") for x in self.b.encode([texts[k] for k in known])]
-        same_a = _spelled(of_a, wanted, self.bytes_a, self._blob_a, self._len_a)
-        same_b = _spelled(of_b, wanted, self.bytes_b, self._blob_b, self._len_b)
-        good = [k for k in range(len(known)) if same_a[k] and same_b[k]]
-        empty = np.empty(0, np.int64)
-        out: list[tuple] = [(empty, empty, "", empty)] * len(texts)
-        if not good:
-            return out
-        ids_a, ids_b = (np.concatenate([of[k] for k in good]).astype(np.int64) for of in (of_a, of_b))
-        docs_a, docs_b = (np.cumsum([len(of[k]) for k in good]) for of in (of_a, of_b))
-        ends_a, ends_b = np.cumsum(self._len_a[ids_a]), np.cumsum(self._len_b[ids_b])
-        cut_a, cut_b = lockstep(ends_a, ends_b, *lanes(ends_a, ends_b, docs_a))
-        at_a, at_b = np.flatnonzero(cut_a), np.flatnonzero(cut_b)
-        links = ids_a[at_a] * len(self.bytes_b) + ids_b[at_b]
-        link_ends = np.searchsorted(at_a, docs_a)
-        shown = self._shown(ids_a, ids_b, cut_a, cut_b, at_a, at_b)
-        before = (0, 0, 0)
-        for k, *ends in zip(good, docs_a.tolist(), docs_b.tolist(), link_ends.tolist(), strict=True):
-            groups = "".join(map(self._told.__getitem__, shown[before[0] + before[1] : ends[0] + ends[1]].tolist()))
-            out[known[k]] = (ids_a[before[0] : ends[0]], ids_b[before[1] : ends[1]], groups[:-1], links[before[2] : ends[2]])
-            before = tuple(ends)
+        spaced = [" " + texts[k] for k in known]
+        out = [b""] * len(texts)
+        for k, shown in zip(known, self._aligned(spaced, self.a.encode(spaced), self.b.encode([texts[k] for k in known])), strict=True):
+            out[k] = shown or b""
         return out
 
+    def _aligned(self, texts: Sequence[str], told_a: Sequence[bytes], told_b: Sequence[bytes]) -> list[bytes | bool]:
+        """The tokens of A and B (given as bytes) in the order of the groups, as 32-bit places in ``_told``; False where a side does not spell the text."""
+        import numpy as np
+
+        if not texts:
+            return []
+        wanted = [t.encode("utf-8", "surrogatepass") for t in texts]
+        ids_a, ids_b = (np.frombuffer(b"".join(told), "<u4").astype(np.int64) for told in (told_a, told_b))
+        n_a, n_b = (np.fromiter(map(len, told), np.int64, len(texts)) // 4 for told in (told_a, told_b))
+        good = _spelled(ids_a, n_a, wanted, self.bytes_a, self._blob_a, self._len_a) & _spelled(ids_b, n_b, wanted, self.bytes_b, self._blob_b, self._len_b)
+        if not good.all():
+            ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
+            n_a, n_b = n_a * good, n_b * good
+        shown = np.empty(0, np.int64)
+        if len(ids_a):
+            ends_a, ends_b = np.cumsum(self._len_a[ids_a]), np.cumsum(self._len_b[ids_b])
+            docs_a = np.cumsum(n_a)[n_a > 0]
+            cut_a, cut_b = lockstep(ends_a, ends_b, *lanes(ends_a, ends_b, docs_a))
+            shown = self._shown(ids_a, ids_b, cut_a, cut_b, np.flatnonzero(cut_a), np.flatnonzero(cut_b))
+        told, ends = shown.astype("<i4").tobytes(), (4 * np.cumsum(n_a + n_b)).tolist()
+        return [told[start:end] if ok else False for ok, start, end in zip(good.tolist(), [0, *ends[:-1]], ends, strict=True)]
+
+    def _told_of(self, shown: Sequence[bytes]) -> tuple:
+        """Numbers of tokens of A and of B, groups, links and their ends of aligned texts, as arrays."""
+        import numpy as np
+        import pyarrow as pa
+
+        every = np.frombuffer(b"".join(shown), "<i4")
+        ends = np.cumsum(np.fromiter(map(len, shown), np.int64, len(shown))) // 4
+        starts = np.concatenate(([0], ends[:-1]))
+        mark = every // self._most
+        last_a, last_b = mark == 1, mark == 2  # of a group
+        links = (every[last_a].astype(np.int64) - self._most) * len(self.bytes_b) + every[last_b] - 2 * self._most
+        link_ends = np.concatenate(([0], np.cumsum(last_b)))[ends]
+        n_b = np.diff(np.concatenate(([0], np.cumsum(self._of_b(last_a, last_b))))[ends], prepend=0)
+        places = every.copy()
+        places[ends[starts < ends] - 1] += self._most  # no mark behind the last
+        spelled = self._told.take(pa.array(places))
+        bounds = np.frombuffer(spelled.buffers()[1], np.int32)[np.concatenate(([0], ends))] if len(places) else np.zeros(len(shown) + 1, np.int32)
+        groups = pa.StringArray.from_buffers(len(shown), pa.py_buffer(bounds.tobytes()), spelled.buffers()[2] or pa.py_buffer(b""))
+        return ends - starts[: len(ends)] - n_b, n_b, groups, links, link_ends
+
+    def _ids(self, shown: bytes):
+        """The ids of A and of B of one aligned text."""
+        import numpy as np
+
+        every = np.frombuffer(shown, "<i4").astype(np.int64)
+        mark = every // self._most
+        of_b = self._of_b(mark == 1, mark == 2)
+        return (every % self._most)[~of_b], (every % self._most)[of_b]
+
+    @staticmethod
+    def _of_b(last_a, last_b):
+        """Which tokens are of B: those behind the last of A in their group, to the last of B."""
+        import numpy as np
+
+        return np.cumsum(last_a) - last_a > np.cumsum(last_b) - last_b
+
     def _shown(self, ids_a, ids_b, cut_a, cut_b, at_a, at_b):
         """The tokens of both in the order of the groups, as places in ``_told``: id and the mark after it."""
         import numpy as np
@@ -182,27 +260,29 @@ def align(docs: DataFrame, tokenizer_a: str | None = None, tokenizer_b: str | No
     path_a, path_b = tokenizer_a or tokenizer_path(TOKENIZER_A), tokenizer_b or tokenizer_path(TOKENIZER_B)
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import numpy as np
+        import pyarrow as pa
 
         both = aligner(path_a, path_b)
-        for pdf in batches:
+        for batch in batches:
+            ids, told = batch.columns
             texts, n, first = [], 0, 0
-            for k, text in enumerate(pdf["text"]):
-                texts.append(text)
-                n += len(text)
-                if n >= batch_bytes or k + 1 == len(pdf):
-                    rows = both.align(texts)
-                    yield pd.DataFrame({
-                        "doc_id": pdf["doc_id"].iloc[first : k + 1].tolist(), "n_a": [len(r[0]) for r in rows], "n_b": [len(r[1]) for r in rows],
-                        "groups": [r[2] for r in rows], "links": pd.Series([r[3] for r in rows], dtype=object),
-                    })
+            for k, text in enumerate(told):
+                texts.append(text.as_py())
+                n += len(texts[-1])
+                if n >= batch_bytes or k + 1 == len(told):
+                    n_a, n_b, groups, links, ends = both.rows(texts)
+                    ends = pa.array(np.concatenate(([0], ends)), pa.int32())
+                    yield pa.RecordBatch.from_arrays([
+                        ids[first : k + 1], pa.array(n_a), pa.array(n_b), groups, pa.ListArray.from_arrays(ends, pa.array(links)),
+                    ], ["doc_id", "n_a", "n_b", "groups", "links"])
                     texts, n, first = [], 0, k + 1
 
     ship_package(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     # Ids travel as text, which keeps nulls and large numbers exact.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
-    out = rows.mapInPandas(run, "doc_id string, n_a bigint, n_b bigint, groups string, links array<bigint>")
+    out = rows.mapInArrow(run, "doc_id string, n_a bigint, n_b bigint, groups string, links array<bigint>")
     return out.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_a", "n_b", "groups", "links")
 
 

@@ -54,10 +54,10 @@ def chunks_of(text: str) -> list[str]:
     return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
 
 
-class _Chunked:
+class Chunked:
     """Encoding by chunks and their cache; subclasses cut texts and learn new chunks."""
 
-    def __init__(self, fixed: dict[str, bytes], cached: int):
+    def __init__(self, fixed: dict, cached: int):
         self._fixed, self._cache, self._older, self._cached = fixed, dict(fixed), {}, cached
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
@@ -66,20 +66,29 @@ class _Chunked:
         for at in range(0, len(texts), 256):
             part = [t or "" for t in texts[at : at + 256]]
             cut = [self._chunks_of(t) for t in part]
-            if len(self._cache) > self._cached // 2:
-                self._older, self._cache = self._cache, dict(self._fixed)
-            cache, older = self._cache, self._older
-            missing = set(chain.from_iterable(c for c in cut if c)).difference(cache)
-            if older:
-                cache.update([(c, older[c]) for c in missing if c in older])
-                missing = [c for c in missing if c not in cache]
-            self._learn(missing)
+            cache = self._met(c for c in cut if c)
             for text, chunks in zip(part, cut, strict=True):
                 out.append(self._whole(text) if chunks is None else b"".join(map(cache.__getitem__, chunks)))
         return out
 
+    def encode_chunks(self, chunks: Sequence[str]) -> list[bytes]:
+        """Ids of chunks as ``chunks_of`` gives them."""
+        return list(map(self._met([chunks]).__getitem__, chunks))
 
-class ChunkTokenizer(_Chunked):
+    def _met(self, cut: Iterable[Iterable[str]]) -> dict:
+        """The cache, with all chunks of ``cut`` in it."""
+        if len(self._cache) > self._cached // 2:
+            self._older, self._cache = self._cache, dict(self._fixed)
+        cache, older = self._cache, self._older
+        missing = set(chain.from_iterable(cut)).difference(cache)
+        if older:
+            cache.update([(c, older[c]) for c in missing if c in older])
+            missing = [c for c in missing if c not in cache]
+        self._learn(missing)
+        return cache
+
+
+class ChunkTokenizer(Chunked):
     """Encodes texts to ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, kind: str, plain: bool = False, cached: int | None = None):
@@ -204,7 +213,7 @@ def byte_tokens() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
-class PieceTokenizer(_Chunked):
+class PieceTokenizer(Chunked):
     """A sentencepiece model that puts a space before each text, over the same chunks.
 
     No piece holds a space after another character, nor a line feed, so merges stay within chunks.
@@ -227,11 +236,14 @@ class PieceTokenizer(_Chunked):
     def _whole(self, text: str) -> bytes:
         return array("I", self._sp.encode(text, num_threads=1)).tobytes()
 
-    def _chunks_of(self, text: str) -> list[str] | None:
+    def chunks(self, text: str) -> list[str] | None:
+        """The chunks of a space and ``text``, or None when it has to be encoded whole."""
         if not text or self._joined or "\u2581" in text or irregular(" " + text):
             return None
         return chunks_of(" " + text)
 
+    _chunks_of = chunks
+
     def _learn(self, missing: Iterable[str]) -> None:
         spaced, inner = [], []
         for c in missing:

@@ -127,3 +127,23 @@ def test_empty_table_and_the_bound_of_pairs(spark, plain):
     both = L.aligner(tokenizer_path(L.TOKENIZER_A), tokenizer_path(L.TOKENIZER_B))
     assert L.most_pairs(both.bytes_a, both.bytes_b) < 300_000
     assert L.most_pairs([b"ab", b"b", b""], [b"b", b"cab"]) == 4  # ab-b, b-b, ab-cab, b-cab
+
+
+def test_chunks_are_aligned_once_and_kept_in_bounds(plain, monkeypatch):
+    monkeypatch.setattr(L, "ALIGNED_CHUNKS", 40)
+    both = L.Aligner(tokenizer_path(L.TOKENIZER_A), tokenizer_path(L.TOKENIZER_B))
+    size, seen = len(both.bytes_b), []
+    monkeypatch.setattr(both, "_aligned", lambda told, *ids, of=both._aligned: seen.extend(told) or of(told, *ids))
+    for at in range(0, 300, 20):
+        part = texts()[at : at + 20]
+        n_a, n_b, groups, links, ends = both.rows(part)
+        links = np.split(links, ends[:-1])
+        for text, *got in zip(part, n_a, n_b, groups.to_pylist(), links, strict=True):
+            a, b, want, pairs = merged(plain, text)
+            assert got[:3] == [a, b, shown(want)], repr(text)
+            assert [divmod(k, size) for k in got[3].tolist()] == pairs
+        assert len(both._cache) + len(both._older) < 1000
+    seen.clear()
+    both.rows(["once more twice more thrice more"] * 50)
+    assert sorted(seen) == sorted(set(seen)) and len(seen) <= 6
+    assert both.rows([])[0].tolist() == [] and both.rows(["", ""])[2].to_pylist() == ["", ""]
