@@ -58,17 +58,27 @@ def _ranges(codes: Iterable[int]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-# Letters, and the marks that combine with them; numerals that are no digits are word characters too, but no letters.
-_LETTER = "[^\\W\\d_%s]" % _ranges(c for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha())
-_MARK = "[%s]" % _ranges(c for c in range(0x110000) if unicodedata.category(chr(c))[0] == "M")
-_LETTERS = re.compile(f"{_LETTER}+(?:{_MARK}+{_LETTER}*)*")
-_BODY = re.compile(f"(?:{_LETTER}|{_MARK})*")
+def _patterns(end: int) -> tuple[re.Pattern, re.Pattern]:
+    """Words, and what may stand in one, in texts of code points below ``end``: letters, and the marks that combine with them.
+
+    The letters are listed, not excluded: up to U+FFFF a character is looked up in one table.
+    """
+    letter = "[%s]" % _ranges(c for c in range(end) if chr(c).isalpha())
+    mark = "[%s]" % _ranges(c for c in range(end) if unicodedata.category(chr(c))[0] == "M")
+    return re.compile(f"{letter}+(?:{mark}+{letter}*)*"), re.compile(f"(?:{letter}|{mark})*")
+
+
+_LETTERS, _BODY = _patterns(0x110000)
+_BASIC_LETTERS, _ = _patterns(0x10000)
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
 _START = "▁"
 
 
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters and their marks, each with the word start mark."""
-    return [_START + w for w in _LETTERS.findall(text.lower())]
+    lower = text.lower()
+    letters = _BASIC_LETTERS if lower.isascii() or not _BEYOND.search(lower) else _LETTERS
+    return [_START + w for w in letters.findall(lower)]
 
 
 def pieces_of(path: str) -> list[str]:
@@ -89,19 +99,49 @@ def _reach(ids: dict[str, int]) -> int:
     return max(map(len, ids), default=1)
 
 
-def _cuts(words: list[str], ids: dict[str, int], reach: int):
-    """For words of one length n: ``{(i, j): piece numbers}``, -1 where ``word[i:j]`` is no piece."""
-    import numpy as np
+class Steps:
+    """The pieces as a tree of letters: a sorted table of steps ``(node, letter)`` that many words walk at once."""
 
-    n, none, out = len(words[0]), len(ids), {}
-    for j in range(1, n + 1):
-        for i in range(max(0, j - reach), j):
-            got = np.fromiter((ids.get(w[i:j], -1) for w in words), np.int64, len(words))
-            if i + 1 == j:
-                got[got < 0] = none  # a single letter is always readable
-            if (got >= 0).any():
-                out[i, j] = got
-    return out
+    def __init__(self, ids: dict[str, int]):
+        import numpy as np
+
+        steps: dict[int, int] = {}
+        found = [-1]  # the piece that ends at a node
+        for piece, k in ids.items():
+            node = 0
+            for c in piece:
+                node = steps.setdefault(node * 0x110000 + ord(c), len(found))
+                if node == len(found):
+                    found.append(-1)
+            found[node] = k
+        # One step more, that no letter takes, so that a table of none can be searched.
+        keys, nodes = np.array([*steps, -1], np.int64), np.array([*steps.values(), 0], np.int64)
+        order = np.argsort(keys)
+        self.none, self._keys, self._nodes, self._found = len(ids), keys[order], nodes[order], np.array(found, np.int64)
+
+    def cuts(self, words: list[str]):
+        """For words of one length n: ``{(i, j): piece numbers}`` by j, then i; -1 where ``word[i:j]`` is no piece."""
+        import numpy as np
+
+        n, width, out = len(words[0]), len(words), {}
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        letters = np.ascontiguousarray(letters.reshape(width, n).T).ravel().astype(np.int64)
+        at, node = np.arange(n * width), np.zeros(n * width, np.int64)  # starts still on their way, by place in the word
+        for size in range(1, n + 1):
+            left = np.searchsorted(at, (n - size + 1) * width)
+            step = node[:left] * 0x110000 + letters[at[:left] + (size - 1) * width]
+            place = np.minimum(np.searchsorted(self._keys, step), len(self._keys) - 1)
+            known = self._keys[place] == step
+            at, node = at[:left][known], self._nodes[place[known]]
+            if size > 1 and not len(at):
+                break
+            got = np.full((n - size + 1, width), -1, np.int64)
+            got.ravel()[at] = self._found[node]
+            if size == 1:
+                got[got < 0] = self.none  # a single letter is always readable
+            for i in np.flatnonzero((got >= 0).any(axis=1)).tolist():
+                out[i, i + size] = got[i]
+        return dict(sorted(out.items(), key=lambda x: x[0][::-1]))
 
 
 def _cuts_before(word: str, j: int, ids: dict[str, int], reach: int) -> list[tuple[int, int]]:
@@ -155,13 +195,14 @@ def _by_length(words: Iterable[str]) -> dict[int, list[str]]:
     return out
 
 
-def forward(words: list[str], ids: dict[str, int], table):
+def forward(words: list[str], ids: dict[str, int], table, steps: Steps | None = None):
     """Log probability of each word in each language: ``[words, languages]``.
 
     ``table``: probabilities ``[pieces + 1, languages]``, the last row for unknown letters.
     """
     import numpy as np
 
+    steps = steps or Steps(ids)
     out = np.zeros((len(words), table.shape[1]))
     place, reach = {w: k for k, w in enumerate(words)}, _reach(ids)
     padded = np.vstack([table, np.zeros((1, table.shape[1]))])  # index -1: no piece
@@ -171,16 +212,17 @@ def forward(words: list[str], ids: dict[str, int], table):
                 out[place[w]] = _long_forward(w, ids, table, reach)
             continue
         alpha = [np.ones((len(group), table.shape[1]))] + [np.zeros((len(group), table.shape[1])) for _ in range(n)]
-        for (i, j), got in _cuts(group, ids, reach).items():
+        for (i, j), got in steps.cuts(group).items():
             alpha[j] += alpha[i] * padded[got]
         out[[place[w] for w in group]] = np.log(alpha[n])
     return out
 
 
-def expected_counts(counts: dict[str, int], ids: dict[str, int], probs):
+def expected_counts(counts: dict[str, int], ids: dict[str, int], probs, steps: Steps | None = None):
     """Expected piece counts over all segmentations of all words, for one language."""
     import numpy as np
 
+    steps = steps or Steps(ids)
     out, padded, reach = np.zeros(len(ids) + 1), np.append(probs, 0.0), _reach(ids)
     logs: list[float] = []
     for n, group in _by_length(counts).items():
@@ -189,7 +231,7 @@ def expected_counts(counts: dict[str, int], ids: dict[str, int], probs):
             for w in group:
                 _long_counts(w, counts[w], ids, logs, reach, out)
             continue
-        cuts = _cuts(group, ids, reach)
+        cuts = steps.cuts(group)
         weight = np.array([counts[w] for w in group], float)
         alpha = [np.ones(len(group))] + [np.zeros(len(group)) for _ in range(n)]
         beta = [np.zeros(len(group)) for _ in range(n)] + [np.ones(len(group))]
@@ -221,11 +263,12 @@ def fit(words: DataFrame, pieces: list[str], rounds: int = EM_ROUNDS):
             import pandas as pd
 
             ids, place = {p: k for k, p in enumerate(pieces)}, {x: k for k, x in enumerate(langs)}
+            steps = Steps(ids)
             sums = np.zeros((len(pieces), len(langs)))
             for pdf in batches:
                 for lang, part in pdf.groupby("lang"):
                     column = place[lang]
-                    sums[:, column] += expected_counts(dict(zip(part["word"], part["n"], strict=True)), ids, told.value[:, column])
+                    sums[:, column] += expected_counts(dict(zip(part["word"], part["n"], strict=True)), ids, told.value[:, column], steps)
             piece, lang = np.nonzero(sums)
             yield pd.DataFrame({"piece": piece, "lang": lang, "c": sums[piece, lang]})
 
@@ -255,7 +298,7 @@ class Model:
 
         if self._ids is None:
             self._ids = {p: k for k, p in enumerate(self.pieces)}
-        self._reach = _reach(self._ids)
+        self._reach, self._steps = _reach(self._ids), Steps(self._ids)
         self._rows: dict[str, int] = {}
         self._logs = np.empty((0, len(self.langs)))
         self._used = 0
@@ -271,7 +314,7 @@ class Model:
             return
         if self._used + len(new) > max(CACHE_WORDS, len(words)):
             self._rows, self._used, new = {}, 0, list(words)
-        logs = forward(new, self._ids, self.table)
+        logs = forward(new, self._ids, self.table, self._steps)
         need = self._used + len(new)
         if need > len(self._logs):
             grown = np.empty((max(need, min(2 * len(self._logs), CACHE_WORDS), 1 << 14), len(self.langs)))

@@ -173,6 +173,20 @@ def test_without_labels_nothing_is_predicted(spark, lang):
     assert L.identify(df).first()["lang_pred"] == "und"
 
 
+def test_steps_find_the_pieces_of_all_cuts():
+    """Many words walk the pieces at once; every cut as looking each one up gives it."""
+    words, ids = ["▁abcab", "zabc▁a", "bcbcbc"], {p: k for k, p in enumerate(PIECES)}
+    want = {}
+    for j in range(1, 7):
+        for i in range(j):
+            got = [ids.get(w[i:j], len(ids) if i + 1 == j else -1) for w in words]
+            if max(got) >= 0:
+                want[i, j] = got
+    got = L.Steps(ids).cuts(words)
+    assert list(got) == list(want) and {k: v.tolist() for k, v in got.items()} == want
+    assert {k: v.tolist() for k, v in L.Steps({}).cuts(["ab"]).items()} == {(0, 1): [0], (1, 2): [0]}
+
+
 def test_texts_are_passed_on_in_arrow(spark, capsys):
     df = spark.createDataFrame([(k, "the old house", "en", "x" * 10) for k in range(8)], "doc_id long, TEXT string, lang string, source string")
     kept = L.keep_known(df)
