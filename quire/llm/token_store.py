@@ -151,8 +151,8 @@ def fetch(shard: str, dictionary: bytes, doc_id: int) -> bytes | None:
 def _encoder(path: str, kind: str, end_id: int):
     end = int(end_id).to_bytes(4, "little")
 
-    def encode(texts: Sequence[str]) -> list[bytes]:
-        return [x + end for x in load(path, kind).encode(texts)]
+    def encode(texts) -> Iterator[bytes]:
+        return (ids + end for ids in load(path, kind).encode_column(texts))
 
     return encode
 
@@ -171,17 +171,19 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, kind:
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
 
     def sample_ids(batches):
-        for pdf in batches:
-            yield pdf.assign(ids=encode(pdf["text"].tolist()))[["ids"]]
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(list(encode(batch["text"])), pa.binary())], ["ids"])
 
     few = d.where(among_smallest(F.xxhash64("doc_id"), SAMPLE_DOCS, d.count()))
     some = few.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    dictionary = train_dictionary([bytes(r.ids) for r in some.select("text").mapInPandas(sample_ids, "ids binary").collect()])
+    dictionary = train_dictionary([bytes(r.ids) for r in some.select("text").mapInArrow(sample_ids, "ids binary").collect()])
     # The magic comes first, so that the file of an empty dictionary is not an empty file, which scans pass over.
     _write(f"{root}/dictionary/{hashlib.sha256(dictionary).hexdigest()}", MAGIC + dictionary)
 
     def write_shards(batches):
-        import pandas as pd
+        import pyarrow as pa
         from pyspark import TaskContext
 
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
@@ -196,20 +198,21 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, kind:
             manifest.append((part, seq, shard, first, last, len(w.index), w.tokens, len(data)))
             seq, w = seq + 1, None
 
-        for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                rows = pdf.iloc[at : at + 256]
-                for doc, ids in zip(rows["doc_id"], encode(rows["text"].tolist()), strict=True):
-                    w = w or ShardWriter(dictionary, level)
-                    w.add(None if pd.isna(doc) else int(doc), ids)
-                    if w.at >= SHARD_BYTES:
-                        close()
+        for batch in batches:
+            for doc, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"]), strict=True):
+                w = w or ShardWriter(dictionary, level)
+                w.add(doc, ids)
+                if w.at >= SHARD_BYTES:
+                    close()
         if w:
             close()
-        yield pd.DataFrame(manifest, columns=[c.split()[0] for c in _MANIFEST.split(", ")])
+        names = [c.split()[0] for c in _MANIFEST.split(", ")]
+        types = [{"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[c.split()[1]] for c in _MANIFEST.split(", ")]
+        columns = zip(*manifest, strict=True) if manifest else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     ordered = d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(write_shards, _MANIFEST).write.parquet(f"{root}/manifest")
+    ordered.mapInArrow(write_shards, _MANIFEST).write.parquet(f"{root}/manifest")
     return read_manifest(spark, root)
 
 

@@ -15,6 +15,10 @@ Words repeat, so most chunks come from the cache and the merges run only once
 per distinct word; new words are encoded many at a time.  The cache holds two
 generations of ``CACHE_CHUNKS`` / 2 entries: when the younger is full it becomes the older, and
 what is met again moves over, so memory stays bounded on any vocabulary.
+
+Whole columns of texts are cut as UTF-8 bytes, in slices of ``SLICE_BYTES``: there a closing mark
+after an ASCII letter or digit begins a chunk of its own, Arrow tells the distinct chunks of a slice,
+only those are looked up, and numpy puts the ids of all texts together.
 """
 
 from __future__ import annotations
@@ -23,15 +27,28 @@ import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE_CHUNKS = 1_000_000  # entries (about 200 MB) a Python worker keeps
+SLICE_BYTES = 4 << 20  # texts of a column that are cut at a time, or one longer text
 
 _CLOSING = ".,!?;:*#%$&@+=~^_/|()[]{}\"-"  # neither letters nor digits, no apostrophe
 _LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one pre-token of either kind, normalised by lower case alone
 _MARK = "\x01"
 _RUNS = ("  ", " \n", "\n ", "\n\n", "\x00")
 _BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# What a byte of UTF-8 is: a blank to cut at, a line feed, an ASCII letter or digit, a closing mark; the rest
+# is where a text that is encoded whole may be told by (other blanks, the opening of a special token).
+_BLANK, _FEED, _ALNUM, _MARKS, _RARE = 1, 2, 4, 8, 16
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*range(0x20), 0xC2, 0xE1, 0xE2, 0xE3, ord("<")]] = _RARE
+_CLASS[[ord(" "), ord("\n")]] = _BLANK, _BLANK | _FEED
+_CLASS[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = _ALNUM
+_CLASS[[*_CLOSING.encode()]] = _MARKS
 _LOADED: dict[tuple, "ChunkTokenizer | PieceTokenizer"] = {}
 
 
@@ -54,6 +71,15 @@ def chunks_of(text: str) -> list[str]:
     return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
 
 
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of texts without nulls, and where each begins in them, with the end of the last."""
+    _, offsets, data = texts.buffers()
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    bounds = np.frombuffer(offsets, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    held = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return held[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
 class Chunked:
     """Encoding by chunks and their cache; subclasses cut texts and learn new chunks."""
 
@@ -88,6 +114,36 @@ class Chunked:
         return cache
 
 
+class _Spelled:
+    """Chunks and their ids, one after the other in one array."""
+
+    def __init__(self):
+        self.codes: dict[str, int] = {}
+        self.first, self.n, self._ids, self._used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 10, np.uint32), 0
+
+    def add(self, chunks: Sequence[str], told: Sequence[bytes]) -> None:
+        """Further chunks, none of them known, with their ids as bytes."""
+        n = np.fromiter(map(len, told), np.int64, len(told)) // 4
+        stop = self._used + int(n.sum())
+        if stop > len(self._ids):
+            self._ids = np.concatenate([self._ids[: self._used], np.empty(max(stop, 2 * self._used) - self._used, np.uint32)])
+        self._ids[self._used : stop] = np.frombuffer(b"".join(told), "<u4")
+        self.codes.update(zip(chunks, range(len(self.codes), len(self.codes) + len(chunks)), strict=True))
+        self.first = np.concatenate([self.first, self._used + np.cumsum(n) - n])
+        self.n, self._used = np.concatenate([self.n, n]), stop
+
+    def told(self, code: int) -> bytes:
+        return self._ids[self.first[code] : self.first[code] + self.n[code]].tobytes()
+
+    def ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many chunks, and where each chunk's end among them."""
+        n = self.n[codes]
+        ends = np.cumsum(n)
+        at = np.repeat(self.first[codes] - (ends - n), n)
+        at += np.arange(len(at))
+        return self._ids[at], ends
+
+
 class ChunkTokenizer(Chunked):
     """Encodes texts to ids as little-endian unsigned 32-bit bytes."""
 
@@ -110,8 +166,88 @@ class ChunkTokenizer(Chunked):
             self._spaced = {k for token, k in self._tok.get_vocab().items() if token.startswith("\u0120")}
         else:
             self._mark = self._tok.encode(_MARK, add_special_tokens=False).ids
+        self._young, self._old = _Spelled(), _Spelled()
         super().__init__({"": b""}, cached or CACHE_CHUNKS)
 
+    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+        return [ids for at in range(0, len(texts), 256) for ids in self.encode_column(pa.array([t or "" for t in texts[at : at + 256]], pa.large_string()))]
+
+    def encode_column(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of every text of a string column (null counts as empty), little-endian uint32."""
+        texts = pc.fill_null(texts, "")
+        wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        at = 0
+        while at < len(texts):
+            offsets = np.frombuffer(texts.buffers()[1], wide)[texts.offset + at : texts.offset + len(texts) + 1]
+            stop = at + max(1, int(np.searchsorted(offsets, offsets[0] + SLICE_BYTES, "right")) - 1)
+            yield from self._slice(texts.slice(at, stop - at))
+            at = stop
+
+    def _slice(self, texts: pa.Array) -> Iterator[bytes]:
+        data, bounds = _bytes_of(texts)
+        whole = {k: self._whole(t) for k, t in self._unfit(texts, data, bounds)}
+        if whole:
+            kept = np.ones(len(texts), bool)
+            kept[list(whole)] = False
+            data, bounds = _bytes_of(pc.if_else(pa.array(kept), texts, ""))
+        first = self._cuts(data, bounds)
+        chunks = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(np.append(first, len(data))), pa.py_buffer(data)).dictionary_encode()
+        codes = self._codes(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, ends = self._young.ids(codes[chunks.indices.to_numpy()])
+        at = np.append(0, ends)[np.searchsorted(first, bounds)].tolist()
+        for k in range(len(texts)):
+            yield whole[k] if k in whole else ids[at[k] : at[k + 1]].tobytes()
+
+    def _unfit(self, texts: pa.Array, data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, str]]:
+        """Places and texts of those that have to be encoded whole."""
+        kinds = _CLASS[data]
+        rare = np.flatnonzero(kinds == _RARE)
+        then = data[np.minimum(rare + 1, len(data) - 1)]
+        lead = data[rare]
+        told = (lead == ord("<")) & (then == ord("|")) & (not self._plain)
+        if self._kind == "byte":
+            after = data[np.minimum(rare + 2, len(data) - 1)]
+            told |= (lead < 0x20) | (lead == 0xC2) & ((then == 0x85) | (then == 0xA0)) | (lead == 0xE1) & (then == 0x9A)
+            told |= (lead == 0xE2) & ((then == 0x81) | (then == 0x80) & ((after <= 0x8A) | (after >= 0xA8))) | (lead == 0xE3) & (then == 0x80)
+            blank = kinds & _BLANK
+            rare = np.concatenate([rare[told], np.flatnonzero(blank[1:] & blank[:-1])])
+        else:
+            rare = rare[told]
+        for k in np.unique(np.searchsorted(bounds, rare, "right") - 1).tolist():
+            text = texts[k].as_py()
+            if self._chunks(text) is None:
+                yield k, text
+
+    def _cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where the chunks of texts begin: at the texts' own bounds, at blanks, after line feeds (byte)
+        and at a closing mark after an ASCII letter or digit, which no pre-token holds together."""
+        kinds = _CLASS[data]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[:-1] = kinds & _BLANK
+        cut[1:-1] |= (kinds[:-1] == _ALNUM) & (kinds[1:] == _MARKS)
+        if self._kind == "byte":
+            cut[1:] |= (kinds & _FEED).astype(bool)
+        cut[bounds] = True
+        return np.flatnonzero(cut[:-1])
+
+    def _codes(self, chunks: list[str]) -> np.ndarray:
+        """Places of chunks in the younger generation, which has them all afterwards."""
+        if len(self._young.codes) > self._cached // 2:
+            self._old, self._young = self._young, _Spelled()
+        codes = np.fromiter(map(self._young.codes.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(codes < 0)
+        names = [chunks[k] for k in missing.tolist()]
+        codes[missing] = len(self._young.codes) + np.arange(len(names))
+        told = list(map(self._old.codes.get, names))
+        new = [c for c, k in zip(names, told, strict=True) if k is None]
+        # In the word kind a chunk has the blank before it, which gives no id.
+        words = new if self._kind == "byte" else [c.lstrip(" \n") for c in new]
+        learnt = dict(self._fixed)
+        self._spell(new if words is new else set(words).difference(learnt), learnt)
+        spelled = map(learnt.__getitem__, words)
+        self._young.add(names, [next(spelled) if k is None else self._old.told(k) for k in told])
+        return codes
+
     def _whole(self, text: str) -> bytes:
         return array("I", self._tok.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -138,33 +274,41 @@ class ChunkTokenizer(Chunked):
         return out
 
     def _learn(self, missing: Iterable[str]) -> None:
-        """Put chunks into the cache.  Closing marks are pre-tokens of their own after a letter or
+        self._spell(missing, self._cache)
+
+    def _spell(self, missing: Iterable[str], known: dict[str, bytes]) -> None:
+        """Put chunks into ``known``.  Closing marks are pre-tokens of their own after a letter or
         digit, so a word with marks is put together from the two."""
+        missing, letters = list(missing), _LETTERS.fullmatch
+        plain = [c for c in missing if letters(c)]
+        known.update(zip(plain, self._merged(plain), strict=True))
         composed, need = [], set()
         for chunk in missing:
+            if chunk in known:
+                continue
             word = chunk.rstrip(_CLOSING)
             if len(word) < len(chunk) and word and word[-1].isalnum():
                 composed.append((chunk, word))
                 need.update((word, chunk[len(word) :]))
             else:
                 need.add(chunk)
-        new, letters, merged = [], _LETTERS.fullmatch, self._model.tokenize
-        for c in need:
-            if c in self._cache:
-                continue
-            if letters(c):
-                # A pre-token as it is: the merges alone, without normalizer and pre-tokenizer.
-                shown = c if self._kind == "byte" else c.lower()
-                shown = shown.replace(" ", self._shown[32]) if shown.isascii() else shown.encode().decode("latin-1").translate(self._shown)
-                self._cache[c] = array("I", [t.id for t in merged(shown)]).tobytes()
-            else:
-                new.append(c)
+        need.difference_update(known)
+        plain = [c for c in need if letters(c)]
+        known.update(zip(plain, self._merged(plain), strict=True))
+        new = list(need.difference(plain))
         for at in range(0, len(new), 4096):
-            self._encode_new(new[at : at + 4096])
+            self._encode_new(new[at : at + 4096], known)
         for chunk, word in composed:
-            self._cache[chunk] = self._cache[word] + self._cache[chunk[len(word) :]]
+            known[chunk] = known[word] + known[chunk[len(word) :]]
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens as they are: the merges alone, without normalizer and pre-tokenizer."""
+        merged, shown, space = self._model.tokenize, self._shown, self._shown[32]
+        if self._kind == "word":
+            words = [w.lower() for w in words]
+        return [array("I", [t.id for t in merged(w.replace(" ", space) if w.isascii() else w.encode().decode("latin-1").translate(shown))]).tobytes() for w in words]
 
-    def _encode_new(self, new: list[str]) -> None:
+    def _encode_new(self, new: list[str], known: dict[str, bytes]) -> None:
         """Encode chunks, joined to few long texts that the tokenizer takes apart where they meet."""
         if self._kind == "byte":
             spaced = [c for c in new if len(c) > 1 and c[0] == " " and c[1] != " "]
@@ -179,7 +323,7 @@ class ChunkTokenizer(Chunked):
             found = dict(zip(free, self._taken_apart(free, f" {_MARK} "), strict=True))
             found.update((c, self._tok.encode(c, add_special_tokens=False).ids) for c in new if _MARK in c)
         for chunk in new:
-            self._cache[chunk] = array("I", found[chunk]).tobytes()
+            known[chunk] = array("I", found[chunk]).tobytes()
 
     def _taken_apart(self, group: list[str], glue: str) -> list[list[int]]:
         if not group:

@@ -6,11 +6,13 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from quire.llm import packing as K
 from quire.llm import token_store as T
+from quire.llm import tokenization as Z
 from quire.llm.tokenization import ChunkTokenizer, tokenizer_path
 
 from ..conftest import SF001
@@ -30,6 +32,37 @@ def test_chunks_give_the_ids_of_whole_texts(kind):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("kind", FILES)
+def test_columns_give_the_ids_of_whole_texts(kind, monkeypatch):
+    rng = random.Random(2)
+    parts = ["word", "Wörter", "a", "é", "Σ", "_", ".", ",", "'s", "'", "\"", "1", "²", "—", "’", "<", "<|", "|", "日", "\u3000", "\u2028", "\xa0", "\x85", "\u0301", "\t", "\x00", "\x01", " ", " ", " ", "\n", "=\u0338"]
+    texts = [None, "", *ODD, *("".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(1500)), None, ""]
+    whole = Tokenizer.from_file(tokenizer_path(FILES[kind]))
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for column, size, cached in ((pa.array(texts), 1 << 20, None), (pa.array(["x", *texts], pa.large_string()).slice(1), 100, 50)):
+        monkeypatch.setattr(Z, "SLICE_BYTES", size)
+        tok = ChunkTokenizer(tokenizer_path(FILES[kind]), kind, cached=cached)
+        for text, ids, told in zip(texts, want, tok.encode_column(column), strict=True):
+            assert np.frombuffer(told, "<u4").tolist() == ids, repr(text)
+        assert not cached or len(tok._young.codes) + len(tok._old.codes) < 300
+    assert list(tok.encode_column(pa.array([], pa.string()))) == []
+
+
+def test_a_word_is_learnt_once_with_any_closing_marks(monkeypatch):
+    tok, asked = ChunkTokenizer(tokenizer_path(FILES["byte"]), "byte"), []
+    spell = tok._spell
+
+    def noted(missing, known):
+        asked.extend(missing)
+        spell(missing, known)
+
+    monkeypatch.setattr(tok, "_spell", noted)
+    column = pa.array(["alpha beta, beta. beta! beta", "beta; alpha, beta\nbeta"])
+    first, again = list(tok.encode_column(column)), list(tok.encode_column(column))
+    assert first == again
+    assert sorted(asked) == sorted(["alpha", " alpha", "beta", " beta", ",", ".", "!", ";", "\n"])
+
+
 def expected_store(rows):
     tok = Tokenizer.from_file(tokenizer_path(FILES["byte"]))
     out, start = [], 0
