@@ -52,3 +52,46 @@ def test_a_batch_is_read_by_one_job_and_rejects_are_kept(spark):
     assert [r["doc_id"] for r in spark.read.parquet(f"{out}/rejects").collect()] == ["d9.txt"]
     prog = progress(spark, out).collect()
     assert sum(r["documents"] for r in prog) == 6 and sum(r["tokens"] for r in prog) == 12
+
+
+def test_a_batch_is_listed_by_few_tasks_and_the_log_is_not_rewritten_every_ten(spark):
+    from quire.streaming import incremental as inc
+
+    root = tempfile.mkdtemp(prefix="quire-stream-")
+    src, out = f"{root}/src", f"{root}/out"
+    os.makedirs(src)
+    for i in range(480):
+        _write(src, f"d{i:03d}.txt", "alpha beta")
+    seen, real = {}, inc.stream_partial_indexes
+
+    def started(*a, **k):
+        q = real(*a, checkpoint=f"{root}/ckpt", **k)
+        seen["job"] = str(q.runId)
+        return q
+
+    inc.stream_partial_indexes = started
+    before = {k: spark.conf.get(k, None) for k in (inc.LISTING_TASKS, inc.LOG_COMPACTION, inc.OPEN_COST)}
+    try:
+        assert inc.build_from_directory(spark, src, out, files_per_trigger=40).postings.count() == 20
+    finally:
+        inc.stream_partial_indexes = real
+    assert {k: spark.conf.get(k, None) for k in before} == before
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(seen["job"]) for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 2 * spark.sparkContext.defaultParallelism < 40
+    assert not [f for f in os.listdir(f"{root}/ckpt/sources/0") if f.endswith(".compact")]
+    # The rows of progress are files of their own, without a job; a replay puts its row in place of the older one.
+    inc._note_progress(spark, out, {"batch": 3, "documents": 40, "tokens": 80})
+    assert [tuple(r) for r in progress(spark, out).orderBy("batch").collect()] == [(b, 40, 80, 40 * (b + 1)) for b in range(12)]
+
+
+def test_counts_are_set_up_once_for_all_batches(spark, monkeypatch):
+    calls, real = [], I.counted_rows
+    monkeypatch.setattr(I, "counted_rows", lambda *a, **k: (calls.append(1), real(*a, **k))[1])
+    root = tempfile.mkdtemp(prefix="quire-stream-")
+    os.makedirs(f"{root}/src")
+    for i in range(6):
+        _write(f"{root}/src", f"d{i}.txt", "alpha beta beta" if i else "the")
+    stream_partial_indexes(spark, f"{root}/src", f"{root}/out", files_per_trigger=2).awaitTermination()
+    assert len(calls) == 1 and [r["documents"] for r in progress(spark, f"{root}/out").orderBy("batch").collect()] in ([1, 2, 2], [2, 1, 2], [2, 2, 1])
+    assert sorted((r["term"], r["tf"]) for r in spark.read.parquet(f"{root}/out/partials").collect()) == [("alpha", 0.333333)] * 5 + [("beta", 0.666667)] * 5
