@@ -20,13 +20,15 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -224,9 +226,19 @@ def finish_writes(spark: SparkSession, directory: str, replace: bool = True) ->
                 _remove(store, info.path)
 
 
-def _listed(store, root: str) -> Iterator[tuple[str, int]]:
+def _ours(name: str) -> bool:
+    """Hidden names are not ours: staging, success marks, checksums."""
+    return name[0] not in "_."
+
+
+def _read_by_spark(name: str) -> bool:
+    """Names that Spark's readers take below a folder."""
+    return not (name[0] == "." or name[0] == "_" and "=" not in name or name.endswith("._COPYING_"))
+
+
+def _listed(store, root: str, shown: Callable[[str], bool] = _ours, into: Callable[[str], bool] = lambda name: True) -> Iterator[tuple[str, int]]:
     """``(name, bytes)`` of the files below ``root``, folder by folder; a local folder is read entry by entry, never
-    held as a list.  Hidden names are not ours (staging, success marks, checksums) and not gone into."""
+    held as a list.  Names that are not ``shown`` are left out, folders too; only folders ``into`` allows are gone into."""
     from pyarrow import fs
 
     folders = [root]
@@ -237,39 +249,80 @@ def _listed(store, root: str) -> Iterator[tuple[str, int]]:
                 continue
             with os.scandir(folder) as entries:
                 for e in entries:
-                    if e.name[0] in "_.":
+                    if not shown(e.name):
                         continue
                     if e.is_dir():
-                        folders.append(e.path)
+                        if into(e.name):
+                            folders.append(e.path)
                     elif e.is_file():
                         yield e.path[len(root) :].strip("/"), e.stat().st_size
         else:
             for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-                if info.base_name[0] in "_.":
+                if not shown(info.base_name):
                     continue
                 if info.type == fs.FileType.Directory:
-                    folders.append(info.path)
+                    if into(info.base_name):
+                        folders.append(info.path)
                 elif info.type == fs.FileType.File:
                     yield info.path[len(root) :].strip("/"), info.size
 
 
-def written_files(spark: SparkSession, directory: str) -> DataFrame:
-    """``(name, bytes)`` of the files below ``directory``, empty ones too, names relative to it.
-
-    Listed by one task, as a store lists a folder in sequence.
-    """
-    base = resolved(spark, directory)
+def _in_one_task(spark: SparkSession, base: str, listed: Callable) -> DataFrame:
+    """``(name, bytes)`` that ``listed(store, root)`` gives, by one task, as a store lists a folder in sequence."""
 
     def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _store(base)
         for _ in batches:
-            names = _listed(store, root)
+            names = iter(listed(store, root))
             while some := list(islice(names, 10_000)):
                 yield pd.DataFrame(some, columns=["name", "bytes"])
 
     return spark.range(1).mapInPandas(listing, "name STRING, bytes BIGINT")
 
 
+def written_files(spark: SparkSession, directory: str) -> DataFrame:
+    """``(name, bytes)`` of the files below ``directory``, empty ones too, names relative to it."""
+    return _in_one_task(spark, resolved(spark, directory), _listed)
+
+
+def found_files(spark: SparkSession, base: str, glob: str, recursive: bool) -> DataFrame:
+    """``(name, bytes)`` of the files in the folder ``base`` (as ``resolved`` gives it) that Spark's readers take and whose
+    base name matches ``glob``; without ``recursive`` only folders ``key=value`` are gone into, as Spark does."""
+    # Hadoop's own reading of the pattern.
+    pattern = re.compile(spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().toString(), re.DOTALL)
+
+    def listed(store, root: str) -> Iterator[tuple[str, int]]:
+        files = _listed(store, root, _read_by_spark, lambda name: recursive or "=" in name)
+        return ((name, size) for name, size in files if pattern.fullmatch(name.rsplit("/", 1)[-1]))
+
+    return _in_one_task(spark, base, listed)
+
+
+def contents(names: DataFrame, base: str) -> DataFrame:
+    """``(name, content)`` of the files ``name`` below ``base``: each is read whole by the task that has its name."""
+    return names.select("name").mapInArrow(lambda batches: _read(batches, base), "name STRING, content BINARY")
+
+
+def _read(batches: Iterator[pa.RecordBatch], base: str, at_once: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Files named in ``batches``, given on as soon as ``at_once`` bytes are held."""
+    store, root = _store(base)
+    for batch in batches:
+        some, size = [], 0
+        for name in batch.column("name").to_pylist():
+            with store.open_input_stream(f"{root}/{name}", compression=None) as f:
+                some.append((name, f.read()))
+            size += len(some[-1][1])
+            if size >= at_once:
+                yield _as_batch(some)
+                some, size = [], 0
+        if some:
+            yield _as_batch(some)
+
+
+def _as_batch(some: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([n for n, _ in some], pa.string()), pa.array([c for _, c in some], pa.binary())], names=["name", "content"])
+
+
 def write_text_files(df: DataFrame, directory: str, name_col: str, text_col: str, replace: bool = True) -> DataFrame:
     """Write ``text_col`` of each row to ``directory/<name_col>`` (UTF-8, or bytes as they are; null as an empty file).
 

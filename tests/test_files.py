@@ -2,6 +2,7 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,36 @@ def test_a_folder_of_many_files_is_read_by_tasks_that_take_many(spark, tmp_path,
     monkeypatch.setattr(Rd, "READ_TASKS", 1)
     texts = Rd.read_text_dir(spark, str(tmp_path))[0]
     assert texts.count() == 700 and texts.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+def test_a_folder_is_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    for name, data in {"a.txt": b"a", "b.TXT": b"b", "_h.txt": b"h", ".g.txt": b"g", "c.txt": b"\xff", "e.txt": b"", "z.txt.gz": b"gz", "sub/a.txt": b"sub", "_no/a.txt": b"no", "k=v/p.txt": b"part"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    at = str(tmp_path)
+    docs, rejects = Rd.read_text_dir(spark, at, recursive=True)
+    # The driver has no list of files: none of its plans reads them by Spark's reader of files.
+    for df in (docs, rejects):
+        assert "binaryFile" not in df._jdf.queryExecution().toString() and all("/listing-" in f for f in df.inputFiles())
+    (tmp_path / "late.txt").write_text("after the listing")
+    assert {tuple(r) for r in docs.collect()} == {("a.txt", "a"), ("sub/a.txt", "sub"), ("k=v/p.txt", "part")}
+    assert [tuple(r) for r in rejects.collect()] == [("c.txt", f"file:{at}/c.txt")]
+    # What Spark's own listing finds by the same pattern.
+    for glob in ("*.txt", "{a,c}.t?t", "[!a]*.txt", "*.gz", "*"):
+        for deep in ("false", "true"):
+            own = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", deep).load(f"{at}/sub" if deep == "false" else at)
+            mine = Rd._files_of(spark, f"{at}/sub" if deep == "false" else at, glob, deep == "true")
+            assert {tuple(r) for r in mine.select("path", "content").collect()} == {tuple(r) for r in own.select("path", "content").collect()}
+    # A pattern of folders is no folder.
+    assert {r["doc_id"] for r in Rd.read_text_dir(spark, f"{at}/s*")[0].collect()} == {"a.txt"}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        Rd.read_text_dir(spark, f"{at}/nowhere")
+
+
+def test_contents_leave_a_task_some_bytes_at_a_time(tmp_path):
+    for k in range(50):
+        (tmp_path / f"{k}.txt").write_bytes(bytes([k]) * 1000)
+    names = pa.RecordBatch.from_pydict({"name": [f"{k}.txt" for k in range(50)]})
+    out = list(files._read(iter([names]), f"file:{tmp_path}", 3000))
+    assert max(b.num_rows for b in out) == 3
+    assert [(r["name"], r["content"]) for b in out for r in b.to_pylist()] == [(f"{k}.txt", bytes([k]) * 1000) for k in range(50)]
