@@ -191,20 +191,24 @@ def _with_ranks(parts: list[pa.RecordBatch], head: bool) -> Iterator[pa.RecordBa
     yield from rows.append_column("head", pa.array((at == 0) & head)).to_batches()
 
 
-def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key: str = "doc_id", decimals: int | None = None) -> DataFrame:
+def merge_indexes(partials: Iterable[DataFrame], top_n: int | None = TOP_N, key: str = "doc_id", decimals: int | None = None,
+                  batch: str | None = None) -> DataFrame:
     """Union partial ``(term, key, tf)`` indexes, sum tf per (term, doc), re-prune.
 
-    ``decimals`` rounds the sums, so that their order of addition leaves no trace in the ranks.
+    ``decimals`` rounds the sums, so that their order of addition leaves no trace in the ranks.  ``batch`` names a column
+    of all partials whose values share no document (rows of a document are all in one batch): sums are then made where
+    the postings of a term and batch are, without dealing them anew.
     """
-    parts = [p.select("term", key, "tf") for p in partials]
+    by = ["term", key] if batch is None else ["term", batch, key]
+    parts = [p.select(*by, "tf") for p in partials]
     if not parts:
         raise ValueError("merge_indexes needs at least one partial index")
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
     total = F.sum("tf") if decimals is None else F.round(F.sum("tf"), decimals)
-    summed = union.groupBy("term", key).agg(total.alias("tf"))
-    return champions(summed, top_n, key)
+    summed = union.groupBy(*by).agg(total.alias("tf"))
+    return champions(summed.select("term", key, "tf"), top_n, key)
 
 
 def partial_indexes(processed: DataFrame, batch: str, key: str = "doc_id") -> DataFrame:

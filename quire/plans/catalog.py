@@ -513,9 +513,9 @@ def q_partials_csv_merge(spark, sf):
         part = I.partial_indexes(P.analyze(docs.withColumn("text", text), "doc_id", "text", carry=["batch"]), "batch")
         path = scratch_path(spark, f"partials-{name}")
         Wr.write_partials_csv(C.encode_partials(part, "batch"), path, "batch")
-        back = Rd.read_partials_csv(spark, path)
+        back = Rd.read_partials_csv(spark, path, "batch")
         partials.append(back.withColumn("doc_id", F.col("doc_id").cast("bigint")))
-    m = I.merge_indexes(partials, decimals=6)
+    m = I.merge_indexes(partials, decimals=6, batch="batch")
     return m.select("term", F.col("rank").cast("bigint").alias("rank"), F.col("doc_id").cast("string").alias("doc_id"), "tf")
 
 

@@ -81,10 +81,13 @@ def write_index_csv(encoded: DataFrame, path: str) -> None:
 
 
 def write_partials_csv(encoded: DataFrame, path: str, batch: str) -> None:
-    """K2: one folder ``<batch>=<value>`` of CSV ``Word,Documents`` per partial index."""
+    """K2: one folder ``<batch>=<value>`` of CSV ``Word,Documents`` per partial index.
+
+    Every file is sorted by word.  Rows are not dealt anew: a task writes a file for each batch it has words of, which
+    are few as ``encode_partials`` deals them.
+    """
     (
         encoded.select(F.col(batch), F.col("word").alias("Word"), F.col("documents").alias("Documents"))
-        .repartitionByRange(batch, "Word")
         .sortWithinPartitions(batch, "Word")
         .write.mode("overwrite")
         .options(**CSV_OPTIONS)

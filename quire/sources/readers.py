@@ -166,9 +166,16 @@ def read_index_csv_lines(spark: SparkSession, path: str) -> DataFrame:
     return df.join(before, "_f").select(line.cast("bigint").alias("line"), "word", "documents")
 
 
-def read_partials_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Long postings ``(term, doc_id, tf)`` of all partial indexes below ``path``."""
-    return codec.decode_postings(read_index_csv(spark, path)).select("term", "doc_id", "tf")
+def read_partials_csv(spark: SparkSession, path: str, batch: str | None = None) -> DataFrame:
+    """Long postings ``(term, doc_id, tf)`` of all partial indexes below ``path``.
+
+    With ``batch``, the column of their folders, it comes along, and postings are dealt by term and batch: while they
+    are lists, which takes half the bytes of a row a posting.
+    """
+    lists = read_index_csv(spark, path)
+    if batch is None:
+        return codec.decode_postings(lists).select("term", "doc_id", "tf")
+    return codec.decode_postings(lists.repartition("word", batch), [batch]).select("term", "doc_id", "tf", batch)
 
 
 def index_from_csv(spark: SparkSession, path: str) -> Index:

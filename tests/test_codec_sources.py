@@ -170,3 +170,49 @@ def test_partial_lists_stay_bounded_however_many_documents_a_word_is_in(spark):
     part = index.partial_indexes(pipeline.analyze(catalog._in_batches(docs, 100), "doc_id", "text", carry=["batch"]), "batch")
     lists = [r["documents"].count(":") for r in codec.encode_partials(part, "batch").where("word = 'common'").collect()]
     assert len(lists) == 10 and sum(lists) == 1000 and max(lists) < 200
+
+
+def test_partials_are_shuffled_once_to_be_written_and_once_as_lists_to_be_merged(spark, tmp_path):
+    from quire.operators import index as I
+
+    rows = [(d % 3, w, d, (d % 7 + 1) / 8) for d in range(60) for w in ["hot", f"w{d % 11}", "null"]]
+    body = spark.createDataFrame(rows, "batch int, term string, doc_id long, tf double")
+    head = body.where("doc_id % 2 = 0").selectExpr("batch", "term", "doc_id", "tf / 4 AS tf")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    frames = []
+    for name, part in (("body", body), ("head", head)):
+        encoded = C.encode_partials(part, "batch")
+        assert exchanges(encoded) == 1
+        Wr.write_partials_csv(encoded, f"{tmp_path}/{name}", "batch")
+        for b in range(3):
+            found = [f for f in os.listdir(f"{tmp_path}/{name}/batch={b}") if f.endswith(".csv")]
+            assert 0 < len(found) <= C.PARTS
+            for f in found:  # every file is sorted by word and has each word once
+                words = [line.split(",")[0] for line in open(f"{tmp_path}/{name}/batch={b}/{f}").read().splitlines()[1:]]
+                assert words == sorted(set(words))
+        lists = Rd.read_index_csv(spark, f"{tmp_path}/{name}")
+        assert lists.groupBy("batch", "word").count().where("count > 1").count() == 0
+        frames.append(Rd.read_partials_csv(spark, f"{tmp_path}/{name}", "batch").withColumn("doc_id", F.col("doc_id").cast("long")))
+    merged = I.merge_indexes(frames, 5, decimals=6, batch="batch")
+    # The lists of both frames by (word, batch), and the champions by term: no row a posting by (term, document).
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert exchanges(merged) == 3 and "hashpartitioning(term" in plan and "hashpartitioning(word" in plan
+    want = I.merge_indexes([body, head], 5, decimals=6)
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_text_of_partials_keeps_order_signs_and_nulls(spark):
+    rows = [(0, "t", k, v) for k, v in [(3, 0.25), (1, 0.25), (2, 0.5), (None, 0.5), (4, 0.0), (5, -0.5), (6, None), (7, 1e13), (8, 0.1234565)]]
+    df = spark.createDataFrame(rows, "batch int, term string, doc_id long, tf double")
+    items = F.array_sort(F.collect_list(F.struct((-F.col("tf")).alias("o"), F.col("doc_id").alias("k"), F.concat(F.col("doc_id").cast("string"), F.lit(":"), C.six_decimals("tf")).alias("item"))))
+    want = df.groupBy("batch", F.col("term").alias("word")).agg(F.array_join(F.transform(items, lambda s: s["item"]), C.ITEM_SEP).alias("documents"))
+    assert C.encode_partials(df, "batch").collect() == want.collect()
+
+
+def test_counts_evaluate_the_analysis_once(spark):
+    from quire.operators import index as I
+    from quire.operators.analysis import analyze
+
+    docs = spark.createDataFrame([(1, "alpha beta alpha")], "doc_id long, text string").repartition(2)
+    plan = I.term_counts(analyze(docs, "doc_id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") == 1
